@@ -5,8 +5,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .language import fit, held_out, identify_languages
+from .mixing import WORD_COUNT, mix_sources
 from .quality import quality_rules
 from .secrets import secret_scan
+from .sharding import shard_rows
 from .tokens import token_counts
 
 TOKENIZER = "byte_bpe_50k.json"
@@ -24,6 +27,12 @@ def op2_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan(table(spark, sf_dir, "documents")).drop("findings")
 
 
+def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").withColumn("held_out", held_out())
+    model = fit(docs.where("not held_out"), "text", "lang")
+    return identify_languages(docs, model, keep=("doc_id", "held_out"))
+
+
 def op4_token_counts(spark: SparkSession, sf_dir: str, tokenizer: str | None = None) -> DataFrame:
     """tokenizer: path of a tokenizers JSON file; by default the installed public one."""
     if tokenizer is None:
@@ -34,8 +43,20 @@ def op4_token_counts(spark: SparkSession, sf_dir: str, tokenizer: str | None = N
         return token_counts(table(spark, sf_dir, "documents"), f.read())
 
 
+def op5_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    text = F.coalesce("text", F.lit(""))
+    rows = table(spark, sf_dir, "documents").select("doc_id", (F.octet_length(text) + 16).cast("long").alias("size"), F.crc32(text.cast("binary")).alias("text_crc32"))
+    dealt = shard_rows(rows, shards=40, key=("doc_id", "text_crc32", "size"))
+    return dealt.select("doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
+
+
+def op9_temperature_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "documents").select("doc_id", "source", F.expr(WORD_COUNT).alias("words"))
+    return mix_sources(rows, tokens="words", key=("doc_id", "words")).drop("words")
+
+
 def queries() -> dict:
-    return {f.__name__: f for f in (op1_quality_rules, op2_secret_scan, op4_token_counts)}
+    return {f.__name__: f for f in (op1_quality_rules, op2_secret_scan, op3_language_id, op4_token_counts, op5_sharding, op9_temperature_mixing)}
 
 
 def oracle_sql() -> dict[str, str]:
