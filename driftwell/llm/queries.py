@@ -5,12 +5,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .anchors import substring_dedup
 from .language import fit, held_out, identify_languages
 from .mixing import WORD_COUNT, mix_sources
 from .quality import quality_rules
 from .secrets import secret_scan
 from .sharding import shard_rows
 from .simhash import near_duplicates
+from .suffixes import suffix_dedup
 from .tokens import token_counts
 
 TOKENIZER = "byte_bpe_50k.json"
@@ -51,18 +53,26 @@ def op5_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dealt.select("doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
 
 
+def op6_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup(table(spark, sf_dir, "documents")).drop("kept")
+
+
 def op8_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = near_duplicates(table(spark, sf_dir, "documents"))
     return found.select("doc_id", F.lower(F.lpad(F.hex("f0"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op10_difference_cover_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup(table(spark, sf_dir, "documents")).drop("kept_text")
+
+
 def op9_temperature_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = table(spark, sf_dir, "documents").select("doc_id", "source", F.expr(WORD_COUNT).alias("words"))
     return mix_sources(rows, tokens="words", key=("doc_id", "words")).drop("words")
 
 
 def queries() -> dict:
-    return {f.__name__: f for f in (op1_quality_rules, op2_secret_scan, op3_language_id, op4_token_counts, op5_sharding, op8_simhash_near_dedup, op9_temperature_mixing)}
+    return {f.__name__: f for f in (op1_quality_rules, op2_secret_scan, op3_language_id, op4_token_counts, op5_sharding, op6_suffix_array_dedup, op8_simhash_near_dedup, op9_temperature_mixing, op10_difference_cover_dedup)}
 
 
 def oracle_sql() -> dict[str, str]:
