@@ -70,13 +70,12 @@ def mix_sources(docs: DataFrame, source: str = "source", tokens: str | None = No
 
     Null source: a source of its own, apart from ''. Null or empty text: no tokens; it is in every whole
     epoch of its source, and a source without any tokens is taken once, outside the weights. Repeated
-    rows are rows like others. An empty table gives an empty table. docs must not have the new columns.
+    rows are rows like others. An empty table gives an empty table. A column of docs by a new name is replaced.
     Exchanges are by (source, block), so a source of a third of all rows is `blocks` parts of one.
-    The driver gets one number a source-independent round: no list of sources, blocks or documents.
+    The driver gets a few numbers a round: no list of sources, blocks or documents.
     """
     new = ["n_tokens", "weight", "repeats", "epoch", "block_position", "order_key"]
-    if clash := set(new) & {c.lower() for c in docs.columns}:
-        raise ValueError(f"docs already has {sorted(clash)}")
+    docs = docs.drop(*new)
     name = F.when(F.col(source).isNull(), "0").otherwise(F.concat(F.lit("1"), F.col(source).cast("string")))
     rows = docs.withColumns({"__source": name, "n_tokens": F.coalesce(F.expr(tokens or WORD_COUNT).cast("long"), F.lit(0).cast("long")), "__h": F.xxhash64(F.lit(seed), *[F.col(c) for c in key])})
     rows = rows.withColumn("__block", F.pmod("__h", F.lit(blocks)).cast("int"))

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .anchors import substring_dedup
+from .contain import ORACLE, containment
 from .language import fit, held_out, identify_languages
 from .mixing import WORD_COUNT, mix_sources
 from .quality import quality_rules
@@ -57,6 +58,14 @@ def op6_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup(table(spark, sf_dir, "documents")).drop("kept")
 
 
+def op7_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = containment(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.select(
+        "doc_id", F.size("matches").cast("long").alias("n_items"), F.expr("array_join(transform(matches, m -> cast(m.item AS string)), ',')").alias("items"),
+        F.floor(1000 * F.coalesce(F.array_max("matches.containment"), F.lit(0.0))).cast("long").alias("best_permille"), (F.size("matches") > 0).alias("contaminated"),
+    )
+
+
 def op8_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = near_duplicates(table(spark, sf_dir, "documents"))
     return found.select("doc_id", F.lower(F.lpad(F.hex("f0"), 16, "0")).alias("fingerprint"), "component_id")
@@ -72,8 +81,8 @@ def op9_temperature_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict:
-    return {f.__name__: f for f in (op1_quality_rules, op2_secret_scan, op3_language_id, op4_token_counts, op5_sharding, op6_suffix_array_dedup, op8_simhash_near_dedup, op9_temperature_mixing, op10_difference_cover_dedup)}
+    return {f.__name__: f for f in (op1_quality_rules, op2_secret_scan, op3_language_id, op4_token_counts, op5_sharding, op6_suffix_array_dedup, op7_benchmark_decontamination, op8_simhash_near_dedup, op9_temperature_mixing, op10_difference_cover_dedup)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op7_benchmark_decontamination": ORACLE}

@@ -80,10 +80,9 @@ def shard_rows(docs: DataFrame, shards: int = 40, seed: int = 20261, key: tuple[
     that no value of the data makes hot; repeated rows (equal in all of `key`) go through one partition
     of the first, and which of them gets which slot is of no account. Nulls hash like any value.
     The driver gets one count a partition. An empty table gives an empty table.
-    docs must not have columns called shard or slot, nor give other values of `key` when read again.
+    Columns of docs called shard or slot are replaced. docs must give the same rows when read again.
     """
-    if clash := {"shard", "slot"} & {c.lower() for c in docs.columns}:
-        raise ValueError(f"docs already has {sorted(clash)}")
+    docs = docs.drop("shard", "slot")
     hashed = docs.withColumn("__h", F.xxhash64(F.lit(seed), *[docs[c] for c in key]))
     placed = hashed.withColumn("__part", F.pmod("__h", F.lit(partitions)).cast("int"))
     counts = {r["__part"]: r["n"] for r in placed.groupBy("__part").agg(F.count("*").alias("n")).collect()}
