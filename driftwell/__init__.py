@@ -1 +1,10 @@
-"""driftwell: change-data processing on Spark DataFrames."""
+"""driftwell: change-data processing on Spark DataFrames.
+
+Functions that run in Python workers are pickled by value, so executors need no copy of the package.
+"""
+
+import sys
+
+from pyspark import cloudpickle
+
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
