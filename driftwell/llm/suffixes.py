@@ -81,27 +81,22 @@ class RunLengthIndex:
     end of a string.
     """
 
+    #: Symbols of 9 bits that the first sort takes at once.
+    PACKED = 7
+
     def __init__(self, strings: list[bytes]):
         sizes = np.array([len(s) for s in strings], dtype=np.int64)
         ends = np.cumsum(sizes + 1) - 1
         n = int(ends[-1]) + 1
-        symbols = np.empty(n, dtype=np.int64)
-        keep = np.ones(n, dtype=bool)
-        keep[ends] = False
-        symbols[keep] = np.frombuffer(b"".join(strings), dtype=np.uint8).astype(np.int64) + len(strings)
-        symbols[ends] = np.arange(len(strings))  # a separator of its own for each string
-        self.n, self.ends, self.starts = n, ends, ends - sizes
-        levels, step = [], 1
-        order, rank = self.ranked(symbols)
-        while True:
-            levels.append((step, rank))
-            if rank[order[-1]] == n - 1:
-                break
-            second = np.zeros(n, dtype=np.int64)
-            second[:-step] = rank[step:] + 1
-            order, rank = self.ranked(rank * (n + 1) + second)
-            step *= 2
-        transform = symbols[order - 1]
+        symbols = np.zeros(n + self.PACKED, dtype=np.int64)  # 0: end of a string
+        inside = np.ones(n, dtype=bool)
+        inside[ends] = False
+        symbols[:n][inside] = np.frombuffer(b"".join(strings), dtype=np.uint8).astype(np.int64) + 1
+        self.n, self.ends, self.starts, self.symbols = n, ends, ends - sizes, symbols
+        order, levels = self.sorted_suffixes()
+        # ends of strings differ from each other and from all bytes
+        before = np.where(inside, symbols[:n], -1 - np.cumsum(~inside))
+        transform = before[order - 1]
         head = np.ones(n, dtype=bool)
         head[1:] = transform[1:] != transform[:-1]
         rows = np.flatnonzero(head)
@@ -111,23 +106,55 @@ class RunLengthIndex:
         self.head_match, self.tail_match = np.zeros(len(rows), dtype=np.int64), np.zeros(len(rows), dtype=np.int64)
         self.head_match[1:] = self.tail_match[:-1] = self.common(order[rows[1:] - 1], order[rows[1:]], levels)
 
-    @staticmethod
-    def ranked(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        order = np.argsort(keys)
-        sorted_ = keys[order]
-        rank = np.empty(len(keys), dtype=np.int64)
-        rank[order] = np.concatenate([[0], np.cumsum(sorted_[1:] != sorted_[:-1])])
-        return order, rank
+    def sorted_suffixes(self) -> tuple[np.ndarray, list[tuple[int, np.ndarray]]]:
+        """The suffix array by prefix doubling, and the ranks by the first 7, 14, 28 .. symbols.
+
+        A rank is the place of the first suffix of its group; only groups of several are sorted again.
+        Suffixes that end within the first symbols form groups of their own: their matches are shorter.
+        """
+        n, key, ending = self.n, np.zeros(self.n, dtype=np.int64), np.zeros(self.n, dtype=bool)
+        for k in range(self.PACKED):
+            part = self.symbols[k : n + k]
+            key = (key << 9) | part
+            ending |= part == 0
+        order = np.argsort(key)
+        sorted_ = key[order]
+        fresh = np.ones(n, dtype=bool)
+        fresh[1:] = (sorted_[1:] != sorted_[:-1]) | ending[order[1:]] | ending[order[:-1]]
+        first = np.flatnonzero(fresh)
+        rank = np.empty(n, dtype=np.int64)
+        rank[order] = np.repeat(first, np.diff(np.append(first, n)))
+        levels, step = [(self.PACKED, rank.astype(np.int32))], self.PACKED
+        slots = np.flatnonzero(~(fresh & np.append(fresh[1:], True)))
+        while len(slots):
+            at = order[slots]
+            key = rank[at] * n + rank[at + step]
+            turn = np.argsort(key)
+            at, key = at[turn], key[turn]
+            order[slots] = at
+            fresh = np.ones(len(slots), dtype=bool)
+            fresh[1:] = key[1:] != key[:-1]
+            first = np.flatnonzero(fresh)
+            rank[at] = np.repeat(slots[first], np.diff(np.append(first, len(slots))))
+            step *= 2
+            levels.append((step, rank.astype(np.int32)))
+            slots = slots[~(fresh & np.append(fresh[1:], True))]
+        return order, levels
 
     def common(self, a: np.ndarray, b: np.ndarray, levels: list[tuple[int, np.ndarray]]) -> np.ndarray:
         """Length of the common prefix of the suffixes at a and b."""
         a, b, out = a.copy(), b.copy(), np.zeros(len(a), dtype=np.int64)
         for step, rank in reversed(levels):
-            same = np.flatnonzero((a < self.n) & (b < self.n))
-            same = same[rank[a[same]] == rank[b[same]]]
+            same = np.flatnonzero(rank[a] == rank[b])
             a[same] += step
             b[same] += step
             out[same] += step
+        open_ = np.arange(len(a))
+        for _ in range(self.PACKED):
+            open_ = open_[(self.symbols[a[open_]] == self.symbols[b[open_]]) & (self.symbols[a[open_]] > 0)]
+            a[open_] += 1
+            b[open_] += 1
+            out[open_] += 1
         return out
 
     def matching_statistics(self) -> np.ndarray:
