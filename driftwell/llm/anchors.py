@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -24,6 +25,8 @@ WINDOW = 50
 #: A perfect difference set: each residue but zero is one difference of two elements. Fixed values.
 PERIOD = 31
 COVER = (1, 5, 11, 24, 25, 27)
+#: Anchors and windows are matched in so many passes over their hash values, one after the other: less shuffled at a time.
+PASSES = 3
 #: Stands for a null doc_id: after all others.
 LAST = (1 << 63) - 1
 
@@ -38,6 +41,11 @@ def keyed(docs: DataFrame, text: str, doc_id: str) -> DataFrame:
     return docs.select(F.col(doc_id).alias("doc_id"), F.coalesce(F.col(doc_id).cast("long"), F.lit(LAST)).alias("did"), F.xxhash64(text).alias("th"), F.col(text).alias("text"))
 
 
+def parted(df: DataFrame, column: str, parts: int) -> list[DataFrame]:
+    """The rows of df in `parts` parts by a hash column: equal hashes are in one part."""
+    return [df.where(F.pmod(column, F.lit(parts)) == i) for i in range(parts)]
+
+
 def anchors(rows: DataFrame, window: int, period: int, cover: tuple[int, ...]) -> DataFrame:
     """(h, did, pos): hashes of the sampled windows of texts that have `window` words."""
     width = window - period + 1
@@ -116,7 +124,7 @@ def removed(rows: DataFrame, window: int) -> DataFrame:
     return rows.select("doc_id", "text", "copy", "starts").mapInArrow(run, f"doc_id {kind}, n_words long, n_removed long, n_spans long, kept_sha256 string, kept_text string")
 
 
-def substring_dedup(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", window: int = WINDOW, period: int = PERIOD, cover: tuple[int, ...] = COVER) -> DataFrame:
+def substring_dedup(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", window: int = WINDOW, period: int = PERIOD, cover: tuple[int, ...] = COVER, passes: int = PASSES) -> DataFrame:
     """One row a document: doc_id, n_words, n_removed, n_spans, kept_sha256, kept_text (kept words joined by one space).
 
     A word goes if a window of `window` words that covers it also starts in a document of smaller doc_id;
@@ -133,9 +141,13 @@ def substring_dedup(docs: DataFrame, text: str = "text", doc_id: str = "doc_id",
     spark = docs.sparkSession
     rows = keyed(docs, text, doc_id)
     found = written(anchors(rows, window, period, cover), "anchors")
-    shared = found.groupBy("h").agg(F.min("did").alias("lo"), F.max("did").alias("hi")).where("lo < hi").select("h")
-    reach = written(found.join(shared, "h").groupBy("did").agg(F.collect_set("pos").alias("pos")), "anchor-reach")
+    parts = []
+    for part in parted(found, "h", passes):
+        shared = part.groupBy("h").agg(F.min("did").alias("lo"), F.max("did").alias("hi")).where("lo < hi").select("h")
+        parts.append(written(part.join(shared, "h").groupBy("did").agg(F.collect_set("pos").alias("pos")), "anchor-reach"))
+        release(spark)
     drop_written(spark, found)
+    reach = reduce(DataFrame.unionByName, parts).groupBy("did").agg(F.flatten(F.collect_list("pos")).alias("pos"))
     release(spark)
     texts = rows.where(F.octet_length("text") >= 2 * window - 1).select("did", "th", F.xxhash64(F.lit(1), "text").alias("th2"))
     owner = texts.groupBy("th", "th2").agg(F.min("did").alias("lo"), F.max("did").alias("hi")).where("lo < hi")
@@ -143,8 +155,12 @@ def substring_dedup(docs: DataFrame, text: str = "text", doc_id: str = "doc_id",
     near = rows.join(reach, "did").join(copies, ["did", "th"], "left_anti")
     around = written(windows(near, window, period), "anchor-windows")
     release(spark)
-    least = around.groupBy("w1", "w2").agg(F.min("did").alias("lo"), F.max("did").alias("hi")).where("lo < hi")
-    starts = around.join(least, ["w1", "w2"]).where("did > lo").groupBy("did", "th").agg(F.collect_set("start").alias("starts"))
+    parts = []
+    for part in parted(around, "w1", passes):
+        least = part.groupBy("w1", "w2").agg(F.min("did").alias("lo"), F.max("did").alias("hi")).where("lo < hi")
+        parts.append(written(part.join(least, ["w1", "w2"]).where("did > lo").groupBy("did", "th").agg(F.collect_set("start").alias("starts")), "anchor-starts"))
+        release(spark)
+    starts = reduce(DataFrame.unionByName, parts).groupBy("did", "th").agg(F.flatten(F.collect_list("starts")).alias("starts"))
     marks = written(starts.withColumn("copy", F.lit(False)).unionByName(copies.withColumns({"starts": F.array().cast("array<int>"), "copy": F.lit(True)})), "anchor-marks")
     drop_written(spark, around)
     release(spark)
