@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -19,8 +20,14 @@ def align(rows: DataFrame, target: T.StructType, computed: dict[str, str] | None
     def value(f: T.StructField) -> Column:
         if f.name in computed or f.name not in have:
             return F.lit(None).cast(f.dataType)
-        same = rows.schema[f.name].dataType == f.dataType
-        return have[f.name] if same else have[f.name].try_cast(f.dataType.simpleString())
+        if rows.schema[f.name].dataType == f.dataType:
+            return have[f.name]
+        cast = have[f.name].try_cast(f.dataType.simpleString())
+        try:
+            rows.select(cast)
+        except AnalysisException:  # no cast between such types
+            return F.lit(None).cast(f.dataType)
+        return cast
 
     plain = rows.select(*[value(f).alias(f.name) for f in target.fields])
     for name, expression in computed.items():

@@ -46,6 +46,7 @@ class Descriptor:
     constraints: dict[str, str] = field(default_factory=dict)
     serial: int = 0
     data: str = "data-0"
+    applied: int = -1  # place in the log of the last schema change
 
     def to_json(self) -> str:
         return json.dumps(asdict(self), indent=1)
@@ -152,17 +153,20 @@ class Warehouse:
         return [n for n in self.files.names(f"{self.root}/{database}") if self.exists(database, n)]
 
     def load(self, database: str, name: str) -> Descriptor:
+        if not self.exists(database, name):
+            raise KeyError(f"there is no table {database}.{name}")
         return Descriptor.from_json(self.files.read(f"{self.folder(database, name)}/descriptor.json"))
 
     def save(self, d: Descriptor) -> None:
         self.files.write(f"{self.folder(d.database, d.name)}/descriptor.json", d.to_json())
 
     def execute(self, actions: list[Action], database: str = "", override: dict[str, str] | None = None, seq: int | None = None) -> None:
-        """Actions in order. Doing them again changes nothing more, so a repeated batch is harmless.
+        """Actions in order.
 
-        seq: place in the log, for truncates.
+        seq: place in the log. A table's column changes at or before the place of its last one were made
+        already and are passed over, so a repeated batch is harmless; truncates cut at the place.
         """
-        override = override or {}
+        override, fresh = override or {}, {}
         db_of = lambda db: override.get(unquoted(db or database), unquoted(db or database))
         for a in actions:
             db, name = db_of(a.database), unquoted(a.table or "")
@@ -185,7 +189,9 @@ class Warehouse:
             elif a.kind == "truncate":
                 self.truncate(self.load(db, name), seq)
             else:
-                self.save(altered(self.load(db, name), a))
+                d = self.load(db, name)
+                if fresh.setdefault((db, name), seq is None or d.applied < seq):
+                    self.save(replace(altered(d, a), applied=d.applied if seq is None else seq))
 
     def truncate(self, d: Descriptor, seq: int | None) -> None:
         """A marker at a place in the log: rows before it are gone. Without a place, all data so far."""
@@ -196,10 +202,16 @@ class Warehouse:
         self.append(d, row, f"truncate-{seq}")
 
     def append(self, d: Descriptor, rows: DataFrame, batch: str) -> None:
-        """Rows by logical name, with _version, _seq and the delete mark; the same batch again replaces itself."""
+        """Rows by logical name, with _version, _seq and the delete mark.
+
+        A batch that is there in whole is left as it is: it was written by the columns of its time.
+        """
+        path = f"{self.folder(d.database, d.name)}/{d.data}/batch={batch}"
+        if self.files.exists(f"{path}/_SUCCESS"):
+            return
         logical = T.StructType([T.StructField(f.name, T._parse_datatype_string(f.kind)) for f in d.fields if f.computed is None] + [T.StructField(n, T._parse_datatype_string(k)) for n, k in d.extras()])
         stored = [f.stored for f in d.fields if f.computed is None] + [n for n, _ in d.extras()]
-        align(rows, logical).toDF(*stored).write.mode("overwrite").parquet(f"{self.folder(d.database, d.name)}/{d.data}/batch={batch}")
+        align(rows, logical).toDF(*stored).write.mode("overwrite").parquet(path)
 
     def log(self, d: Descriptor) -> DataFrame:
         """All rows by logical name, not cut or resolved."""

@@ -442,10 +442,10 @@ def set_diff(spark, d):
     return verify.set_differences(p, p.withColumn("p_name", F.when(F.col("p_partkey") % 11 == 0, "x").otherwise(F.col("p_name"))))
 
 
-@query("SELECT o_orderkey, o_custkey FROM orders WHERE (o_orderstatus, o_orderpriority) IN (SELECT o_orderstatus, o_orderpriority FROM orders WHERE o_totalprice > 499900)")
+@query("SELECT o_orderkey, o_custkey FROM orders WHERE (o_orderstatus, o_custkey) IN (SELECT o_orderstatus, o_custkey FROM orders WHERE o_totalprice > 450000)")
 def semi_join_partitions(spark, d):
     o = table(spark, d, "orders")
-    return o.join(o.where("o_totalprice > 499900").select("o_orderstatus", "o_orderpriority"), ["o_orderstatus", "o_orderpriority"], "left_semi").select("o_orderkey", "o_custkey")
+    return o.join(o.where("o_totalprice > 450000").select("o_orderstatus", "o_custkey"), ["o_orderstatus", "o_custkey"], "left_semi").select("o_orderkey", "o_custkey")
 
 
 @query("SELECT n_nationkey || '#' || n_name || '#' || n_regionkey || '#000' AS line FROM nation ORDER BY n_nationkey")
@@ -453,9 +453,9 @@ def ordered_dump(spark, d):
     return verify.ordered_dump(table(spark, d, "nation"), ["n_nationkey"])
 
 
-@query("SELECT o_orderkey FROM orders WHERE o_orderkey > 5000 ORDER BY o_orderkey LIMIT 1")
+@query("SELECT o_orderkey FROM orders WHERE o_orderkey > 700 ORDER BY o_orderkey LIMIT 1")
 def limit_probe(spark, d):
-    return table(spark, d, "orders").where("o_orderkey > 5000").orderBy("o_orderkey").select("o_orderkey").limit(1)
+    return table(spark, d, "orders").where("o_orderkey > 700").orderBy("o_orderkey").select("o_orderkey").limit(1)
 
 
 @query("SELECT DISTINCT o_orderstatus, CAST(strftime(o_orderdate, '%Y') AS INTEGER) AS y FROM orders")

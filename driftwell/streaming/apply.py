@@ -22,8 +22,9 @@ class Applier:
     """Writes envelopes into the warehouse's tables.
 
     A batch is cut at its schema changes, which are few and come to the driver; the data between two of
-    them is written, then the change is made. A batch written again under its number replaces itself,
-    and versions come from the log, so a replay leaves the same state.
+    them is written, then the change is made. What is written is named by the log positions it holds, so
+    a batch that comes again finds it there; versions come from the log, so events that come again in
+    other batches lose nothing and change nothing either.
     """
 
     def __init__(self, warehouse: Warehouse, settings: Settings | None = None, include: list[str] | None = None, keys: dict[str, tuple[str, ...]] | None = None):
@@ -35,13 +36,13 @@ class Applier:
         try:
             ddl = [] if self.settings.disable_ddl else sorted(schema_changes(events).select("offset", "ddl", F.col("value.source.db").alias("db"), F.col("value.source.snapshot").alias("snapshot")).collect())
             start = None
-            for i, change in enumerate([*ddl, None]):
+            for change in [*ddl, None]:
                 part = events
                 if start is not None:
                     part = part.where(F.col("offset") > start)
                 if change is not None:
                     part = part.where(F.col("offset") <= change.offset)
-                self.rows(part, f"{batch}-{i}")
+                self.rows(part)
                 if change is not None:
                     self.change(change)
                     start = change.offset
@@ -63,15 +64,18 @@ class Applier:
                     time.sleep(10)
         self.failed.append((row.offset, row.ddl, str(problem)))
 
-    def rows(self, events: DataFrame, batch: str) -> None:
+    def rows(self, events: DataFrame) -> None:
         """Row changes of one stretch without schema changes, each table's by itself."""
         s = self.settings
         placed = events.withColumn("__table", table_of_topic(F.col("topic"), s.topics)).withColumn("__db", database_of(F.coalesce(F.col("value.source.db"), F.element_at(F.split("topic", r"\."), -2)), s.databases))
         if self.include:
             placed = placed.where(included(F.concat_ws(".", "__db", "__table"), self.include))
-        for r in placed.where("__table IS NOT NULL AND value IS NOT NULL AND ddl IS NULL").select("__db", "__table").distinct().collect():  # a row a table
+        placed = placed.where("__table IS NOT NULL AND value IS NOT NULL AND ddl IS NULL")
+        spot = F.pmod(F.xxhash64("topic", "partition", "offset"), F.lit(1 << 31))
+        tables = placed.groupBy("__db", "__table").agg(F.min("offset").alias("lo"), F.max("offset").alias("hi"), F.sum(spot).alias("sum")).collect()  # a row a table
+        for r in tables:
             own = placed.where((F.col("__db") == r["__db"]) & (F.col("__table") == r["__table"])).drop("__db", "__table")
-            self.table_rows(own, r["__db"], r["__table"], batch)
+            self.table_rows(own, r["__db"], r["__table"], f"{r['lo']}-{r['hi']}-{r['sum']}")
 
     def table_rows(self, events: DataFrame, db: str, name: str, batch: str) -> None:
         s, w = self.settings, self.warehouse
