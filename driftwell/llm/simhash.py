@@ -12,6 +12,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -37,8 +38,8 @@ class Block:
 
 #: One block of 64 bits: complete for links of two differing bits.
 WHOLE = (Block(0, 0, 64, 4),)
-#: Five blocks of 24 bits of a 128-bit fingerprint, for links of more bits: a pair is found if one block differs in two bits or fewer.
-FIVE = (Block(0, 0, 24, 1), Block(0, 24, 24, 1), Block(0, 40, 24, 1), Block(1, 0, 24, 1), Block(1, 24, 24, 1))
+#: Six blocks of 30 bits of a 192-bit fingerprint, for links of more bits: a pair is found if one block differs in two bits or fewer.
+SIX = tuple(Block(word, shift, 30, 1) for word in range(3) for shift in (0, 32))
 
 
 def shingle_hashes(text: bytes | None, words: int, seed: int) -> list[int]:
@@ -89,15 +90,15 @@ def popcounts(half: Column) -> Column:
     return two.bitwiseAND(0x33333333) + F.shiftrightunsigned(two, 2).bitwiseAND(0x33333333)
 
 
-def visited(block: Block, number: int) -> Column:
-    """Array of the grid cells that a fingerprint visits for this block, as long values unique to it."""
+def visited(block: Block) -> Column:
+    """Array of the grid cells that a fingerprint visits for this block, as long values."""
     word = F.shiftrightunsigned(F.col(f"f{block.word}"), block.shift) if block.shift else F.col(f"f{block.word}")
     if block.segment == 1:  # a segment's count is its bit: a step flips it
         if block.bits > 40:
             raise ValueError("blocks of 1-bit segments hold 40 bits at most")
         value = word.bitwiseAND((1 << block.bits) - 1)
         steps = [value, *[value.bitwiseXOR(1 << i) for i in range(block.bits)]]
-        return F.array(*[s + F.lit(number << block.bits) for s in steps])
+        return F.array(*steps)
     if (block.segment, block.bits, block.shift) != (4, 64, 0):
         raise ValueError("4-bit segments are for whole words")
     packed = F.shiftleft(popcounts(F.shiftrightunsigned(word, 32)), 32) + popcounts(word.bitwiseAND(0xFFFFFFFF))
@@ -128,14 +129,16 @@ def forest(words: np.ndarray, most: int) -> list[tuple[int, int]]:
     return found
 
 
-def links(nodes: DataFrame, blocks: tuple[Block, ...], most: int) -> DataFrame:
-    """Links (a, b) between ids of nodes(id, f0, ..): nodes that meet in a cell and differ in `most` bits or fewer, as forests of each cell."""
+def links(nodes: DataFrame, block: Block, most: int) -> DataFrame:
+    """Links (a, b) between ids of nodes(id, f0, ..): nodes that meet in a cell of the block and differ in `most` bits or fewer, as forests of each cell."""
     words = [c for c in nodes.columns if c != "id"]
-    cells = nodes.select("id", *words, F.explode(F.concat(*[visited(b, i) for i, b in enumerate(blocks)])).alias("cell"))
+    tasks = int(nodes.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    cells = nodes.repartition(tasks, "id").select("id", F.explode(visited(block)).alias("cell"))  # nodes are narrow, cells many
     shared = cells.groupBy("cell").agg(F.count("*").alias("n")).where("n > 1")
     chunks = F.ceil(F.col("n") / CHUNK).cast("int")
     met = cells.join(shared, "cell").withColumn("chunks", chunks).withColumn("own", F.pmod(F.xxhash64("id"), F.col("chunks")).cast("int"))
-    pairs = met.withColumn("other", F.explode(F.expr("sequence(0, chunks - 1)"))).select("cell", F.least("own", "other").alias("lo"), F.greatest("own", "other").alias("hi"), "id", *words)
+    pairs = met.withColumn("other", F.explode(F.expr("sequence(0, chunks - 1)"))).select("cell", F.least("own", "other").alias("lo"), F.greatest("own", "other").alias("hi"), "id")
+    pairs = pairs.join(nodes, "id").select("cell", "lo", "hi", "id", *words)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rest = None
@@ -167,16 +170,18 @@ def links(nodes: DataFrame, blocks: tuple[Block, ...], most: int) -> DataFrame:
         if a and sum(map(len, a)):
             yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(a)), pa.array(np.concatenate(b))], names=["a", "b"])
 
-    return pairs.repartition("cell", "lo", "hi").sortWithinPartitions("cell", "lo", "hi").mapInArrow(run, "a long, b long")
+    return pairs.repartition(tasks, "cell", "lo", "hi").sortWithinPartitions("cell", "lo", "hi").mapInArrow(run, "a long, b long")
 
 
 def classes(prints: DataFrame, blocks: tuple[Block, ...], most: int) -> DataFrame:
     """(f0, .., root) of the distinct fingerprints of prints: root is one number for all that links connect."""
     words = [c for c in prints.columns if c[0] == "f" and c[1:].isdigit()]
     nodes = written(prints.select(*words).distinct().withColumn("id", F.monotonically_increasing_id()), "simhash-nodes")
-    edges = written(links(nodes, blocks, most).distinct(), "simhash-links")
-    release(prints.sparkSession)
-    roots = components(edges)
+    edges = []
+    for block in blocks:  # one after the other: less shuffled at a time
+        edges.append(written(links(nodes, block, most).distinct(), "simhash-links"))
+        release(prints.sparkSession)
+    roots = components(reduce(DataFrame.unionByName, edges))
     return nodes.join(roots.withColumnRenamed("node", "id"), "id", "left").select(*words, F.coalesce("root", "id").alias("root"))
 
 
@@ -198,13 +203,13 @@ def near_duplicates(docs: DataFrame, text: str = "text", doc_id: str = "doc_id",
     return found.join(by_print, columns).select(doc_id, *columns, "component_id")
 
 
-def deduplicate(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", words: int = 5, seeds: tuple[int, ...] = (42, 43), blocks: tuple[Block, ...] = FIVE, most: int = 19) -> DataFrame:
+def deduplicate(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", words: int = 5, seeds: tuple[int, ...] = (42, 43, 44), blocks: tuple[Block, ...] = SIX, most: int = 28) -> DataFrame:
     """docs with one row of each near-duplicate group: the one of least doc_id, nulls last.
 
-    Two texts are linked if their 128-bit fingerprints over 5-word shingles differ in `most` bits or
-    fewer: 19 bits are an angle of 0.47, which is a cosine of 0.89 and a shingle similarity of 0.8.
+    Two texts are linked if their 192-bit fingerprints over 5-word shingles differ in `most` bits or
+    fewer: 28 bits are an angle of 0.46, which is a cosine of 0.9 and a shingle similarity of 0.8.
     Texts without a word have fingerprint zero and no shingle to be similar in: each of them stays.
-    Of rows equal in every column one stays. All columns are kept; names f0, f1 and __row must be free.
+    Of rows equal in every column one stays. All columns are kept; names f0, f1, .. and __row must be free.
     """
     blank = F.coalesce(F.col(text), F.lit("")).rlike(r"[^\x20\x09-\x0D]")
     marked = written(fingerprints(docs, text, words, seeds, keep=tuple(docs.columns)).withColumn("__row", F.monotonically_increasing_id()), "simhash-marked")
