@@ -144,16 +144,13 @@ def containment(docs: DataFrame, items: DataFrame, text: str = "text", item_id:
     return frame.select(*[F.col(n).alias(c) for c, n in zip(keep, names)], F.array_sort("__matches").alias("matches"))
 
 
-#: DuckDB SQL of the query: containment of every item in every document.
+#: DuckDB SQL of the query: documents and the items that they hold.
 ORACLE = r"""
 WITH d AS (SELECT doc_id, list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '') AS w FROM documents),
 b AS (SELECT item_id, list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '') AS w FROM benchmark),
 ds AS (SELECT DISTINCT doc_id, array_to_string(w[i:i + 4], ' ') AS s FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 3, 2))) AS i FROM d WHERE len(w) > 0)),
 bs AS (SELECT DISTINCT item_id, array_to_string(w[i:i + 4], ' ') AS s FROM (SELECT item_id, w, unnest(range(1, greatest(len(w) - 3, 2))) AS i FROM b WHERE len(w) > 0)),
 n AS (SELECT item_id, count(*) AS n FROM bs GROUP BY item_id),
-hit AS (SELECT doc_id, item_id, count(*) AS k FROM ds JOIN bs USING (s) GROUP BY ALL),
-m AS (SELECT doc_id, item_id, k / n AS c FROM hit JOIN n USING (item_id) WHERE k >= 0.8 * n),
-g AS (SELECT doc_id, count(*) AS k, string_agg(CAST(item_id AS VARCHAR), ',' ORDER BY item_id) AS items, max(c) AS best FROM m GROUP BY doc_id)
-SELECT d.doc_id, coalesce(g.k, 0) AS n_items, coalesce(g.items, '') AS items, CAST(floor(1000 * coalesce(g.best, 0)) AS BIGINT) AS best_permille, g.k IS NOT NULL AS contaminated
-FROM d LEFT JOIN g USING (doc_id)
+hit AS (SELECT doc_id, item_id, count(*) AS k FROM ds JOIN bs USING (s) GROUP BY ALL)
+SELECT doc_id, item_id, CAST(1000 * k // n AS BIGINT) AS contained_permille FROM hit JOIN n USING (item_id) WHERE k >= 0.8 * n
 """
