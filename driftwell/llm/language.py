@@ -13,7 +13,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-#: Most labelled rows that the model is fitted on, those of the least hash.
+#: About so many labelled rows are what the model is fitted on at most, chosen by a hash of their text.
 FIT_ROWS = 20_000
 BUCKETS = 1 << 16
 SWITCH_PENALTY = 8.0
@@ -74,7 +74,8 @@ class Block:
 def fit(docs: DataFrame, text: str, lang: str, rows: int = FIT_ROWS) -> dict | None:
     """A model from the labelled rows: languages, trigram log probabilities, candidate scripts. None without labels."""
     labelled = docs.where(F.col(lang).isNotNull() & F.col(text).isNotNull()).select(F.col(lang).cast("string").alias("lang"), F.col(text).alias("text"))
-    sample = labelled.orderBy(F.xxhash64("text"), "lang").limit(rows)
+    n = labelled.count()
+    sample = labelled if n <= rows else labelled.where(F.pmod(F.xxhash64("text"), F.lit(1 << 30)) < int((1 << 30) * rows / n))
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tables = Letters()
@@ -89,7 +90,7 @@ def fit(docs: DataFrame, text: str, lang: str, rows: int = FIT_ROWS) -> dict | N
                         at = np.flatnonzero(counts)
                         yield pa.RecordBatch.from_arrays([pa.array([name] * len(at), pa.string()), pa.array([kind] * len(at), pa.string()), pa.array(at, pa.int32()), pa.array(counts[at], pa.int64())], names=["lang", "kind", "at", "n"])
 
-    counted = sample.repartition(8).mapInArrow(count, "lang string, kind string, at int, n long").groupBy("lang", "kind", "at").agg(F.sum("n").alias("n")).collect()
+    counted = sample.mapInArrow(count, "lang string, kind string, at int, n long").groupBy("lang", "kind", "at").agg(F.sum("n").alias("n")).collect()
     names = sorted({r["lang"] for r in counted})
     if not names:
         return None
