@@ -165,3 +165,17 @@ def substring_dedup(docs: DataFrame, text: str = "text", doc_id: str = "doc_id",
     drop_written(spark, around)
     release(spark)
     return removed(rows.join(marks, ["did", "th"], "left").withColumn("copy", F.coalesce("copy", F.lit(False))), window)
+
+
+#: DuckDB SQL of the query: all windows of all documents by their words.
+ORACLE = r"""
+WITH d AS (SELECT doc_id, list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w FROM documents),
+s AS (SELECT doc_id, i, array_to_string(w[i:i + 49], ' ') AS g FROM (SELECT doc_id, w, unnest(range(1, len(w) - 48)) AS i FROM d WHERE len(w) >= 50)),
+m AS (SELECT g, min(doc_id) AS lo FROM s GROUP BY g),
+c AS (SELECT DISTINCT doc_id, i AS k, i FROM s JOIN m USING (g) WHERE doc_id > lo),
+p AS (SELECT doc_id, k, w[k] AS word FROM (SELECT doc_id, w, unnest(range(1, len(w) + 1)) AS k FROM d)),
+r AS (SELECT doc_id, k, word, coalesce(max(i) OVER (PARTITION BY doc_id ORDER BY k ROWS UNBOUNDED PRECEDING) >= k - 49, false) AS gone FROM p LEFT JOIN c USING (doc_id, k)),
+t AS (SELECT *, gone AND NOT coalesce(lag(gone) OVER (PARTITION BY doc_id ORDER BY k), false) AS first FROM r),
+a AS (SELECT doc_id, count(*) AS n, count(*) FILTER (gone) AS n_gone, count(*) FILTER (first) AS spans, string_agg(word, ' ' ORDER BY k) FILTER (NOT gone) AS kept FROM t GROUP BY doc_id)
+SELECT d.doc_id, coalesce(n, 0) AS n_words, coalesce(n_gone, 0) AS n_removed, coalesce(spans, 0) AS n_spans, sha256(coalesce(kept, '')) AS kept_sha256 FROM d LEFT JOIN a USING (doc_id)
+"""

@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from . import anchors, contain
 from .anchors import substring_dedup
-from .contain import ORACLE, containment
+from .contain import containment
 from .language import fit, held_out, identify_languages
 from .mixing import WORD_COUNT, mix_sources
 from .quality import quality_rules
@@ -83,4 +84,4 @@ def queries() -> dict:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op7_benchmark_decontamination": ORACLE}
+    return {"op7_benchmark_decontamination": contain.ORACLE, "op10_difference_cover_dedup": anchors.ORACLE}
