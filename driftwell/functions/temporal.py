@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 # Limits of the target types, in seconds or days since 1970-01-01.
 DATETIME32 = (0, 4294967295)  # to 2106-02-07 06:28:15
 DATETIME64 = (-2208988800, 10413791999)  # 1900-01-01 00:00:00 to 2299-12-31 23:59:59
+FAR_MILLIS = (-(10**15), 10**15)  # beyond every limit, and still safe to multiply
 DATE16 = (0, 65535)  # to 2149-06-06
 DATE32 = (-25567, 120529)  # 1900-01-01 to 2299-12-31
 
@@ -71,7 +72,7 @@ def micro_timestamp(micros: Column, zone: str = "UTC", wide: bool = True) -> Col
 
 def milli_timestamp(millis: Column, zone: str = "UTC", wide: bool = True) -> Column:
     """wide: the 64-bit type with 3 fraction digits; else the 32-bit type without any."""
-    text = micro_timestamp(millis * 1000, zone, wide)
+    text = micro_timestamp(clamped(millis.cast("long"), FAR_MILLIS) * 1000, zone, wide)
     return F.substring(text, 1, 23) if wide else text
 
 

@@ -116,3 +116,27 @@ def resolve_zone(user: str | None, server: str = "UTC") -> str:
         return ZoneInfo(user).key if user else server
     except Exception:
         return server
+
+
+def format_decimal(value: Column, scale: int) -> Column:
+    """Text with exactly `scale` fraction digits."""
+    return value.cast(f"decimal(38,{scale})").cast("string")
+
+
+ENGINE = re.compile(r"(?:Replicated)?(Replacing|Collapsing|)MergeTree(?:\((.*)\))?", re.DOTALL)
+
+
+def parse_engine(text: str) -> tuple[str, str | None, str | None]:
+    """(engine, version or sign column, delete column) of an engine's text; paths and replica names are passed over."""
+    m = ENGINE.match(text.strip())
+    if not m:
+        return "default", None, None
+    depth, inside = 1, m[2] or ""
+    for i, c in enumerate(inside):  # up to the parenthesis that closes the arguments
+        depth += (c == "(") - (c == ")")
+        if not depth:
+            inside = inside[:i]
+            break
+    names = [x.strip(" `") for x in inside.split(",") if x.strip() and "'" not in x]
+    kind = {"Replacing": "replacing", "Collapsing": "collapsing", "": "append"}[m[1]]
+    return kind, names[0] if names else None, names[1] if len(names) > 1 else None

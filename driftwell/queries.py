@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from .functions import temporal, values
 from .operators import align, dedup, envelope, metrics, state, verify, versions
 from .plans import routing
+from .plans import types as wire
 from .plans.ddl import parse
 from .plans.scratch import folder
 from .plans.settings import Settings
@@ -234,6 +235,41 @@ def mongo_json_after(spark, d):
     return doc.select("event_id", values.json_field(F.col("r.doc"), "$.k").try_cast("long").alias("k"), F.regexp_replace("r.doc", " ", "").alias("inner_doc"))
 
 
+@query("SELECT event_id, strftime(DATE '1970-01-01' + CAST(greatest(least(event_id * 37 - 60000, 120529), -25567) AS INTEGER), '%Y-%m-%d') AS d, strftime(ts, '%H:%M:%S.%f') AS t, CASE WHEN event_id % 4 = 3 THEN NULL ELSE epoch_us(ts) END AS z, CAST(user_id AS INTEGER) AS y, event_type AS u, CAST(round(value * 100) AS DECIMAL(12,2)) AS n, CASE WHEN event_id % 2 = 0 THEN true ELSE false END AS b FROM events")
+def wire_types(spark, d):
+    """Values as a capture engine sends them, by their logical types."""
+    iso = F.concat(F.translate(temporal.seconds_text(temporal.whole_seconds(micros())), " ", "T"), F.lit("."), temporal.fraction(micros()), F.lit("Z"))
+    e = table(spark, d, "events").select(
+        "event_id", (F.col("event_id") * 37 - 60000).alias("d"), micros().alias("t"), F.when(F.col("event_id") % 4 == 3, "never").otherwise(iso).alias("z"), F.col("user_id").alias("y"),
+        F.col("event_type").alias("u"), F.round(F.col("value") * 100).alias("n"), (F.col("event_id") % 2 == 0).cast("string").alias("b"),
+    )
+    kinds = [("event_id", "INT64", ""), ("d", "INT32", "x.time.Date"), ("t", "INT64", "x.time.MicroTime"), ("z", "STRING", "x.time.ZonedTimestamp"), ("y", "INT32", "x.time.Year"), ("u", "STRING", "x.data.Enum"), ("n", "BYTES", "x.data.Decimal"), ("b", "BOOLEAN", "")]
+    got = wire.typed_rows(e, [wire.Wire(n, p, l, precision=12) for n, p, l in kinds])
+    return got.withColumns({"d": F.col("d").cast("string"), "z": F.unix_micros("z")})
+
+
+@query("SELECT DISTINCT strftime(o_orderdate, '%Y-%m') AS \"partition\" FROM orders WHERE strftime(o_orderdate, '%Y-%m') LIKE '%-0%'")
+def partition_regex(spark, d):
+    return dumps.partitions(table(spark, d, "orders"), F.date_format("o_orderdate", "yyyy-MM"), "-0")
+
+
+@query("SELECT o_orderkey, o_custkey, CAST(CAST(o_totalprice AS DECIMAL(38,4)) AS VARCHAR) AS t FROM orders")
+def decimal_text(spark, d):
+    return table(spark, d, "orders").select("o_orderkey", "o_custkey", values.format_decimal(F.col("o_totalprice"), 4).alias("t"))
+
+
+@query("SELECT c_custkey, c_name, CASE WHEN c_custkey % 5 = 0 THEN NULL ELSE c_mktsegment || chr(9) || chr(10) || '\\' END AS note FROM customer")
+def dump_roundtrip(spark, d):
+    """Rows written as a dump and read again."""
+    from pyspark.sql import types as T
+
+    note = F.when(F.col("c_custkey") % 5 != 0, F.concat(F.col("c_mktsegment"), F.lit("\t\n\\")))
+    path = folder(spark, "dump")
+    dumps.write_tsv(table(spark, d, "customer").select("c_custkey", "c_name", note.alias("note")), path)
+    read = dumps.read_tsv(spark, path, T.StructType.fromDDL("c_custkey string, c_name string, note string"))
+    return read.withColumn("c_custkey", F.col("c_custkey").cast("bigint"))
+
+
 # versions and state
 
 SNOWFLAKE = "(((ms - 1288834974657) & 2199023255551)::BIGINT << 22) | ((event_id + 1) & 4194303)"

@@ -128,3 +128,27 @@ def chunked(rows: DataFrame, key: str, size: int) -> Iterator[DataFrame]:
 def database_chunks(spark: SparkSession, url: str, table: str, key: str, lo: int, hi: int, parts: int, properties: dict[str, str]) -> DataFrame:
     """The same over JDBC, where Spark reads the ranges in parallel."""
     return spark.read.jdbc(url, table, column=key, lowerBound=lo, upperBound=hi, numPartitions=parts, properties=properties)
+
+
+def write_tsv(rows: DataFrame, path: str, compression: str = "gzip") -> None:
+    """Rows as tab-separated text that read_tsv() reads."""
+
+    def escaped(name: str) -> Column:
+        out = F.col(f"`{name}`").cast("string")
+        for mark, meant in (("\\", "\\\\"), ("\t", "\\t"), ("\n", "\\n"), ("\r", "\\r"), ("\0", "\\0")):
+            out = F.replace(out, F.lit(mark), F.lit(meant))
+        return F.coalesce(out, F.lit("\\N"))
+
+    rows.select(F.concat_ws("\t", *map(escaped, rows.columns)).alias("value")).write.option("compression", compression).text(path)
+
+
+def estimated_rows(rows: DataFrame) -> int | None:
+    """The optimizer's row count, without a scan; None where it has none."""
+    found = rows._jdf.queryExecution().optimizedPlan().stats().rowCount()
+    return int(str(found.get())) if found.isDefined() else None
+
+
+def partitions(rows: DataFrame, by: Column, pattern: str | None = None) -> DataFrame:
+    """Distinct partition values that match the pattern."""
+    found = rows.select(by.cast("string").alias("partition")).distinct()
+    return found if pattern is None else found.where(F.col("partition").rlike(pattern))

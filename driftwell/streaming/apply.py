@@ -16,6 +16,7 @@ from ..plans.routing import database_of, included, table_of_topic
 from ..plans.settings import Settings
 from ..plans.tables import COLLAPSING, TRUNCATE, Descriptor, Warehouse, described_by_schema
 from ..functions.values import raw_json
+from .offsets import SchemaHistory
 
 
 class Applier:
@@ -27,8 +28,9 @@ class Applier:
     other batches lose nothing and change nothing either.
     """
 
-    def __init__(self, warehouse: Warehouse, settings: Settings | None = None, include: list[str] | None = None, keys: dict[str, tuple[str, ...]] | None = None):
+    def __init__(self, warehouse: Warehouse, settings: Settings | None = None, include: list[str] | None = None, keys: dict[str, tuple[str, ...]] | None = None, history: SchemaHistory | None = None):
         self.warehouse, self.settings, self.include, self.keys = warehouse, settings or Settings(), include, keys or {}
+        self.history = history
         self.failed: list[tuple[int, str, str]] = []
 
     def __call__(self, events: DataFrame, batch: int) -> None:
@@ -57,6 +59,8 @@ class Applier:
             try:
                 if not (s.disable_drop_truncate and drops_or_truncates(row.ddl)):
                     self.warehouse.execute(parse(row.ddl), row.db or "", s.databases, row.offset)
+                    if self.history is not None:
+                        self.history.append(row.offset, row.db or "", row.ddl)
                 return
             except (DdlError, KeyError, OSError) as e:
                 problem = e
@@ -75,7 +79,7 @@ class Applier:
         tables = placed.groupBy("__db", "__table").agg(F.min("offset").alias("lo"), F.max("offset").alias("hi"), F.sum(spot).alias("sum")).collect()  # a row a table
         for r in tables:
             own = placed.where((F.col("__db") == r["__db"]) & (F.col("__table") == r["__table"])).drop("__db", "__table")
-            self.table_rows(own, r["__db"], r["__table"], f"{r['lo']}-{r['hi']}-{r['sum']}")
+            self.table_rows(own.coalesce(1) if s.single_threaded else own, r["__db"], r["__table"], f"{r['lo']}-{r['hi']}-{r['sum']}")
 
     def table_rows(self, events: DataFrame, db: str, name: str, batch: str) -> None:
         s, w = self.settings, self.warehouse

@@ -79,3 +79,27 @@ def status(states: DataFrame, now_s: Column) -> DataFrame:
     from ..functions.temporal import seconds_text
 
     return states.select("offset_key", (now_s - ts).alias("seconds_behind_source"), seconds_text(ts).alias("utc_time"), F.get_json_object("offset_val", "$.file").alias("file"), F.get_json_object("offset_val", "$.pos").cast("long").alias("pos"))
+
+
+class SchemaHistory:
+    """Schema changes as they were applied, in order; append-only text lines of JSON."""
+
+    def __init__(self, spark: SparkSession, path: str):
+        self.spark, self.path = spark, path
+
+    def append(self, seq: int, database: str, ddl: str) -> None:
+        line = json.dumps({"history_data_seq": seq, "database": database, "ddl": ddl})
+        self.spark.range(1).select(F.lit(line).alias("value")).write.mode("append").text(self.path)
+
+    def rows(self) -> DataFrame:
+        from ..plans.store import Files
+
+        kind = "history_data_seq long, database string, ddl string"
+        if not Files(self.spark).exists(self.path):
+            return self.spark.createDataFrame([], kind)
+        return self.spark.read.schema(kind).json(self.path).distinct().orderBy("history_data_seq")
+
+    def delete(self) -> None:
+        from ..plans.store import Files
+
+        Files(self.spark).delete(self.path)

@@ -30,6 +30,7 @@ MS = 1_640_995_260_000  # 2022-01-01 00:01:00
         (10_066_723_260_000, "UTC", False, "2106-02-07 06:28:15"),
         (10_066_723_260_000, "America/Chicago", False, "2106-02-07 00:28:15"),
         (99_999_999_999_999, "UTC", True, "2299-12-31 23:59:59.999"),
+        (9_223_372_036_854_775_807, "UTC", True, "2299-12-31 23:59:59.999"),
         (None, "UTC", True, None),
     ],
 )
@@ -123,3 +124,37 @@ def test_names_zones_and_servers():
         v.zone_of_offset("+05:30")
     assert v.server_at_least("23.2.1") and v.server_at_least("24.1") and not v.server_at_least("22.8.9")
     assert v.resolve_zone("America/Chicago") == "America/Chicago" and v.resolve_zone("Mars/One") == "UTC" and v.resolve_zone("") == "UTC"
+
+
+@pytest.mark.parametrize(
+    ("text", "parts"),
+    [
+        ("ReplacingMergeTree(_version, is_deleted) ORDER BY id SETTINGS index_granularity = 8192", ("replacing", "_version", "is_deleted")),
+        ("ReplacingMergeTree(_version) PARTITION BY toYYYYMM(d) ORDER BY (a, b)", ("replacing", "_version", None)),
+        ("ReplicatedReplacingMergeTree('/tables/{shard}/t', '{replica}', `_version`, is_deleted) ORDER BY id", ("replacing", "_version", "is_deleted")),
+        ("CollapsingMergeTree(sign) ORDER BY id", ("collapsing", "sign", None)),
+        ("MergeTree ORDER BY id", ("append", None, None)),
+        ("Memory", ("default", None, None)),
+    ],
+)
+def test_engines(text, parts):
+    assert v.parse_engine(text) == parts
+
+
+def test_format_decimal(spark):
+    assert one(spark, v.format_decimal(F.lit("12.5"), 3)) == "12.500" and one(spark, v.format_decimal(F.lit(7), 2)) == "7.00"
+
+
+def test_wire_types(spark):
+    from driftwell.plans import types as w
+
+    assert w.spark_type(w.Wire("a", "BYTES", "x.Decimal", 65, 30)) == "string" and w.spark_type(w.Wire("a", "BYTES"), raw_bytes=True) == "binary"
+    assert w.spark_type(w.Wire("a", "ARRAY", element="INT32")) == "array<int>" and w.spark_type(w.Wire("a", "FLOAT64")) == "double"
+    for bad in (w.Wire("a", "INT32", "x.Interval"), w.Wire("a", "UNION")):
+        with pytest.raises(ValueError):
+            w.spark_type(bad)
+    assert w.row_fields([w.Wire("id", "INT64", optional=False), w.Wire("d", "INT32", "x.Date")]) == "`id` bigint NOT NULL, `d` date"
+    rows = spark.sql("SELECT 1640995260000000L AS a, 90000000000000000L AS b, 1640995260000L AS c, named_struct('value', unhex('FB2E'), 'scale', 1) AS d, unhex('0A') AS e, 3723000 AS f")
+    fields = [w.Wire("a", "INT64", "x.MicroTimestamp"), w.Wire("b", "INT64", "x.MicroTimestamp"), w.Wire("c", "INT64", "x.Timestamp"), w.Wire("d", "STRUCT", "x.VariableScaleDecimal"), w.Wire("e", "BYTES", "x.Bits"), w.Wire("f", "INT32", "x.Time")]
+    r = w.typed_rows(rows, fields, zone="America/Chicago").first()
+    assert (str(r.a), str(r.b), str(r.c), float(r.d), r.e, r.f) == ("2021-12-31 18:01:00", "2299-12-31 17:59:59", "2021-12-31 18:01:00", -123.4, "0a", "01:02:03.000000")

@@ -15,7 +15,8 @@ from driftwell.plans.tables import Warehouse
 from driftwell.sources import dumps
 from driftwell.sources.change_log import snapshot_events, stream_log
 from driftwell.streaming.apply import Applier, start
-from driftwell.streaming.offsets import OffsetStore, lsn_number, parse_lsn, patch_binlog, patch_lsn
+from driftwell.streaming.listener import Metrics
+from driftwell.streaming.offsets import OffsetStore, SchemaHistory, lsn_number, parse_lsn, patch_binlog, patch_lsn
 from driftwell.streaming.replicator import Replicator
 
 ROW = "id long, name string, score int"
@@ -226,3 +227,30 @@ def test_files(spark, tmp_path):
     assert f.read(path) == "zwölf" and f.exists(path) and f.names(str(tmp_path / "a")) == ["b.txt"]
     f.rename(path, str(tmp_path / "c" / "d.txt"))
     assert not f.exists(path) and f.names(str(tmp_path / "none")) == []
+
+
+def test_schema_history(spark, tmp_path):
+    w, h = Warehouse(spark, str(tmp_path / "w")), SchemaHistory(spark, str(tmp_path / "h"))
+    assert h.rows().count() == 0
+    a = Applier(w, Settings(single_threaded=True), history=h)
+    for _ in range(2):
+        a(frame(spark, [event(1, None, None, None, CREATE), event(2, "c", None, image(1, "a")), event(3, None, None, None, "ALTER TABLE users ADD COLUMN x INT")]), 0)
+    assert [(r.history_data_seq, r.ddl) for r in h.rows().collect()] == [(1, CREATE), (3, "ALTER TABLE users ADD COLUMN x INT")]
+    h.delete()
+    assert h.rows().count() == 0 and rows_of(w) == [(1, "a", None, None)]
+
+
+def test_metrics(spark):
+    from driftwell.operators.envelope import decode
+
+    m, log = Metrics(), frame(spark, [event(1, "c", None, image(1, "a")), event(2, "x", None, image(2, "b"))])
+    for _ in range(2):
+        m.observe(log, decode(log), F.lit(5000))
+    text = m.text()
+    assert 'records_total{topic="s.shop.users"} 2' in text and 'errors_total{topic="s.shop.users"} 2' in text and 'source_lag_ms{topic="s.shop.users"} 3999' in text
+    assert 'partition_offset{partition="0",topic="s.shop.users"} 1' in text and "uptime_seconds" in text
+
+
+def test_estimates_and_partitions(spark):
+    assert dumps.estimated_rows(spark.range(1000)) == 1000
+    assert sorted(r.partition for r in dumps.partitions(spark.range(30), F.col("id") % 12, "^1").collect()) == ["1", "10", "11"]
