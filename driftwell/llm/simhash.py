@@ -109,6 +109,57 @@ def visited(block: Block) -> Column:
     return F.array_compact(F.array(*steps))
 
 
+def visited_cells(block: Block, words: np.ndarray) -> np.ndarray:
+    """The same for rows of words (uint64) in numpy: rows x steps, -1 for steps that leave the grid."""
+    u = np.uint64
+    word = words[:, block.word] >> u(block.shift)
+    if block.segment == 1:
+        value = (word & u((1 << block.bits) - 1)).astype(np.int64)
+        return np.concatenate([value[:, None], value[:, None] ^ (np.int64(1) << np.arange(block.bits))], axis=1)
+    two = (word & u(0x5555555555555555)) + ((word >> u(1)) & u(0x5555555555555555))
+    packed = ((two & u(0x3333333333333333)) + ((two >> u(2)) & u(0x3333333333333333))).astype(np.int64)[:, None]
+    at = np.arange(0, 64, 4)
+    count, step = (packed >> at) & 15, np.int64(1) << at
+    return np.concatenate([packed, np.where(count < 4, packed + step, -1), np.where(count > 0, packed - step, -1)], axis=1)
+
+
+def first_meeting(block: Block, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """The least cell that both visit, for pairs of rows of words."""
+    out = np.empty(len(a), dtype=np.int64)
+    for lo in range(0, len(a), 4096):
+        x, y = visited_cells(block, a[lo : lo + 4096]), visited_cells(block, b[lo : lo + 4096])
+        both = ((x[:, :, None] == y[:, None, :]) & (x >= 0)[:, :, None]).any(2)
+        out[lo : lo + 4096] = np.where(both, x, np.iinfo(np.int64).max).min(1)
+    return out
+
+
+def meeting_here(block: Block, words: np.ndarray, cell: int) -> np.ndarray:
+    """The rows that share no lesser cell with one of the rows: most members of a large cell met before."""
+    _, first, kind = np.unique(visited_cells(block, words)[:, 0], return_index=True, return_inverse=True)
+    i, j = (x.ravel() for x in np.meshgrid(np.arange(len(first)), np.arange(len(first))))
+    here = first_meeting(block, words[first[i]], words[first[j]]) == cell
+    use = np.zeros(len(first), dtype=bool)
+    use[i[here & ((i != j) | (np.bincount(kind)[i] > 1))]] = True
+    use[j[here & ((i != j) | (np.bincount(kind)[i] > 1))]] = True
+    return np.flatnonzero(use[kind])
+
+
+def spanning_tree(words: np.ndarray, most: int) -> list[tuple[int, int]]:
+    """Links of `most` bits or fewer of a minimum spanning tree of the rows: for every limit below they connect what all pairs within it do."""
+    best = np.bitwise_count(words ^ words[0]).sum(1)
+    to, left, found = np.zeros(len(words), dtype=np.int64), np.ones(len(words), dtype=bool), []
+    left[0] = False
+    for _ in range(len(words) - 1):
+        i = int(np.where(left, best, 1 << 30).argmin())
+        if best[i] <= most:
+            found.append((int(to[i]), i))
+        left[i] = False
+        far = np.bitwise_count(words ^ words[i]).sum(1)
+        nearer = far < best
+        best, to = np.where(nearer, far, best), np.where(nearer, i, to)
+    return found
+
+
 def forest(words: np.ndarray, most: int) -> list[tuple[int, int]]:
     """Links that connect what `most` differing bits connect among the rows of words (rows x longs)."""
     distance = lambda rows, one: np.bitwise_count(words[rows] ^ words[one]).sum(1)
@@ -129,8 +180,26 @@ def forest(words: np.ndarray, most: int) -> list[tuple[int, int]]:
     return found
 
 
-def links(nodes: DataFrame, block: Block, most: int) -> DataFrame:
-    """Links (a, b) between ids of nodes(id, f0, ..): nodes that meet in a cell of the block and differ in `most` bits or fewer, as forests of each cell."""
+def joins(up: dict[int, int], a: int, b: int) -> bool:
+    """Link a and b; whether they weren't connected yet."""
+
+    def top(x: int) -> int:
+        while (y := up.get(x, x)) != x:
+            up[x] = up.get(y, y)
+            x = y
+        return x
+
+    a, b = top(a), top(b)
+    up[max(a, b)] = min(a, b)
+    return a != b
+
+
+def links(nodes: DataFrame, block: Block, levels: tuple[int, ...]) -> DataFrame:
+    """Links (a, b) between ids of nodes(id, f0, ..): nodes that meet in a cell of the block and differ in levels[-1] bits or fewer.
+
+    The links of each level or fewer bits connect what all such pairs would, without being all of them.
+    """
+    most = levels[-1]
     words = [c for c in nodes.columns if c != "id"]
     tasks = int(nodes.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     cells = nodes.repartition(tasks, "id").select("id", F.explode(visited(block)).alias("cell"))  # nodes are narrow, cells many
@@ -141,48 +210,87 @@ def links(nodes: DataFrame, block: Block, most: int) -> DataFrame:
     pairs = pairs.join(nodes, "id").select("cell", "lo", "hi", "id", *words)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rest = None
+        rest, up = None, [{} for _ in levels]
         for batch in batches:
             now = np.stack([batch.column(i).to_numpy(zero_copy_only=False).astype(np.int64) for i in range(batch.num_columns)], axis=1)
             rest = now if rest is None else np.concatenate([rest, now])
             cut = np.flatnonzero((rest[1:, :3] != rest[:-1, :3]).any(1)) + 1
             if len(cut):
-                yield from compare(rest[: cut[-1]])
+                yield from compare(rest[: cut[-1]], up)
                 rest = rest[cut[-1] :]
         if rest is not None and len(rest):
-            yield from compare(rest)
+            yield from compare(rest, up)
+
+    def compare(rows: np.ndarray, up: list[dict[int, int]]) -> Iterator[pa.RecordBatch]:
+        """rows: whole groups, sorted. up: what this task has linked so far by level, so that it sends a forest of each.
 
-    def compare(rows: np.ndarray) -> Iterator[pa.RecordBatch]:
-        """rows: whole groups, sorted."""
+        Fingerprints that meet in several cells are linked in the least of them only. What a link of a
+        later cell would connect is connected by earlier cells, so nothing is lost.
+        """
         edge = np.concatenate([[0], np.flatnonzero((rows[1:, :3] != rows[:-1, :3]).any(1)) + 1, [len(rows)]])
         size = np.diff(edge)
         ids, fps, group = rows[:, 3], rows[:, 4:].view(np.uint64), np.repeat(np.arange(len(size)), size)
-        a, b = [], []
+        a, b = [np.zeros(0, dtype=np.int64)], [np.zeros(0, dtype=np.int64)]
         for step in range(1, min(8, int(size.max(initial=1)))):  # groups of up to 8: row by row, all groups at once
             at = np.flatnonzero((group[step:] == group[:-step]) & (size[group[step:]] <= 8))
             at = at[np.bitwise_count(fps[at] ^ fps[at + step]).sum(1) <= most]
-            a.append(ids[at])
-            b.append(ids[at + step])
+            a.append(at)
+            b.append(at + step)
         for g in np.flatnonzero(size > 8):
-            found = np.array(forest(fps[edge[g] : edge[g + 1]], most), dtype=np.int64).reshape(-1, 2) + edge[g]
-            a.append(ids[found[:, 0]])
-            b.append(ids[found[:, 1]])
-        if a and sum(map(len, a)):
-            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(a)), pa.array(np.concatenate(b))], names=["a", "b"])
+            at = edge[g] + meeting_here(block, fps[edge[g] : edge[g + 1]], rows[edge[g], 0])
+            if len(at) > 1:
+                found = np.array((forest if len(levels) == 1 else spanning_tree)(fps[at], most), dtype=np.int64).reshape(-1, 2)
+                a.append(at[found[:, 0]])
+                b.append(at[found[:, 1]])
+        a, b = np.concatenate(a), np.concatenate(b)
+        here = first_meeting(block, fps[a], fps[b]) == rows[a, 0]
+        a, b = a[here], b[here]
+        level = np.searchsorted(levels, np.bitwise_count(fps[a] ^ fps[b]).sum(1))
+        turn = np.argsort(level, kind="stable")
+        sent = []
+        for x, y, k in zip(ids[a[turn]].tolist(), ids[b[turn]].tolist(), level[turn].tolist()):
+            if joins(up[k], x, y):
+                sent.append((x, y))
+                for wider in up[k + 1 :]:
+                    joins(wider, x, y)
+        if sent:
+            yield pa.RecordBatch.from_arrays([pa.array([x for x, _ in sent], pa.int64()), pa.array([y for _, y in sent], pa.int64())], names=["a", "b"])
 
     return pairs.repartition(tasks, "cell", "lo", "hi").sortWithinPartitions("cell", "lo", "hi").mapInArrow(run, "a long, b long")
 
 
-def classes(prints: DataFrame, blocks: tuple[Block, ...], most: int) -> DataFrame:
-    """(f0, .., root) of the distinct fingerprints of prints: root is one number for all that links connect."""
+def grid(nodes: DataFrame, blocks: tuple[Block, ...], levels: tuple[int, ...]) -> DataFrame:
+    """links() of all blocks, one after the other: less is shuffled at a time."""
+    found = []
+    for block in blocks:
+        found.append(written(links(nodes, block, levels).distinct(), "simhash-links"))
+        release(nodes.sparkSession)
+    return reduce(DataFrame.unionByName, found)
+
+
+def distinct_prints(prints: DataFrame) -> DataFrame:
+    """nodes(id, f0, ..) of the distinct fingerprints."""
     words = [c for c in prints.columns if c[0] == "f" and c[1:].isdigit()]
-    nodes = written(prints.select(*words).distinct().withColumn("id", F.monotonically_increasing_id()), "simhash-nodes")
-    edges = []
-    for block in blocks:  # one after the other: less shuffled at a time
-        edges.append(written(links(nodes, block, most).distinct(), "simhash-links"))
-        release(prints.sparkSession)
-    roots = components(reduce(DataFrame.unionByName, edges))
-    return nodes.join(roots.withColumnRenamed("node", "id"), "id", "left").select(*words, F.coalesce("root", "id").alias("root"))
+    return written(prints.select(*words).distinct().withColumn("id", F.monotonically_increasing_id()), "simhash-nodes")
+
+
+def classes(nodes: DataFrame, edges: DataFrame) -> DataFrame:
+    """nodes with root: one number for all that edges connect."""
+    return nodes.join(components(edges).withColumnRenamed("node", "id"), "id", "left").withColumn("root", F.coalesce("root", "id"))
+
+
+def similar(edges: DataFrame, texts: DataFrame, words: int, share: float) -> DataFrame:
+    """The edges(a, b) whose texts(id, text) have shingle sets of similarity `share` or more, computed exactly."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch, raw in slices(batches, "text"):
+            sets = [np.unique(np.array(shingle_hashes(t, words, 42), dtype=np.uint64)).view(np.int64) for t in raw]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sets, pa.list_(pa.int64()))], names=["id", "s"])
+
+    sets = written(texts.select("id", "text").mapInArrow(run, "id long, s array<long>"), "simhash-sets")
+    both = edges.join(sets.toDF("a", "sa"), "a").join(sets.toDF("b", "sb"), "b")
+    common = F.size(F.array_intersect("sa", "sb"))
+    return both.where(common >= F.lit(share) * (F.size("sa") + F.size("sb") - common) - 1e-9).select("a", "b")
 
 
 def near_duplicates(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", words: int = 3, seeds: tuple[int, ...] = (42,), blocks: tuple[Block, ...] = WHOLE, most: int = 2) -> DataFrame:
@@ -195,29 +303,39 @@ def near_duplicates(docs: DataFrame, text: str = "text", doc_id: str = "doc_id",
     """
     found = written(fingerprints(docs, text, words, seeds, keep=(doc_id,)), "simhash-prints")
     columns = [f"f{i}" for i in range(len(seeds))]
-    root = classes(found, blocks, most)
+    nodes = distinct_prints(found)
+    root = classes(nodes, grid(nodes, blocks, (most,)))
     least = found.groupBy(*columns).agg(F.min(doc_id).alias("least"))
-    rooted = written(root.join(least, columns), "simhash-roots")
+    rooted = written(root.drop("id").join(least, columns), "simhash-roots")
     named = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
     by_print = rooted.join(named, "root").select(*columns, "component_id")
     return found.join(by_print, columns).select(doc_id, *columns, "component_id")
 
 
-def deduplicate(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", words: int = 5, seeds: tuple[int, ...] = (42, 43, 44), blocks: tuple[Block, ...] = SIX, most: int = 28) -> DataFrame:
+def deduplicate(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", words: int = 5, share: float = 0.8, seeds: tuple[int, ...] = (42, 43, 44), blocks: tuple[Block, ...] = SIX, levels: tuple[int, ...] = (8, 16, 22, 26, 30, 34, 40)) -> DataFrame:
     """docs with one row of each near-duplicate group: the one of least doc_id, nulls last.
 
-    Two texts are linked if their 192-bit fingerprints over 5-word shingles differ in `most` bits or
-    fewer: 28 bits are an angle of 0.46, which is a cosine of 0.9 and a shingle similarity of 0.8.
-    Texts without a word have fingerprint zero and no shingle to be similar in: each of them stays.
-    Of rows equal in every column one stays. All columns are kept; names f0, f1, .. and __row must be free.
+    Texts are linked if their shingle sets (A-Z lower-cased) have a similarity of `share` or more.
+    Candidates are texts whose 192-bit fingerprints meet in a cell of the grid and differ in levels[-1]
+    bits or fewer: a similarity of 0.8 is 29 bits on average. A group of many near copies sends a forest
+    of its nearest pairs on each level, not all pairs. Each candidate is checked exactly on its sets;
+    texts of equal fingerprints are one text here. Texts without a word have no shingle to be similar
+    in: each of them stays. Of rows equal in every column one stays. Texts are read whole. All columns
+    are kept; names f0, f1, .. and __row must be free.
     """
     blank = F.coalesce(F.col(text), F.lit("")).rlike(r"[^\x20\x09-\x0D]")
     marked = written(fingerprints(docs, text, words, seeds, keep=tuple(docs.columns)).withColumn("__row", F.monotonically_increasing_id()), "simhash-marked")
     columns = [f"f{i}" for i in range(len(seeds))]
-    worded = marked.select(doc_id, *columns, "__row", blank.alias("worded"))
-    root = classes(worded.where("worded"), blocks, most)
+    narrow = written(marked.select(doc_id, *columns, "__row", blank.alias("worded")), "simhash-narrow")
+    worded = narrow.where("worded")
+    nodes = distinct_prints(worded)
+    candidates = written(grid(nodes, blocks, levels).distinct(), "simhash-candidates")
     order = F.struct(F.col(doc_id).isNull().alias("null"), F.col(doc_id).alias("id"), F.col("__row").alias("row"))
-    by_print = worded.where("worded").groupBy(*columns).agg(F.min(order).alias("first"))
-    first = by_print.join(root, columns).groupBy("root").agg(F.min("first").alias("first")).select(F.col("first.row").alias("__row"))
-    kept = first.unionByName(worded.where("not worded").select("__row"))
+    first = written(worded.groupBy(*columns).agg(F.min(order).alias("first")).join(nodes, columns).select("id", "first"), "simhash-first")
+    asked = candidates.select(F.col("a").alias("id")).unionByName(candidates.select(F.col("b").alias("id"))).distinct()
+    texts = marked.join(first.join(asked, "id").select("id", F.col("first.row").alias("__row")), "__row").select("id", F.col(text).alias("text"))
+    edges = written(similar(candidates, texts, words, share), "simhash-edges")
+    release(docs.sparkSession)
+    heads = classes(nodes, edges).select("id", "root").join(first, "id").groupBy("root").agg(F.min("first").alias("first")).select(F.col("first.row").alias("__row"))
+    kept = heads.unionByName(narrow.where("not worded").select("__row"))
     return marked.join(kept, "__row", "left_semi").select(*docs.columns)

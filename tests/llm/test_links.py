@@ -65,12 +65,27 @@ def test_grid_links_lose_nothing(spark):
     values = sorted(values)
     signed = [v - (1 << 64) if v >> 63 else v for v in values]
     nodes = spark.createDataFrame(list(enumerate(signed)), "id long, f0 long")
-    found = [(r.a, r.b) for r in simhash.links(nodes, simhash.WHOLE[0], 2).collect()]
+    found = [(r.a, r.b) for r in simhash.links(nodes, simhash.WHOLE[0], (2,)).collect()]
     assert all((values[a] ^ values[b]).bit_count() <= 2 for a, b in found)
     near = [(i, j) for i in range(len(values)) for j in range(i) if (values[i] ^ values[j]).bit_count() <= 2]
     assert union(len(values), found) == union(len(values), near)
 
 
+@pytest.mark.parametrize("block", [simhash.WHOLE[0], simhash.SIX[3]])
+def test_grid_in_numpy_is_the_grid_in_sql(spark, block):
+    rng = np.random.default_rng(5)
+    words = rng.integers(0, 1 << 63, size=(50, 3), dtype=np.uint64) << np.uint64(1)
+    words[0], words[1] = 0, (1 << 64) - 1
+    frame = spark.createDataFrame([tuple(map(int, r)) for r in words.view(np.int64)], "f0 long, f1 long, f2 long")
+    sql = [sorted(r[0]) for r in frame.select(simhash.visited(block)).collect()]
+    assert sql == [sorted(x for x in r.tolist() if x >= 0) for r in simhash.visited_cells(block, words)]
+    near = words.copy()
+    near[:, block.word] ^= np.uint64(1) << rng.integers(block.shift, block.shift + block.bits, size=50).astype(np.uint64)
+    own = [set(r) for r in sql]
+    other = [set(r[r >= 0].tolist()) for r in simhash.visited_cells(block, near)]
+    assert simhash.first_meeting(block, words, near).tolist() == [min(a & b) for a, b in zip(own, other)]
+
+
 def test_forest_connects_like_all_pairs():
     rng = np.random.default_rng(3)
     base = rng.integers(0, 1 << 63, size=(3, 2), dtype=np.uint64)
@@ -79,6 +94,50 @@ def test_forest_connects_like_all_pairs():
     assert union(60, simhash.forest(rows, 3)) == union(60, near)
 
 
+def test_deduplicate_is_exact_on_its_candidates(spark):
+    """Texts with more and more words changed: who stays is what all pairs of similarity 0.8 leave."""
+    rng = random.Random(21)
+    texts = []
+    for _ in range(6):
+        base = prose(rng, 150).split()
+        for share in (0, 0.005, 0.01, 0.02, 0.03, 0.05, 0.2):
+            texts.append(" ".join(w if rng.random() >= share else "new" + w for w in base))
+    rng.shuffle(texts)
+    sets = [frozenset(tuple(w[i : i + 5]) for i in range(len(w) - 4)) for w in map(str.split, texts)]
+    alike = lambda a, b: len(sets[a] & sets[b]) / len(sets[a] | sets[b])
+    n = len(texts)
+    roots = union(n, [(a, b) for a in range(n) for b in range(a) if alike(a, b) >= 0.8])
+    left = {r.doc_id for r in simhash.deduplicate(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()}
+    assert set(roots) <= left  # no text goes that is not similar to one that stays
+    assert all(alike(a, b) < 0.88 for a in left for b in left if a < b)  # the fingerprints may miss a pair near the limit
+
+
+def test_spanning_tree_connects_at_every_level():
+    rng = np.random.default_rng(8)
+    base = rng.integers(0, 1 << 63, size=(1, 3), dtype=np.uint64)
+    rows = np.concatenate([base ^ (np.uint64(1) << rng.integers(0, 60, size=(1, 3), dtype=np.uint64)) for _ in range(30)])
+    far = lambda a, b: int(np.bitwise_count(rows[a] ^ rows[b]).sum())
+    found = simhash.spanning_tree(rows, 6)
+    assert len(found) <= 29
+    for level in range(7):
+        near = [(i, j) for i in range(30) for j in range(i) if far(i, j) <= level]
+        assert union(30, [p for p in found if far(*p) <= level]) == union(30, near)
+
+
+def test_levels_lose_nothing(spark):
+    rng = random.Random(12)
+    values = sorted({(rng.getrandbits(64) if i < 4 else 0x0123456789ABCDEF) ^ sum(1 << b for b in rng.sample(range(30), i % 6)) for i in range(150)})
+    signed = [v - (1 << 64) if v >> 63 else v for v in values]
+    nodes = spark.createDataFrame(list(enumerate(signed)), "id long, f0 long")
+    block = simhash.Block(0, 32, 30, 1)
+    found = [(r.a, r.b) for r in simhash.links(nodes, block, (1, 3, 5)).collect()]
+    part = lambda v: (v >> 32) & ((1 << 30) - 1)
+    for level in (1, 3, 5):
+        close = lambda a, b: (values[a] ^ values[b]).bit_count() <= level and (part(values[a]) ^ part(values[b])).bit_count() <= 2  # noqa: B023, E731
+        near = [(i, j) for i in range(len(values)) for j in range(i) if close(i, j)]
+        assert union(len(values), [p for p in found if close(*p)]) == union(len(values), near)
+
+
 def test_deduplicate_keeps_one_of_each_group(spark):
     rng = random.Random(9)
     texts = [prose(rng, 200) for _ in range(12)]
