@@ -25,10 +25,18 @@ def scratch_dir(spark: SparkSession) -> str:
     return f"{found.rstrip('/')}/driftwell"
 
 
+#: Scratch tables of this driver, in the order in which they were begun.
+_tables: list[str] = []
+
+
 def written(df: DataFrame, tag: str) -> DataFrame:
-    """df as a Parquet table in the shared scratch folder: cuts the lineage and survives lost executors."""
+    """df as a Parquet table in the shared scratch folder: cuts the lineage and survives lost executors.
+
+    The table stays until drop_written() or drop_scratch(): what an operator returns may read it.
+    """
     spark = df.sparkSession
     path = f"{scratch_dir(spark)}/{tag}-{uuid.uuid4().hex}"
+    _tables.append(path)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
@@ -39,12 +47,28 @@ def release(spark: SparkSession) -> None:
     spark.sparkContext._jvm.System.gc()
 
 
+def _delete(spark: SparkSession, path: str) -> None:
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+
+
 def drop_written(spark: SparkSession, df: DataFrame) -> None:
     """Delete a table of written() that nothing reads any more."""
-    jvm = spark.sparkContext._jvm
     for path in {os.path.dirname(f) for f in df.inputFiles()}:
-        p = jvm.org.apache.hadoop.fs.Path(path)
-        p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+        _delete(spark, path)
+
+
+def scratch_mark() -> int:
+    """A place among the scratch tables, for drop_scratch()."""
+    return len(_tables)
+
+
+def drop_scratch(spark: SparkSession, since: int = 0, keep: int = 0) -> None:
+    """Delete the scratch tables begun after the mark, but for the last `keep`; nothing may read them any more."""
+    gone = _tables[since : len(_tables) - keep]
+    for path in gone:
+        _delete(spark, path)
+    del _tables[since : len(_tables) - keep]
 
 
 def byte_texts(column: pa.Array) -> list[bytes | None]:

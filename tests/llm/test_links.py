@@ -8,7 +8,7 @@ import numpy as np
 import pytest
 import xxhash
 
-from driftwell.llm import anchors, simhash, suffixes
+from driftwell.llm import anchors, common, simhash, suffixes
 from driftwell.llm.common import components
 from driftwell.llm.words import SPACE, Words, spread, window_hashes
 
@@ -242,6 +242,16 @@ def test_every_match_shares_an_anchor():
             assert any((i + d) % 31 in anchors.COVER and (j + d) % 31 in anchors.COVER for d in range(31))
 
 
+def test_scratch_tables_go(spark):
+    mark = common.scratch_mark()
+    tables = [common.written(spark.range(n), "t") for n in (1, 2, 3)]
+    common.drop_scratch(spark, mark, keep=1)
+    assert common.scratch_mark() == mark + 1 and tables[2].count() == 3
+    common.drop_written(spark, tables[2])
+    with pytest.raises(Exception):
+        tables[2].count()
+
+
 def test_empty_tables(empty):
     assert simhash.near_duplicates(empty).count() == 0
     assert suffixes.suffix_dedup(empty).count() == 0
