@@ -12,12 +12,15 @@ from __future__ import annotations
 import json
 import math
 import random
+from itertools import accumulate
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-PARTITIONS = 128
-CELLS_PER_SHARD = 8
+#: Rows of a partition or cell, about, and the least and most of them. Only hashes of rows pass through them.
+ROWS_EACH = 1_000_000
+PARTITIONS = (128, 1024)
+CELLS_PER_SHARD = (8, 32)
 
 
 def log_choose(n: int, k: int) -> float:
@@ -72,42 +75,45 @@ def even(total: int, parts: int) -> list[int]:
     return [total // parts + (i < total % parts) for i in range(parts)]
 
 
-def shard_rows(docs: DataFrame, shards: int = 40, seed: int = 20261, key: tuple[str, ...] = ("doc_id", "text"), partitions: int = PARTITIONS, cells: int = CELLS_PER_SHARD) -> DataFrame:
+def between(n: int, limits: tuple[int, int]) -> int:
+    return max(limits[0], min(limits[1], n))
+
+
+def shard_rows(docs: DataFrame, shards: int = 40, seed: int = 20261, key: tuple[str, ...] = ("doc_id", "text"), partitions: int | None = None, cells: int | None = None) -> DataFrame:
     """docs with shard (int, 0 to shards - 1) and slot (long, from 0 without gaps in each shard).
 
     Shard sizes differ by one row at most. The result depends on `key`, seed and the counts only, not on
-    how Spark split the input, so a lost task gives the same rows again. Two exchanges, each on a hash
-    that no value of the data makes hot; repeated rows (equal in all of `key`) go through one partition
-    of the first, and which of them gets which slot is of no account. Nulls hash like any value.
+    how Spark split the input, so a lost task gives the same rows again. The two permutations and their
+    exchanges are of 64-bit row hashes; the rows themselves move once, when they get their places. Rows
+    equal in all of `key` have one hash and get its places in any order. Nulls hash like any value.
     The driver gets one count a partition. An empty table gives an empty table.
     Columns of docs called shard or slot are replaced. docs must give the same rows when read again.
+
+    partitions, cells (a shard): by default one for about ROWS_EACH rows, within fixed limits.
     """
     docs = docs.drop("shard", "slot")
-    hashed = docs.withColumn("__h", F.xxhash64(F.lit(seed), *[docs[c] for c in key]))
-    placed = hashed.withColumn("__part", F.pmod("__h", F.lit(partitions)).cast("int"))
-    counts = {r["__part"]: r["n"] for r in placed.groupBy("__part").agg(F.count("*").alias("n")).collect()}
+    total = docs.count()
+    partitions = partitions or between(total // ROWS_EACH, PARTITIONS)
+    cells = cells or between(total // (shards * ROWS_EACH), CELLS_PER_SHARD)
+    row_hash = F.xxhash64(F.lit(seed), *[docs[c] for c in key])
+    hashes = docs.select(row_hash.alias("__h")).withColumn("__part", F.pmod("__h", F.lit(partitions)).cast("int"))
+    counts = {r["__part"]: r["n"] for r in hashes.groupBy("__part").agg(F.count("*").alias("n")).collect()}
     rows = [counts.get(p, 0) for p in range(partitions)]
     sizes = [x for n in even(sum(rows), shards) for x in even(n, cells)]
-    ends, starts = [], []
-    for row in communication_matrix(rows, sizes, seed):
-        total, line = 0, []
-        for x in row:
-            total += x
-            line.append(total)
-        ends.append(line)
-    for s in range(shards):
-        at = 0
-        for c in range(cells):
-            starts.append(at)
-            at += sizes[s * cells + c]
+    ends = [list(accumulate(row)) for row in communication_matrix(rows, sizes, seed)]
+    starts = [at for s in range(shards) for at in [0, *accumulate(sizes[s * cells : (s + 1) * cells])][:-1]]
     table = F.from_json(F.lit(json.dumps(ends)), "array<array<bigint>>")
     offsets = F.from_json(F.lit(json.dumps(starts)), "array<bigint>")
     # first permutation: within the partition; the rank falls into one cell of the partition's matrix row
-    local = Window.partitionBy("__part").orderBy(F.xxhash64("__h", F.lit(1)), *key)
-    ranked = placed.withColumn("__rank", F.row_number().over(local).cast("long"))
-    cell = F.size(F.filter(F.get(table, F.col("__part")), lambda end: end < F.col("__rank")))
-    dealt = ranked.withColumn("__cell", cell).drop("__rank")
+    local = Window.partitionBy("__part").orderBy(F.xxhash64("__h", F.lit(1)), "__h")
+    ranked = hashes.withColumn("__rank", F.row_number().over(local).cast("long"))
+    dealt = ranked.withColumn("__cell", F.size(F.filter(F.get(table, F.col("__part")), lambda end: end < F.col("__rank"))))
     # second permutation: within the cell
-    within = Window.partitionBy("__cell").orderBy(F.xxhash64("__h", F.lit(2)), *key)
-    out = dealt.withColumn("slot", (F.get(offsets, F.col("__cell")) + F.row_number().over(within) - 1).cast("long"))
-    return out.withColumn("shard", F.floor(F.col("__cell") / cells).cast("int")).select(*docs.columns, "shard", "slot")
+    within = Window.partitionBy("__cell").orderBy(F.xxhash64("__h", F.lit(2)), "__h")
+    slot = (F.get(offsets, F.col("__cell")) + F.row_number().over(within) - 1).cast("long").alias("slot")
+    placed = dealt.select("__h", F.floor(F.col("__cell") / cells).cast("int").alias("shard"), slot)
+    places = placed.groupBy("__h").agg(F.sort_array(F.collect_list(F.struct("shard", "slot"))).alias("__places"))
+    # rows of one hash take its places in turn
+    turn = Window.partitionBy("__h").orderBy(key[0])
+    taken = docs.withColumn("__h", row_hash).join(places, "__h").withColumn("__place", F.get("__places", F.row_number().over(turn) - 1))
+    return taken.select(*docs.columns, F.col("__place.shard").alias("shard"), F.col("__place.slot").alias("slot"))
