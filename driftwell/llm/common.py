@@ -11,8 +11,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-#: Largest side that is ever broadcast, in rows; it is counted first.
-BROADCAST_ROWS = 200_000
+#: Edges of components that one task writes.
+EDGES_A_FILE = 250_000
 
 
 def scratch_dir(spark: SparkSession) -> str:
@@ -98,7 +98,9 @@ def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
     The number of rounds grows with the logarithm of the number of nodes. Only counts come to the driver.
     """
     spark = edges.sparkSession
-    now = written(edges.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct(), "edges")
+    files = lambda n: max(1, -(-n // EDGES_A_FILE))  # noqa: E731  few files for few edges; never more tasks than Spark chose
+    now = written(edges.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct().coalesce(files(edges.count())), "edges")
+    n = now.count()
     seen = None
     for _ in range(rounds):
         both = now.select("u", "v").unionByName(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
@@ -108,13 +110,13 @@ def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
         least = large.groupBy("u").agg(F.min("v").alias("m"))
         joined = large.join(least, "u")
         small = joined.where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(least.select("u", F.col("m").alias("v"))).distinct()
-        after = written(small, "edges")
+        after = written(small.coalesce(files(n)), "edges")
         drop_written(spark, now)
         now = after
         check = now.agg(F.count("*").alias("n"), F.coalesce(F.sum(F.pmod(F.xxhash64("u", "v"), F.lit(1 << 31))), F.lit(0)).alias("h")).first()
         if seen == (check["n"], check["h"]):
             break
-        seen = (check["n"], check["h"])
+        seen, n = (check["n"], check["h"]), check["n"]
     else:
         raise RuntimeError("components did not settle")
     return now.select(F.col("u").alias("node"), F.col("v").alias("root")).unionByName(now.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct())
