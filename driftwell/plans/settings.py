@@ -44,7 +44,7 @@ class Settings:
         kinds = {f.name: f.type for f in fields(cls)}
         out: dict[str, object] = {}
         for key, value in given.items():
-            name = KEYS.get(key)
+            name = KEYS.get(key) or KEYS.get(key.partition(".")[2])  # some keys have the target's name before them
             if name is None:
                 continue
             if name in ("topics", "databases"):
@@ -69,7 +69,7 @@ class Settings:
 KEYS = {
     "ignore_delete": "ignore_delete", "deduplication.policy": "deduplication_policy", "buffer.count": "buffer_count",
     "topic2table.map": "topics", "database.override.map": "databases", "store.kafka.metadata": "store_metadata",
-    "store.raw.data": "store_raw", "store.raw.data.column": "raw_column", "replacing.delete.column": "delete_column",
+    "store.raw.data": "store_raw", "store.raw.data.column": "raw_column", "replacingmergetree.delete.column": "delete_column",
     "auto.create.tables": "auto_create", "schema.evolution": "evolve", "snowflake.id": "snowflake", "persist.raw.bytes": "raw_bytes",
     "datetime.timezone": "zone", "disable.ddl": "disable_ddl", "disable.drop.truncate": "disable_drop_truncate",
     "enable.snapshot.ddl": "snapshot_ddl", "ddl.retry": "ddl_retry", "single.threaded": "single_threaded",

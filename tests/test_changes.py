@@ -220,8 +220,8 @@ def test_patterns(spark):
 
 
 def test_settings():
-    s = Settings.of({"ignore_delete": "true", "deduplication.policy": "NEW", "database.override.map": "a:b", "unknown": 1, "skip_replica_start": True, "buffer.max.records": "5"})
-    assert s.ignore_delete and s.deduplication_policy == "new" and s.databases == {"a": "b"} and not s.autostart and s.max_records == 5
+    s = Settings.of({"ignore_delete": "true", "deduplication.policy": "NEW", "database.override.map": "a:b", "unknown": 1, "target.topic2table.map": "a.b.c:t", "skip_replica_start": True, "buffer.max.records": "5"})
+    assert s.ignore_delete and s.deduplication_policy == "new" and s.databases == {"a": "b"} and s.topics == {"a.b.c": "t"} and not s.autostart and s.max_records == 5
     for bad in ({"deduplication.policy": "x"}, {"datetime.timezone": "Mars/One"}, {"topic2table.map": "x"}, {"buffer.flush.time.ms": -1}):
         with pytest.raises(Exception):
             Settings.of(bad)
