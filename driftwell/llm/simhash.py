@@ -194,20 +194,26 @@ def joins(up: dict[int, int], a: int, b: int) -> bool:
     return a != b
 
 
-def links(nodes: DataFrame, block: Block, levels: tuple[int, ...]) -> DataFrame:
+def links(nodes: DataFrame, block: Block, levels: tuple[int, ...], apart: bool = False) -> DataFrame:
     """Links (a, b) between ids of nodes(id, f0, ..): nodes that meet in a cell of the block and differ in levels[-1] bits or fewer.
 
     The links of each level or fewer bits connect what all such pairs would, without being all of them.
+    apart: nodes(id, root, f0, ..) instead, and every such pair of different roots.
     """
     most = levels[-1]
-    words = [c for c in nodes.columns if c != "id"]
+    words = [c for c in nodes.columns if c not in ("id", "root")]
+    carried = ["root"] if apart else []
     tasks = int(nodes.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    cells = nodes.repartition(tasks, "id").select("id", F.explode(visited(block)).alias("cell"))  # nodes are narrow, cells many
-    shared = cells.groupBy("cell").agg(F.count("*").alias("n")).where("n > 1")
+    narrow = nodes.repartition(tasks, "id")  # nodes are narrow, cells many
+    cells = narrow.select("id", F.explode(visited(block)).alias("cell"))
+    if apart:
+        shared = cells.join(nodes.select("id", "root"), "id").groupBy("cell").agg(F.count("*").alias("n"), F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo < hi").select("cell", "n")
+    else:
+        shared = cells.groupBy("cell").agg(F.count("*").alias("n")).where("n > 1")
     chunks = F.ceil(F.col("n") / CHUNK).cast("int")
     met = cells.join(shared, "cell").withColumn("chunks", chunks).withColumn("own", F.pmod(F.xxhash64("id"), F.col("chunks")).cast("int"))
     pairs = met.withColumn("other", F.explode(F.expr("sequence(0, chunks - 1)"))).select("cell", F.least("own", "other").alias("lo"), F.greatest("own", "other").alias("hi"), "id")
-    pairs = pairs.join(nodes, "id").select("cell", "lo", "hi", "id", *words)
+    pairs = pairs.join(nodes, "id").select("cell", "lo", "hi", "id", *carried, *words)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rest, up = None, [{} for _ in levels]
@@ -216,10 +222,33 @@ def links(nodes: DataFrame, block: Block, levels: tuple[int, ...]) -> DataFrame:
             rest = now if rest is None else np.concatenate([rest, now])
             cut = np.flatnonzero((rest[1:, :3] != rest[:-1, :3]).any(1)) + 1
             if len(cut):
-                yield from compare(rest[: cut[-1]], up)
+                yield from every(rest[: cut[-1]]) if apart else compare(rest[: cut[-1]], up)
                 rest = rest[cut[-1] :]
         if rest is not None and len(rest):
-            yield from compare(rest, up)
+            yield from every(rest) if apart else compare(rest, up)
+
+    def every(rows: np.ndarray) -> Iterator[pa.RecordBatch]:
+        """All links between different roots in rows, whole groups; what meets in several cells comes more than once."""
+        edge = np.concatenate([[0], np.flatnonzero((rows[1:, :3] != rows[:-1, :3]).any(1)) + 1, [len(rows)]])
+        size = np.diff(edge)
+        ids, roots, fps, group = rows[:, 3], rows[:, 4], rows[:, 5:].view(np.uint64), np.repeat(np.arange(len(size)), size)
+
+        def sent(a: np.ndarray, b: np.ndarray) -> pa.RecordBatch:
+            near = np.bitwise_count(fps[a] ^ fps[b]).sum(1) <= most
+            x, y = ids[a[near]], ids[b[near]]
+            return pa.RecordBatch.from_arrays([pa.array(np.minimum(x, y)), pa.array(np.maximum(x, y))], names=["a", "b"])
+
+        for step in range(1, min(64, int(size.max(initial=1)))):
+            at = np.flatnonzero((group[step:] == group[:-step]) & (size[group[step:]] <= 64))
+            at = at[roots[at] != roots[at + step]]
+            if len(at):
+                yield sent(at, at + step)
+        for g in np.flatnonzero(size > 64):
+            for lo in range(edge[g], edge[g + 1], 64):
+                a, b = np.nonzero(roots[lo : min(lo + 64, edge[g + 1]), None] != roots[None, edge[g] : edge[g + 1]])
+                before = a + lo < b + edge[g]
+                if before.any():
+                    yield sent(a[before] + lo, b[before] + edge[g])
 
     def compare(rows: np.ndarray, up: list[dict[int, int]]) -> Iterator[pa.RecordBatch]:
         """rows: whole groups, sorted. up: what this task has linked so far by level, so that it sends a forest of each.
@@ -259,11 +288,11 @@ def links(nodes: DataFrame, block: Block, levels: tuple[int, ...]) -> DataFrame:
     return pairs.repartition(tasks, "cell", "lo", "hi").sortWithinPartitions("cell", "lo", "hi").mapInArrow(run, "a long, b long")
 
 
-def grid(nodes: DataFrame, blocks: tuple[Block, ...], levels: tuple[int, ...]) -> DataFrame:
+def grid(nodes: DataFrame, blocks: tuple[Block, ...], levels: tuple[int, ...], apart: bool = False) -> DataFrame:
     """links() of all blocks, one after the other: less is shuffled at a time."""
     found = []
     for block in blocks:
-        found.append(written(links(nodes, block, levels).distinct(), "simhash-links"))
+        found.append(written(links(nodes, block, levels, apart).distinct(), "simhash-links"))
         release(nodes.sparkSession)
     return reduce(DataFrame.unionByName, found)
 
@@ -279,20 +308,40 @@ def classes(nodes: DataFrame, edges: DataFrame) -> DataFrame:
     return nodes.join(components(edges).withColumnRenamed("node", "id"), "id", "left").withColumn("root", F.coalesce("root", "id"))
 
 
-def similar(edges: DataFrame, texts: DataFrame, words: int, share: float) -> DataFrame:
-    """The edges(a, b) whose texts(id, text) have shingle sets of similarity `share` or more, computed exactly."""
+def shingle_sets(texts: DataFrame, words: int) -> DataFrame:
+    """(id, s) of texts(id, text): the sorted hashes of the distinct shingles."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, raw in slices(batches, "text"):
             sets = [np.unique(np.array(shingle_hashes(t, words, 42), dtype=np.uint64)).view(np.int64) for t in raw]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sets, pa.list_(pa.int64()))], names=["id", "s"])
 
-    sets = written(texts.select("id", "text").mapInArrow(run, "id long, s array<long>"), "simhash-sets")
-    both = edges.join(sets.toDF("a", "sa"), "a").join(sets.toDF("b", "sb"), "b")
+    return written(texts.select("id", "text").mapInArrow(run, "id long, s array<long>"), "simhash-sets")
+
+
+def similar(edges: DataFrame, sets: DataFrame, share: float) -> DataFrame:
+    """The edges(a, b) whose sets(id, s) have a similarity of `share` or more, computed exactly; sizes alone rule many out."""
+    sizes = sets.select("id", F.size("s").alias("n"))
+    sized = edges.join(sizes.toDF("a", "na"), "a").join(sizes.toDF("b", "nb"), "b")
+    fit = sized.where(F.least("na", "nb") >= F.lit(share) * F.greatest("na", "nb") - 1e-9).select("a", "b")
+    both = fit.join(sets.toDF("a", "sa"), "a").join(sets.toDF("b", "sb"), "b")
     common = F.size(F.array_intersect("sa", "sb"))
     return both.where(common >= F.lit(share) * (F.size("sa") + F.size("sb") - common) - 1e-9).select("a", "b")
 
 
+def open_nodes(nodes: DataFrame, candidates: DataFrame, edges: DataFrame) -> DataFrame:
+    """nodes(id, root, f0, ..) of the classes that a candidate not similar enough joins to another class.
+
+    candidates connect what all pairs within their bits do, so the ends of a pair that was not sent are
+    either in one class already, or both in such classes.
+    """
+    rooted = written(classes(nodes, edges), "simhash-classes")
+    root = rooted.select("id", "root")
+    failed = candidates.join(root.toDF("a", "ra"), "a").join(root.toDF("b", "rb"), "b").where("ra <> rb")
+    apart = failed.select(F.explode(F.array("ra", "rb")).alias("root")).distinct()
+    return written(rooted.join(apart, "root").select("id", "root", *[c for c in nodes.columns if c != "id"]), "simhash-open")
+
+
 def near_duplicates(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", words: int = 3, seeds: tuple[int, ...] = (42,), blocks: tuple[Block, ...] = WHOLE, most: int = 2) -> DataFrame:
     """One row a document: doc_id, f0, .., component_id (the least doc_id of the documents that links connect).
 
@@ -318,8 +367,8 @@ def deduplicate(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", wor
     Texts are linked if their shingle sets (A-Z lower-cased) have a similarity of `share` or more.
     Candidates are texts whose 192-bit fingerprints meet in a cell of the grid and differ in levels[-1]
     bits or fewer: a similarity of 0.8 is 29 bits on average. A group of many near copies sends a forest
-    of its nearest pairs on each level, not all pairs. Each candidate is checked exactly on its sets;
-    texts of equal fingerprints are one text here. Texts without a word have no shingle to be similar
+    of its nearest pairs on each level, not all pairs; each is checked exactly on its sets. Of classes
+    that a pair which fails lies between, all other candidate pairs are then checked too. Texts of equal fingerprints are one text here. Texts without a word have no shingle to be similar
     in: each of them stays. Of rows equal in every column one stays. Texts are read whole. All columns
     are kept; names f0, f1, .. and __row must be free.
     """
@@ -334,7 +383,11 @@ def deduplicate(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", wor
     first = written(worded.groupBy(*columns).agg(F.min(order).alias("first")).join(nodes, columns).select("id", "first"), "simhash-first")
     asked = candidates.select(F.col("a").alias("id")).unionByName(candidates.select(F.col("b").alias("id"))).distinct()
     texts = marked.join(first.join(asked, "id").select("id", F.col("first.row").alias("__row")), "__row").select("id", F.col(text).alias("text"))
-    edges = written(similar(candidates, texts, words, share), "simhash-edges")
+    sets = shingle_sets(texts, words)
+    edges = written(similar(candidates, sets, share), "simhash-edges")
+    release(docs.sparkSession)
+    rest = grid(open_nodes(nodes, candidates, edges), blocks, levels, apart=True).distinct().join(candidates.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")), ["a", "b"], "left_anti")
+    edges = edges.unionByName(written(similar(written(rest, "simhash-rest"), sets, share), "simhash-edges"))
     release(docs.sparkSession)
     heads = classes(nodes, edges).select("id", "root").join(first, "id").groupBy("root").agg(F.min("first").alias("first")).select(F.col("first.row").alias("__row"))
     kept = heads.unionByName(narrow.where("not worded").select("__row"))

@@ -138,6 +138,27 @@ def test_levels_lose_nothing(spark):
         assert union(len(values), [p for p in found if close(*p)]) == union(len(values), near)
 
 
+@pytest.mark.parametrize("chunk", [2048, 40])
+def test_variants_of_one_text_are_all_linked(spark, monkeypatch, chunk):
+    """Many variants around the limit: every pair of 0.8 or more is linked, however its ends hang together by bits."""
+    monkeypatch.setattr(simhash, "CHUNK", chunk)
+    rng = random.Random(11)
+    texts = []
+    for _ in range(2):
+        base = prose(rng, 150).split()
+        texts += [" ".join(w if rng.random() >= 0.022 else f"new{rng.random()}" for w in base) for _ in range(110)]
+    sets = [frozenset(tuple(w[i : i + 5]) for i in range(len(w) - 4)) for w in map(str.split, texts)]
+    near = [(a, b) for a in range(220) for b in range(a) if len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b])]
+    words = [simhash.shingle_hashes(t.encode(), 5, seed) for t in texts for seed in (42, 43, 44)]
+    prints = simhash.majority(np.array([h for x in words for h in x], dtype=np.uint64), np.array([len(x) for x in words])).reshape(-1, 3)
+    meet = lambda a, b: any((set(x[a]) & set(x[b])) for x in cells)
+    blocks = simhash.deduplicate.__defaults__[5]
+    cells = [simhash.visited_cells(block, prints).tolist() for block in blocks]
+    sent = [(a, b) for a, b in near if np.bitwise_count(prints[a] ^ prints[b]).sum() <= simhash.deduplicate.__defaults__[6][-1] and meet(a, b)]
+    left = {r.doc_id for r in simhash.deduplicate(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()}
+    assert left == set(union(220, sent))
+
+
 def test_deduplicate_keeps_one_of_each_group(spark):
     rng = random.Random(9)
     texts = [prose(rng, 200) for _ in range(12)]
