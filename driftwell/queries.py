@@ -145,6 +145,12 @@ def timestamp_ms(spark, d):
     return table(spark, d, "events").where("event_id % 9 = 4 OR event_id % 9 IN (0, 8)").select("event_id", temporal.milli_timestamp(millis).alias("t"))
 
 
+@query(f"SELECT event_id, CASE WHEN v > 10413791999999 THEN '2299-12-31 23:59:59.999' WHEN v < -2208988800000 THEN '1900-01-01 00:00:00.000' ELSE substr(strftime(make_timestamp(v * 1000), '%Y-%m-%d %H:%M:%S.%f'), 1, 23) END AS t FROM (SELECT event_id, (w - (w % 1000 + 1000) % 1000) // 1000 AS v FROM (SELECT event_id, {WIDE} AS w FROM events))")
+def timestamp_ms_all_rows(spark, d):
+    millis = F.expr("(v - pmod(v, 1000)) div 1000")
+    return table(spark, d, "events").select("event_id", spread_micros().alias("v")).select("event_id", temporal.milli_timestamp(millis).alias("t"))
+
+
 @query(f"SELECT event_id, {TEXT.format('greatest(least(v, 4294967295000000), 0) // 1000000 * 1000000')} AS t FROM (SELECT event_id, {WIDE} AS v FROM events)")
 def datetime32_clamp(spark, d):
     return table(spark, d, "events").select("event_id", temporal.micro_timestamp(spread_micros(), wide=False).alias("t"))

@@ -45,3 +45,9 @@ def test_entry_module(spark):
 
     assert set(QUERIES) <= set(e.queries()) and set(e.oracle_sql()) <= set(e.queries())
     assert e.entry(spark).columns == ["user_id", "event_type"]
+
+
+def test_times_in_milliseconds_of_all_rows(spark):
+    events = spark.read.parquet(f"{DATA}/events.parquet")
+    got = QUERIES["timestamp_ms_all_rows"](spark, DATA)
+    assert got.join(events, "event_id").count() == got.count() == events.count()
