@@ -42,6 +42,32 @@ WHOLE = (Block(0, 0, 64, 4),)
 SIX = tuple(Block(word, shift, 30, 1) for word in range(3) for shift in (0, 32))
 
 
+@dataclass(frozen=True)
+class Bands:
+    """Bands first .. first + count - 1: each is `bits` drawn bits of the whole fingerprint, and a cell is a band with its bits' values.
+
+    Fingerprints meet if they agree in one band. Shuffles of all bits are cut into bands one after the
+    other, so the bands of a shuffle share no bit.
+    """
+
+    first: int
+    count: int
+    bits: int = 20
+
+    def weights(self, words: int) -> np.ndarray:
+        """Words x 64 rows, a column for each band: bits times this are the bands' values (exact up to 24 bits)."""
+        out, each = np.zeros((words * 64, self.count), dtype=np.float32), words * 64 // self.bits
+        for k in range(self.count):
+            turn, part = divmod(self.first + k, each)
+            at = np.argsort(np.random.RandomState(turn).random_sample(words * 64), kind="stable")[part * self.bits : (part + 1) * self.bits]
+            out[at, k] = 2.0 ** np.arange(self.bits)
+        return out
+
+
+#: 252 bands in seven passes: of pairs at similarity 0.8 (29 of 192 bits differ on average) about 98 in 100 agree in one.
+BANDS = tuple(Bands(first, 36) for first in range(0, 252, 36))
+
+
 def shingle_hashes(text: bytes | None, words: int, seed: int) -> list[int]:
     """XXH64 of the word shingles, repeats included; A-Z are lower-cased. Fewer words: one shingle of all; none: empty."""
     w = (text or b"").lower().split()
@@ -109,9 +135,12 @@ def visited(block: Block) -> Column:
     return F.array_compact(F.array(*steps))
 
 
-def visited_cells(block: Block, words: np.ndarray) -> np.ndarray:
-    """The same for rows of words (uint64) in numpy: rows x steps, -1 for steps that leave the grid."""
+def visited_cells(block: Block | Bands, words: np.ndarray) -> np.ndarray:
+    """The same for rows of words (uint64) in numpy: rows x steps, -1 for steps that leave the grid. Of bands: rows x bands."""
     u = np.uint64
+    if isinstance(block, Bands):
+        bits = np.unpackbits(np.ascontiguousarray(words).view(np.uint8), axis=1, bitorder="little").astype(np.float32)
+        return (bits @ block.weights(words.shape[1])).astype(np.int64) + (np.arange(block.first, block.first + block.count) << 32)
     word = words[:, block.word] >> u(block.shift)
     if block.segment == 1:
         value = (word & u((1 << block.bits) - 1)).astype(np.int64)
@@ -123,18 +152,36 @@ def visited_cells(block: Block, words: np.ndarray) -> np.ndarray:
     return np.concatenate([packed, np.where(count < 4, packed + step, -1), np.where(count > 0, packed - step, -1)], axis=1)
 
 
-def first_meeting(block: Block, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+def cells_of(nodes: DataFrame, block: Block | Bands) -> DataFrame:
+    """(id, cell) of the cells that each of nodes(id, f0, ..) visits."""
+    if isinstance(block, Block):
+        return nodes.select("id", F.explode(visited(block)).alias("cell"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for lo in range(0, batch.num_rows, 2048):
+                ids, *words = [x.to_numpy(zero_copy_only=False).astype(np.int64) for x in batch.slice(lo, 2048).columns]
+                cell = visited_cells(block, np.stack(words, axis=1).view(np.uint64))
+                yield pa.RecordBatch.from_arrays([pa.array(np.repeat(ids, cell.shape[1])), pa.array(cell.ravel())], names=["id", "cell"])
+
+    return nodes.mapInArrow(run, "id long, cell long")
+
+
+def first_meeting(block: Block | Bands, a: np.ndarray, b: np.ndarray) -> np.ndarray:
     """The least cell that both visit, for pairs of rows of words."""
     out = np.empty(len(a), dtype=np.int64)
     for lo in range(0, len(a), 4096):
         x, y = visited_cells(block, a[lo : lo + 4096]), visited_cells(block, b[lo : lo + 4096])
-        both = ((x[:, :, None] == y[:, None, :]) & (x >= 0)[:, :, None]).any(2)
+        both = x == y if isinstance(block, Bands) else ((x[:, :, None] == y[:, None, :]) & (x >= 0)[:, :, None]).any(2)
         out[lo : lo + 4096] = np.where(both, x, np.iinfo(np.int64).max).min(1)
     return out
 
 
-def meeting_here(block: Block, words: np.ndarray, cell: int) -> np.ndarray:
+def meeting_here(block: Block | Bands, words: np.ndarray, cell: int) -> np.ndarray:
     """The rows that share no lesser cell with one of the rows: most members of a large cell met before."""
+    if isinstance(block, Bands):  # all rows or, if all met in an earlier band, none
+        before = visited_cells(block, words)[:, : (cell >> 32) - block.first]
+        return np.arange(0 if (before == before[0]).all(0).any() else len(words))
     _, first, kind = np.unique(visited_cells(block, words)[:, 0], return_index=True, return_inverse=True)
     i, j = (x.ravel() for x in np.meshgrid(np.arange(len(first)), np.arange(len(first))))
     here = first_meeting(block, words[first[i]], words[first[j]]) == cell
@@ -194,7 +241,7 @@ def joins(up: dict[int, int], a: int, b: int) -> bool:
     return a != b
 
 
-def links(nodes: DataFrame, block: Block, levels: tuple[int, ...], apart: bool = False) -> DataFrame:
+def links(nodes: DataFrame, block: Block | Bands, levels: tuple[int, ...], apart: bool = False) -> DataFrame:
     """Links (a, b) between ids of nodes(id, f0, ..): nodes that meet in a cell of the block and differ in levels[-1] bits or fewer.
 
     The links of each level or fewer bits connect what all such pairs would, without being all of them.
@@ -204,8 +251,9 @@ def links(nodes: DataFrame, block: Block, levels: tuple[int, ...], apart: bool =
     words = [c for c in nodes.columns if c not in ("id", "root")]
     carried = ["root"] if apart else []
     tasks = int(nodes.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    small = 64 if isinstance(block, Bands) else 8  # bands are cheap to compare
     narrow = nodes.repartition(tasks, "id")  # nodes are narrow, cells many
-    cells = narrow.select("id", F.explode(visited(block)).alias("cell"))
+    cells = cells_of(narrow.select("id", *words), block)
     if apart:
         shared = cells.join(nodes.select("id", "root"), "id").groupBy("cell").agg(F.count("*").alias("n"), F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo < hi").select("cell", "n")
     else:
@@ -260,12 +308,12 @@ def links(nodes: DataFrame, block: Block, levels: tuple[int, ...], apart: bool =
         size = np.diff(edge)
         ids, fps, group = rows[:, 3], rows[:, 4:].view(np.uint64), np.repeat(np.arange(len(size)), size)
         a, b = [np.zeros(0, dtype=np.int64)], [np.zeros(0, dtype=np.int64)]
-        for step in range(1, min(8, int(size.max(initial=1)))):  # groups of up to 8: row by row, all groups at once
-            at = np.flatnonzero((group[step:] == group[:-step]) & (size[group[step:]] <= 8))
+        for step in range(1, min(small, int(size.max(initial=1)))):  # small groups: row by row, all groups at once
+            at = np.flatnonzero((group[step:] == group[:-step]) & (size[group[step:]] <= small))
             at = at[np.bitwise_count(fps[at] ^ fps[at + step]).sum(1) <= most]
             a.append(at)
             b.append(at + step)
-        for g in np.flatnonzero(size > 8):
+        for g in np.flatnonzero(size > small):
             at = edge[g] + meeting_here(block, fps[edge[g] : edge[g + 1]], rows[edge[g], 0])
             if len(at) > 1:
                 found = np.array((forest if len(levels) == 1 else spanning_tree)(fps[at], most), dtype=np.int64).reshape(-1, 2)
@@ -288,7 +336,7 @@ def links(nodes: DataFrame, block: Block, levels: tuple[int, ...], apart: bool =
     return pairs.repartition(tasks, "cell", "lo", "hi").sortWithinPartitions("cell", "lo", "hi").mapInArrow(run, "a long, b long")
 
 
-def grid(nodes: DataFrame, blocks: tuple[Block, ...], levels: tuple[int, ...], apart: bool = False) -> DataFrame:
+def grid(nodes: DataFrame, blocks: tuple[Block | Bands, ...], levels: tuple[int, ...], apart: bool = False) -> DataFrame:
     """links() of all blocks, one after the other: less is shuffled at a time."""
     found = []
     for block in blocks:
@@ -361,12 +409,12 @@ def near_duplicates(docs: DataFrame, text: str = "text", doc_id: str = "doc_id",
     return found.join(by_print, columns).select(doc_id, *columns, "component_id")
 
 
-def deduplicate(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", words: int = 5, share: float = 0.8, seeds: tuple[int, ...] = (42, 43, 44), blocks: tuple[Block, ...] = SIX, levels: tuple[int, ...] = (8, 16, 22, 26, 30, 34, 40)) -> DataFrame:
+def deduplicate(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", words: int = 5, share: float = 0.8, seeds: tuple[int, ...] = (42, 43, 44), blocks: tuple[Block | Bands, ...] = BANDS, levels: tuple[int, ...] = (8, 16, 22, 26, 30, 34, 40, 48)) -> DataFrame:
     """docs with one row of each near-duplicate group: the one of least doc_id, nulls last.
 
     Texts are linked if their shingle sets (A-Z lower-cased) have a similarity of `share` or more.
-    Candidates are texts whose 192-bit fingerprints meet in a cell of the grid and differ in levels[-1]
-    bits or fewer: a similarity of 0.8 is 29 bits on average. A group of many near copies sends a forest
+    Candidates are texts whose 192-bit fingerprints agree in a band and differ in levels[-1] bits or
+    fewer: a similarity of 0.8 is 29 bits on average. A group of many near copies sends a forest
     of its nearest pairs on each level, not all pairs; each is checked exactly on its sets. Of classes
     that a pair which fails lies between, all other candidate pairs are then checked too. Texts of equal fingerprints are one text here. Texts without a word have no shingle to be similar
     in: each of them stays. Of rows equal in every column one stays. Texts are read whole. All columns

@@ -138,6 +138,25 @@ def test_levels_lose_nothing(spark):
         assert union(len(values), [p for p in found if close(*p)]) == union(len(values), near)
 
 
+def test_isolated_pairs_at_the_limit_are_found(spark):
+    """Pairs of similarity 0.80 to 0.82 that nothing else links: nearly all lose one text."""
+    rng = random.Random(31)
+    texts, pairs = [], 0
+    while pairs < 200:
+        base = [f"w{rng.getrandbits(40):x}" for _ in range(124)]
+        other = list(base)
+        for i in (10, 60):
+            other[i] = "new" + other[i]
+        for i in range(rng.choice([1, 2, 3])):
+            other[-1 - i] = "new" + other[-1 - i]
+        a, b = ({tuple(w[i : i + 5]) for i in range(120)} for w in (base, other))
+        assert 0.79 <= len(a & b) / len(a | b) <= 0.85
+        pairs += len(a & b) / len(a | b) >= 0.8
+        texts += [" ".join(base), " ".join(other)] if len(a & b) / len(a | b) >= 0.8 else []
+    left = simhash.deduplicate(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).count()
+    assert left <= 200 + 10
+
+
 @pytest.mark.parametrize("chunk", [2048, 40])
 def test_variants_of_one_text_are_all_linked(spark, monkeypatch, chunk):
     """Many variants around the limit: every pair of 0.8 or more is linked, however its ends hang together by bits."""
