@@ -11,14 +11,19 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-#: Edges of components that one task writes.
-EDGES_A_FILE = 250_000
+#: Narrow rows that one file of a scratch table holds at least, and files that a table of known size has at least.
+ROWS_A_FILE, LEAST_FILES = 100_000, 6
 
 
 def scratch_dir(spark: SparkSession) -> str:
-    """The shared folder for scratch tables: spark.checkpoint.dir, or one below /tmp where that is unset."""
+    """The shared folder for scratch tables: spark.checkpoint.dir, or one below /tmp where that is unset.
+
+    Only a local master may leave it unset: the nodes of a cluster don't share /tmp.
+    """
     found = spark.sparkContext.getConf().get("spark.checkpoint.dir", None) or spark.conf.get("spark.checkpoint.dir", None)
     if not found:
+        if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that all nodes share")
         found = f"/tmp/checkpoints/{os.getpid()}"
         spark.sparkContext.setCheckpointDir(found)
         spark.conf.set("spark.checkpoint.dir", found)
@@ -29,12 +34,22 @@ def scratch_dir(spark: SparkSession) -> str:
 _tables: list[str] = []
 
 
-def written(df: DataFrame, tag: str) -> DataFrame:
+def few(df: DataFrame, rows: int, each: int = ROWS_A_FILE) -> DataFrame:
+    """df in no more partitions than so many rows are worth, `each` or more in one; never in more than Spark chose.
+
+    `rows` is what df has about or at most. Small tables are thus no crowd of small files.
+    """
+    return df.coalesce(max(LEAST_FILES, -(-rows // each)))
+
+
+def written(df: DataFrame, tag: str, rows: int | None = None, each: int = ROWS_A_FILE) -> DataFrame:
     """df as a Parquet table in the shared scratch folder: cuts the lineage and survives lost executors.
 
-    The table stays until drop_written() or drop_scratch(): what an operator returns may read it.
+    rows: about how many it has, if known; it is then written as few(). The table stays until
+    drop_written() or drop_scratch(): what an operator returns may read it.
     """
     spark = df.sparkSession
+    df = df if rows is None else few(df, rows, each)
     path = f"{scratch_dir(spark)}/{tag}-{uuid.uuid4().hex}"
     _tables.append(path)
     df.write.parquet(path)
@@ -98,8 +113,7 @@ def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
     The number of rounds grows with the logarithm of the number of nodes. Only counts come to the driver.
     """
     spark = edges.sparkSession
-    files = lambda n: max(1, -(-n // EDGES_A_FILE))  # noqa: E731  few files for few edges; never more tasks than Spark chose
-    now = written(edges.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct().coalesce(files(edges.count())), "edges")
+    now = written(edges.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct(), "edges", rows=edges.count())
     n = now.count()
     seen = None
     for _ in range(rounds):
@@ -110,7 +124,7 @@ def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
         least = large.groupBy("u").agg(F.min("v").alias("m"))
         joined = large.join(least, "u")
         small = joined.where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(least.select("u", F.col("m").alias("v"))).distinct()
-        after = written(small.coalesce(files(n)), "edges")
+        after = written(small, "edges", rows=n)
         drop_written(spark, now)
         now = after
         check = now.agg(F.count("*").alias("n"), F.coalesce(F.sum(F.pmod(F.xxhash64("u", "v"), F.lit(1 << 31))), F.lit(0)).alias("h")).first()

@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import slices
-from .words import BASE_A, U, Words, mix, window_hashes
+from .words import U, Words, mix, split, window_hashes
 
 SHINGLE = 5
 SHARE = 0.8
@@ -25,34 +25,30 @@ SHARE = 0.8
 BLOCK_WORDS = 1_000_000
 FILTER_BITS = 20
 
-#: Words are runs of a-z, 0-9 and bytes above 0x7F, after A-Z are lower-cased.
-SEPARATOR = np.ones(256, dtype=bool)
-SEPARATOR[0x80:] = False
-SEPARATOR[[*b"abcdefghijklmnopqrstuvwxyz0123456789"]] = False
+#: Words are runs of a-z, 0-9 and bytes above 0x7F, after A-Z are lower-cased; all else counts as a space.
+LETTERS = bytes(c if c > 0x7F or chr(c).isalnum() else 0x20 for c in bytes(range(256)).lower())
 
 
 def shingles(words: Words, width: int) -> tuple[np.ndarray, np.ndarray]:
     """(text, hash) of all shingles; a text of 1 to width - 1 words has one shingle, of all of them."""
-    h = words.hashes()
+    h = words.a
     size = np.diff(words.first)
     owner = words.text_of_word()
     at = np.arange(len(h)) - words.first[:-1][owner]
-    full = window_hashes(h, width, BASE_A)
+    full = window_hashes(h, width)
     fits = np.flatnonzero((at + width <= size[owner])[: len(full)])
     texts, hashes = [owner[fits]], [full[fits]]
     for n in range(1, width):
         short = np.flatnonzero(size == n)
         if len(short):
             texts.append(short)
-            hashes.append(mix(window_hashes(h, n, BASE_A)[words.first[:-1][short]], n))
+            hashes.append(mix(window_hashes(h, n)[words.first[:-1][short]], n))
     return np.concatenate(texts), np.concatenate(hashes)
 
 
 def word_tuples(text: bytes, width: int) -> set[tuple[bytes, ...]]:
     """The shingles themselves."""
-    w = Words([text], SEPARATOR, lower=True)
-    body = w.data.tobytes()
-    words = [body[a:b] for a, b in zip(w.start.tolist(), w.end.tolist())]
+    words = split(text, LETTERS)
     return {tuple(words[i : i + width]) for i in range(max(1, len(words) - width + 1))} if words else set()
 
 
@@ -62,7 +58,7 @@ class Items:
     def __init__(self, ids: list, texts: list[bytes], width: int, share: float):
         self.ids, self.width, self.share = ids, width, share
         self.tuples = [word_tuples(t, width) for t in texts]
-        owner, hashes = shingles(Words(texts, SEPARATOR, lower=True), width)
+        owner, hashes = shingles(Words(texts, LETTERS), width)
         self.sets = [np.unique(hashes[owner == i]) for i in range(len(texts))] if len(texts) < 64 else self.grouped(owner, hashes, len(texts))
         sketch, whose = [], []
         for i, own in enumerate(self.sets):
@@ -86,7 +82,7 @@ class Items:
     def search(self, texts: list[bytes | None]) -> list[list[tuple[object, float]]]:
         """(id, containment) of the items that each text holds."""
         out: list[list] = [[] for _ in texts]
-        owner, hashes = shingles(Words(texts, SEPARATOR, lower=True), self.width)
+        owner, hashes = shingles(Words(texts, LETTERS), self.width)
         maybe = np.flatnonzero(self.filter[(hashes >> U(64 - FILTER_BITS)).astype(np.int64)])
         lo, hi = np.searchsorted(self.sketch, hashes[maybe], "left"), np.searchsorted(self.sketch, hashes[maybe], "right")
         pairs = {(int(owner[m]), int(i)) for m, a, b in zip(maybe, lo, hi) if a < b for i in self.whose[a:b]}
