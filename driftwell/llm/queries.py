@@ -56,7 +56,7 @@ def op5_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return suffix_dedup(table(spark, sf_dir, "documents")).drop("kept")
+    return suffix_dedup(table(spark, sf_dir, "documents"), texts=False)
 
 
 def op7_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -71,7 +71,7 @@ def op8_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_difference_cover_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return substring_dedup(table(spark, sf_dir, "documents")).drop("kept_text")
+    return substring_dedup(table(spark, sf_dir, "documents"), texts=False)
 
 
 def op9_temperature_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -1,11 +1,12 @@
 """Operator 6, suffix-array dedup: a run-length index of repeated byte strings.
 
-Texts are cut into pieces at changes of the least k-gram hash of each `length`-byte window (equal windows
-have equal minimizers, so all places of a window fall under one minimizer). Minimizers seen once hold
-nothing repeated and drop out. The distinct pieces of a bucket of minimizers are indexed: a suffix array
-gives the Burrows-Wheeler transform, of which only the runs and samples at both ends of each run stay.
-Matching statistics then stream over the pieces: the longest match of a position elsewhere is that of
-the position before less one, except at sampled run ends, where it is stored.
+Each `length`-byte window has a least k-gram, its minimizer. Windows with the same minimizer at nearby
+places have most of their bytes in common: runs of them are pieces, filed under a hash of the bytes
+that all windows of such places hold. Equal windows are filed alike, so a hash seen once holds nothing
+repeated and drops out. The distinct pieces of a bucket of hashes are indexed: a suffix array gives the
+Burrows-Wheeler transform, of which only the runs and samples at both ends of each run stay. Matching
+statistics then stream over the pieces: the longest match of a position elsewhere is that of the
+position before less one, except at sampled run ends, where it is stored.
 """
 
 from __future__ import annotations
@@ -16,18 +17,23 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import drop_written, release, slices, written
-from .words import BASE_A, BASE_B, BYTE_BASE, U, inverse, kept_powers, mix, window_hashes
+from .words import U, gram_hashes
 
 LENGTH = 400
 GRAM = 32
 #: Bytes of distinct pieces that are indexed together, about.
 BUCKET_BYTES = 1 << 20
-#: Distinct pieces under one minimizer above which their windows are counted by hash, spread over all tasks.
-HOT_PIECES = 1500
+#: Distinct pieces under one hash above which they are cut finer before they are indexed, so that no index grows large.
+GROUP_PIECES = 1500
+#: Bytes of a text that are cut into pieces at once, and bits of the place of a gram in them.
+CHUNK_BYTES, PLACE_BITS = 1 << 22, 24
+#: Pieces whose bodies one file of a scratch table holds at least.
+BODIES_A_FILE = 10_000
 
 
 def sliding_least(values: np.ndarray, width: int) -> np.ndarray:
@@ -43,34 +49,65 @@ def sliding_least(values: np.ndarray, width: int) -> np.ndarray:
     return np.minimum(tail[: n - width + 1], head[width - 1 : n])
 
 
-def span_hash(data: np.ndarray, lo: np.ndarray, hi: np.ndarray, base: int) -> np.ndarray:
-    """Hash of data[lo:hi] for each pair."""
-    n = len(data)
-    with np.errstate(over="ignore"):
-        total = np.zeros(n + 1, dtype=U)
-        np.cumsum(mix(data.astype(U) + U(1), base) * kept_powers(base, n)[:n], out=total[1:])
-        return mix((total[hi] - total[lo]) * kept_powers(inverse(base), n)[lo] + (hi - lo).astype(U))
+def class_widths(length: int, gram: int) -> list[int]:
+    """How many places of the minimizer in the window are one class, from coarse to fine: half of all, then a quarter of that, .. 1."""
+    out = [-(-(length - gram + 1) // 2)]
+    while out[-1] > 1:
+        out.append(-(-out[-1] // 4))
+    return out
 
 
-def pieces_of(texts: list[bytes | None], length: int, gram: int) -> tuple[np.ndarray, ...]:
-    """Pieces of the texts: minimizer, two content hashes, text number, first window, windows, whether the minimizer's place changes inside."""
-    own = [i for i, t in enumerate(texts) if t and len(t) >= length]
-    data = np.frombuffer(b"".join(texts[i] for i in own), dtype=np.uint8)
-    size = np.array([len(texts[i]) for i in own], dtype=np.int64)
+def chunks(texts: list[bytes | None], length: int) -> Iterator[list[tuple[int, int, bytes]]]:
+    """Lists of (text number, offset, bytes) of the texts with a window, long ones in parts that overlap: each window is in one part."""
+    out, size = [], 0
+    for i, t in enumerate(texts):
+        if t and len(t) >= length:
+            for lo in range(0, len(t) - length + 1, CHUNK_BYTES):
+                out.append((i, lo, t[lo : lo + CHUNK_BYTES + length - 1]))
+                size += len(out[-1][2])
+                if size >= CHUNK_BYTES:
+                    yield out
+                    out, size = [], 0
+    if out:
+        yield out
+
+
+def pieces_of(texts: list[bytes | None], length: int, gram: int, width: int) -> Iterator[tuple[list[np.ndarray], list[bytes]]]:
+    """Pieces of the texts: hash they are filed under, two halves of a content hash, text number, first window, windows; and their bytes.
+
+    A piece is a run of windows that have the same minimizer (the first place of the least gram hash) in
+    places of the same class, `width` places each. It is filed under the bytes that all windows of the
+    class hold, wherever the piece begins. What a window is filed under follows from its bytes alone.
+    """
+    for parts in chunks(texts, length):
+        yield _pieces(parts, length, gram, width)
+
+
+def _pieces(parts: list[tuple[int, int, bytes]], length: int, gram: int, width: int) -> tuple[list[np.ndarray], list[bytes]]:
+    data = b"".join(x for *_, x in parts)
+    raw = np.frombuffer(data, dtype=np.uint8)
+    size = np.array([len(x) for *_, x in parts], dtype=np.int64)
     end = np.cumsum(size)
-    hashes = window_hashes(data.astype(U) + U(1), gram, BYTE_BASE)
-    least = sliding_least(hashes, length - gram + 1)
-    text = np.repeat(np.arange(len(own)), size)[: len(least)]
-    fits = np.arange(len(least)) + length <= end[text] if len(own) else np.zeros(0, dtype=bool)
-    first = np.ones(len(least), dtype=bool)
-    first[1:] = (least[1:] != least[:-1]) | (text[1:] != text[:-1])
+    place = np.arange(len(raw) - gram + 1, dtype=np.int64)
+    order = ((gram_hashes(raw, gram) >> U(PLACE_BITS + 1)) << U(PLACE_BITS)).view(np.int64) | place  # of equal hashes the first place
+    span = length - gram + 1
+    at = sliding_least(order, span) & ((1 << PLACE_BITS) - 1)
+    window = place[: len(at)]
+    part = np.repeat(np.arange(len(parts)), size)[: len(at)]
+    fits = window + length <= end[part]
+    kind = (at - window) // width
+    first = np.ones(len(at), dtype=bool)
+    first[1:] = (at[1:] != at[:-1]) | (kind[1:] != kind[:-1]) | (part[1:] != part[:-1])
     start = np.flatnonzero(first & fits)
-    stop = np.flatnonzero(np.append(first[1:] | ~fits[1:], True) & fits) + 1 if len(fits) else start
-    moves = (hashes[: len(least)] == least) & ~np.append(first[1:] | ~fits[1:], True) if len(fits) else fits
-    total = np.concatenate([[0], np.cumsum(moves)])
-    several = total[stop] > total[start]
-    c1, c2 = (span_hash(data, start, stop + length - 1, b) for b in (BASE_A, BASE_B))
-    return least[start], c1, c2, np.array(own, dtype=np.int64)[text[start]], start - (end - size)[text[start]], stop - start, several
+    stop = np.flatnonzero(np.append(first[1:] | ~fits[1:], True) & fits) + 1
+    near = kind[start] * width  # places near .. far - 1 are the class
+    far = np.minimum(near + width, span)
+    lo, hi = at[start] - near, at[start] - far + 1 + length
+    digest, bodies = xxhash.xxh3_64_intdigest, [data[a:b] for a, b in zip(start.tolist(), (stop + length - 1).tolist())]
+    filed = np.fromiter((digest(data[a:b], k) for a, b, k in zip(lo.tolist(), hi.tolist(), near.tolist())), dtype=U, count=len(start))
+    content = np.frombuffer(b"".join(hashlib.sha256(x).digest()[:16] for x in bodies), dtype=np.int64).reshape(-1, 2)
+    owner, offset = (np.array([x[i] for x in parts], dtype=np.int64)[part[start]] for i in (0, 1))
+    return [filed.view(np.int64), np.ascontiguousarray(content[:, 0]), np.ascontiguousarray(content[:, 1]), owner, start - (end - size)[part[start]] + offset, stop - start], bodies
 
 
 class RunLengthIndex:
@@ -157,14 +194,20 @@ class RunLengthIndex:
             out[open_] += 1
         return out
 
-    def matching_statistics(self) -> np.ndarray:
-        """For each position of the strings (separators included) the longest match that starts elsewhere."""
+    def matching_statistics(self, counts: np.ndarray | None = None) -> np.ndarray:
+        """For each position of the strings (separators included) the longest match that starts elsewhere.
+
+        counts: how many equal strings each stands for; of several, each matches another to its end.
+        """
         position = np.arange(self.n)
         out = np.zeros(self.n, dtype=np.int64)
         for at, match in ((self.head_at, self.head_match), (self.tail_at, self.tail_match)):
             reach = np.zeros(self.n, dtype=np.int64)
             reach[at] = at + match
             np.maximum(out, np.maximum.accumulate(reach) - position, out=out)
+        if counts is not None:
+            copied = np.repeat(counts > 1, self.ends - self.starts + 1)
+            out[copied] = (np.repeat(self.ends, self.ends - self.starts + 1) - position)[copied]
         return out
 
 
@@ -174,49 +217,60 @@ def runs(flags: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return edge[0::2], edge[1::2] - 1
 
 
-def indexed(bodies: DataFrame, length: int) -> DataFrame:
-    """(pid, lo, hi): runs of repeated windows of bodies(bucket, pid, n, body); n: how often the piece occurs."""
+def indexed(bodies: DataFrame, length: int, bucket_bytes: int) -> DataFrame:
+    """(pid, lo, hi): runs of repeated windows of bodies(m, pid, n, body); n: how often the piece occurs. Equal m are indexed together."""
+    total = bodies.agg(F.coalesce(F.sum(F.octet_length("body")), F.lit(0)).alias("b")).first()["b"]
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        bodies, counts, pids = list(pdf["body"]), pdf["n"].to_numpy(), pdf["pid"].to_numpy()
-        index = RunLengthIndex(bodies)
-        match = index.matching_statistics()
-        pid, lo, hi = [], [], []
-        for i, body in enumerate(bodies):
-            at = index.starts[i]
-            flags = match[at : at + len(body) - length + 1] >= length
-            a, b = (np.array([0]), np.array([len(body) - length])) if counts[i] > 1 else runs(flags)
-            pid.append(np.full(len(a), pids[i]))
-            lo.append(a)
-            hi.append(b)
-        return pd.DataFrame({"pid": np.concatenate(pid), "lo": np.concatenate(lo).astype(np.int64), "hi": np.concatenate(hi).astype(np.int64)})
+        pdf = pdf.drop_duplicates("pid")
+        strings, pids = list(pdf["body"]), pdf["pid"].to_numpy()
+        index = RunLengthIndex(strings)
+        repeated = index.matching_statistics(pdf["n"].to_numpy()) >= length
+        lo, hi = runs(repeated)  # a match ends with its string, so a run does
+        at = np.searchsorted(index.ends, lo)
+        return pd.DataFrame({"pid": pids[at], "lo": lo - index.starts[at], "hi": hi - index.starts[at]})
 
-    return bodies.select("bucket", "pid", "n", "body").groupBy("bucket").applyInPandas(run, "pid long, lo long, hi long")
+    bucket = F.pmod(F.xxhash64("m"), F.lit(max(1, -(-total // bucket_bytes))))
+    return bodies.select(bucket.alias("bucket"), "pid", "n", "body").groupBy("bucket").applyInPandas(run, "pid long, lo long, hi long")
 
 
-def counted(bodies: DataFrame, length: int) -> DataFrame:
-    """The same for the pieces of hot minimizers: every window by a 128-bit hash, counted over all tasks."""
+def repeats(bodies: DataFrame, length: int, gram: int, bucket_bytes: int, group_pieces: int, widths: list[int]) -> DataFrame:
+    """indexed(), but the pieces of a hash with more than group_pieces of them are first cut by the next, finer classes.
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for pid, n, body in zip(*[batch.column(i).to_pylist() for i in range(3)]):
-                data = np.frombuffer(body, dtype=np.uint8).astype(U) + U(1)
-                w1, w2 = (window_hashes(mix(data, b), length, b) for b in (BASE_A, BASE_B))
-                k = len(w1)
-                yield pa.RecordBatch.from_arrays([pa.array(w1.view(np.int64)), pa.array(w2.view(np.int64)), pa.array(np.full(k, pid)), pa.array(np.full(k, n)), pa.array(np.arange(k))], names=["w1", "w2", "pid", "n", "lo"])
+    Filed under more bytes in common, the parts of a passage that very many texts share come together
+    as equal pieces, and the rest comes apart. In classes of one place a piece is one window.
+    """
+    spark = bodies.sparkSession
+    large = bodies.groupBy("m").agg(F.count("*").alias("k")).where(F.col("k") > group_pieces)
+    if not widths or (large := written(large, "suffix-large", rows=1)).count() == 0:
+        return indexed(bodies, length, bucket_bytes)
+    width, large, most = widths[0], large.select("m"), 4 * large.agg(F.sum("k").alias("k")).first()["k"]
 
-    each = bodies.select("pid", "n", "body").mapInArrow(run, "w1 long, w2 long, pid long, n long, lo long")
-    twice = each.groupBy("w1", "w2").agg(F.sum("n").alias("all")).where("all > 1")
-    return each.join(twice, ["w1", "w2"]).select("pid", "lo", F.col("lo").alias("hi"))
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch, texts in slices(batches, "body"):
+            for (m, c1, c2, owner, start, _), parts in pieces_of(texts, length, gram, width):
+                of = pa.array(owner)
+                yield pa.RecordBatch.from_arrays([pa.array(m), pa.array(c1), pa.array(c2), batch.column(0).take(of), batch.column(1).take(of), pa.array(start), pa.array(parts, pa.binary())], names=["m", "c1", "c2", "pid", "n", "start", "body"])
+
+    within = bodies.join(large, "m", "left_semi").dropDuplicates(["pid"])
+    finer = written(within.select("pid", "n", "body").mapInArrow(cut, "m long, c1 long, c2 long, pid long, n long, start long, body binary"), "suffix-finer", rows=most, each=BODIES_A_FILE)
+    often = written(finer.groupBy("m").agg(F.sum("n").alias("n")).where("n > 1").select("m"), "suffix-often", rows=most)
+    equal = finer.join(often, "m").groupBy("m", "c1", "c2").agg(F.sum("n").alias("n"), F.first("body").alias("body"))
+    equal = written(equal.withColumn("pid", F.monotonically_increasing_id()), "suffix-equal", rows=most, each=BODIES_A_FILE)
+    release(spark)
+    found = repeats(equal, length, gram, bucket_bytes, group_pieces, widths[1:])
+    found = written(found.join(equal.select("pid", "c1", "c2"), "pid").select("c1", "c2", "lo", "hi"), "suffix-found", rows=most)
+    deeper = finer.join(found, ["c1", "c2"]).select("pid", (F.col("lo") + F.col("start")).alias("lo"), (F.col("hi") + F.col("start")).alias("hi"))
+    return indexed(bodies.join(large, "m", "left_anti"), length, bucket_bytes).unionByName(deeper)
 
 
-def removed(rows: DataFrame, length: int) -> DataFrame:
-    """doc_id, n_bytes, n_removed, n_spans, kept_sha256, kept (bytes) of rows(doc_id, text, spans)."""
+def removed(rows: DataFrame, length: int, texts: bool) -> DataFrame:
+    """doc_id, n_bytes, n_removed, n_spans, kept_sha256 and, if asked for, kept (bytes) of rows(doc_id, text, spans)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch, texts in slices(batches, "text"):
+        for batch, bodies in slices(batches, "text"):
             spans, out = batch.column(2), []
-            for i, t in enumerate(texts):
+            for i, t in enumerate(bodies):
                 body, gone, n = t or b"", 0, 0
                 if spans[i].is_valid and len(spans[i]):
                     flat = spans[i].values
@@ -229,65 +283,67 @@ def removed(rows: DataFrame, length: int) -> DataFrame:
                     kept = np.frombuffer(body, dtype=np.uint8)[~drop].tobytes()
                 else:
                     kept = body
-                out.append((len(body), gone, n, hashlib.sha256(kept).hexdigest(), kept))
+                out.append((len(body), gone, n, hashlib.sha256(kept).hexdigest(), kept if texts else None))
             kinds = (pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.binary())
-            yield pa.RecordBatch.from_arrays([batch.column(0), *[pa.array([r[i] for r in out], k) for i, k in enumerate(kinds)]], names=["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept"])
+            columns = [pa.array([r[i] for r in out], k) for i, k in enumerate(kinds)]
+            names = ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept"]
+            yield pa.RecordBatch.from_arrays([batch.column(0), *columns[: 4 + texts]], names=names[: 5 + texts])
 
     kind = rows.schema["doc_id"].dataType.simpleString()
-    return rows.select("doc_id", "text", "spans").mapInArrow(run, f"doc_id {kind}, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary")
+    return rows.select("doc_id", "text", "spans").mapInArrow(run, f"doc_id {kind}, n_bytes long, n_removed long, n_spans long, kept_sha256 string" + ", kept binary" * texts)
 
 
-def suffix_dedup(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", length: int = LENGTH, gram: int = GRAM, bucket_bytes: int = BUCKET_BYTES, hot_pieces: int = HOT_PIECES) -> DataFrame:
-    """One row a document: doc_id, n_bytes, n_removed, n_spans, kept_sha256, kept.
+def suffix_dedup(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", length: int = LENGTH, gram: int = GRAM, bucket_bytes: int = BUCKET_BYTES, group_pieces: int = GROUP_PIECES, texts: bool = True) -> DataFrame:
+    """One row a document: doc_id, n_bytes, n_removed, n_spans, kept_sha256, kept (left out if not `texts`).
 
     A byte goes if a `length`-byte string that covers it also starts anywhere else in the corpus, the
     same document included; matches stay within a document, and all is judged on the input. The kept
     bytes need not be valid UTF-8. Null or empty text: no bytes. Rows equal in doc_id and text are two
-    documents that hold the same bytes. Null doc_id is an id like others. Very long texts are read
-    whole. An empty table gives an empty table; other columns are ignored.
+    documents that hold the same bytes. doc_id may be null or of any type. Very long texts are cut in
+    overlapping parts. An empty table gives an empty table; other columns are ignored.
 
-    Pieces are made distinct with their counts before any text moves, so copies cost one piece. A
-    minimizer with more than `hot_pieces` distinct pieces (one short passage in very many texts) would
-    make one large index; its windows are counted by hash instead, over all tasks and as exactly.
+    Pieces are made distinct with their counts before any text moves, so copies cost one piece; they are
+    equal if their SHA-256, cut to 128 bits, is. A passage that very many texts hold would make one large
+    index: its pieces are cut finer and filed again, until no more than `group_pieces` lie together.
     """
     spark = docs.sparkSession
-    rows = docs.select(F.col(doc_id).alias("doc_id"), F.coalesce(F.col(doc_id).cast("string"), F.lit("")).alias("did"), F.xxhash64(text).alias("th"), F.col(text).alias("text"))
+    widths = class_widths(length, gram)
+    rows = docs.select(F.col(doc_id).alias("doc_id"), F.xxhash64(text).alias("t1"), F.xxhash64(F.lit(1), text).alias("t2"), F.col(text).alias("text"))
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch, texts in slices(batches, "text"):
-            m, c1, c2, owner, start, count, several = pieces_of(texts, length, gram)
-            at = pa.array(owner)
-            yield pa.RecordBatch.from_arrays([*[pa.array(x.view(np.int64)) for x in (m, c1, c2)], batch.column(0).take(at), batch.column(1).take(at), pa.array(start), pa.array(count), pa.array(several)], names=["m", "c1", "c2", "did", "th", "start", "windows", "several"])
+        for batch, bodies in slices(batches, "text"):
+            for (m, c1, c2, owner, start, count), _ in pieces_of(bodies, length, gram, widths[0]):
+                of = pa.array(owner)
+                yield pa.RecordBatch.from_arrays([*[pa.array(x) for x in (m, c1, c2)], batch.column(0).take(of), batch.column(1).take(of), pa.array(start), pa.array(count.astype(np.int32))], names=["m", "c1", "c2", "t1", "t2", "start", "windows"])
 
-    pieces = written(rows.select("did", "th", "text").mapInArrow(cut, "m long, c1 long, c2 long, did string, th long, start long, windows long, several boolean"), "suffix-pieces")
+    pieces = written(rows.select("t1", "t2", "text").mapInArrow(cut, "m long, c1 long, c2 long, t1 long, t2 long, start long, windows int"), "suffix-pieces", rows=docs.count(), each=2_000)
+    often = written(pieces.groupBy("m").agg(F.count("*").alias("n")).where("n > 1").select("m"), "suffix-often", rows=pieces.count() // 2)
     same = ["m", "c1", "c2", "windows"]
-    often = pieces.groupBy("m").agg(F.count("*").alias("seen"), F.max("several").alias("several")).where("seen > 1 or several").select("m")
-    distinct = pieces.join(often, "m").groupBy(*same).agg(F.count("*").alias("n"), F.min(F.struct("did", "th", "start")).alias("at"))
+    distinct = pieces.join(often, "m").groupBy(*same).agg(F.count("*").alias("n"), F.first("t1").alias("t1"), F.first("t2").alias("t2"), F.first("start").alias("start"))
     distinct = written(distinct.withColumn("pid", F.monotonically_increasing_id()), "suffix-distinct")
     release(spark)
-    hot = distinct.groupBy("m").agg(F.count("*").alias("k")).withColumn("hot", F.col("k") > hot_pieces).select("m", "hot")
-    total = distinct.agg(F.coalesce(F.sum(F.col("windows") + length), F.lit(0)).alias("b")).first()["b"]
-    wanted = distinct.join(hot, "m").select(F.col("at.did").alias("did"), F.col("at.th").alias("th"), F.struct("m", "pid", "n", "hot", F.col("at.start").alias("start"), (F.col("windows") + length - 1).alias("size")).alias("piece"))
-    lists = wanted.groupBy("did", "th").agg(F.collect_list("piece").alias("pieces"))
-    # rows equal in doc_id and text hold the same bytes: one of them will do
-    holders = rows.join(lists, ["did", "th"]).select("pieces", "text")
+    size, wanted = distinct.count(), distinct.groupBy("t1", "t2").agg(F.collect_list(F.struct("m", "pid", "n", "start", (F.col("windows") + length - 1).alias("size"))).alias("pieces"))
+    wanted = written(wanted, "suffix-wanted", rows=size, each=BODIES_A_FILE)
 
     def fetch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch, texts in slices(batches, "text"):
-            out = [(p["m"], p["pid"], p["n"], p["hot"], t[p["start"] : p["start"] + p["size"]]) for t, found in zip(texts, batch.column(0).to_pylist()) for p in found]
-            kinds = (pa.int64(), pa.int64(), pa.int64(), pa.bool_(), pa.binary())
-            yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in out], k) for i, k in enumerate(kinds)], names=["m", "pid", "n", "hot", "body"])
-
-    bodies = written(holders.mapInArrow(fetch, "m long, pid long, n long, hot boolean, body binary"), "suffix-bodies")
+        seen: set[int] = set()  # texts equal to one before hold the same pieces
+        for batch, bodies in slices(batches, "text"):
+            out = []
+            for t, found in zip(bodies, batch.column(0).to_pylist()):
+                if found[0]["pid"] not in seen:
+                    seen.add(found[0]["pid"])
+                    out += [(p["m"], p["pid"], p["n"], t[p["start"] : p["start"] + p["size"]]) for p in found]
+            kinds = (pa.int64(), pa.int64(), pa.int64(), pa.binary())
+            yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in out], k) for i, k in enumerate(kinds)], names=["m", "pid", "n", "body"])
+
+    holders = rows.join(wanted, ["t1", "t2"]).select("pieces", "text")
+    bodies = written(holders.mapInArrow(fetch, "m long, pid long, n long, body binary"), "suffix-bodies", rows=size, each=BODIES_A_FILE)
     release(spark)
-    buckets = max(1, -(-total // bucket_bytes))
-    once = bodies.where("not hot").withColumn("bucket", F.pmod(F.xxhash64("m"), F.lit(buckets))).dropDuplicates(["pid"])
-    spans = indexed(once, length).unionByName(counted(bodies.where("hot").dropDuplicates(["pid"]), length))
-    found = spans.groupBy("pid").agg(F.collect_list(F.struct("lo", "hi")).alias("found"))
-    spotted = written(distinct.join(found, "pid").select(*same, "found"), "suffix-found")
+    found = repeats(bodies, length, gram, bucket_bytes, group_pieces, widths[1:]).groupBy("pid").agg(F.collect_list(F.struct("lo", "hi")).alias("found"))
+    spotted = written(distinct.join(found, "pid").select(*same, "found"), "suffix-spotted", rows=size)
     drop_written(spark, bodies)
-    marks = pieces.join(spotted, same).select("did", "th", F.expr("transform(found, x -> named_struct('lo', x.lo + start, 'hi', x.hi + start))").alias("spans"))
-    marks = written(marks.distinct().groupBy("did", "th").agg(F.flatten(F.collect_list("spans")).alias("spans")), "suffix-marks")
+    marks = pieces.join(spotted, same).select("t1", "t2", F.expr("transform(found, x -> named_struct('lo', x.lo + start, 'hi', x.hi + start))").alias("spans"))
+    marks = written(marks.distinct().groupBy("t1", "t2").agg(F.flatten(F.collect_list("spans")).alias("spans")), "suffix-marks", rows=docs.count(), each=10_000)
     drop_written(spark, pieces)
     release(spark)
-    return removed(rows.join(marks, ["did", "th"], "left"), length)
+    return removed(rows.join(marks, ["t1", "t2"], "left"), length, texts)

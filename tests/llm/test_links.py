@@ -10,7 +10,7 @@ import xxhash
 
 from driftwell.llm import anchors, common, simhash, suffixes
 from driftwell.llm.common import components
-from driftwell.llm.words import SPACE, Words, spread, window_hashes
+from driftwell.llm.words import Words, spread, window_hashes
 
 from .conftest import prose
 
@@ -226,7 +226,7 @@ def brute_bytes(texts, length):
 
 @pytest.mark.parametrize(("length", "gram", "hot", "bucket"), [(400, 32, 1500, 1 << 20), (60, 12, 1500, 4000), (60, 12, 1, 4000), (16, 4, 3, 4000)])
 def test_suffix_dedup_matches_brute_force(docs, rows, length, gram, hot, bucket):
-    got = suffixes.suffix_dedup(docs, length=length, gram=gram, hot_pieces=hot, bucket_bytes=bucket).collect()
+    got = suffixes.suffix_dedup(docs, length=length, gram=gram, group_pieces=hot, bucket_bytes=bucket).collect()
     same([(r.doc_id, r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in got], [(r[0], *x) for r, x in zip(rows, brute_bytes([r[1] for r in rows], length))])
 
 
@@ -302,10 +302,68 @@ def test_word_arrays(rows):
     texts = [(r[1] or "").encode() for r in rows]
     w = Words(texts)
     flat = [x for t in texts for x in t.split()]
-    body = w.data.tobytes()
-    assert [body[a:b] for a, b in zip(w.start, w.end)] == flat and w.first[-1] == len(flat) and SPACE.sum() == 6
-    h = w.hashes()
-    assert len(set(h.tolist())) == len(set(flat))
-    windows = window_hashes(h, 3, 12345)
-    assert len(set(windows.tolist())) == len({tuple(flat[i : i + 3]) for i in range(len(flat) - 2)})
+    assert w.first[-1] == len(flat) == len(w.a)
+    assert len(set(w.a.tolist())) == len(set(flat)) == len(set(w.b.tolist()))
+    for width in (1, 2, 3, 7, 50):
+        windows = window_hashes(w.a, width)
+        assert len(windows) == len(flat) - width + 1
+        assert len(set(windows.tolist())) == len({tuple(flat[i : i + width]) for i in range(len(flat) - width + 1)})
+    assert len(window_hashes(w.a[:3], 4)) == 0
     assert [x.tolist() for x in spread(np.array([2, 0, 3]))] == [[0, 0, 2, 2, 2], [0, 1, 0, 1, 2]]
+
+
+def thue_morse(n, zero, one):
+    return "".join(one if i.bit_count() % 2 else zero for i in range(n))
+
+
+def test_structured_words_are_told_apart(spark):
+    """Sequences of 1,024 symbols on which polynomials modulo 2 ** 64 collide for every odd base."""
+    a, b = thue_morse(1024, "a", "b"), thue_morse(1024, "b", "a")
+    words = [f"w{i}" for i in range(49)]
+    texts = [" ".join([*words[:20], a, *words[20:]]), " ".join([*words[:20], b, *words[20:]])]
+    rows = [(i, t) for i, t in enumerate(texts)]
+    got = anchors.substring_dedup(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    same([(r.doc_id, r.n_words, r.n_removed, r.kept_sha256) for r in got], brute_words(rows, 50))
+    assert all(r.n_removed == 0 for r in got)
+
+
+def test_structured_bytes_are_told_apart(spark):
+    rng = random.Random(3)
+    head = ["".join(rng.choice("cdefgh") for _ in range(60)) for _ in range(4)]
+    texts = [head[0] + thue_morse(1024, "a", "b") + head[1], head[2] + thue_morse(1024, "b", "a") + head[3]]
+    rows = [(i, t) for i, t in enumerate(texts)]
+    got = suffixes.suffix_dedup(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    same([(r.doc_id, r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in got], [(r[0], *x) for r, x in zip(rows, brute_bytes(texts, 400))])
+
+
+def test_ids_of_other_kinds(spark, docs, rows):
+    """Text ids order as text; the greatest long is not taken for null."""
+    named = [(None if r[0] is None else f"d{r[0]:03d}", r[1]) for r in rows]
+    expected = {(None if i is None else f"d{i:03d}", *x) for i, *x in brute_words(rows, 50)}
+    got = anchors.substring_dedup(spark.createDataFrame(named, "doc_id string, text string"), texts=False).collect()
+    assert {(r.doc_id, r.n_words, r.n_removed, r.kept_sha256) for r in got} == expected
+    text = " ".join(f"w{i}" for i in range(60))
+    got = anchors.substring_dedup(spark.createDataFrame([((1 << 63) - 1, text), (None, text + " more")], "doc_id long, text string")).collect()
+    assert {r.doc_id: r.n_removed for r in got} == {(1 << 63) - 1: 0, None: 60}
+
+
+@pytest.mark.parametrize("pieces", [2, 1500])
+def test_passages_in_many_texts(spark, pieces):
+    """Passages below and above the length in texts that differ around them: cut finer and finer, nothing is lost."""
+    rng = random.Random(14)
+    make = lambda n: "".join(rng.choice("abcdefghij ") for _ in range(n))
+    passages = [make(n) for n in (250, 390, 399, 400, 401, 700)]
+    texts = [make(rng.randrange(50, 500)) + rng.choice(passages) + make(rng.randrange(50, 500)) for _ in range(60)]
+    texts += ["ab" * 600, "ab" * 450, "x" * 900]
+    got = suffixes.suffix_dedup(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), group_pieces=pieces, bucket_bytes=20_000).collect()
+    same([(r.doc_id, r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in got], [(i, *x) for i, x in enumerate(brute_bytes(texts, 400))])
+
+
+def test_long_texts_are_cut_in_parts(spark, monkeypatch):
+    monkeypatch.setattr(suffixes, "CHUNK_BYTES", 700)
+    rng = random.Random(15)
+    make = lambda n: "".join(rng.choice("abcdefghij ") for _ in range(n))
+    shared = make(900)
+    texts = [make(3000) + shared + make(2500), make(10) + shared + make(5000), make(1099)]
+    got = suffixes.suffix_dedup(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()
+    same([(r.doc_id, r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in got], [(i, *x) for i, x in enumerate(brute_bytes(texts, 400))])
