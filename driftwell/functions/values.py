@@ -24,19 +24,21 @@ def bytes_text(value: Column, raw: bool = False) -> Column:
 
 
 def variable_decimal(unscaled: Column, scale: Column, target: str = "decimal(38,18)") -> Column:
-    """Big-endian two's complement of up to 15 bytes with a scale; null beyond the target's range, 0 for null bytes."""
-    digits = F.lpad(F.hex(unscaled), 30, "0")
-    part = lambda at: F.conv(F.substring(digits, at, 10), 16, 10).cast("decimal(38,0)")
-    power = lambda n: F.lit(str(2**n)).cast("decimal(38,0)")
-    plain = (part(1) * power(80)).cast("decimal(38,0)") + (part(11) * power(40)).cast("decimal(38,0)") + part(21)
-    negative = F.substring(F.hex(unscaled), 1, 1).isin(*"89ABCDEF")
-    wrap = F.get(F.array(*[power(8 * n) for n in range(16)]), F.octet_length(unscaled))
-    value = F.when(negative, (plain - wrap).cast("decimal(38,0)")).otherwise(plain.cast("decimal(38,0)"))
-    text = F.lpad(F.abs(value).cast("string"), F.greatest(F.length(F.abs(value).cast("string")), scale + 1), F.lit("0"))
-    whole = F.substring(text, F.lit(1), F.length(text) - scale)
+    """Big-endian two's complement of up to 20 bytes with a scale; null beyond the target's range, 0 for null bytes."""
+    hexed = F.hex(unscaled)
+    negative = F.substring(hexed, 1, 1).isin(*"89ABCDEF")
+    # of a negative number the inverted bits are one less than its magnitude
+    digits = F.lpad(F.when(negative, F.translate(hexed, "0123456789ABCDEF", "FEDCBA9876543210")).otherwise(hexed), 40, "0")
+    whole = lambda c: c.cast("decimal(38,0)")
+    part = lambda at: whole(F.conv(F.substring(digits, at, 10), 16, 10))
+    magnitude = whole(F.when(negative, F.lit(1)).otherwise(F.lit(0)))
+    for i in range(4):
+        magnitude = F.try_add(magnitude, F.try_multiply(part(31 - 10 * i), whole(F.lit(str(2 ** (40 * i))))).try_cast("decimal(38,0)")).try_cast("decimal(38,0)")
+    text = F.lpad(magnitude.cast("string"), F.greatest(F.length(magnitude.cast("string")), scale + 1), F.lit("0"))
     rest = F.substring(text, F.length(text) - scale + 1, scale)
-    signed = F.concat(F.when(value < 0, F.lit("-")).otherwise(F.lit("")), whole, F.when(scale > 0, F.concat(F.lit("."), rest)).otherwise(F.lit("")))
-    return F.when(unscaled.isNull() | (F.octet_length(unscaled) == 0), F.lit(0).cast(target)).otherwise(signed.try_cast(target))
+    signed = F.concat(F.when(negative, F.lit("-")).otherwise(F.lit("")), F.substring(text, F.lit(1), F.length(text) - scale), F.when(scale > 0, F.concat(F.lit("."), rest)).otherwise(F.lit("")))
+    none = unscaled.isNull() | (F.octet_length(unscaled) == 0)
+    return F.when(none, F.lit(0).cast(target)).when(F.octet_length(unscaled) <= 20, signed.try_cast(target))
 
 
 def point(value: Column) -> Column:
@@ -94,11 +96,20 @@ def valid_database(name: str) -> bool:
 
 
 def zone_of_offset(offset: str) -> str:
-    """The Etc zone of an offset such as +02:00 (whole hours; its sign is reversed there)."""
+    """A zone of an offset such as +02:00: of whole hours the Etc one (its sign is reversed there), else the first by name that has it today."""
+    from datetime import datetime, timedelta
+    from zoneinfo import ZoneInfo, available_timezones
+
     m = re.fullmatch(r"([+-])(\d\d):(\d\d)", offset)
-    if not m or m[3] != "00" or int(m[2]) > 14:
-        raise ValueError(f"not a whole-hour offset: {offset}")
+    if not m or int(m[2]) > 14 or int(m[3]) > 59:
+        raise ValueError(f"not an offset: {offset}")
     hours = int(m[2])
+    if m[3] != "00":
+        wanted, now = timedelta(hours=hours, minutes=int(m[3])) * (1 if m[1] == "+" else -1), datetime.now()
+        found = next((z for z in sorted(available_timezones()) if ZoneInfo(z).utcoffset(now) == wanted), None)
+        if found is None:
+            raise ValueError(f"no zone has the offset {offset}")
+        return found
     return "UTC" if not hours else f"Etc/GMT{'-' if m[1] == '+' else '+'}{hours}"
 
 

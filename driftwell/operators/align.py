@@ -2,34 +2,48 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..functions.temporal import date32
+
+
+def fitted(rows: DataFrame, f: T.StructField) -> Column:
+    """The column of rows that f names as f's type; null where it is missing or doesn't fit. Whole numbers are days of a date."""
+    if f.name not in rows.columns:
+        return F.lit(None).cast(f.dataType)
+    have, kind = F.col(f"`{f.name}`"), rows.schema[f.name].dataType
+    if kind == f.dataType:
+        return have
+    if isinstance(f.dataType, T.DateType) and isinstance(kind, T.IntegralType):
+        return date32(have.cast("long"))
+    cast = have.try_cast(f.dataType.simpleString())
+    try:
+        rows.select(cast)
+    except AnalysisException:  # no cast between such types
+        return F.lit(None).cast(f.dataType)
+    return cast
+
+
+def unfit(rows: DataFrame, target: T.StructType) -> Column | None:
+    """How many values of a row fitted() loses; None if no column needs to be fitted."""
+    each = [f for f in target.fields if f.name in rows.columns and rows.schema[f.name].dataType != f.dataType]
+    lost = [(F.col(f"`{f.name}`").isNotNull() & fitted(rows, f).isNull()).cast("long") for f in each]
+    return reduce(Column.__add__, lost) if lost else None
+
 
 def align(rows: DataFrame, target: T.StructType, computed: dict[str, str] | None = None) -> DataFrame:
     """The target's columns in its order: missing ones null, others dropped, names case-sensitive.
 
-    Values that don't fit the target's type become null. computed: SQL expressions of generated columns,
-    which never come from the rows.
+    Values that don't fit the target's type become null; unfit() counts them. computed: SQL expressions
+    of generated columns, which never come from the rows.
     """
-    have = {c: F.col(f"`{c}`") for c in rows.columns}
     computed = computed or {}
-
-    def value(f: T.StructField) -> Column:
-        if f.name in computed or f.name not in have:
-            return F.lit(None).cast(f.dataType)
-        if rows.schema[f.name].dataType == f.dataType:
-            return have[f.name]
-        cast = have[f.name].try_cast(f.dataType.simpleString())
-        try:
-            rows.select(cast)
-        except AnalysisException:  # no cast between such types
-            return F.lit(None).cast(f.dataType)
-        return cast
-
-    plain = rows.select(*[value(f).alias(f.name) for f in target.fields])
+    plain = rows.select(*[(F.lit(None).cast(f.dataType) if f.name in computed else fitted(rows, f)).alias(f.name) for f in target.fields])
     for name, expression in computed.items():
         kind = next((f.dataType for f in target.fields if f.name == name), None)
         filled = F.expr(expression)

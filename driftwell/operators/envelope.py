@@ -99,6 +99,22 @@ def from_json_log(lines: DataFrame, key: str, row: str) -> DataFrame:
     return lines.select(F.from_json("value", envelope_schema(key, row)).alias("e")).select("e.*")
 
 
+def document_schema(documents: DataFrame, column: str) -> str:
+    """Fields of JSON documents as a DDL string, merged over all of them by one aggregate; nested documents are texts."""
+    found = documents.agg(F.schema_of_variant_agg(F.try_parse_json(column)).alias("s")).first()["s"]
+    if not found or not found.startswith("OBJECT<"):
+        return ""
+    fields, depth, start = [], 0, 0
+    inside = found[len("OBJECT<") : -1]
+    for i, c in enumerate(inside + ","):
+        depth += (c in "<(") - (c in ">)")
+        if c == "," and not depth:
+            fields.append(inside[start:i].strip().partition(": "))
+            start = i + 1
+    plain = lambda kind: "string" if kind.startswith("OBJECT") or kind in ("VOID", "VARIANT") else kind
+    return ", ".join(f"`{name.strip('`')}` {plain(kind)}" for name, _, kind in fields)
+
+
 def document_rows(after: Column, schema: str) -> Column:
     """A document store's image, which is JSON text, as a struct; nested documents may be kept as text fields."""
     return F.from_json(after, schema)

@@ -15,7 +15,7 @@ def topic_lag(records: DataFrame, now_ms: Column) -> DataFrame:
     """Per topic: greatest lags against the source's and the capture's time, greatest transaction and position, last file, last offset and its partition."""
     return records.groupBy("topic").agg(
         F.max(lag_ms(now_ms, F.col("ts_ms"))).alias("source_lag_ms"), F.max(lag_ms(now_ms, F.col("cdc_ts_ms"))).alias("cdc_lag_ms"),
-        F.max("gtid").alias("max_gtid"), F.max("pos").alias("max_pos"), F.max("file").alias("last_file"),
+        F.max("gtid").alias("max_gtid"), F.max("pos").alias("max_pos"), F.max_by("file", F.struct("ts_ms", "offset", "partition")).alias("last_file"),
         F.max("offset").alias("max_offset"), F.max_by("partition", F.struct("offset", "partition")).alias("partition_at_max"),
     )
 

@@ -81,9 +81,13 @@ def merged_sums(parts: DataFrame) -> DataFrame:
 
 
 def key_chunks(rows: DataFrame, key: str, size: int) -> DataFrame:
-    """(lo, hi) ranges of `size` key values that cover the least to the greatest key; made by the engine, not a list."""
-    ends = rows.agg(F.min(key).alias("least"), F.max(key).alias("most")).where("least IS NOT NULL")
-    return ends.select(F.explode(F.sequence("least", "most", F.lit(size).cast("long"))).alias("lo"), "most").select("lo", F.least(F.col("lo") + (size - 1), F.col("most")).alias("hi"))
+    """(lo, hi) ranges of `size` key values that cover the least to the greatest key.
+
+    Two numbers come to the driver; the ranges are made in parallel, however many there are.
+    """
+    least, most = rows.agg(F.min(key).cast("long"), F.max(key).cast("long")).first()
+    found = rows.sparkSession.range(0 if least is None else least, 0 if least is None else most + 1, size).select(F.col("id").alias("lo"))
+    return found.select("lo", F.least(F.col("lo") + (size - 1), F.lit(most).cast("long")).alias("hi"))
 
 
 def chunk(rows: DataFrame, key: str, lo: int, hi: int) -> DataFrame:
@@ -113,6 +117,7 @@ def set_differences(source: DataFrame, target: DataFrame) -> DataFrame:
     return source.exceptAll(target).withColumn("side", F.lit("source")).unionByName(target.exceptAll(source).withColumn("side", F.lit("target")))
 
 
-def ordered_dump(rows: DataFrame, key: list[str], exclude: tuple[str, ...] = ()) -> DataFrame:
-    """Canonical rows in key order, for a text dump."""
-    return rows.orderBy(*key).select(canonical_row(rows.schema, exclude).alias("line"))
+def ordered_dump(rows: DataFrame, key: list[str], exclude: tuple[str, ...] = (), limit: int | None = None) -> DataFrame:
+    """Canonical rows in key order, for a text dump; limit: the first so many, to look at."""
+    ordered = rows.orderBy(*key)
+    return (ordered if limit is None else ordered.limit(limit)).select(canonical_row(rows.schema, exclude).alias("line"))

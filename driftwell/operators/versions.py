@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -60,6 +62,23 @@ def with_sequence(records: DataFrame, stream: list[str], order: list[str], ts_ms
     return records.groupBy(*stream).applyInPandas(run, schema)
 
 
-def positional_version(ts_ms: Column, position: Column) -> Column:
-    """A version without state: time, then the place in the log. Grows with the log and needs no scan in order."""
-    return ts_ms * 1_000_000 + F.pmod(position, F.lit(1_000_000))
+def time_version(ts_ms: Column) -> Column:
+    """A version without state: the time alone. Rows of one time are told apart by their place in the log, which FINAL orders by next."""
+    return ts_ms * 1_000_000
+
+
+def sequence_stream(records: DataFrame, stream: list[str], order: list[str], ts_ms: str = "cdc_ts_ms", name: str = "sequence") -> DataFrame:
+    """with_sequence() of a streaming DataFrame: the window start and the count go on from batch to batch, kept in Spark's state."""
+    from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
+
+    fields = records.schema.fields
+    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in fields) + f", `{name}` long"
+
+    def run(_, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        pdf = pd.concat(list(batches)).sort_values(order, kind="stable")  # rows of one stream and micro-batch
+        start, count = state.get if state.exists else (None, SEQUENCE_START)
+        numbers, start, count = sequence_numbers(pdf[ts_ms].tolist(), start, count)
+        state.update((start, count))
+        yield pdf[[f.name for f in fields]].assign(**{name: numbers})
+
+    return records.groupBy(*stream).applyInPandasWithState(run, schema, "start long, count long", "append", GroupStateTimeout.NoTimeout)

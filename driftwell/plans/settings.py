@@ -15,6 +15,9 @@ def flag(value: object) -> bool:
 
 @dataclass(frozen=True)
 class Settings:
+    """zone: of zoneless times. max_records: most rows of a data file. buffer_count: keys a topic that deduplication
+    remembers. compact_after: batches of a replacing table that lie side by side at most, 0 for any number."""
+
     ignore_delete: bool = False
     deduplication_policy: str = "off"
     buffer_count: int = 100
@@ -35,6 +38,9 @@ class Settings:
     ddl_retry: bool = False
     single_threaded: bool = False
     flush_ms: int = 30
+    replicated: bool = False
+    store_offsets: bool = False
+    compact_after: int = 200
     max_records: int = 100_000
     autostart: bool = True
 
@@ -74,5 +80,6 @@ KEYS = {
     "datetime.timezone": "zone", "disable.ddl": "disable_ddl", "disable.drop.truncate": "disable_drop_truncate",
     "enable.snapshot.ddl": "snapshot_ddl", "ddl.retry": "ddl_retry", "single.threaded": "single_threaded",
     "buffer.flush.time.ms": "flush_ms", "buffer.max.records": "max_records", "skip_replica_start": "autostart",
+    "auto.create.tables.replicated": "replicated", "enable.kafka.offset": "store_offsets", "compact.after.batches": "compact_after",
 }
 NEGATED = ("skip_replica_start",)

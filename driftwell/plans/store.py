@@ -41,6 +41,10 @@ class Files:
             fs.delete(p, False)
             fs.rename(aside, p)
 
+    def make(self, path: str) -> None:
+        p, fs = self._path(path)
+        fs.mkdirs(p)
+
     def delete(self, path: str) -> None:
         p, fs = self._path(path)
         fs.delete(p, True)

@@ -7,20 +7,24 @@ and added again is a new one. So no file is ever rewritten by a schema change.
 
 from __future__ import annotations
 
+import hashlib
 import json
+from collections import Counter
 from dataclasses import asdict, dataclass, field, replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..operators.align import align, missing_columns
-from ..operators.state import DELETED, SEQ, SIGN, VERSION, collapse, final
+from ..operators.align import align, missing_columns, unfit
+from ..operators.state import DELETED, SEQ, SIGN, VERSION, collapse, final, latest
 from .ddl import Action, Column, target_type, unquoted
 from .store import Files
 
 REPLACING, COLLAPSING, APPEND = "replacing", "collapsing", "append"
 TRUNCATE = "_truncate"
+#: Where a row came from (topic/partition; offsets of different places have no order) and when, by the source's clock in ms.
+PLACE, TIME = "_place", "_ts"
 
 
 @dataclass(frozen=True)
@@ -47,6 +51,7 @@ class Descriptor:
     serial: int = 0
     data: str = "data-0"
     applied: int = -1  # place in the log of the last schema change
+    replicated: bool = False  # of the target's engine; means nothing to files
 
     def to_json(self) -> str:
         return json.dumps(asdict(self), indent=1)
@@ -67,7 +72,7 @@ class Descriptor:
 
     def extras(self) -> list[tuple[str, str]]:
         mark = [(SIGN, "int")] if self.engine == COLLAPSING else [(self.deleted, "int")]
-        return [(VERSION, "bigint"), (SEQ, "bigint"), *mark, (TRUNCATE, "boolean")]
+        return [(VERSION, "bigint"), (SEQ, "bigint"), *mark, (TRUNCATE, "boolean"), (PLACE, "string"), (TIME, "bigint")]
 
     def stored_schema(self) -> T.StructType:
         """Columns that files may hold, earlier types included."""
@@ -91,19 +96,24 @@ def field_of(c: Column, nullable: bool, zone: str = "") -> Field:
     return Field(unquoted(c.name), target_type(c, zone)[1].simpleString(), nullable, default=c.default, computed=c.generated)
 
 
-def described(a: Action, database: str = "") -> Descriptor:
+def mark_name(names: list[str], wanted: str = "") -> str:
+    """Name of the delete mark: as wanted, by default is_deleted; underscores before it where a column is called so."""
+    wanted = wanted or DELETED
+    return f"__{wanted}" if wanted in names else wanted
+
+
+def described(a: Action, database: str = "", deleted: str = "") -> Descriptor:
     """The descriptor of a create_table action. Key columns are never null; a table without a key appends."""
     key = tuple(map(unquoted, a.key))
     fields = tuple(replace(field_of(c, c.nullable is not False and unquoted(c.name) not in key), stored=unquoted(c.name)) for c in a.columns)
-    deleted = f"__{DELETED}" if any(f.name == DELETED for f in fields) else DELETED
-    return Descriptor(unquoted(a.database or database), unquoted(a.table), fields, key, tuple(map(unquoted, a.partition)), REPLACING if key else APPEND, deleted, serial=1)
+    return Descriptor(unquoted(a.database or database), unquoted(a.table), fields, key, tuple(map(unquoted, a.partition)), REPLACING if key else APPEND, mark_name([f.name for f in fields], deleted), serial=1)
 
 
-def described_by_schema(database: str, name: str, schema: T.StructType, key: tuple[str, ...] = (), engine: str = REPLACING) -> Descriptor:
-    """The descriptor of a table made from a record's schema; a key that isn't among its columns is none."""
+def described_by_schema(database: str, name: str, schema: T.StructType, key: tuple[str, ...] = (), engine: str = REPLACING, deleted: str = "", replicated: bool = False) -> Descriptor:
+    """The descriptor of a table made from a record's schema; a key that isn't among its columns is none. deleted: name of the delete mark."""
     key = key if set(key) <= set(schema.names) else ()
     fields = tuple(Field(f.name, f.dataType.simpleString(), f.nullable and f.name not in key, f.name) for f in schema.fields)
-    return Descriptor(database, name, fields, key, engine=engine if key else APPEND, deleted=f"__{DELETED}" if DELETED in schema.names else DELETED, serial=1)
+    return Descriptor(database, name, fields, key, engine=engine if key else APPEND, deleted=mark_name(schema.names, deleted), serial=1, replicated=replicated)
 
 
 def altered(d: Descriptor, a: Action) -> Descriptor:
@@ -137,11 +147,31 @@ def altered(d: Descriptor, a: Action) -> Descriptor:
     return d
 
 
+def truncates(log: DataFrame) -> DataFrame:
+    """(_place, _seq, _ts) of the last truncate of each place."""
+    return log.where(TRUNCATE).groupBy(PLACE).agg(F.max(SEQ).alias(SEQ), F.max(TIME).alias(TIME))
+
+
+def after_truncates(log: DataFrame) -> DataFrame:
+    """Rows after all truncates: by offset where both come from one place, else by the source's time (by offset where that is unknown).
+
+    The truncates are one row a topic partition; they join as one array.
+    """
+    cuts = truncates(log).agg(F.collect_list(F.struct(F.col(PLACE).alias("place"), F.col(SEQ).alias("seq"), F.col(TIME).alias("ts"))).alias("__cuts"))
+    rows = log.where(f"NOT coalesce({TRUNCATE}, false)").join(F.broadcast(cuts))
+    return rows.where(f"forall(__cuts, c -> CASE WHEN c.place <=> {PLACE} THEN {SEQ} > c.seq ELSE coalesce({TIME} >= c.ts, {SEQ} > c.seq) END)").drop("__cuts")
+
+
 class Warehouse:
     """Databases and tables below a folder."""
 
-    def __init__(self, spark: SparkSession, root: str):
-        self.spark, self.root, self.files = spark, root.rstrip("/"), Files(spark)
+    def __init__(self, spark: SparkSession, root: str, rows_a_file: int = 0):
+        """rows_a_file: most rows of a data file, 0 for any number."""
+        self.spark, self.root, self.files, self.rows_a_file = spark, root.rstrip("/"), Files(spark), rows_a_file
+        self.lost: Counter[tuple[str, str]] = Counter()  # values by table that did not fit their column and became null
+
+    def databases(self) -> list[str]:
+        return self.files.names(self.root)
 
     def folder(self, database: str, name: str) -> str:
         return f"{self.root}/{database}/{name}"
@@ -160,21 +190,23 @@ class Warehouse:
     def save(self, d: Descriptor) -> None:
         self.files.write(f"{self.folder(d.database, d.name)}/descriptor.json", d.to_json())
 
-    def execute(self, actions: list[Action], database: str = "", override: dict[str, str] | None = None, seq: int | None = None) -> None:
+    def execute(self, actions: list[Action], database: str = "", override: dict[str, str] | None = None, seq: int | None = None, place: str | None = None, ts_ms: int | None = None, deleted: str = "") -> None:
         """Actions in order.
 
-        seq: place in the log. A table's column changes at or before the place of its last one were made
-        already and are passed over, so a repeated batch is harmless; truncates cut at the place.
+        seq: offset in the log. A table's column changes at or before the offset of its last one were made
+        already and are passed over, so a repeated batch is harmless. place, ts_ms: topic/partition and
+        time; truncates cut there. deleted: name of the delete mark of tables that are made.
         """
         override, fresh = override or {}, {}
         db_of = lambda db: override.get(unquoted(db or database), unquoted(db or database))
         for a in actions:
-            db, name = db_of(a.database), unquoted(a.table or "")
+            db, name = db_of(a.database), unquoted(a.table) if a.table else ""
             if a.kind == "create_database":
-                continue  # a folder comes with its first table
+                self.files.make(f"{self.root}/{db}")
+                continue
             if a.kind == "create_table":
                 if not self.exists(db, name):
-                    self.save(replace(described(a, database), database=db))
+                    self.save(replace(described(a, database, deleted), database=db))
             elif a.kind == "create_like":
                 other = self.load(db_of(a.names[0]), unquoted(a.names[1]))
                 if not self.exists(db, name):
@@ -187,31 +219,39 @@ class Warehouse:
                     self.files.rename(self.folder(db, name), self.folder(new_db, new))
                     self.save(replace(self.load(new_db, new), database=new_db, name=new))
             elif a.kind == "truncate":
-                self.truncate(self.load(db, name), seq)
+                self.truncate(self.load(db, name), seq, place, ts_ms)
             else:
                 d = self.load(db, name)
                 if fresh.setdefault((db, name), seq is None or d.applied < seq):
                     self.save(replace(altered(d, a), applied=d.applied if seq is None else seq))
 
-    def truncate(self, d: Descriptor, seq: int | None) -> None:
-        """A marker at a place in the log: rows before it are gone. Without a place, all data so far."""
+    def truncate(self, d: Descriptor, seq: int | None, place: str | None = None, ts_ms: int | None = None) -> None:
+        """A marker in the log: rows before it are gone, see after_truncates(). Without an offset, all data so far."""
         if seq is None:
             self.save(replace(d, data=f"data-{int(d.data.split('-')[1]) + 1}"))
             return
-        row = self.spark.range(1).select(F.lit(None).cast("bigint").alias(VERSION), F.lit(seq).cast("bigint").alias(SEQ), F.lit(True).alias(TRUNCATE))
-        self.append(d, row, f"truncate-{seq}")
+        row = self.spark.range(1).select(F.lit(None).cast("bigint").alias(VERSION), F.lit(seq).cast("bigint").alias(SEQ), F.lit(True).alias(TRUNCATE), F.lit(place).cast("string").alias(PLACE), F.lit(ts_ms).cast("bigint").alias(TIME))
+        self.append(d, row, f"truncate-{seq}" if place is None else f"truncate-{seq}-{hashlib.md5(place.encode()).hexdigest()[:8]}")
 
     def append(self, d: Descriptor, rows: DataFrame, batch: str) -> None:
         """Rows by logical name, with _version, _seq and the delete mark.
 
-        A batch that is there in whole is left as it is: it was written by the columns of its time.
+        A batch that is there in whole is left as it is: it was written by the columns of its time. Files
+        are sorted by the partition columns and the key, so that readers can skip row groups. Values that
+        don't fit their column are counted in `lost`.
         """
         path = f"{self.folder(d.database, d.name)}/{d.data}/batch={batch}"
         if self.files.exists(f"{path}/_SUCCESS"):
             return
         logical = T.StructType([T.StructField(f.name, T._parse_datatype_string(f.kind)) for f in d.fields if f.computed is None] + [T.StructField(n, T._parse_datatype_string(k)) for n, k in d.extras()])
         stored = [f.stored for f in d.fields if f.computed is None] + [n for n, _ in d.extras()]
-        align(rows, logical).toDF(*stored).write.mode("overwrite").parquet(path)
+        if (misfits := unfit(rows, logical)) is not None:
+            self.lost[d.database, d.name] += rows.agg(F.coalesce(F.sum(misfits), F.lit(0)).alias("n")).first()["n"]
+        by_name = {f.name: f.stored for f in d.fields if f.computed is None}
+        order = [f"`{by_name[c]}`" for c in (*d.partition, *d.key) if c in by_name]
+        out = align(rows, logical).toDF(*stored)
+        writer = (out.sortWithinPartitions(*order) if order else out).write.mode("overwrite")
+        (writer.option("maxRecordsPerFile", self.rows_a_file) if self.rows_a_file else writer).parquet(path)
 
     def log(self, d: Descriptor) -> DataFrame:
         """All rows by logical name, not cut or resolved."""
@@ -232,9 +272,7 @@ class Warehouse:
 
     def state(self, d: Descriptor) -> DataFrame:
         """Live rows of the table."""
-        log = self.log(d)
-        last = log.where(TRUNCATE).agg(F.max(SEQ).alias("__cut"))
-        rows = log.where(f"NOT coalesce({TRUNCATE}, false)").join(F.broadcast(last)).where(f"__cut IS NULL OR {SEQ} > __cut").drop("__cut", TRUNCATE)
+        rows = after_truncates(self.log(d)).drop(TRUNCATE, PLACE, TIME)
         if d.engine == COLLAPSING:
             rows = collapse(rows, list(d.key), [VERSION, SEQ])
         elif d.engine == REPLACING:
@@ -244,18 +282,25 @@ class Warehouse:
         return rows.select(*d.columns)
 
     def compact(self, database: str, name: str) -> None:
-        """The log replaced by its live rows, with their versions; readers of the old folder are not disturbed."""
+        """The log replaced by the last row of each key, with its version; readers of the old folder are not disturbed.
+
+        Deletes and truncates stay as marks, so that a late row from before them stays gone.
+        """
         d = self.load(database, name)
         log = self.log(d)
-        cut = log.where(TRUNCATE).agg(F.max(SEQ).alias("__cut"))
-        rows = log.where(f"NOT coalesce({TRUNCATE}, false)").join(F.broadcast(cut)).where(f"__cut IS NULL OR {SEQ} > __cut").drop("__cut")
-        live = final(rows, list(d.key), deleted=d.deleted) if d.engine == REPLACING else collapse(rows, list(d.key), [VERSION, SEQ]) if d.engine == COLLAPSING else rows
-        # keep the cut's place, so that a late row from before it stays gone
-        marker = cut.where("__cut IS NOT NULL").select(F.lit(True).alias(TRUNCATE), F.col("__cut").alias(SEQ))
+        rows = after_truncates(log)
+        kept = latest(rows, list(d.key), [VERSION, SEQ]) if d.engine == REPLACING else collapse(rows, list(d.key), [VERSION, SEQ]) if d.engine == COLLAPSING else rows
+        marks = truncates(log).withColumn(TRUNCATE, F.lit(True))
         new = replace(d, data=f"data-{int(d.data.split('-')[1]) + 1}")
-        self.append(new, live.unionByName(marker, allowMissingColumns=True), "compacted")
+        self.append(new, kept.unionByName(marks, allowMissingColumns=True), "compacted")
         self.save(new)
 
+    def tidy(self, database: str, name: str, most: int) -> None:
+        """Compact a replacing table of more than `most` batches; one that comes again after that changes nothing."""
+        d = self.load(database, name)
+        if d.engine == REPLACING and len(self.files.names(f"{self.folder(database, name)}/{d.data}")) > most:
+            self.compact(database, name)
+
     def evolve(self, d: Descriptor, schema: T.StructType) -> Descriptor:
         """d with the record's new columns added."""
         for f in missing_columns(schema, d.schema()):

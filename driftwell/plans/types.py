@@ -94,6 +94,18 @@ def typed_rows(rows: DataFrame, fields: list[Wire], zone: str = "UTC", raw_bytes
     return rows.select(*[typed(f, F.col(f"`{f.name}`"), zone, raw_bytes).alias(f.name) for f in fields])
 
 
+def typed_image(image: Column, fields: list[Wire], zone: str = "UTC", raw_bytes: bool = False) -> Column:
+    """A struct of values as sent as a struct of typed ones; fields that the struct lacks are null."""
+    return F.when(image.isNotNull(), F.struct(*[typed(f, image[f.name], zone, raw_bytes).alias(f.name) for f in fields]))
+
+
+def typed_records(records: DataFrame, fields: list[Wire], zone: str = "UTC", raw_bytes: bool = False) -> DataFrame:
+    """Decoded records with typed images."""
+    have = set(records.schema["row"].dataType.names)
+    own = [f for f in fields if f.name in have]
+    return records.withColumns({c: typed_image(F.col(c), own, zone, raw_bytes) for c in ("before", "after", "row")})
+
+
 def row_fields(fields: list[Wire]) -> str:
     """The fields as a DDL string, for a descriptor or an envelope's row."""
     return ", ".join(f"`{f.name}` {spark_type(f)}{'' if f.optional else ' NOT NULL'}" for f in fields)

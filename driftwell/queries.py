@@ -55,7 +55,7 @@ def records(spark: SparkSession, d: str) -> DataFrame:
 
 def versioned(spark: SparkSession, d: str, **options) -> DataFrame:
     r = records(spark, d)
-    number = versions.version(F.col("ts_ms"), F.col("gtid"), versions.positional_version(F.col("ts_ms"), F.col("offset")))
+    number = versions.version(F.col("ts_ms"), F.col("gtid"), versions.time_version(F.col("ts_ms")))
     return state.replacing_rows(r, number, F.col("offset"), **options).select("key.user_id", "row.event_type", "operation", state.VERSION, state.SEQ, state.SIGN if options.get("signed") else state.DELETED)
 
 
@@ -139,14 +139,8 @@ def micro_timestamp(spark, d):
     return table(spark, d, "events").select("event_id", temporal.micro_timestamp(spread_micros()).alias("t"))
 
 
-@query(f"SELECT event_id, CASE WHEN v > 10413791999999 THEN '2299-12-31 23:59:59.999' WHEN v < -2208988800000 THEN '1900-01-01 00:00:00.000' ELSE substr(strftime(make_timestamp(v * 1000), '%Y-%m-%d %H:%M:%S.%f'), 1, 23) END AS t FROM (SELECT event_id, CAST(floor({WIDE} / 1000.0) AS BIGINT) AS v FROM events WHERE event_id % 9 = 4 OR event_id % 9 IN (0, 8))")
-def timestamp_ms(spark, d):
-    millis = ((spread_micros() - F.pmod(spread_micros(), F.lit(1000))) / 1000).cast("long")
-    return table(spark, d, "events").where("event_id % 9 = 4 OR event_id % 9 IN (0, 8)").select("event_id", temporal.milli_timestamp(millis).alias("t"))
-
-
 @query(f"SELECT event_id, CASE WHEN v > 10413791999999 THEN '2299-12-31 23:59:59.999' WHEN v < -2208988800000 THEN '1900-01-01 00:00:00.000' ELSE substr(strftime(make_timestamp(v * 1000), '%Y-%m-%d %H:%M:%S.%f'), 1, 23) END AS t FROM (SELECT event_id, (w - (w % 1000 + 1000) % 1000) // 1000 AS v FROM (SELECT event_id, {WIDE} AS w FROM events))")
-def timestamp_ms_all_rows(spark, d):
+def timestamp_ms(spark, d):
     millis = F.expr("(v - pmod(v, 1000)) div 1000")
     return table(spark, d, "events").select("event_id", spread_micros().alias("v")).select("event_id", temporal.milli_timestamp(millis).alias("t"))
 
@@ -286,22 +280,22 @@ def snowflake_version(spark, d):
     return records(spark, d).select(F.col("offset").alias("event_id"), versions.snowflake(F.col("ts_ms"), F.col("gtid")).alias("version"))
 
 
-@query(LOG + f"SELECT event_id, CASE WHEN event_id % 3 = 0 THEN ms * 1000000 + event_id % 1000000 WHEN event_id % 3 = 1 THEN event_id + 1 ELSE {SNOWFLAKE} END AS version FROM cl")
+@query(LOG + f"SELECT event_id, CASE WHEN event_id % 3 = 0 THEN ms * 1000000 WHEN event_id % 3 = 1 THEN event_id + 1 ELSE {SNOWFLAKE} END AS version FROM cl")
 def version_choice(spark, d):
     gtid = F.when(F.col("offset") % 3 == 0, F.lit(-1)).otherwise(F.col("gtid"))
-    seq = versions.positional_version(F.col("ts_ms"), F.col("offset"))
+    seq = versions.time_version(F.col("ts_ms"))
     number = F.when(F.col("offset") % 3 == 1, versions.version(F.col("ts_ms"), gtid, seq, use_snowflake=False)).otherwise(versions.version(F.col("ts_ms"), gtid, seq))
     return records(spark, d).select(F.col("offset").alias("event_id"), number.alias("version"))
 
 
-@query(LOG + "SELECT event_id, (ms + 5) * 1000000 AS base FROM cl")
-def sequence_base(spark, d):
-    """The time part of sequence numbers; the count after it is checked in the tests."""
-    out = versions.with_sequence(records(spark, d).select("topic", "partition", "offset", "cdc_ts_ms"), ["topic", "partition"], ["offset"])
-    return out.select(F.col("offset").alias("event_id"), (F.col("cdc_ts_ms") * 1_000_000).alias("base"))
+#: The count begins again two seconds or more after the first record since it last did, so it is carried from record to record.
+SEQUENCE = LOG.replace("WITH e AS", "WITH RECURSIVE e AS") + """, o AS (SELECT event_id, ms + 5 AS t, row_number() OVER (PARTITION BY {part} ORDER BY event_id) AS i, {part} AS p FROM cl),
+s AS (SELECT p, event_id, i, t, t AS start, 1000000001 AS n FROM o WHERE i = 1
+ UNION ALL SELECT o.p, o.event_id, o.i, o.t, CASE WHEN o.t - s.start >= 2000 THEN o.t ELSE s.start END, CASE WHEN o.t - s.start >= 2000 THEN 1000000000 ELSE s.n + 1 END FROM s JOIN o ON o.i = s.i + 1 AND o.p = s.p)
+SELECT event_id, t * 1000000 + n AS sequence FROM s"""
 
 
-@query()
+@query(SEQUENCE.format(part="0"))
 def sequence_version(spark, d):
     out = versions.with_sequence(records(spark, d).select("topic", "partition", "offset", "cdc_ts_ms"), ["topic", "partition"], ["offset"])
     return out.select(F.col("offset").alias("event_id"), "sequence")
@@ -327,7 +321,7 @@ def row_policy(spark, d):
 
 @query(FINAL)
 def collapsing_final(spark, d):
-    number = versions.positional_version(F.col("ts_ms"), F.col("offset"))
+    number = versions.time_version(F.col("ts_ms"))
     rows = state.collapsing_rows(records(spark, d), number, F.col("offset")).select("key.user_id", "row.event_type", state.SIGN, state.VERSION, state.SEQ)
     return state.collapse(rows, ["user_id"], [state.VERSION, state.SEQ]).select("user_id", "event_type")
 
@@ -335,8 +329,9 @@ def collapsing_final(spark, d):
 @query(LOG + "SELECT user_id, count(*) AS changes, sum(CASE WHEN op IN ('c', 'r') THEN 1 WHEN op = 'd' THEN -1 ELSE 0 END)::BIGINT AS sign FROM cl GROUP BY user_id")
 def collapsing_signs(spark, d):
     r = records(spark, d)
-    rows = state.collapsing_rows(r, F.col("offset"), F.col("offset")).select("key.user_id", state.SIGN, state.SEQ)
-    return rows.groupBy("user_id").agg(F.count_distinct(state.SEQ).alias("changes"), F.sum(state.SIGN).alias("sign"))
+    rows = state.collapsing_rows(r, F.col("offset"), F.col("offset")).select("key.user_id", state.SIGN, state.SEQ, "operation")
+    first_part = (F.col("operation") != "UPDATE") | (F.col(state.SIGN) > 0)  # an update gives two rows
+    return rows.groupBy("user_id").agg(F.count(F.when(first_part, True)).alias("changes"), F.sum(state.SIGN).alias("sign"))
 
 
 @query(LOG + "SELECT user_id, event_type, event_id FROM cl WHERE op <> 'd'")
@@ -528,10 +523,10 @@ def batch_min_max(spark, d):
     return metrics.batch_bounds(records(spark, d), F.floor(F.col("offset") / 1000))
 
 
-@query(LOG + f"SELECT 'srv.shop.user_state' AS topic, {NOW_MS} - min(ms) AS source_lag_ms, {NOW_MS} - min(ms + 5) AS cdc_lag_ms, max(event_id + 1) AS max_gtid, max(event_id) AS max_pos, max(event_id) AS max_offset, arg_max(CAST(event_id % 6 AS INTEGER), event_id) AS partition_at_max FROM cl")
+@query(LOG + f"SELECT 'srv.shop.user_state' AS topic, {NOW_MS} - min(ms) AS source_lag_ms, {NOW_MS} - min(ms + 5) AS cdc_lag_ms, max(event_id + 1) AS max_gtid, max(event_id) AS max_pos, max(event_id) AS max_offset, 'log.' || lpad(CAST(arg_max(event_id, (ms, event_id)) // 4096 AS VARCHAR), 6, '0') AS last_file, arg_max(CAST(event_id % 6 AS INTEGER), event_id) AS partition_at_max FROM cl")
 def lag_by_topic(spark, d):
     r = records(spark, d).withColumn("partition", (F.col("offset") % 6).cast("int"))
-    return metrics.topic_lag(r, F.lit(NOW_MS)).drop("last_file")
+    return metrics.topic_lag(r, F.lit(NOW_MS))
 
 
 @query(LOG + "SELECT 'srv.shop.user_state' AS topic, count(*) AS records, 0::BIGINT AS errors, 0::BIGINT AS ddl FROM cl")
@@ -656,7 +651,7 @@ def snapshot_union_stream(spark, d):
     rows = table(spark, d, "customer").select(F.col("c_custkey").alias("user_id"), F.col("c_mktsegment").alias("event_type"))
     log = align.snapshot_and_stream(snapshot_events(rows, TOPIC, ["user_id"], "shop", "user_state", 1), events_log(spark, d))
     r = envelope.decode(log)
-    number = versions.positional_version(F.col("ts_ms"), F.col("offset"))
+    number = versions.time_version(F.col("ts_ms"))
     return state.final(state.replacing_rows(r, number, F.col("offset")).select("key.user_id", "row.event_type", state.VERSION, state.SEQ, state.DELETED), ["user_id"]).select("user_id", "event_type")
 
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -52,6 +54,29 @@ def backfill(rows: DataFrame, signal: str, **names) -> DataFrame:
     return snapshot_events(rows.where(signal), **names)
 
 
+def signalled(data: str) -> list[tuple[str, str | None]]:
+    """(database.table, condition) of the data of a signal that asks for an incremental snapshot, a JSON text."""
+    asked = json.loads(data)
+    conditions = {c["data-collection"]: c["filter"] for c in asked.get("additional-conditions", [])}
+    common = asked.get("additional-condition")
+    return [(name, conditions.get(name, common)) for name in asked.get("data-collections", [])]
+
+
+def incremental_snapshot(signals: DataFrame, tables: dict[str, DataFrame], keys: dict[str, list[str]], prefix: str, ts_ms: int) -> list[DataFrame]:
+    """Snapshot events of the tables (database.table) that rows of the signal table ask for, in the order of the signals.
+
+    signals: (id, type, data); types other than execute-snapshot are passed over, tables that aren't known too.
+    The events have the time of the signal: a change that came later wins over them.
+    """
+    out = []
+    for r in signals.where("type = 'execute-snapshot'").orderBy("id").select("data").toLocalIterator():
+        for name, condition in signalled(r["data"]):
+            if name in tables:
+                db, _, table = name.rpartition(".")
+                out.append(backfill(tables[name], condition or "true", topic=f"{prefix}.{name}", key=keys[name], db=db, table=table, ts_ms=ts_ms))
+    return out
+
+
 def events_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A valid change log over the table events: each user's state is the type of the last event; an error deletes it.
 

@@ -9,10 +9,10 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..operators.state import DELETED, SEQ, VERSION
+from ..operators.state import SEQ, VERSION
 from ..operators.verify import chunk, key_chunks
 from ..plans.ddl import BYTES, Action, parse, unquoted
-from ..plans.tables import Descriptor, Warehouse, described
+from ..plans.tables import TIME, Descriptor, Warehouse, described
 from ..plans.store import Files
 
 #: Versions of loaded rows: below any change that follows.
@@ -52,9 +52,14 @@ def read_tsv(spark: SparkSession, path: str, columns: T.StructType) -> DataFrame
 
 def unescaped(text: Column) -> Column:
     """\\N as null; \\t, \\n, \\0 and doubled backslashes as what they stand for."""
-    out = F.replace(text, F.lit("\\\\"), F.lit("\u0001"))
-    for mark, meant in (("\\t", "\t"), ("\\n", "\n"), ("\\r", "\r"), ("\\0", "\0"), ("\u0001", "\\")):
-        out = F.replace(out, F.lit(mark), F.lit(meant))
+
+    def plain(part: Column) -> Column:
+        for mark, meant in (("\\t", "\t"), ("\\n", "\n"), ("\\r", "\r"), ("\\0", "\0")):
+            part = F.replace(part, F.lit(mark), F.lit(meant))
+        return part
+
+    # an escape begins at the first of a run of backslashes, so pairs from the left are doubled ones
+    out = F.array_join(F.transform(F.split(text, r"\\\\", -1), plain), "\\")
     return F.when(text == "\\N", F.lit(None).cast("string")).otherwise(out)
 
 
@@ -87,7 +92,7 @@ def load_dump(warehouse: Warehouse, a: Action, rows: DataFrame, database: str =
     if truncate:
         warehouse.truncate(d, None)
         d = warehouse.load(d.database, d.name)
-    loaded = typed(rows, a).withColumns({VERSION: F.lit(LOAD_VERSION).cast("bigint"), SEQ: F.lit(0).cast("bigint"), d.deleted: F.lit(0)})
+    loaded = typed(rows, a).withColumns({VERSION: F.lit(LOAD_VERSION).cast("bigint"), SEQ: F.lit(0).cast("bigint"), TIME: F.lit(0).cast("bigint"), d.deleted: F.lit(0)})
     warehouse.append(d, loaded, "load")
     return d
 

@@ -2,63 +2,90 @@
 
 from __future__ import annotations
 
+import re
 import time
+from collections import deque
+from concurrent.futures import ThreadPoolExecutor
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark import inheritable_thread_target
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..operators.dedup import deduplicate
 from ..operators.envelope import decode, schema_changes, with_metadata
 from ..operators.state import DELETED, SEQ, VERSION, collapsing_rows
-from ..operators.versions import positional_version, version
-from ..plans.ddl import DdlError, drops_or_truncates, parse
+from ..operators.versions import time_version, version
+from ..plans.ddl import Action, DdlError, drops_or_truncates, parse, unquoted
 from ..plans.routing import database_of, included, table_of_topic
 from ..plans.settings import Settings
-from ..plans.tables import COLLAPSING, TRUNCATE, Descriptor, Warehouse, described_by_schema
-from ..functions.values import raw_json
-from .offsets import SchemaHistory
+from ..plans.tables import COLLAPSING, PLACE, TIME, TRUNCATE, Descriptor, Warehouse, described_by_schema
+from ..plans.types import Wire, typed_records
+from ..functions.values import raw_json, resolve_zone
+from .offsets import SchemaHistory, TopicOffsets
+
+
+#: Tables that are written at the same time.
+WRITERS = 8
 
 
 class Applier:
     """Writes envelopes into the warehouse's tables.
 
     A batch is cut at its schema changes, which are few and come to the driver; the data between two of
-    them is written, then the change is made. What is written is named by the log positions it holds, so
-    a batch that comes again finds it there; versions come from the log, so events that come again in
-    other batches lose nothing and change nothing either.
+    them is written, then the change is made. Events are before or after a change by offset if they come
+    from its topic and partition, else by the source's time. What is written is named by the log positions
+    it holds, so a batch that comes again finds it there; versions come from the log, so events that come
+    again in other batches lose nothing and change nothing either.
+
+    include: patterns of database.table, for rows and for schema changes. wires: by table, how the
+    capture engine sends its values. offsets: where the greatest offsets are kept, if the settings ask.
     """
 
-    def __init__(self, warehouse: Warehouse, settings: Settings | None = None, include: list[str] | None = None, keys: dict[str, tuple[str, ...]] | None = None, history: SchemaHistory | None = None):
+    def __init__(self, warehouse: Warehouse, settings: Settings | None = None, include: list[str] | None = None, keys: dict[str, tuple[str, ...]] | None = None, history: SchemaHistory | None = None, wires: dict[str, list[Wire]] | None = None, offsets: TopicOffsets | None = None):
         self.warehouse, self.settings, self.include, self.keys = warehouse, settings or Settings(), include, keys or {}
-        self.history = history
+        self.history, self.wires, self.offsets = history, wires or {}, offsets
         self.failed: list[tuple[int, str, str]] = []
+        self.seen: dict[str, deque[str]] = {}  # by topic, the last keys, for deduplication
+        self.zone = resolve_zone(self.settings.zone)
+        self.mark = "" if self.settings.delete_column == "sign" else self.settings.delete_column
 
     def __call__(self, events: DataFrame, batch: int) -> None:
         events = events.persist()
         try:
-            ddl = [] if self.settings.disable_ddl else sorted(schema_changes(events).select("offset", "ddl", F.col("value.source.db").alias("db"), F.col("value.source.snapshot").alias("snapshot")).collect())
-            start = None
-            for change in [*ddl, None]:
-                part = events
-                if start is not None:
-                    part = part.where(F.col("offset") > start)
-                if change is not None:
-                    part = part.where(F.col("offset") <= change.offset)
-                self.rows(part)
-                if change is not None:
-                    self.change(change)
-                    start = change.offset
+            source = F.col("value.source")
+            found = schema_changes(events).select("topic", "partition", "offset", "ddl", source["db"].alias("db"), source["snapshot"].alias("snapshot"), source["ts_ms"].alias("ts_ms"))
+            ddl = [] if self.settings.disable_ddl else [r for r in found.collect() if r.snapshot != "true" or self.settings.snapshot_ddl]
+            ddl.sort(key=lambda r: (r.ts_ms or 0, r.topic, r.partition, r.offset))
+            if not ddl:
+                self.rows(events, batch)
+            else:
+                staged = events.withColumn("__stage", stage(ddl))
+                full = {r["__stage"] for r in staged.where("ddl IS NULL").select("__stage").distinct().collect()}
+                for i, change in enumerate([None, *ddl]):
+                    if change is not None:
+                        self.change(change)
+                    if i in full:
+                        self.rows(staged.where(F.col("__stage") == i).drop("__stage"), batch)
+            if self.offsets is not None and self.settings.store_offsets:
+                self.offsets.put(events, batch)
         finally:
             events.unpersist()
 
+    def wanted(self, action: Action, db: str) -> bool:
+        """Whether the include patterns let a schema change through."""
+        if not self.include or not action.table:
+            return True
+        db = unquoted(action.database or db)
+        name = f"{self.settings.databases.get(db, db)}.{unquoted(action.table)}"
+        return any(re.fullmatch(p, name) for p in self.include)
+
     def change(self, row) -> None:
         s = self.settings
-        if row.snapshot == "true" and not s.snapshot_ddl:
-            return
         for attempt in range(10 if s.ddl_retry else 1):
             try:
                 if not (s.disable_drop_truncate and drops_or_truncates(row.ddl)):
-                    self.warehouse.execute(parse(row.ddl), row.db or "", s.databases, row.offset)
+                    actions = [a for a in parse(row.ddl) if self.wanted(a, row.db or "")]
+                    self.warehouse.execute(actions, row.db or "", s.databases, row.offset, f"{row.topic}/{row.partition}", row.ts_ms, self.mark)
                     if self.history is not None:
                         self.history.append(row.offset, row.db or "", row.ddl)
                 return
@@ -68,7 +95,7 @@ class Applier:
                     time.sleep(10)
         self.failed.append((row.offset, row.ddl, str(problem)))
 
-    def rows(self, events: DataFrame) -> None:
+    def rows(self, events: DataFrame, batch: int) -> None:
         """Row changes of one stretch without schema changes, each table's by itself."""
         s = self.settings
         placed = events.withColumn("__table", table_of_topic(F.col("topic"), s.topics)).withColumn("__db", database_of(F.coalesce(F.col("value.source.db"), F.element_at(F.split("topic", r"\."), -2)), s.databases))
@@ -77,41 +104,81 @@ class Applier:
         placed = placed.where("__table IS NOT NULL AND value IS NOT NULL AND ddl IS NULL")
         spot = F.pmod(F.xxhash64("topic", "partition", "offset"), F.lit(1 << 31))
         tables = placed.groupBy("__db", "__table").agg(F.min("offset").alias("lo"), F.max("offset").alias("hi"), F.sum(spot).alias("sum")).collect()  # a row a table
-        for r in tables:
+
+        def write(r) -> None:
             own = placed.where((F.col("__db") == r["__db"]) & (F.col("__table") == r["__table"])).drop("__db", "__table")
             self.table_rows(own.coalesce(1) if s.single_threaded else own, r["__db"], r["__table"], f"{r['lo']}-{r['hi']}-{r['sum']}")
 
+        if s.single_threaded or len(tables) < 2:
+            for r in tables:
+                write(r)
+        else:
+            with ThreadPoolExecutor(min(WRITERS, len(tables))) as pool:
+                list(pool.map(inheritable_thread_target(self.warehouse.spark)(write), tables))
+        if s.deduplication_policy == "old" and s.buffer_count:
+            self.remember(placed)
+
+    def remember(self, events: DataFrame) -> None:
+        """Keep the last `buffer_count` keys of each topic, as texts."""
+        last = F.row_number().over(Window.partitionBy("topic").orderBy(F.desc("partition"), F.desc("offset")))
+        kept = events.select("topic", "partition", "offset", F.to_json("key").alias("k")).withColumn("n", last).where((F.col("n") <= self.settings.buffer_count) & F.col("k").isNotNull())
+        for r in kept.orderBy("topic", F.desc("n")).select("topic", "k").collect():  # buffer_count a topic
+            self.seen.setdefault(r["topic"], deque(maxlen=self.settings.buffer_count)).append(r["k"])
+
+    def unseen(self, records: DataFrame) -> DataFrame:
+        """Records whose key is not among those remembered of its topic."""
+        known = [(t, k) for t, keys in self.seen.items() for k in set(keys)]
+        if not known or self.settings.deduplication_policy != "old":
+            return records
+        frame = self.warehouse.spark.createDataFrame(known, "topic string, __k string")
+        return records.withColumn("__k", F.to_json("key")).join(F.broadcast(frame), ["topic", "__k"], "left_anti").drop("__k")  # buffer_count keys a topic
+
     def table_rows(self, events: DataFrame, db: str, name: str, batch: str) -> None:
         s, w = self.settings, self.warehouse
-        records = decode(events)
+        records = self.unseen(decode(events))
+        if name in self.wires:
+            records = typed_records(records, self.wires[name], self.zone, s.raw_bytes)
         image = records.schema["row"].dataType
         if not w.exists(db, name):
             if not s.auto_create:
                 return
-            w.save(described_by_schema(db, name, image, self.keys.get(name, tuple(records.schema["key"].dataType.names))))
+            w.save(described_by_schema(db, name, image, self.keys.get(name, tuple(records.schema["key"].dataType.names)), deleted=self.mark, replicated=s.replicated))
         d = w.load(db, name)
         if s.evolve:
             d = w.evolve(d, image)
         records = deduplicate(records, s.deduplication_policy, ["topic", "key"], ["partition", "offset"])
         w.append(d, target_rows(records, d, s), batch)
+        if s.compact_after:
+            w.tidy(db, name, s.compact_after)
+
+
+def stage(changes: list) -> Column:
+    """How many of the changes, sorted, an event comes after: the number of the last one that it is after."""
+    out = F.lit(0)
+    for i, c in enumerate(changes, 1):
+        here = (F.col("topic") == c.topic) & (F.col("partition") == c.partition)
+        later = F.coalesce(F.col("value.source.ts_ms") >= c.ts_ms, F.lit(True)) if c.ts_ms is not None else F.lit(True)
+        out = F.when(F.when(here, F.col("offset") > c.offset).otherwise(later), F.lit(i)).otherwise(out)
+    return out
 
 
 def target_rows(records: DataFrame, d: Descriptor, s: Settings) -> DataFrame:
     """Log rows of a table: the image's columns, version, place and mark; truncates as markers."""
     seq = F.col("offset")
-    number = version(F.col("ts_ms"), F.col("gtid"), positional_version(F.col("ts_ms"), seq), s.snowflake)
+    number = version(F.col("ts_ms"), F.col("gtid"), time_version(F.col("ts_ms")), s.snowflake)
+    spot = [F.concat_ws("/", "topic", "partition").alias(PLACE), F.col("ts_ms").alias(TIME)]
     if s.ignore_delete:
         records = records.where("operation <> 'DELETE'")
     if s.store_metadata:
         records = with_metadata(records)
-    cut = records.where("operation = 'TRUNCATE'").select(number.alias(VERSION), seq.alias(SEQ), F.lit(True).alias(TRUNCATE))
+    cut = records.where("operation = 'TRUNCATE'").select(number.alias(VERSION), seq.alias(SEQ), F.lit(True).alias(TRUNCATE), *spot)
     data = records.where("operation <> 'TRUNCATE'")
     extra = [c for c in records.columns if c.startswith("_")] if s.store_metadata else []
     if d.engine == COLLAPSING:
-        marked = collapsing_rows(data, number, seq).select("row.*", VERSION, SEQ, "_sign", *extra)
+        marked = collapsing_rows(data, number, seq).select("row.*", VERSION, SEQ, "_sign", *spot, *extra)
     else:
         gone = (F.col("operation") == "DELETE").cast("int")
-        marked = data.select("row.*", number.alias(VERSION), seq.alias(SEQ), gone.alias(d.deleted or DELETED), *extra)
+        marked = data.select("row.*", number.alias(VERSION), seq.alias(SEQ), gone.alias(d.deleted or DELETED), *spot, *extra)
     if s.store_raw and s.raw_column:
         names = records.schema["row"].dataType.names
         marked = marked.withColumn(s.raw_column, raw_json(*names))

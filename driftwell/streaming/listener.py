@@ -46,7 +46,7 @@ class Metrics(StreamingQueryListener):
         """A line a figure: name{labels} value."""
         self.set("uptime_seconds", round(time.time() - self.began))
         shown = lambda labels: "{" + ",".join(f'{k}="{v}"' for k, v in labels) + "}" if labels else ""
-        return "".join(f"{name}{shown(labels)} {value:g}\n" for (name, labels), value in sorted(self.values.items()))
+        return "".join(f"{name}{shown(labels)} {int(value) if value.is_integer() else value}\n" for (name, labels), value in sorted(self.values.items()))
 
     def onQueryStarted(self, event) -> None:
         self.add("queries_started", 1)

@@ -8,6 +8,7 @@ import uuid
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..operators.metrics import max_offsets
 from ..operators.state import latest
 
 STATE = "id string, offset_key string, offset_val string, record_insert_ts timestamp, record_insert_seq long, _version long"
@@ -81,6 +82,24 @@ def status(states: DataFrame, now_s: Column) -> DataFrame:
     return states.select("offset_key", (now_s - ts).alias("seconds_behind_source"), seconds_text(ts).alias("utc_time"), F.get_json_object("offset_val", "$.file").alias("file"), F.get_json_object("offset_val", "$.pos").cast("long").alias("pos"))
 
 
+class TopicOffsets:
+    """The greatest offset applied of each topic and partition; each batch adds its own, the greatest counts."""
+
+    KIND = "topic string, partition int, max_offset long"
+
+    def __init__(self, spark: SparkSession, path: str):
+        self.spark, self.path = spark, path.rstrip("/")
+
+    def put(self, events: DataFrame, batch: int) -> None:
+        max_offsets(events).coalesce(1).write.mode("overwrite").parquet(f"{self.path}/batch={batch}")
+
+    def rows(self) -> DataFrame:
+        from ..plans.store import Files
+
+        found = [f"{self.path}/{n}" for n in Files(self.spark).names(self.path) if n.startswith("batch=")]
+        return max_offsets(self.spark.read.schema(self.KIND).parquet(*found).withColumnRenamed("max_offset", "offset")) if found else self.spark.createDataFrame([], self.KIND)
+
+
 class SchemaHistory:
     """Schema changes as they were applied, in order; append-only text lines of JSON."""
 

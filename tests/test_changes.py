@@ -1,5 +1,6 @@
 """Envelopes, versions, state, dedup, metrics, alignment, verification."""
 
+import datetime
 import itertools
 import random
 
@@ -90,7 +91,7 @@ def random_log(seed, n=200):
 def test_state_equals_plain_replay(spark, seed):
     rows = random_log(seed)
     records = envelope.decode(events(spark, rows))
-    v = versions.positional_version(F.col("ts_ms"), F.col("offset"))
+    v = versions.time_version(F.col("ts_ms"))
     log = state.replacing_rows(records, v, F.col("offset")).select(F.col("row.id").alias("id"), F.col("row.name").alias("name"), "operation", state.VERSION, state.SEQ, state.DELETED)
     got = {r.id: r["name"] for r in state.final(state.truncate_cut(log), ["id"]).collect()}
     assert got == replay(rows)
@@ -147,7 +148,10 @@ def test_align(spark):
     got = align.align(rows, T.StructType.fromDDL("b string, a int, c double, g string"), {"g": "concat(a, '!')"})
     assert got.columns == ["b", "a", "c", "g"]
     assert tuple(got.first()) == (None, 7, None, "7!")  # names are looked up case-sensitively
-    assert tuple(align.align(rows, T.StructType.fromDDL("B string, extra date")).first()) == ("x", None)
+    assert tuple(align.align(rows, T.StructType.fromDDL("B string, extra date")).first()) == ("x", datetime.date(1970, 1, 2))  # whole numbers are days
+    assert tuple(align.align(rows, T.StructType.fromDDL("B string, extra array<int>")).first()) == ("x", None)
+    lost = align.unfit(rows, T.StructType.fromDDL("a int, B int, extra array<int>, new int"))
+    assert rows.select(lost).first()[0] == 2 and align.unfit(rows, T.StructType.fromDDL("a string, z int")) is None
 
 
 def test_evolved():
