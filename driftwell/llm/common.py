@@ -86,6 +86,12 @@ def drop_scratch(spark: SparkSession, since: int = 0, keep: int = 0) -> None:
     del _tables[since : len(_tables) - keep]
 
 
+def apart(keep: tuple[str, ...], *new: str) -> tuple[str, ...]:
+    """The columns of `keep` whose names are not those of new columns; Spark tells no A from a."""
+    taken = {n.lower() for n in new}
+    return tuple(c for c in keep if c.lower() not in taken)
+
+
 def byte_texts(column: pa.Array) -> list[bytes | None]:
     """UTF-8 bytes of each text."""
     return column.cast(pa.large_binary()).to_pylist()

@@ -1,18 +1,16 @@
 """Operator 8, SimHash near-dedup: segment-popcount embedding with a grid range-join.
 
-A fingerprint (or a block of its bits) is cut into segments; its bit counts per segment are a point of
-an integer grid. Manhattan distance there never exceeds Hamming distance, so fingerprints at two
-differing bits or fewer lie at Manhattan distance two or less, and then some grid cell is at most one
-step away from both. Each fingerprint visits its own cell and all cells one step away; those that meet
-in a cell are compared exactly. Only distinct fingerprints take part, and a cell sends out a spanning
-forest of its links, not all pairs.
+A fingerprint is cut into segments of four bits; its bit counts per segment are a point of an integer
+grid. Manhattan distance there never exceeds Hamming distance, so fingerprints at two differing bits or
+fewer lie at Manhattan distance two or less, and then some grid cell is at most one step away from both.
+Each fingerprint visits its own cell and all cells one step away; those that meet in a cell are compared
+exactly. Only distinct fingerprints take part, and a cell sends out a spanning forest of its links, not
+all pairs.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
-from dataclasses import dataclass
-from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -20,52 +18,14 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import components, release, slices, written
+from .common import apart, components, slices, written
 
 #: Members of a cell that are compared in one group; a larger cell is dealt out as pairs of chunks.
 CHUNK = 2048
-
-
-@dataclass(frozen=True)
-class Block:
-    """Bits shift .. shift + bits - 1 of fingerprint word `word`, in segments of `segment` bits (1 or 4)."""
-
-    word: int
-    shift: int
-    bits: int
-    segment: int
-
-
-#: One block of 64 bits: complete for links of two differing bits.
-WHOLE = (Block(0, 0, 64, 4),)
-#: Six blocks of 30 bits of a 192-bit fingerprint, for links of more bits: a pair is found if one block differs in two bits or fewer.
-SIX = tuple(Block(word, shift, 30, 1) for word in range(3) for shift in (0, 32))
-
-
-@dataclass(frozen=True)
-class Bands:
-    """Bands first .. first + count - 1: each is `bits` drawn bits of the whole fingerprint, and a cell is a band with its bits' values.
-
-    Fingerprints meet if they agree in one band. Shuffles of all bits are cut into bands one after the
-    other, so the bands of a shuffle share no bit.
-    """
-
-    first: int
-    count: int
-    bits: int = 20
-
-    def weights(self, words: int) -> np.ndarray:
-        """Words x 64 rows, a column for each band: bits times this are the bands' values (exact up to 24 bits)."""
-        out, each = np.zeros((words * 64, self.count), dtype=np.float32), words * 64 // self.bits
-        for k in range(self.count):
-            turn, part = divmod(self.first + k, each)
-            at = np.argsort(np.random.RandomState(turn).random_sample(words * 64), kind="stable")[part * self.bits : (part + 1) * self.bits]
-            out[at, k] = 2.0 ** np.arange(self.bits)
-        return out
-
-
-#: 252 bands in seven passes: of pairs at similarity 0.8 (29 of 192 bits differ on average) about 98 in 100 agree in one.
-BANDS = tuple(Bands(first, 36) for first in range(0, 252, 36))
+#: Groups of so many members or fewer are compared row by row, many groups at once.
+SMALL = 8
+#: Texts whose fingerprints one file of a scratch table holds at least.
+TEXTS_A_FILE = 5_000
 
 
 def shingle_hashes(text: bytes | None, words: int, seed: int) -> list[int]:
@@ -116,17 +76,8 @@ def popcounts(half: Column) -> Column:
     return two.bitwiseAND(0x33333333) + F.shiftrightunsigned(two, 2).bitwiseAND(0x33333333)
 
 
-def visited(block: Block) -> Column:
-    """Array of the grid cells that a fingerprint visits for this block, as long values."""
-    word = F.shiftrightunsigned(F.col(f"f{block.word}"), block.shift) if block.shift else F.col(f"f{block.word}")
-    if block.segment == 1:  # a segment's count is its bit: a step flips it
-        if block.bits > 40:
-            raise ValueError("blocks of 1-bit segments hold 40 bits at most")
-        value = word.bitwiseAND((1 << block.bits) - 1)
-        steps = [value, *[value.bitwiseXOR(1 << i) for i in range(block.bits)]]
-        return F.array(*steps)
-    if (block.segment, block.bits, block.shift) != (4, 64, 0):
-        raise ValueError("4-bit segments are for whole words")
+def visited(word: Column) -> Column:
+    """Array of the grid cells that a fingerprint visits: its 16 bit counts, four bits each, and all a step away."""
     packed = F.shiftleft(popcounts(F.shiftrightunsigned(word, 32)), 32) + popcounts(word.bitwiseAND(0xFFFFFFFF))
     steps = [packed]
     for i in range(0, 64, 4):
@@ -135,84 +86,42 @@ def visited(block: Block) -> Column:
     return F.array_compact(F.array(*steps))
 
 
-def visited_cells(block: Block | Bands, words: np.ndarray) -> np.ndarray:
-    """The same for rows of words (uint64) in numpy: rows x steps, -1 for steps that leave the grid. Of bands: rows x bands."""
+def visited_cells(words: np.ndarray) -> np.ndarray:
+    """The same in numpy: rows x steps, -1 for steps that leave the grid."""
     u = np.uint64
-    if isinstance(block, Bands):
-        bits = np.unpackbits(np.ascontiguousarray(words).view(np.uint8), axis=1, bitorder="little").astype(np.float32)
-        return (bits @ block.weights(words.shape[1])).astype(np.int64) + (np.arange(block.first, block.first + block.count) << 32)
-    word = words[:, block.word] >> u(block.shift)
-    if block.segment == 1:
-        value = (word & u((1 << block.bits) - 1)).astype(np.int64)
-        return np.concatenate([value[:, None], value[:, None] ^ (np.int64(1) << np.arange(block.bits))], axis=1)
-    two = (word & u(0x5555555555555555)) + ((word >> u(1)) & u(0x5555555555555555))
+    two = (words & u(0x5555555555555555)) + ((words >> u(1)) & u(0x5555555555555555))
     packed = ((two & u(0x3333333333333333)) + ((two >> u(2)) & u(0x3333333333333333))).astype(np.int64)[:, None]
     at = np.arange(0, 64, 4)
     count, step = (packed >> at) & 15, np.int64(1) << at
     return np.concatenate([packed, np.where(count < 4, packed + step, -1), np.where(count > 0, packed - step, -1)], axis=1)
 
 
-def cells_of(nodes: DataFrame, block: Block | Bands) -> DataFrame:
-    """(id, cell) of the cells that each of nodes(id, f0, ..) visits."""
-    if isinstance(block, Block):
-        return nodes.select("id", F.explode(visited(block)).alias("cell"))
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for lo in range(0, batch.num_rows, 2048):
-                ids, *words = [x.to_numpy(zero_copy_only=False).astype(np.int64) for x in batch.slice(lo, 2048).columns]
-                cell = visited_cells(block, np.stack(words, axis=1).view(np.uint64))
-                yield pa.RecordBatch.from_arrays([pa.array(np.repeat(ids, cell.shape[1])), pa.array(cell.ravel())], names=["id", "cell"])
-
-    return nodes.mapInArrow(run, "id long, cell long")
-
-
-def first_meeting(block: Block | Bands, a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """The least cell that both visit, for pairs of rows of words."""
+def first_meeting(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """The least cell that both visit, for pairs of fingerprints."""
     out = np.empty(len(a), dtype=np.int64)
     for lo in range(0, len(a), 4096):
-        x, y = visited_cells(block, a[lo : lo + 4096]), visited_cells(block, b[lo : lo + 4096])
-        both = x == y if isinstance(block, Bands) else ((x[:, :, None] == y[:, None, :]) & (x >= 0)[:, :, None]).any(2)
+        x, y = visited_cells(a[lo : lo + 4096]), visited_cells(b[lo : lo + 4096])
+        both = ((x[:, :, None] == y[:, None, :]) & (x >= 0)[:, :, None]).any(2)
         out[lo : lo + 4096] = np.where(both, x, np.iinfo(np.int64).max).min(1)
     return out
 
 
-def meeting_here(block: Block | Bands, words: np.ndarray, cell: int) -> np.ndarray:
-    """The rows that share no lesser cell with one of the rows: most members of a large cell met before."""
-    if isinstance(block, Bands):  # all rows or, if all met in an earlier band, none
-        before = visited_cells(block, words)[:, : (cell >> 32) - block.first]
-        return np.arange(0 if (before == before[0]).all(0).any() else len(words))
-    _, first, kind = np.unique(visited_cells(block, words)[:, 0], return_index=True, return_inverse=True)
+def meeting_here(words: np.ndarray, cell: int) -> np.ndarray:
+    """The fingerprints that share no lesser cell with one of the others: most members of a large cell met before."""
+    _, first, kind = np.unique(visited_cells(words)[:, 0], return_index=True, return_inverse=True)
     i, j = (x.ravel() for x in np.meshgrid(np.arange(len(first)), np.arange(len(first))))
-    here = first_meeting(block, words[first[i]], words[first[j]]) == cell
+    here = first_meeting(words[first[i]], words[first[j]]) == cell
     use = np.zeros(len(first), dtype=bool)
     use[i[here & ((i != j) | (np.bincount(kind)[i] > 1))]] = True
     use[j[here & ((i != j) | (np.bincount(kind)[i] > 1))]] = True
     return np.flatnonzero(use[kind])
 
 
-def spanning_tree(words: np.ndarray, most: int) -> list[tuple[int, int]]:
-    """Links of `most` bits or fewer of a minimum spanning tree of the rows: for every limit below they connect what all pairs within it do."""
-    best = np.bitwise_count(words ^ words[0]).sum(1)
-    to, left, found = np.zeros(len(words), dtype=np.int64), np.ones(len(words), dtype=bool), []
-    left[0] = False
-    for _ in range(len(words) - 1):
-        i = int(np.where(left, best, 1 << 30).argmin())
-        if best[i] <= most:
-            found.append((int(to[i]), i))
-        left[i] = False
-        far = np.bitwise_count(words ^ words[i]).sum(1)
-        nearer = far < best
-        best, to = np.where(nearer, far, best), np.where(nearer, i, to)
-    return found
-
-
 def forest(words: np.ndarray, most: int) -> list[tuple[int, int]]:
-    """Links that connect what `most` differing bits connect among the rows of words (rows x longs)."""
-    distance = lambda rows, one: np.bitwise_count(words[rows] ^ words[one]).sum(1)
+    """Links that connect what `most` differing bits connect among the fingerprints."""
     open_, cluster, found, clusters = np.arange(len(words)), np.zeros(len(words), dtype=np.int64), [], 0
     while len(open_):
-        near = distance(open_, open_[0]) <= most
+        near = np.bitwise_count(words[open_] ^ words[open_[0]]) <= most
         found += [(int(open_[0]), int(i)) for i in open_[near][1:]]
         cluster[open_[near]] = clusters
         clusters += 1
@@ -220,7 +129,7 @@ def forest(words: np.ndarray, most: int) -> list[tuple[int, int]]:
     if clusters > 1:  # clusters may touch at other members than the first
         largest = np.bincount(cluster).argmax()
         for i in np.flatnonzero(cluster != largest):
-            near = np.flatnonzero((np.bitwise_count(words ^ words[i]).sum(1) <= most) & (cluster != cluster[i]))
+            near = np.flatnonzero((np.bitwise_count(words ^ words[i]) <= most) & (cluster != cluster[i]))
             if len(near):
                 _, first = np.unique(cluster[near], return_index=True)
                 found += [(int(i), int(j)) for j in near[first]]
@@ -241,202 +150,81 @@ def joins(up: dict[int, int], a: int, b: int) -> bool:
     return a != b
 
 
-def links(nodes: DataFrame, block: Block | Bands, levels: tuple[int, ...], apart: bool = False) -> DataFrame:
-    """Links (a, b) between ids of nodes(id, f0, ..): nodes that meet in a cell of the block and differ in levels[-1] bits or fewer.
-
-    The links of each level or fewer bits connect what all such pairs would, without being all of them.
-    apart: nodes(id, root, f0, ..) instead, and every such pair of different roots.
-    """
-    most = levels[-1]
-    words = [c for c in nodes.columns if c not in ("id", "root")]
-    carried = ["root"] if apart else []
+def links(nodes: DataFrame, most: int) -> DataFrame:
+    """Links (a, b) between ids of nodes(id, f0) that connect what all pairs of `most` differing bits or fewer (two at most) would."""
     tasks = int(nodes.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    small = 64 if isinstance(block, Bands) else 8  # bands are cheap to compare
     narrow = nodes.repartition(tasks, "id")  # nodes are narrow, cells many
-    cells = cells_of(narrow.select("id", *words), block)
-    if apart:
-        shared = cells.join(nodes.select("id", "root"), "id").groupBy("cell").agg(F.count("*").alias("n"), F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo < hi").select("cell", "n")
-    else:
-        shared = cells.groupBy("cell").agg(F.count("*").alias("n")).where("n > 1")
+    cells = narrow.select("id", F.explode(visited(F.col("f0"))).alias("cell"))
+    shared = cells.groupBy("cell").agg(F.count("*").alias("n")).where("n > 1")
     chunks = F.ceil(F.col("n") / CHUNK).cast("int")
     met = cells.join(shared, "cell").withColumn("chunks", chunks).withColumn("own", F.pmod(F.xxhash64("id"), F.col("chunks")).cast("int"))
     pairs = met.withColumn("other", F.explode(F.expr("sequence(0, chunks - 1)"))).select("cell", F.least("own", "other").alias("lo"), F.greatest("own", "other").alias("hi"), "id")
-    pairs = pairs.join(nodes, "id").select("cell", "lo", "hi", "id", *carried, *words)
+    pairs = pairs.join(nodes, "id").select("cell", "lo", "hi", "id", "f0")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rest, up = None, [{} for _ in levels]
+        rest, up = None, {}
         for batch in batches:
             now = np.stack([batch.column(i).to_numpy(zero_copy_only=False).astype(np.int64) for i in range(batch.num_columns)], axis=1)
             rest = now if rest is None else np.concatenate([rest, now])
             cut = np.flatnonzero((rest[1:, :3] != rest[:-1, :3]).any(1)) + 1
             if len(cut):
-                yield from every(rest[: cut[-1]]) if apart else compare(rest[: cut[-1]], up)
+                yield from compare(rest[: cut[-1]], up)
                 rest = rest[cut[-1] :]
         if rest is not None and len(rest):
-            yield from every(rest) if apart else compare(rest, up)
+            yield from compare(rest, up)
 
-    def every(rows: np.ndarray) -> Iterator[pa.RecordBatch]:
-        """All links between different roots in rows, whole groups; what meets in several cells comes more than once."""
-        edge = np.concatenate([[0], np.flatnonzero((rows[1:, :3] != rows[:-1, :3]).any(1)) + 1, [len(rows)]])
-        size = np.diff(edge)
-        ids, roots, fps, group = rows[:, 3], rows[:, 4], rows[:, 5:].view(np.uint64), np.repeat(np.arange(len(size)), size)
-
-        def sent(a: np.ndarray, b: np.ndarray) -> pa.RecordBatch:
-            near = np.bitwise_count(fps[a] ^ fps[b]).sum(1) <= most
-            x, y = ids[a[near]], ids[b[near]]
-            return pa.RecordBatch.from_arrays([pa.array(np.minimum(x, y)), pa.array(np.maximum(x, y))], names=["a", "b"])
-
-        for step in range(1, min(64, int(size.max(initial=1)))):
-            at = np.flatnonzero((group[step:] == group[:-step]) & (size[group[step:]] <= 64))
-            at = at[roots[at] != roots[at + step]]
-            if len(at):
-                yield sent(at, at + step)
-        for g in np.flatnonzero(size > 64):
-            for lo in range(edge[g], edge[g + 1], 64):
-                a, b = np.nonzero(roots[lo : min(lo + 64, edge[g + 1]), None] != roots[None, edge[g] : edge[g + 1]])
-                before = a + lo < b + edge[g]
-                if before.any():
-                    yield sent(a[before] + lo, b[before] + edge[g])
-
-    def compare(rows: np.ndarray, up: list[dict[int, int]]) -> Iterator[pa.RecordBatch]:
-        """rows: whole groups, sorted. up: what this task has linked so far by level, so that it sends a forest of each.
+    def compare(rows: np.ndarray, up: dict[int, int]) -> Iterator[pa.RecordBatch]:
+        """rows: whole groups, sorted. up: what this task has linked so far, so that it sends a forest.
 
         Fingerprints that meet in several cells are linked in the least of them only. What a link of a
         later cell would connect is connected by earlier cells, so nothing is lost.
         """
         edge = np.concatenate([[0], np.flatnonzero((rows[1:, :3] != rows[:-1, :3]).any(1)) + 1, [len(rows)]])
         size = np.diff(edge)
-        ids, fps, group = rows[:, 3], rows[:, 4:].view(np.uint64), np.repeat(np.arange(len(size)), size)
+        ids, fps, group = rows[:, 3], rows[:, 4].view(np.uint64), np.repeat(np.arange(len(size)), size)
         a, b = [np.zeros(0, dtype=np.int64)], [np.zeros(0, dtype=np.int64)]
-        for step in range(1, min(small, int(size.max(initial=1)))):  # small groups: row by row, all groups at once
-            at = np.flatnonzero((group[step:] == group[:-step]) & (size[group[step:]] <= small))
-            at = at[np.bitwise_count(fps[at] ^ fps[at + step]).sum(1) <= most]
+        for step in range(1, min(SMALL, int(size.max(initial=1)))):
+            at = np.flatnonzero((group[step:] == group[:-step]) & (size[group[step:]] <= SMALL))
+            at = at[np.bitwise_count(fps[at] ^ fps[at + step]) <= most]
             a.append(at)
             b.append(at + step)
-        for g in np.flatnonzero(size > small):
-            at = edge[g] + meeting_here(block, fps[edge[g] : edge[g + 1]], rows[edge[g], 0])
+        for g in np.flatnonzero(size > SMALL):
+            at = edge[g] + meeting_here(fps[edge[g] : edge[g + 1]], rows[edge[g], 0])
             if len(at) > 1:
-                found = np.array((forest if len(levels) == 1 else spanning_tree)(fps[at], most), dtype=np.int64).reshape(-1, 2)
+                found = np.array(forest(fps[at], most), dtype=np.int64).reshape(-1, 2)
                 a.append(at[found[:, 0]])
                 b.append(at[found[:, 1]])
         a, b = np.concatenate(a), np.concatenate(b)
-        here = first_meeting(block, fps[a], fps[b]) == rows[a, 0]
-        a, b = a[here], b[here]
-        level = np.searchsorted(levels, np.bitwise_count(fps[a] ^ fps[b]).sum(1))
-        turn = np.argsort(level, kind="stable")
-        sent = []
-        for x, y, k in zip(ids[a[turn]].tolist(), ids[b[turn]].tolist(), level[turn].tolist()):
-            if joins(up[k], x, y):
-                sent.append((x, y))
-                for wider in up[k + 1 :]:
-                    joins(wider, x, y)
+        here = first_meeting(fps[a], fps[b]) == rows[a, 0]
+        sent = [(x, y) for x, y in zip(ids[a[here]].tolist(), ids[b[here]].tolist()) if joins(up, x, y)]
         if sent:
             yield pa.RecordBatch.from_arrays([pa.array([x for x, _ in sent], pa.int64()), pa.array([y for _, y in sent], pa.int64())], names=["a", "b"])
 
     return pairs.repartition(tasks, "cell", "lo", "hi").sortWithinPartitions("cell", "lo", "hi").mapInArrow(run, "a long, b long")
 
 
-def grid(nodes: DataFrame, blocks: tuple[Block | Bands, ...], levels: tuple[int, ...], apart: bool = False) -> DataFrame:
-    """links() of all blocks, one after the other: less is shuffled at a time."""
-    found = []
-    for block in blocks:
-        found.append(written(links(nodes, block, levels, apart).distinct(), "simhash-links"))
-        release(nodes.sparkSession)
-    return reduce(DataFrame.unionByName, found)
-
-
-def distinct_prints(prints: DataFrame) -> DataFrame:
-    """nodes(id, f0, ..) of the distinct fingerprints."""
-    words = [c for c in prints.columns if c[0] == "f" and c[1:].isdigit()]
-    return written(prints.select(*words).distinct().withColumn("id", F.monotonically_increasing_id()), "simhash-nodes")
-
-
 def classes(nodes: DataFrame, edges: DataFrame) -> DataFrame:
     """nodes with root: one number for all that edges connect."""
     return nodes.join(components(edges).withColumnRenamed("node", "id"), "id", "left").withColumn("root", F.coalesce("root", "id"))
 
 
-def shingle_sets(texts: DataFrame, words: int) -> DataFrame:
-    """(id, s) of texts(id, text): the sorted hashes of the distinct shingles."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch, raw in slices(batches, "text"):
-            sets = [np.unique(np.array(shingle_hashes(t, words, 42), dtype=np.uint64)).view(np.int64) for t in raw]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sets, pa.list_(pa.int64()))], names=["id", "s"])
-
-    return written(texts.select("id", "text").mapInArrow(run, "id long, s array<long>"), "simhash-sets")
-
-
-def similar(edges: DataFrame, sets: DataFrame, share: float) -> DataFrame:
-    """The edges(a, b) whose sets(id, s) have a similarity of `share` or more, computed exactly; sizes alone rule many out."""
-    sizes = sets.select("id", F.size("s").alias("n"))
-    sized = edges.join(sizes.toDF("a", "na"), "a").join(sizes.toDF("b", "nb"), "b")
-    fit = sized.where(F.least("na", "nb") >= F.lit(share) * F.greatest("na", "nb") - 1e-9).select("a", "b")
-    both = fit.join(sets.toDF("a", "sa"), "a").join(sets.toDF("b", "sb"), "b")
-    common = F.size(F.array_intersect("sa", "sb"))
-    return both.where(common >= F.lit(share) * (F.size("sa") + F.size("sb") - common) - 1e-9).select("a", "b")
-
-
-def open_nodes(nodes: DataFrame, candidates: DataFrame, edges: DataFrame) -> DataFrame:
-    """nodes(id, root, f0, ..) of the classes that a candidate not similar enough joins to another class.
-
-    candidates connect what all pairs within their bits do, so the ends of a pair that was not sent are
-    either in one class already, or both in such classes.
-    """
-    rooted = written(classes(nodes, edges), "simhash-classes")
-    root = rooted.select("id", "root")
-    failed = candidates.join(root.toDF("a", "ra"), "a").join(root.toDF("b", "rb"), "b").where("ra <> rb")
-    apart = failed.select(F.explode(F.array("ra", "rb")).alias("root")).distinct()
-    return written(rooted.join(apart, "root").select("id", "root", *[c for c in nodes.columns if c != "id"]), "simhash-open")
-
-
-def near_duplicates(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", words: int = 3, seeds: tuple[int, ...] = (42,), blocks: tuple[Block, ...] = WHOLE, most: int = 2) -> DataFrame:
-    """One row a document: doc_id, f0, .., component_id (the least doc_id of the documents that links connect).
+def near_duplicates(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", words: int = 3, seed: int = 42, most: int = 2) -> DataFrame:
+    """One row a document: doc_id, f0, component_id (the least doc_id of the documents that links connect).
 
     Null, empty or blank text: fingerprint zero, linked like any other. Null doc_id: its row counts for
     the links but never names a component unless all its members are null (then null). Repeated rows stay.
-    Texts are read whole. Groups of equal fingerprints count as one node, so a third of all rows in one
-    group is one node; the joins that bring the classes back are skew-split by Spark at run time.
+    Texts are read whole; other columns are ignored. Groups of equal fingerprints count as one node, so a
+    third of all rows in one group is one node; the joins that bring the classes back are skew-split by
+    Spark at run time. `most` is two bits at most, which the grid is made for.
     """
-    found = written(fingerprints(docs, text, words, seeds, keep=(doc_id,)), "simhash-prints")
-    columns = [f"f{i}" for i in range(len(seeds))]
-    nodes = distinct_prints(found)
-    root = classes(nodes, grid(nodes, blocks, (most,)))
-    least = found.groupBy(*columns).agg(F.min(doc_id).alias("least"))
-    rooted = written(root.drop("id").join(least, columns), "simhash-roots")
+    if most > 2:
+        raise ValueError("cells one step apart meet at two differing bits or fewer")
+    found = written(fingerprints(docs, text, words, (seed,), keep=(doc_id,)), "simhash-prints", rows=docs.count(), each=TEXTS_A_FILE)
+    nodes = written(found.select("f0").distinct().withColumn("id", F.monotonically_increasing_id()), "simhash-nodes", rows=found.count())
+    n = nodes.count()
+    root = classes(nodes, written(links(nodes, most).distinct(), "simhash-links", rows=n))
+    least = found.groupBy("f0").agg(F.min(doc_id).alias("least"))
+    rooted = written(root.drop("id").join(least, "f0"), "simhash-roots", rows=n)
     named = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
-    by_print = rooted.join(named, "root").select(*columns, "component_id")
-    return found.join(by_print, columns).select(doc_id, *columns, "component_id")
-
-
-def deduplicate(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", words: int = 5, share: float = 0.8, seeds: tuple[int, ...] = (42, 43, 44), blocks: tuple[Block | Bands, ...] = BANDS, levels: tuple[int, ...] = (8, 16, 22, 26, 30, 34, 40, 48)) -> DataFrame:
-    """docs with one row of each near-duplicate group: the one of least doc_id, nulls last.
-
-    Texts are linked if their shingle sets (A-Z lower-cased) have a similarity of `share` or more.
-    Candidates are texts whose 192-bit fingerprints agree in a band and differ in levels[-1] bits or
-    fewer: a similarity of 0.8 is 29 bits on average. A group of many near copies sends a forest
-    of its nearest pairs on each level, not all pairs; each is checked exactly on its sets. Of classes
-    that a pair which fails lies between, all other candidate pairs are then checked too. Texts of equal fingerprints are one text here. Texts without a word have no shingle to be similar
-    in: each of them stays. Of rows equal in every column one stays. Texts are read whole. All columns
-    are kept; names f0, f1, .. and __row must be free.
-    """
-    blank = F.coalesce(F.col(text), F.lit("")).rlike(r"[^\x20\x09-\x0D]")
-    marked = written(fingerprints(docs, text, words, seeds, keep=tuple(docs.columns)).withColumn("__row", F.monotonically_increasing_id()), "simhash-marked")
-    columns = [f"f{i}" for i in range(len(seeds))]
-    narrow = written(marked.select(doc_id, *columns, "__row", blank.alias("worded")), "simhash-narrow")
-    worded = narrow.where("worded")
-    nodes = distinct_prints(worded)
-    candidates = written(grid(nodes, blocks, levels).distinct(), "simhash-candidates")
-    order = F.struct(F.col(doc_id).isNull().alias("null"), F.col(doc_id).alias("id"), F.col("__row").alias("row"))
-    first = written(worded.groupBy(*columns).agg(F.min(order).alias("first")).join(nodes, columns).select("id", "first"), "simhash-first")
-    asked = candidates.select(F.col("a").alias("id")).unionByName(candidates.select(F.col("b").alias("id"))).distinct()
-    texts = marked.join(first.join(asked, "id").select("id", F.col("first.row").alias("__row")), "__row").select("id", F.col(text).alias("text"))
-    sets = shingle_sets(texts, words)
-    edges = written(similar(candidates, sets, share), "simhash-edges")
-    release(docs.sparkSession)
-    rest = grid(open_nodes(nodes, candidates, edges), blocks, levels, apart=True).distinct().join(candidates.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")), ["a", "b"], "left_anti")
-    edges = edges.unionByName(written(similar(written(rest, "simhash-rest"), sets, share), "simhash-edges"))
-    release(docs.sparkSession)
-    heads = classes(nodes, edges).select("id", "root").join(first, "id").groupBy("root").agg(F.min("first").alias("first")).select(F.col("first.row").alias("__row"))
-    kept = heads.unionByName(narrow.where("not worded").select("__row"))
-    return marked.join(kept, "__row", "left_semi").select(*docs.columns)
+    by_print = written(rooted.join(named, "root").select("f0", "component_id"), "simhash-named", rows=n)
+    return found.join(by_print, "f0").select(doc_id, "f0", "component_id")

@@ -2,7 +2,7 @@ import random
 
 import pytest
 
-WORDS = ["ba", "ce", "di", "fo", "gu", "hel", "ir", "jan", "kol", "lum", "mer", "nas", "opt", "pri", "qua", "res", "sto", "tul", "urd", "vex"]
+WORDS = ["ac", "bro", "cla", "dur", "eff", "fen", "gri", "hov", "ips", "jul", "ked", "lim", "mop", "nyl", "ost", "pel", "quo", "rhe", "sky", "twi", "ulm", "vor", "wex", "yar", "zed", "ba", "ce", "di", "fo", "gu", "hel", "ir", "jan", "kol", "lum", "mer", "nas", "opt", "pri", "qua", "res", "sto", "tul", "urd", "vex"]
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, kept string, shard string, h string, cell long"
 
 

@@ -8,7 +8,7 @@ import numpy as np
 import pytest
 import xxhash
 
-from driftwell.llm import anchors, common, simhash, suffixes
+from driftwell.llm import anchors, common, neardup, simhash, suffixes
 from driftwell.llm.common import components
 from driftwell.llm.words import Words, spread, window_hashes
 
@@ -65,33 +65,31 @@ def test_grid_links_lose_nothing(spark):
     values = sorted(values)
     signed = [v - (1 << 64) if v >> 63 else v for v in values]
     nodes = spark.createDataFrame(list(enumerate(signed)), "id long, f0 long")
-    found = [(r.a, r.b) for r in simhash.links(nodes, simhash.WHOLE[0], (2,)).collect()]
+    found = [(r.a, r.b) for r in simhash.links(nodes, 2).collect()]
     assert all((values[a] ^ values[b]).bit_count() <= 2 for a, b in found)
     near = [(i, j) for i in range(len(values)) for j in range(i) if (values[i] ^ values[j]).bit_count() <= 2]
     assert union(len(values), found) == union(len(values), near)
 
 
-@pytest.mark.parametrize("block", [simhash.WHOLE[0], simhash.SIX[3]])
-def test_grid_in_numpy_is_the_grid_in_sql(spark, block):
+def test_grid_in_numpy_is_the_grid_in_sql(spark):
     rng = np.random.default_rng(5)
-    words = rng.integers(0, 1 << 63, size=(50, 3), dtype=np.uint64) << np.uint64(1)
+    words = rng.integers(0, 1 << 63, size=50, dtype=np.uint64) << np.uint64(1)
     words[0], words[1] = 0, (1 << 64) - 1
-    frame = spark.createDataFrame([tuple(map(int, r)) for r in words.view(np.int64)], "f0 long, f1 long, f2 long")
-    sql = [sorted(r[0]) for r in frame.select(simhash.visited(block)).collect()]
-    assert sql == [sorted(x for x in r.tolist() if x >= 0) for r in simhash.visited_cells(block, words)]
-    near = words.copy()
-    near[:, block.word] ^= np.uint64(1) << rng.integers(block.shift, block.shift + block.bits, size=50).astype(np.uint64)
+    frame = spark.createDataFrame([(int(x),) for x in words.view(np.int64)], "f0 long")
+    sql = [sorted(r[0]) for r in frame.select(simhash.visited(frame.f0)).collect()]
+    assert sql == [sorted(x for x in r.tolist() if x >= 0) for r in simhash.visited_cells(words)]
+    near = words ^ (np.uint64(1) << rng.integers(0, 64, size=50).astype(np.uint64))
     own = [set(r) for r in sql]
-    other = [set(r[r >= 0].tolist()) for r in simhash.visited_cells(block, near)]
-    assert simhash.first_meeting(block, words, near).tolist() == [min(a & b) for a, b in zip(own, other)]
+    other = [set(r[r >= 0].tolist()) for r in simhash.visited_cells(near)]
+    assert simhash.first_meeting(words, near).tolist() == [min(a & b) for a, b in zip(own, other)]
 
 
 def test_forest_connects_like_all_pairs():
     rng = np.random.default_rng(3)
-    base = rng.integers(0, 1 << 63, size=(3, 2), dtype=np.uint64)
-    rows = np.concatenate([base[i] ^ (np.uint64(1) << rng.integers(0, 8, size=(20, 2), dtype=np.uint64)) for i in range(3)])
-    near = [(i, j) for i in range(60) for j in range(i) if np.bitwise_count(rows[i] ^ rows[j]).sum() <= 3]
-    assert union(60, simhash.forest(rows, 3)) == union(60, near)
+    base = rng.integers(0, 1 << 63, size=3, dtype=np.uint64)
+    rows = np.concatenate([b ^ (np.uint64(1) << rng.integers(0, 8, size=20, dtype=np.uint64)) for b in base])
+    near = [(i, j) for i in range(60) for j in range(i) if int(rows[i] ^ rows[j]).bit_count() <= 1]
+    assert union(60, simhash.forest(rows, 1)) == union(60, near)
 
 
 def test_deduplicate_is_exact_on_its_candidates(spark):
@@ -107,37 +105,11 @@ def test_deduplicate_is_exact_on_its_candidates(spark):
     alike = lambda a, b: len(sets[a] & sets[b]) / len(sets[a] | sets[b])
     n = len(texts)
     roots = union(n, [(a, b) for a in range(n) for b in range(a) if alike(a, b) >= 0.8])
-    left = {r.doc_id for r in simhash.deduplicate(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()}
+    left = {r.doc_id for r in neardup.deduplicate(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()}
     assert set(roots) <= left  # no text goes that is not similar to one that stays
     assert all(alike(a, b) < 0.88 for a in left for b in left if a < b)  # the fingerprints may miss a pair near the limit
 
 
-def test_spanning_tree_connects_at_every_level():
-    rng = np.random.default_rng(8)
-    base = rng.integers(0, 1 << 63, size=(1, 3), dtype=np.uint64)
-    rows = np.concatenate([base ^ (np.uint64(1) << rng.integers(0, 60, size=(1, 3), dtype=np.uint64)) for _ in range(30)])
-    far = lambda a, b: int(np.bitwise_count(rows[a] ^ rows[b]).sum())
-    found = simhash.spanning_tree(rows, 6)
-    assert len(found) <= 29
-    for level in range(7):
-        near = [(i, j) for i in range(30) for j in range(i) if far(i, j) <= level]
-        assert union(30, [p for p in found if far(*p) <= level]) == union(30, near)
-
-
-def test_levels_lose_nothing(spark):
-    rng = random.Random(12)
-    values = sorted({(rng.getrandbits(64) if i < 4 else 0x0123456789ABCDEF) ^ sum(1 << b for b in rng.sample(range(30), i % 6)) for i in range(150)})
-    signed = [v - (1 << 64) if v >> 63 else v for v in values]
-    nodes = spark.createDataFrame(list(enumerate(signed)), "id long, f0 long")
-    block = simhash.Block(0, 32, 30, 1)
-    found = [(r.a, r.b) for r in simhash.links(nodes, block, (1, 3, 5)).collect()]
-    part = lambda v: (v >> 32) & ((1 << 30) - 1)
-    for level in (1, 3, 5):
-        close = lambda a, b: (values[a] ^ values[b]).bit_count() <= level and (part(values[a]) ^ part(values[b])).bit_count() <= 2  # noqa: B023, E731
-        near = [(i, j) for i in range(len(values)) for j in range(i) if close(i, j)]
-        assert union(len(values), [p for p in found if close(*p)]) == union(len(values), near)
-
-
 def test_isolated_pairs_at_the_limit_are_found(spark):
     """Pairs of similarity 0.80 to 0.82 that nothing else links: nearly all lose one text."""
     rng = random.Random(31)
@@ -153,29 +125,49 @@ def test_isolated_pairs_at_the_limit_are_found(spark):
         assert 0.79 <= len(a & b) / len(a | b) <= 0.85
         pairs += len(a & b) / len(a | b) >= 0.8
         texts += [" ".join(base), " ".join(other)] if len(a & b) / len(a | b) >= 0.8 else []
-    left = simhash.deduplicate(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).count()
+    left = neardup.deduplicate(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).count()
     assert left <= 200 + 10
 
 
-@pytest.mark.parametrize("chunk", [2048, 40])
+@pytest.mark.parametrize("chunk", [128, 30])
 def test_variants_of_one_text_are_all_linked(spark, monkeypatch, chunk):
-    """Many variants around the limit: every pair of 0.8 or more is linked, however its ends hang together by bits."""
-    monkeypatch.setattr(simhash, "CHUNK", chunk)
+    """Many variants around the limit, with and without the text they come from: who stays is what all pairs leave."""
+    monkeypatch.setattr(neardup, "CHUNK", chunk)
     rng = random.Random(11)
     texts = []
-    for _ in range(2):
+    for k in range(2):
         base = prose(rng, 150).split()
         texts += [" ".join(w if rng.random() >= 0.022 else f"new{rng.random()}" for w in base) for _ in range(110)]
+        texts += [" ".join(base)] * k
     sets = [frozenset(tuple(w[i : i + 5]) for i in range(len(w) - 4)) for w in map(str.split, texts)]
-    near = [(a, b) for a in range(220) for b in range(a) if len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b])]
-    words = [simhash.shingle_hashes(t.encode(), 5, seed) for t in texts for seed in (42, 43, 44)]
-    prints = simhash.majority(np.array([h for x in words for h in x], dtype=np.uint64), np.array([len(x) for x in words])).reshape(-1, 3)
-    meet = lambda a, b: any((set(x[a]) & set(x[b])) for x in cells)
-    blocks = simhash.deduplicate.__defaults__[5]
-    cells = [simhash.visited_cells(block, prints).tolist() for block in blocks]
-    sent = [(a, b) for a, b in near if np.bitwise_count(prints[a] ^ prints[b]).sum() <= simhash.deduplicate.__defaults__[6][-1] and meet(a, b)]
-    left = {r.doc_id for r in simhash.deduplicate(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()}
-    assert left == set(union(220, sent))
+    near = [(a, b) for a in range(len(texts)) for b in range(a) if len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b])]
+    left = {r.doc_id for r in neardup.deduplicate(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()}
+    assert left == set(union(len(texts), near))
+
+
+@pytest.mark.parametrize("n", [5, 9, 14, 20, 31, 40, 63, 64, 100, 127, 130, 200, 255, 260, 310, 500, 1000, 5000])
+def test_similar_sets_meet(n):
+    """Pairs of sets of a similarity of 0.8 or a little more, of all sizes, nearly always have a cell in common."""
+    rng = np.random.default_rng(n)
+    met, pairs = 0, 300
+    for _ in range(pairs):
+        both = rng.integers(0, 1 << 63, size=n, dtype=np.uint64)
+        differ = rng.permutation(n)[: n // 5]
+        cut = rng.integers(0, len(differ) + 1)
+        a, b = np.delete(both, differ[:cut]), np.delete(both, differ[cut:])
+        x, y = neardup.cells_of([np.sort(a), np.sort(b)], 0.8)
+        met += len(np.intersect1d(x, y)) > 0
+    assert met >= pairs - 4
+    alone = neardup.cells_of([np.sort(rng.integers(0, 1 << 63, size=n, dtype=np.uint64)) for _ in range(20)], 0.8)
+    assert len(np.unique(np.concatenate(alone))) == sum(map(len, alone)) and max(map(len, alone)) <= 2 * neardup.GROUPS
+
+
+def test_common_counts(monkeypatch):
+    monkeypatch.setattr(neardup, "COLUMNS", 7)
+    rng = np.random.default_rng(1)
+    sets = [np.unique(rng.integers(0, 60, size=rng.integers(1, 40))) for _ in range(15)]
+    rows = np.array([0, 3, 14])
+    assert neardup.common_counts(sets, rows).tolist() == [[len(np.intersect1d(sets[i], x)) for x in sets] for i in rows]
 
 
 def test_deduplicate_keeps_one_of_each_group(spark):
@@ -187,9 +179,9 @@ def test_deduplicate_keeps_one_of_each_group(spark):
         w[50] = "other"
         rows.append((200 + i, " ".join(w)))
     rows += [(300, None), (301, ""), (302, " "), (None, texts[0]), (102, texts[2])]
-    out = simhash.deduplicate(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    out = neardup.deduplicate(spark.createDataFrame(rows, "doc_id long, text string")).collect()
     same([r.doc_id for r in out], [0, 1, 2, 3, *range(104, 112), 300, 301, 302])
-    assert simhash.deduplicate(spark.createDataFrame([], "doc_id long, text string")).count() == 0
+    assert neardup.deduplicate(spark.createDataFrame([], "doc_id long, text string")).count() == 0
 
 
 def test_one_group_of_a_third_of_all_rows(spark):
