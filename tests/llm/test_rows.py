@@ -51,7 +51,7 @@ def test_quality_bands(spark):
 
 
 def test_quality_band_limits():
-    assert band(127) == BANDS[0][1:] and band(128) == BANDS[1][1:] and band(10**9) == BANDS[-1][1:]
+    assert band(128) == BANDS[0][1:] and band(129) == BANDS[1][1:] and band(10**9) == BANDS[-1][1:]
 
 
 def test_quality_all_columns_and_empty(docs, empty):
@@ -161,3 +161,27 @@ def test_containment_empty(spark, docs, rows, empty):
     none = spark.createDataFrame([], "item_id long, text string")
     assert all(not r.matches for r in containment(docs, none).collect())
     assert containment(empty, none).count() == 0
+
+
+def test_viterbi_of_long_texts_and_many_labels():
+    import numpy as np
+
+    n = 400_000
+    scores = np.full((n, 2), -30.0, dtype=np.float32)
+    scores[: n // 2, 1] -= 0.5
+    scores[n // 2 :, 0] -= 0.5
+    labels = viterbi(scores, np.array([0, n]), 8.0)
+    assert (labels[: n // 2] == 0).all() and (labels[n // 2 :] == 1).all()
+    scores = np.zeros((6, 200), dtype=np.float32)
+    scores[:3, 150] = scores[3:, 199] = 90
+    assert viterbi(scores, np.array([0, 6]), 8.0).tolist() == [150] * 3 + [199] * 3
+
+
+def test_rare_languages_are_learned(spark):
+    """A language with a thousandth of the rows, and a text that a third of all rows repeat."""
+    made = language_texts(40, 9)
+    rows = [(i, rng_text, "aa") for i, rng_text in enumerate(made["aa"] * 30)]
+    rows += [(10_000 + i, made["oo"][0], "oo") for i in range(600)]
+    rows += [(20_000, made["gr"][0], "gr"), (20_001, made["gr"][1], "gr")]
+    model = fit(spark.createDataFrame(rows, "doc_id long, text string, lang string"), "text", "lang", rows=90)
+    assert model["names"] == ["aa", "gr", "oo"]
