@@ -2,7 +2,7 @@
 
 Candidates are found by pattern in each text, hashed, and counted over the whole corpus by distinct
 repositories and owners. A value that many owners hold is a copied example; one that a single owner
-holds and that looks random is a live credential of that owner.
+holds in few repositories and that looks random is a live credential of that owner.
 """
 
 from __future__ import annotations
@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import written
+from .common import apart, written
 
 #: Kinds in the order in which spans of equal start are listed. Fixed patterns: kind, pattern, group with the value, least length of the value.
 BASE = (
@@ -28,7 +28,8 @@ BASE = (
 #: Opaque tokens, which the corpus counts must confirm: 20 or more characters with a digit and both cases.
 OPAQUE = re.compile(r"(?=[A-Za-z+/_-]*[0-9])[A-Za-z0-9+/_-]{20,}")
 KINDS = ("assign", "access", "hex", "opaque")
-COPIED_OWNERS = 3
+#: A value of so many owners, or in so many repositories, is a copied example.
+COPIED_OWNERS, COPIED_REPOSITORIES = 3, 10
 LIVE_BITS = 2.5
 OPAQUE_BITS = 3.5
 PLACEHOLDER = re.compile(r"example|sample|changeme|placeholder|your[_-]|dummy|xxxx|1234567|(.)\1{5}", re.IGNORECASE)
@@ -101,21 +102,25 @@ def ownership(candidates: DataFrame) -> DataFrame:
     return by_owner.groupBy("hash").agg(F.sum("n").alias("n_repositories"), F.count("*").alias("n_owners"))
 
 
-def secret_scan(docs: DataFrame, text: str = "text", owner: str = "source", repository: str = "doc_id", keep: tuple[str, ...] = ("doc_id",), copied_owners: int = COPIED_OWNERS) -> DataFrame:
+def secret_scan(docs: DataFrame, text: str = "text", owner: str = "source", repository: str = "doc_id", keep: tuple[str, ...] = ("doc_id",), copied_owners: int = COPIED_OWNERS, copied_repositories: int = COPIED_REPOSITORIES) -> DataFrame:
     """Spans and ownership of the secrets of each text.
 
     Columns: `keep`, n_assign, n_access, n_hex, base_sha256, spans (kind:start:end, code points), n_live
-    (candidates of one owner that look random), n_copied (held by `copied_owners` owners or more),
+    (candidates of one owner that look random), n_copied (held by `copied_owners` owners or by
+    `copied_repositories` repositories or more),
     findings (array of kind, start, end, hash, n_repositories, n_owners, verdict).
     Base spans are always in `spans`; an opaque token is added only if it is live.
 
     Null or empty text: no spans. Null owner: one owner of that name. Repeated rows: each gets its own row.
-    Texts are searched whole. An empty table gives an empty table; other columns are ignored.
+    Texts are searched whole. An empty table gives an empty table; other columns are ignored, as are those
+    of `keep` that are named like a new one. A value that very many texts hold is counted by aggregates;
+    its counts come back by a join of written tables, which Spark splits where a value is hot.
     """
-    found = written(scan(docs, text, owner, repository, keep), "secrets")
+    keep = apart(keep, "n_assign", "n_access", "n_hex", "base_sha256", "spans", "n_live", "n_copied", "findings")
+    found = written(scan(docs, text, owner, repository, keep), "secrets", rows=docs.count(), each=5_000)
     each = found.select("__row", "owner", "repository", F.explode("candidates").alias("c")).select("__row", "owner", "repository", "c.*")
-    counts = ownership(each)
-    verdict = F.when(F.col("n_owners") >= copied_owners, "copied").when((F.col("n_owners") == 1) & F.col("live"), "live").otherwise("shared")
+    counts = written(ownership(each), "secret-counts", rows=found.agg(F.coalesce(F.sum(F.size("candidates")), F.lit(0)).alias("n")).first()["n"])
+    verdict = F.when((F.col("n_owners") >= copied_owners) | (F.col("n_repositories") >= copied_repositories), "copied").when((F.col("n_owners") == 1) & F.col("live"), "live").otherwise("shared")
     judged = each.join(counts, "hash").withColumn("verdict", verdict).where("kind <> 'opaque' or verdict = 'live'")
     order = F.expr("array_position(array('assign', 'access', 'hex', 'opaque'), kind)").cast("int")
     rows = judged.groupBy("__row").agg(
