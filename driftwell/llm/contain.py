@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import slices
+from .common import apart, slices
 from .words import U, Words, mix, split, window_hashes
 
 SHINGLE = 5
@@ -110,11 +110,12 @@ def containment(docs: DataFrame, items: DataFrame, text: str = "text", item_id:
     Containment is the share of an item's distinct shingles of `width` words that the text has. An item
     or text of fewer words has one shingle, of all of them, so such an item is found only in a text of
     just these words; an item without words is found nowhere. Null or empty text: no matches. Null item
-    id: matched like others. Repeated items: each is listed. Rows are independent and never shuffled;
+    id: matched like others. A column of `keep` called matches is left out. Repeated items: each is listed. Rows are independent and never shuffled;
     only items move, in blocks of about `block_words` words, so their number is not bounded. Ties and
     other columns are of no account. An empty table of either kind gives no matches.
     """
     kinds = {f.name: f.dataType.simpleString() for f in docs.schema.fields}
+    keep = apart(keep, "matches")
     id_kind = items.schema[item_id].dataType.simpleString()
     chosen = items.where(F.col(item_text).isNotNull()).select(F.col(item_id).alias("item"), F.col(item_text).alias("text"))
     words = chosen.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0)).alias("n")).first()["n"] // 4

@@ -9,17 +9,20 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-#: About so many labelled rows are what the model is fitted on at most, chosen by a hash of their text.
+from .common import apart, written
+
+#: About so many labelled rows are what the model is fitted on at most, the same number of each language that has enough, chosen by a hash of the row.
 FIT_ROWS = 20_000
 BUCKETS = 1 << 16
 SWITCH_PENALTY = 8.0
 #: A language is a candidate for a script that has at least this share of its letters.
 SCRIPT_SHARE = 0.01
-#: Steps of the Viterbi pass run over all texts of a block of so many bytes at once.
+#: Steps of the Viterbi pass run over all texts of a block of so many bytes at once, for up to eight languages; of more, blocks are smaller.
 BLOCK_BYTES = 4 << 20
 
 #: First code point and name of script ranges, fixed values; a range ends where the next begins.
@@ -72,10 +75,17 @@ class Block:
 
 
 def fit(docs: DataFrame, text: str, lang: str, rows: int = FIT_ROWS) -> dict | None:
-    """A model from the labelled rows: languages, trigram log probabilities, candidate scripts. None without labels."""
-    labelled = docs.where(F.col(lang).isNotNull() & F.col(text).isNotNull()).select(F.col(lang).cast("string").alias("lang"), F.col(text).alias("text"))
-    n = labelled.count()
-    sample = labelled if n <= rows else labelled.where(F.pmod(F.xxhash64("text"), F.lit(1 << 30)) < int((1 << 30) * rows / n))
+    """A model from the labelled rows: languages, trigram log probabilities, candidate scripts. None without labels.
+
+    Rows beyond `rows` are left out by language: each has an equal part, and one with fewer rows than that
+    keeps all of them, so rare languages stay. Copies of a text are chosen each by itself. Of each language
+    one row of counts comes to the driver.
+    """
+    labelled = docs.where(F.col(lang).isNotNull() & F.col(text).isNotNull()).select(F.col(lang).cast("string").alias("lang"), F.col(text).alias("text"), F.xxhash64(*[F.col(f"`{c}`") for c in docs.columns]).alias("h"))
+    found = labelled.groupBy("lang").agg(F.count("*").alias("n"))
+    part = found.withColumn("part", F.lit(float(rows << 30)) / (F.col("n") * F.count("*").over(Window.partitionBy())))  # a row a language
+    part = written(part.select("lang", "part"), "language-parts", rows=1)  # of known size, so Spark broadcasts it if it is small
+    sample = labelled.join(part, "lang").where(F.pmod("h", F.lit(1 << 30)) < F.col("part")).select("lang", "text")
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tables = Letters()
@@ -90,13 +100,19 @@ def fit(docs: DataFrame, text: str, lang: str, rows: int = FIT_ROWS) -> dict | N
                         at = np.flatnonzero(counts)
                         yield pa.RecordBatch.from_arrays([pa.array([name] * len(at), pa.string()), pa.array([kind] * len(at), pa.string()), pa.array(at, pa.int32()), pa.array(counts[at], pa.int64())], names=["lang", "kind", "at", "n"])
 
-    counted = sample.mapInArrow(count, "lang string, kind string, at int, n long").groupBy("lang", "kind", "at").agg(F.sum("n").alias("n")).collect()
-    names = sorted({r["lang"] for r in counted})
+    def pack(pdf: pd.DataFrame) -> pd.DataFrame:
+        """The counts of one language, trigrams and then scripts, as bytes."""
+        counts = np.zeros(BUCKETS + len(SCRIPT_NAMES))
+        counts[pdf["at"].to_numpy() + np.where(pdf["kind"] == "s", BUCKETS, 0)] = pdf["n"].to_numpy()
+        return pd.DataFrame({"lang": pdf["lang"].iloc[:1], "counts": [counts.tobytes()]})
+
+    summed = sample.mapInArrow(count, "lang string, kind string, at int, n long").groupBy("lang", "kind", "at").agg(F.sum("n").alias("n"))
+    packed = sorted(summed.groupBy("lang").applyInPandas(pack, "lang string, counts binary").collect())
+    names = [r["lang"] for r in packed]
     if not names:
         return None
-    grams, scripts = np.zeros((BUCKETS, len(names))), np.zeros((len(SCRIPT_NAMES), len(names)))
-    for r in counted:
-        (grams if r["kind"] == "g" else scripts)[r["at"], names.index(r["lang"])] = r["n"]
+    both = np.stack([np.frombuffer(r["counts"]) for r in packed], axis=1)
+    grams, scripts = both[:BUCKETS], both[BUCKETS:]
     logs = np.log((grams + 0.1) / (grams.sum(0) + 0.1 * BUCKETS))
     allowed = scripts >= SCRIPT_SHARE * np.maximum(scripts.sum(0), 1)
     allowed |= ~allowed.any(1, keepdims=True)  # a script of no language leaves all of them
@@ -106,20 +122,22 @@ def fit(docs: DataFrame, text: str, lang: str, rows: int = FIT_ROWS) -> dict | N
 def viterbi(scores: np.ndarray, first: np.ndarray, penalty: float) -> np.ndarray:
     """Best label of each word. scores: words x labels; first: where each text's words begin, and the end.
 
-    Step t advances every text that has a word t, all at once.
+    Step t advances every text that has a word t, all at once. Values are doubles relative to the best
+    one, so they neither grow nor lose digits with the length of a text.
     """
+    kind = np.min_scalar_type(-scores.shape[1])
     counts = np.diff(first)
     order = np.argsort(-counts, kind="stable")
     begin, counts = first[:-1][order], counts[order]
     longest = int(counts[0]) if len(counts) else 0
     active = np.searchsorted(-counts, -np.arange(longest), side="left")  # texts with more than t words
-    back = np.zeros(scores.shape, dtype=np.int8)
-    labels = np.zeros(len(scores), dtype=np.int8)
+    back = np.zeros(scores.shape, dtype=kind)
+    labels = np.zeros(len(scores), dtype=kind)
     if not longest:
         return labels
-    own = np.arange(scores.shape[1], dtype=np.int8)
-    value = scores[begin[: active[0]]].copy()
-    final = np.zeros(len(counts), dtype=np.int8)
+    own = np.arange(scores.shape[1], dtype=kind)
+    value = scores[begin[: active[0]]].astype(np.float64)
+    final = np.zeros(len(counts), dtype=kind)
     for t in range(1, longest):
         k = active[t]
         if k < len(value):
@@ -130,7 +148,7 @@ def viterbi(scores: np.ndarray, first: np.ndarray, penalty: float) -> np.ndarray
         stay = value >= top
         at = begin[:k] + t
         back[at] = np.where(stay, own, best[:, None])
-        value = np.where(stay, value, top) + scores[at]
+        value = np.where(stay, value, top) - (top + penalty) + scores[at]
     final[: len(value)] = value.argmax(1)
     now = final.copy()
     for t in range(longest - 1, -1, -1):
@@ -170,12 +188,15 @@ def label(texts: list[str], model: dict, tables: Letters, penalty: float) -> lis
 def identify_languages(docs: DataFrame, model: dict | None, text: str = "text", keep: tuple[str, ...] = ("doc_id",), penalty: float = SWITCH_PENALTY) -> DataFrame:
     """Columns `keep`, lang_pred, score (share of the letters in spans of that language), spans (language:start:end in code points).
 
+    Columns of `keep` that are named like a new one are left out.
     und, 0 and '' for a text that is null or has no letter, and for all texts if there is no model.
     Rows are independent: no shuffle; repeated rows are labelled each. Texts are labelled whole.
     Ties go to the language first in order of name. An empty table gives an empty table.
     """
     kinds = {f.name: f.dataType.simpleString() for f in docs.schema.fields}
+    keep = apart(keep, "lang_pred", "score", "spans")
     source = docs.select(*[docs[c].alias(f"__k{i}") for i, c in enumerate(keep)], docs[text].alias("__text"))
+    most = BLOCK_BYTES * 8 // max(8, len(model["names"]) if model else 0)
     names = [*keep, "lang_pred", "score", "spans"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -185,7 +206,7 @@ def identify_languages(docs: DataFrame, model: dict | None, text: str = "text",
             lo = size = 0
             for i, t in enumerate(texts):
                 size += len(t)
-                if size > BLOCK_BYTES or i == len(texts) - 1:
+                if size > most or i == len(texts) - 1:
                     out += label(texts[lo : i + 1], model, tables, penalty) if model else [("und", 0.0, "")] * (i + 1 - lo)
                     lo, size = i + 1, 0
             yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array([x[0] for x in out], pa.string()), pa.array([x[1] for x in out], pa.float64()), pa.array([x[2] for x in out], pa.string())], names=names)

@@ -15,6 +15,8 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 
+from .common import apart
+
 #: Pre-token counts that a worker keeps between batches.
 CACHE_ENTRIES = 300_000
 #: Symbols merged together in one block of sequences.
@@ -49,7 +51,7 @@ class Merger:
         self.keys, self.ranks = key[order], order.astype(np.int64)
         self.result = np.array([vocab[a + b] for a, b in pairs], dtype=np.int64)
         # an open-addressed table: one or two looks instead of a binary search
-        self.bits = 19
+        self.bits = max(8, (2 * len(self.keys)).bit_length())
         self.slots = np.full(1 << self.bits, -1, dtype=np.int64)
         self.values = np.full(1 << self.bits, NONE, dtype=np.int64)
         left_keys, left_ranks, step = self.keys, self.ranks, 0
@@ -155,9 +157,11 @@ def token_counts(docs: DataFrame, spec: str, text: str = "text", keep: tuple[str
 
     spec: the JSON text of the tokenizer, which travels to the executors with the job.
     Null text counts as empty: no bytes, no tokens. Rows are independent, so repeated rows are counted
-    each and nothing is shuffled. Texts are counted whole. Columns not in `keep` are ignored.
+    each and nothing is shuffled. Texts are counted whole. Columns not in `keep` are ignored, as are those
+    of `keep` that are named like a new one.
     """
     kinds = {f.name: f.dataType.simpleString() for f in docs.schema.fields}
+    keep = apart(keep, "n_bytes", "n_tokens", "over_limit")
     source = docs.select(*[docs[c].alias(f"__k{i}") for i, c in enumerate(keep)], docs[text].alias("__text"))
     names = [*keep, "n_bytes", "n_tokens", "over_limit"]
 
