@@ -21,6 +21,8 @@ from pyspark.sql import functions as F
 ROWS_EACH = 1_000_000
 PARTITIONS = (128, 1024)
 CELLS_PER_SHARD = (8, 32)
+#: Ends of cells are looked up in runs of so many.
+STEP = 32
 
 
 def log_choose(n: int, k: int) -> float:
@@ -85,13 +87,17 @@ def shard_rows(docs: DataFrame, shards: int = 40, seed: int = 20261, key: tuple[
     Shard sizes differ by one row at most. The result depends on `key`, seed and the counts only, not on
     how Spark split the input, so a lost task gives the same rows again. The two permutations and their
     exchanges are of 64-bit row hashes; the rows themselves move once, when they get their places. Rows
-    equal in all of `key` have one hash and get its places in any order. Nulls hash like any value.
+    equal in all of `key` have one hash and get its places in any order; these places are one list, so `key`
+    should tell all but some rows apart. Nulls hash like any value.
     The driver gets one count a partition. An empty table gives an empty table.
     Columns of docs called shard or slot are replaced. docs must give the same rows when read again.
 
     partitions, cells (a shard): by default one for about ROWS_EACH rows, within fixed limits.
     """
     docs = docs.drop("shard", "slot")
+    p = "__"  # before the names of helping columns
+    while any(c.startswith(p) for c in docs.columns):
+        p += "_"
     total = docs.count()
     partitions = partitions or between(total // ROWS_EACH, PARTITIONS)
     cells = cells or between(total // (shards * ROWS_EACH), CELLS_PER_SHARD)
@@ -102,18 +108,22 @@ def shard_rows(docs: DataFrame, shards: int = 40, seed: int = 20261, key: tuple[
     sizes = [x for n in even(sum(rows), shards) for x in even(n, cells)]
     ends = [list(accumulate(row)) for row in communication_matrix(rows, sizes, seed)]
     starts = [at for s in range(shards) for at in [0, *accumulate(sizes[s * cells : (s + 1) * cells])][:-1]]
+    # the cell of a rank: first by every STEP-th end, then by the ends up to the next of these
+    marks = F.from_json(F.lit(json.dumps([row[STEP - 1 :: STEP] for row in ends])), "array<array<bigint>>")
     table = F.from_json(F.lit(json.dumps(ends)), "array<array<bigint>>")
     offsets = F.from_json(F.lit(json.dumps(starts)), "array<bigint>")
     # first permutation: within the partition; the rank falls into one cell of the partition's matrix row
     local = Window.partitionBy("__part").orderBy(F.xxhash64("__h", F.lit(1)), "__h")
     ranked = hashes.withColumn("__rank", F.row_number().over(local).cast("long"))
-    dealt = ranked.withColumn("__cell", F.size(F.filter(F.get(table, F.col("__part")), lambda end: end < F.col("__rank"))))
+    passed = lambda ends: F.size(F.filter(ends, lambda end: end < F.col("__rank")))
+    ranked = ranked.withColumn("__mark", passed(F.get(marks, F.col("__part"))) * STEP)
+    dealt = ranked.withColumn("__cell", F.col("__mark") + passed(F.slice(F.get(table, F.col("__part")), F.col("__mark") + 1, STEP)))
     # second permutation: within the cell
     within = Window.partitionBy("__cell").orderBy(F.xxhash64("__h", F.lit(2)), "__h")
     slot = (F.get(offsets, F.col("__cell")) + F.row_number().over(within) - 1).cast("long").alias("slot")
-    placed = dealt.select("__h", F.floor(F.col("__cell") / cells).cast("int").alias("shard"), slot)
-    places = placed.groupBy("__h").agg(F.sort_array(F.collect_list(F.struct("shard", "slot"))).alias("__places"))
+    placed = dealt.select(F.col("__h").alias(f"{p}h"), F.floor(F.col("__cell") / cells).cast("int").alias("shard"), slot)
+    places = placed.groupBy(f"{p}h").agg(F.sort_array(F.collect_list(F.struct("shard", "slot"))).alias(f"{p}places"))
     # rows of one hash take its places in turn
-    turn = Window.partitionBy("__h").orderBy(key[0])
-    taken = docs.withColumn("__h", row_hash).join(places, "__h").withColumn("__place", F.get("__places", F.row_number().over(turn) - 1))
-    return taken.select(*docs.columns, F.col("__place.shard").alias("shard"), F.col("__place.slot").alias("slot"))
+    turn = Window.partitionBy(f"{p}h").orderBy(key[0])
+    taken = docs.withColumn(f"{p}h", row_hash).join(places, f"{p}h").withColumn(f"{p}place", F.get(f"{p}places", F.row_number().over(turn) - 1))
+    return taken.select(*[F.col(f"`{c}`") for c in docs.columns], F.col(f"{p}place.shard").alias("shard"), F.col(f"{p}place.slot").alias("slot"))
