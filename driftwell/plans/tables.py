@@ -165,9 +165,8 @@ def after_truncates(log: DataFrame) -> DataFrame:
 class Warehouse:
     """Databases and tables below a folder."""
 
-    def __init__(self, spark: SparkSession, root: str, rows_a_file: int = 0):
-        """rows_a_file: most rows of a data file, 0 for any number."""
-        self.spark, self.root, self.files, self.rows_a_file = spark, root.rstrip("/"), Files(spark), rows_a_file
+    def __init__(self, spark: SparkSession, root: str):
+        self.spark, self.root, self.files = spark, root.rstrip("/"), Files(spark)
         self.lost: Counter[tuple[str, str]] = Counter()  # values by table that did not fit their column and became null
 
     def databases(self) -> list[str]:
@@ -233,12 +232,12 @@ class Warehouse:
         row = self.spark.range(1).select(F.lit(None).cast("bigint").alias(VERSION), F.lit(seq).cast("bigint").alias(SEQ), F.lit(True).alias(TRUNCATE), F.lit(place).cast("string").alias(PLACE), F.lit(ts_ms).cast("bigint").alias(TIME))
         self.append(d, row, f"truncate-{seq}" if place is None else f"truncate-{seq}-{hashlib.md5(place.encode()).hexdigest()[:8]}")
 
-    def append(self, d: Descriptor, rows: DataFrame, batch: str) -> None:
+    def append(self, d: Descriptor, rows: DataFrame, batch: str, rows_a_file: int = 0) -> None:
         """Rows by logical name, with _version, _seq and the delete mark.
 
         A batch that is there in whole is left as it is: it was written by the columns of its time. Files
         are sorted by the partition columns and the key, so that readers can skip row groups. Values that
-        don't fit their column are counted in `lost`.
+        don't fit their column are counted in `lost`. rows_a_file: most rows of a file, 0 for any number.
         """
         path = f"{self.folder(d.database, d.name)}/{d.data}/batch={batch}"
         if self.files.exists(f"{path}/_SUCCESS"):
@@ -251,7 +250,7 @@ class Warehouse:
         order = [f"`{by_name[c]}`" for c in (*d.partition, *d.key) if c in by_name]
         out = align(rows, logical).toDF(*stored)
         writer = (out.sortWithinPartitions(*order) if order else out).write.mode("overwrite")
-        (writer.option("maxRecordsPerFile", self.rows_a_file) if self.rows_a_file else writer).parquet(path)
+        (writer.option("maxRecordsPerFile", rows_a_file) if rows_a_file else writer).parquet(path)
 
     def log(self, d: Descriptor) -> DataFrame:
         """All rows by logical name, not cut or resolved."""

@@ -430,6 +430,15 @@ def table_checksum(spark, d):
     return verify.checksum(order_rows(spark, d))
 
 
+LINES = "SELECT concat_ws('#', l_orderkey, l_linenumber, l_partkey, l_suppkey, CAST(l_quantity AS DECIMAL(18,2)), CAST(l_extendedprice AS DECIMAL(18,2)), l_returnflag, l_linestatus, strftime(l_shipdate, '%Y-%m-%d'), '000000000') AS line FROM lineitem"
+
+
+@query(f"SELECT *, {DIGEST} FROM (SELECT {SUMS} FROM ({LINES}))")
+def lineitem_checksum(spark, d):
+    money = lambda c: F.col(c).cast("decimal(18,2)").alias(c)
+    return verify.checksum(table(spark, d, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", money("l_quantity"), money("l_extendedprice"), "l_returnflag", "l_linestatus", F.col("l_shipdate").cast("date").alias("day")))
+
+
 @query(f"SELECT *, {DIGEST} FROM (SELECT {SUMS} FROM ({ROWS}))")
 def chunked_checksum(spark, d):
     return verify.merged_sums(verify.chunked_sums(order_rows(spark, d), "o_orderkey", 1000))
@@ -563,7 +572,7 @@ def replica_status(spark, d):
 # streams and bulk loads
 
 
-def log_files(spark: SparkSession, d: str, files: int = 4) -> str:
+def log_files(spark: SparkSession, d: str, files: int = 10) -> str:
     """The change log as JSON-lines files in log order."""
     path = folder(spark, "change-log")
     log = events_log(spark, d)
@@ -571,7 +580,7 @@ def log_files(spark: SparkSession, d: str, files: int = 4) -> str:
     return path
 
 
-def streamed(spark: SparkSession, d: str, settings: Settings | None = None, replay: bool = False, files: int = 4) -> DataFrame:
+def streamed(spark: SparkSession, d: str, settings: Settings | None = None, replay: bool = False, files: int = 10) -> DataFrame:
     """The state of user_state after its log has been streamed into a warehouse."""
     home = folder(spark, "warehouse")
     path, warehouse = log_files(spark, d, files), Warehouse(spark, f"{home}/tables")

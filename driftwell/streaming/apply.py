@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..operators.dedup import deduplicate
-from ..operators.envelope import decode, schema_changes, with_metadata
+from ..operators.envelope import decode, with_metadata
 from ..operators.state import DELETED, SEQ, VERSION, collapsing_rows
 from ..operators.versions import time_version, version
 from ..plans.ddl import Action, DdlError, drops_or_truncates, parse, unquoted
@@ -52,20 +52,19 @@ class Applier:
     def __call__(self, events: DataFrame, batch: int) -> None:
         events = events.persist()
         try:
-            source = F.col("value.source")
-            found = schema_changes(events).select("topic", "partition", "offset", "ddl", source["db"].alias("db"), source["snapshot"].alias("snapshot"), source["ts_ms"].alias("ts_ms"))
-            ddl = [] if self.settings.disable_ddl else [r for r in found.collect() if r.snapshot != "true" or self.settings.snapshot_ddl]
-            ddl.sort(key=lambda r: (r.ts_ms or 0, r.topic, r.partition, r.offset))
+            placed = self.placed(events)
+            tables, ddl = self.found(placed)
             if not ddl:
-                self.rows(events, batch)
+                self.rows(placed, tables)
             else:
-                staged = events.withColumn("__stage", stage(ddl))
+                staged = placed.withColumn("__stage", stage(ddl))
                 full = {r["__stage"] for r in staged.where("ddl IS NULL").select("__stage").distinct().collect()}
                 for i, change in enumerate([None, *ddl]):
                     if change is not None:
                         self.change(change)
                     if i in full:
-                        self.rows(staged.where(F.col("__stage") == i).drop("__stage"), batch)
+                        part = staged.where(F.col("__stage") == i).drop("__stage")
+                        self.rows(part, self.found(part)[0])
             if self.offsets is not None and self.settings.store_offsets:
                 self.offsets.put(events, batch)
         finally:
@@ -95,15 +94,28 @@ class Applier:
                     time.sleep(10)
         self.failed.append((row.offset, row.ddl, str(problem)))
 
-    def rows(self, events: DataFrame, batch: int) -> None:
-        """Row changes of one stretch without schema changes, each table's by itself."""
+    def placed(self, events: DataFrame) -> DataFrame:
+        """Row changes of the tables that are wanted, with __db and __table, and all schema changes."""
         s = self.settings
         placed = events.withColumn("__table", table_of_topic(F.col("topic"), s.topics)).withColumn("__db", database_of(F.coalesce(F.col("value.source.db"), F.element_at(F.split("topic", r"\."), -2)), s.databases))
         if self.include:
-            placed = placed.where(included(F.concat_ws(".", "__db", "__table"), self.include))
-        placed = placed.where("__table IS NOT NULL AND value IS NOT NULL AND ddl IS NULL")
+            placed = placed.where(F.col("ddl").isNotNull() | included(F.concat_ws(".", "__db", "__table"), self.include))
+        return placed.where("ddl IS NOT NULL OR __table IS NOT NULL AND value IS NOT NULL")
+
+    def found(self, placed: DataFrame) -> tuple[list, list]:
+        """In one job: a row a table, with the log positions of its changes, and the schema changes that are to be made, in order."""
+        source = F.col("value.source")
         spot = F.pmod(F.xxhash64("topic", "partition", "offset"), F.lit(1 << 31))
-        tables = placed.groupBy("__db", "__table").agg(F.min("offset").alias("lo"), F.max("offset").alias("hi"), F.sum(spot).alias("sum")).collect()  # a row a table
+        change = F.when(F.col("ddl").isNotNull(), F.struct("topic", "partition", "offset", "ddl", source["db"].alias("db"), source["snapshot"].alias("snapshot"), source["ts_ms"].alias("ts_ms")))
+        by = [F.when(F.col("ddl").isNull(), F.col(c)).alias(c) for c in ("__db", "__table")]
+        rows = placed.groupBy(*by).agg(F.min("offset").alias("lo"), F.max("offset").alias("hi"), F.sum(spot).alias("sum"), F.collect_list(change).alias("ddl")).collect()
+        ddl = [x for r in rows for x in r["ddl"] if not self.settings.disable_ddl and (x.snapshot != "true" or self.settings.snapshot_ddl)]
+        return [r for r in rows if not r["ddl"]], sorted(ddl, key=lambda r: (r.ts_ms or 0, r.topic, r.partition, r.offset))
+
+    def rows(self, placed: DataFrame, tables: list) -> None:
+        """Row changes of one stretch without schema changes, each table's by itself."""
+        s = self.settings
+        placed = placed.where("ddl IS NULL")
 
         def write(r) -> None:
             own = placed.where((F.col("__db") == r["__db"]) & (F.col("__table") == r["__table"])).drop("__db", "__table")
@@ -147,7 +159,7 @@ class Applier:
         if s.evolve:
             d = w.evolve(d, image)
         records = deduplicate(records, s.deduplication_policy, ["topic", "key"], ["partition", "offset"])
-        w.append(d, target_rows(records, d, s), batch)
+        w.append(d, target_rows(records, d, s), batch, s.max_records)
         if s.compact_after:
             w.tidy(db, name, s.compact_after)
 

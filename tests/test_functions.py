@@ -159,3 +159,14 @@ def test_wire_types(spark):
     fields = [w.Wire("a", "INT64", "x.MicroTimestamp"), w.Wire("b", "INT64", "x.MicroTimestamp"), w.Wire("c", "INT64", "x.Timestamp"), w.Wire("d", "STRUCT", "x.VariableScaleDecimal"), w.Wire("e", "BYTES", "x.Bits"), w.Wire("f", "INT32", "x.Time")]
     r = w.typed_rows(rows, fields, zone="America/Chicago").first()
     assert (str(r.a), str(r.b), str(r.c), float(r.d), r.e, r.f) == ("2021-12-31 18:01:00", "2299-12-31 17:59:59", "2021-12-31 18:01:00", -123.4, "0a", "01:02:03.000000")
+
+
+@pytest.mark.parametrize("n", [10**36, -(10**36), 10**37 + 7, -(10**38) + 1, 10**38 - 1, -1, -(2**127), 2**119 + 5])
+def test_wide_variable_decimals(spark, n):
+    from decimal import Decimal
+
+    raw = n.to_bytes((n.bit_length() + 8) // 8, "big", signed=True)
+    got = one(spark, v.variable_decimal(F.unhex(F.col("h")), F.lit(0), "decimal(38,0)"), h=raw.hex())
+    assert got == (Decimal(n) if abs(n) < 10**38 else None)
+    scaled = one(spark, v.variable_decimal(F.unhex(F.col("h")), F.lit(18)), h=raw.hex())
+    assert scaled == (Decimal(f"{n}E-18") if abs(n) < 10**38 else None)

@@ -254,3 +254,91 @@ def test_metrics(spark):
 def test_estimates_and_partitions(spark):
     assert dumps.estimated_rows(spark.range(1000)) == 1000
     assert sorted(r.partition for r in dumps.partitions(spark.range(30), F.col("id") % 12, "^1").collect()) == ["1", "10", "11"]
+
+
+def partitioned(offset, partition, ts, op, before, after):
+    e = event(offset, op, before, after)
+    e["partition"] = partition
+    e["value"]["source"]["ts_ms"] = ts
+    return e
+
+
+def test_truncates_cut_by_partition(spark, tmp_path):
+    w = Warehouse(spark, str(tmp_path))
+    w.execute(parse(CREATE))
+    log = [partitioned(100, 0, 10, "c", None, image(1, "old")), partitioned(101, 0, 20, "t", None, None), partitioned(5, 1, 30, "c", None, image(2, "later")), partitioned(4, 1, 15, "c", None, image(3, "before")), partitioned(102, 0, 19, "c", None, image(4, "next"))]
+    for _ in range(2):
+        Applier(w)(frame(spark, log), 0)
+        assert rows_of(w) == [(2, "later", None), (4, "next", None)]
+    w.compact("shop", "users")
+    Applier(w)(frame(spark, [partitioned(3, 1, 14, "c", None, image(5, "late"))]), 1)
+    assert rows_of(w) == [(2, "later", None), (4, "next", None)]
+
+
+def test_ties_are_ordered_by_offset(spark, tmp_path):
+    w = Warehouse(spark, str(tmp_path))
+    w.execute(parse(CREATE))
+    Applier(w)(frame(spark, [partitioned(999_999, 0, 7, "c", None, image(1, "a")), partitioned(1_000_000, 0, 7, "u", image(1, "a"), image(1, "b"))]), 0)
+    assert rows_of(w) == [(1, "b", None)]
+
+
+def test_deletes_survive_compaction(spark, tmp_path):
+    w = Warehouse(spark, str(tmp_path))
+    w.execute(parse(CREATE))
+    a = Applier(w, Settings(compact_after=3))
+    for n in range(8):
+        a(frame(spark, [event(10 * n + 1, "c", None, image(n, "x")), event(10 * n + 2, "d", image(n - 1, "x"), None)]), n)
+    assert rows_of(w) == [(7, "x", None)] and w.load("shop", "users").data != "data-0"
+    a(frame(spark, [event(5, "c", None, image(0, "late"))]), 9)
+    assert rows_of(w) == [(7, "x", None)]
+
+
+def test_excluded_tables_have_no_schema_changes(spark, tmp_path):
+    w = Warehouse(spark, str(tmp_path))
+    Applier(w, include=[r"shop\.u.*"])(frame(spark, [event(1, None, None, None, CREATE), event(2, None, None, None, "CREATE TABLE other (id INT PRIMARY KEY)"), event(3, None, None, None, "CREATE DATABASE more")]), 0)
+    assert w.tables("shop") == ["users"] and "more" in w.databases()
+
+
+def test_values_that_do_not_fit_are_counted(spark, tmp_path):
+    w = Warehouse(spark, str(tmp_path))
+    w.execute(parse("CREATE TABLE shop.users (id BIGINT PRIMARY KEY, name INT, score DATE)"))
+    Applier(w)(frame(spark, [event(1, "c", None, image(1, "12", 3)), event(2, "c", None, image(2, "x", 4))]), 0)
+    assert w.lost["shop", "users"] == 1
+    assert [(r[0], r[1], str(r[2])) for r in rows_of(w)] == [(1, 12, "1970-01-04"), (2, None, "1970-01-05")]
+
+
+def test_delete_column_and_replicated_tables(spark, tmp_path):
+    w = Warehouse(spark, str(tmp_path))
+    s = Settings.of({"replacingmergetree.delete.column": "gone", "auto.create.tables": "true", "auto.create.tables.replicated": "true"})
+    Applier(w, s)(frame(spark, [event(1, "c", None, image(1, "a")), event(2, "d", image(1, "a"), None), event(3, "c", None, image(2, "b"))]), 0)
+    d = w.load("shop", "users")
+    assert d.deleted == "gone" and d.replicated and "gone" in w.log(d).columns and rows_of(w) == [(2, "b", None)]
+
+
+def test_control_verbs(spark, tmp_path):
+    from driftwell.streaming.control import command, main
+
+    folder = str(tmp_path / "log")
+    os.mkdir(folder)
+    write_log(folder, "1.json", [event(1, None, None, None, CREATE), event(2, "c", None, image(1, "a"))])
+    w = Warehouse(spark, str(tmp_path / "w"))
+    r = Replicator(lambda position: stream_log(spark, folder, "id long", ROW), Applier(w, Settings(autostart=False), history=SchemaHistory(spark, str(tmp_path / "h"))), str(tmp_path / "home"))
+    assert command(r, "start_replica")[0] == 200
+    r.caught_up()
+    assert command(r, "lsn", lsn="1/A")[0] == 400 and command(r, "fly")[0] == 404 and command(r, "restart", x="1")[0] == 400
+    status, text = command(r, "show_replica_status")
+    assert status == 200 and json.loads(text)["running"]
+    assert r.supervise(idle_s=0.1, checks=3, retries=1) == 1  # nothing new comes: it is started again
+    assert command(r, "stop_replica")[0] == 200 and main(r, ["change_replication_source", "binlog_file=log.9", "binlog_position=4"]) == 0
+    assert json.loads(r.offsets.get("replication"))["file"] == "log.9"
+    assert command(r, "delete_schema_history")[0] == 200 and r.applier.history.rows().count() == 0
+    assert command(r, "delete_offsets")[0] == 200 and r.offsets.get("replication") is None
+
+
+def test_bytes_of_dumps(spark, tmp_path):
+    from pyspark.sql import types as T
+
+    texts = ["\x01", "a\x01b", "\\", "\\\\n", "\\t", "tab\there", "line\nend\\", "\\N", "\x00", "n\\\\\\t"]
+    kind = T.StructType.fromDDL("i string, t string")
+    dumps.write_tsv(spark.createDataFrame([(str(i), t) for i, t in enumerate(texts)], kind), str(tmp_path / "d"))
+    assert {int(r.i): r.t for r in dumps.read_tsv(spark, str(tmp_path / "d"), kind).collect()} == dict(enumerate(texts))
