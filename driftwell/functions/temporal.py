@@ -77,10 +77,11 @@ def milli_timestamp(millis: Column, zone: str = "UTC", wide: bool = True) -> Col
 
 
 def zoned_timestamp(iso: Column, zone: str = "UTC") -> Column:
-    """ISO text with or without an offset (then UTC) to six fraction digits; '' if it can't be read."""
+    """ISO text with up to seven fraction digits, with or without an offset (then of the zone), to six digits; '' if it can't be read."""
     has_zone = iso.rlike(r"(Z|z|[+-]\d\d:?\d\d)$")
-    ts = F.when(has_zone, iso).otherwise(F.concat(iso, F.lit("Z"))).try_cast("timestamp")
-    micros = F.unix_micros(ts)
+    local = iso.try_cast("timestamp_ntz")
+    here = epoch_micros(local if zone == "UTC" else F.convert_timezone(F.lit(zone), F.lit("UTC"), local))
+    micros = F.when(has_zone, F.unix_micros(F.regexp_replace(iso, r"([+-]\d\d)(\d\d)$", "$1:$2").try_cast("timestamp"))).otherwise(here)
     inside = clamped(micros, DATETIME64, MILLION)
     text = F.concat(seconds_text(whole_seconds(inside), zone), F.lit("."), fraction(inside))
     return F.when(iso.isNull(), F.lit(None).cast("string")).otherwise(F.coalesce(text, F.lit("")))

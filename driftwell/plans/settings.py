@@ -16,7 +16,7 @@ def flag(value: object) -> bool:
 @dataclass(frozen=True)
 class Settings:
     """zone: of zoneless times. max_records: most rows of a data file. buffer_count: keys a topic that deduplication
-    remembers. compact_after: batches of a replacing table that lie side by side at most, 0 for any number."""
+    remembers. snapshot_mode: schema_only or no_data leaves out the rows of snapshots. compact_after: batches of a replacing table that lie side by side at most, 0 for any number."""
 
     ignore_delete: bool = False
     deduplication_policy: str = "off"
@@ -41,6 +41,7 @@ class Settings:
     replicated: bool = False
     store_offsets: bool = False
     compact_after: int = 200
+    snapshot_mode: str = "initial"
     max_records: int = 100_000
     autostart: bool = True
 
@@ -81,5 +82,6 @@ KEYS = {
     "enable.snapshot.ddl": "snapshot_ddl", "ddl.retry": "ddl_retry", "single.threaded": "single_threaded",
     "buffer.flush.time.ms": "flush_ms", "buffer.max.records": "max_records", "skip_replica_start": "autostart",
     "auto.create.tables.replicated": "replicated", "enable.kafka.offset": "store_offsets", "compact.after.batches": "compact_after",
+    "snapshot.mode": "snapshot_mode",
 }
 NEGATED = ("skip_replica_start",)

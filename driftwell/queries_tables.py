@@ -334,6 +334,14 @@ def stream_typed_final(spark, d):
     return state_of(w, "typed").select("user_id", F.col("day").cast("string").alias("day"), text("at").alias("at"), text("ms").alias("ms"), "clock", F.unix_micros("zoned").alias("zoned"), F.col("amount").cast("decimal(18,3)").alias("amount"), "raw", "kind", "ok", "spot.x")
 
 
+@query(LOG + "SELECT user_id, event_type FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY event_id DESC) AS rn FROM cl WHERE op <> 'r') WHERE rn = 1 AND op <> 'd'")
+def schema_only_start(spark, d):
+    """Rows of the snapshot are left out, changes are applied."""
+    w = Warehouse(spark, folder(spark, "warehouse"))
+    Applier(w, Settings.of({"auto.create.tables": "true", "snapshot.mode": "schema_only"}))(events_log(spark, d), 0)
+    return state_of(w, "user_state")
+
+
 @query("SELECT user_id, event_type FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY event_id) AS rn FROM events) WHERE rn = 1 AND event_type <> 'error'")
 def dedup_pool(spark, d):
     """Policy old: later records of a key are dropped, in the batch and in batches after it."""
@@ -367,6 +375,17 @@ def documents_inferred(spark, d):
     return rows.select(F.col("_id").cast("long").alias("event_id"), F.col("u").cast("long").alias("u"), "kind", values.json_field(F.col("doc"), "$.k").try_cast("long").alias("k"))
 
 
+#: Texts of one time in all forms, with an offset (Z, with and without a colon) and zero to seven fraction digits, and without; with what they are in a zone five hours west.
+FRACTIONS = ["", *(f".{'1234567'[:n]}" for n in range(1, 8))]
+FORMS = [(f"2021-12-31T19:01:00{x}{o}", f"2021-12-31 {h}:01:00.{x[1:7]:0<6}") for x in FRACTIONS for o, h in (("Z", "14"), ("+03:00", "11"), ("+0300", "11"), ("", "19")) if o or not x]
+FORMS += [("2338-01-19T03:14:07Z", "2299-12-31 18:59:59.000000"), ("1800-01-01T00:00:00+01:00", "1899-12-31 19:00:00.000000"), ("31.12.2021", ""), ("", "")]
+
+
+@query(literal(FORMS, "iso, t"))
+def zoned_forms(spark, d):
+    return spark.createDataFrame([(x,) for x, _ in FORMS], "iso string").select("iso", temporal.zoned_timestamp(F.col("iso"), "Etc/GMT+5").alias("t"))
+
+
 # positions, figures, catalogs
 
 @query(LOG + "SELECT 'srv.shop.user_state' AS topic, CAST(event_id % 6 AS INTEGER) AS \"partition\", max(event_id) AS max_offset FROM cl GROUP BY 2")

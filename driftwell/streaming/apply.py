@@ -98,6 +98,8 @@ class Applier:
         """Row changes of the tables that are wanted, with __db and __table, and all schema changes."""
         s = self.settings
         placed = events.withColumn("__table", table_of_topic(F.col("topic"), s.topics)).withColumn("__db", database_of(F.coalesce(F.col("value.source.db"), F.element_at(F.split("topic", r"\."), -2)), s.databases))
+        if s.snapshot_mode in ("schema_only", "no_data"):
+            placed = placed.where(F.col("ddl").isNotNull() | (F.lower("value.op") != "r"))
         if self.include:
             placed = placed.where(F.col("ddl").isNotNull() | included(F.concat_ws(".", "__db", "__table"), self.include))
         return placed.where("ddl IS NOT NULL OR __table IS NOT NULL AND value IS NOT NULL")
