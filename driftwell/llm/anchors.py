@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import drop_written, release, slices, written
+from .common import drop_scratch, drop_written, release, scratch_mark, slices, written
 from .words import Words, spread, window_hashes
 
 WINDOW = 50
@@ -154,7 +154,7 @@ def substring_dedup(docs: DataFrame, text: str = "text", doc_id: str = "doc_id",
     if not covers(cover, period) or period >= window:
         raise ValueError("the cover must have every difference modulo the period, and the period be below the window")
     spark = docs.sparkSession
-    rows = keyed(docs, text, doc_id)
+    rows, mark = keyed(docs, text, doc_id), scratch_mark()
     n = docs.count()
     found = written(anchors(rows, window, period, cover), "anchors", rows=n, each=TEXTS_A_FILE)
     most, parts = found.count() // passes, []
@@ -182,7 +182,7 @@ def substring_dedup(docs: DataFrame, text: str = "text", doc_id: str = "doc_id",
     starts = reduce(DataFrame.unionByName, parts).groupBy("did", "k").agg(F.flatten(F.collect_list("starts")).alias("starts"))
     marks = starts.withColumn("copy", F.lit(False)).unionByName(copies.withColumns({"starts": F.array().cast("array<int>"), "copy": F.lit(True)}))
     marks = written(marks, "anchor-marks", rows=n, each=10 * TEXTS_A_FILE)
-    drop_written(spark, around)
+    drop_scratch(spark, mark, keep=1)
     release(spark)
     joined = rows.join(marks, same_row(rows, marks), "left").select(rows["did"], rows["text"], F.coalesce(marks["copy"], F.lit(False)).alias("copy"), marks["starts"])
     return removed(joined, window, texts)

@@ -6,6 +6,7 @@ import gc
 import os
 import uuid
 from collections.abc import Iterator
+from contextvars import ContextVar
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -30,8 +31,16 @@ def scratch_dir(spark: SparkSession) -> str:
     return f"{found.rstrip('/')}/driftwell"
 
 
-#: Scratch tables of this driver, in the order in which they were begun.
-_tables: list[str] = []
+#: Scratch tables of this thread of the driver, in the order in which they were begun.
+_own: ContextVar[list[str]] = ContextVar("scratch tables")
+
+
+def _tables() -> list[str]:
+    try:
+        return _own.get()
+    except LookupError:
+        _own.set([])
+        return _own.get()
 
 
 def few(df: DataFrame, rows: int, each: int = ROWS_A_FILE) -> DataFrame:
@@ -51,11 +60,24 @@ def written(df: DataFrame, tag: str, rows: int | None = None, each: int = ROWS_A
     spark = df.sparkSession
     df = df if rows is None else few(df, rows, each)
     path = f"{scratch_dir(spark)}/{tag}-{uuid.uuid4().hex}"
-    _tables.append(path)
+    _tables().append(path)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def row_bits(rows: DataFrame, column: str) -> DataFrame:
+    """(bucket, bits): a set of row numbers as bitmaps of 32,768 bits, a bit a row where numbers lie close."""
+    return rows.groupBy(F.bitmap_bucket_number(column).alias("bucket")).agg(F.bitmap_construct_agg(F.bitmap_bit_position(column)).alias("bits"))
+
+
+def in_bits(df: DataFrame, column: str, bits: DataFrame) -> DataFrame:
+    """Rows of df whose number is in the set: as long as its bitmaps are small, Spark sends them and leaves the rows where they are."""
+    place = F.bitmap_bit_position(column)
+    byte = F.conv(F.hex(F.substring(bits["bits"], F.shiftright(place, 3).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+    bit = F.get(F.array(*[F.shiftright(byte, i).bitwiseAND(1) for i in range(8)]), place.bitwiseAND(7).cast("int"))
+    return df.join(bits, F.bitmap_bucket_number(column) == bits["bucket"]).where(bit == 1).select(*df.columns)
+
+
 def release(spark: SparkSession) -> None:
     """Let Spark's cleaner delete the shuffle files of phases whose results are written."""
     gc.collect()
@@ -74,16 +96,16 @@ def drop_written(spark: SparkSession, df: DataFrame) -> None:
 
 
 def scratch_mark() -> int:
-    """A place among the scratch tables, for drop_scratch()."""
-    return len(_tables)
+    """A place among the scratch tables of this thread, for drop_scratch()."""
+    return len(_tables())
 
 
 def drop_scratch(spark: SparkSession, since: int = 0, keep: int = 0) -> None:
-    """Delete the scratch tables begun after the mark, but for the last `keep`; nothing may read them any more."""
-    gone = _tables[since : len(_tables) - keep]
-    for path in gone:
+    """Delete the scratch tables that this thread began after the mark, but for the last `keep`; nothing may read them any more."""
+    tables = _tables()
+    for path in tables[since : len(tables) - keep]:
         _delete(spark, path)
-    del _tables[since : len(_tables) - keep]
+    del tables[since : len(tables) - keep]
 
 
 def apart(keep: tuple[str, ...], *new: str) -> tuple[str, ...]:

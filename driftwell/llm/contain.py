@@ -135,7 +135,7 @@ def containment(docs: DataFrame, items: DataFrame, text: str = "text", item_id:
         return run
 
     for b in range(blocks):
-        part = chosen if blocks == 1 else chosen.where(F.pmod(F.xxhash64("text"), F.lit(blocks)) == b)
+        part = chosen if blocks == 1 else chosen.where(F.pmod(F.xxhash64("text", "item"), F.lit(blocks)) == b)  # equal items come apart
         got = part.collect()  # of about block_words words
         frame = frame.mapInArrow(search(Items([r["item"] for r in got], [r["text"].encode() for r in got], width, share)), frame.schema)
     return frame.select(*[F.col(n).alias(c) for c, n in zip(keep, names)], F.array_sort("__matches").alias("matches"))

@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import apart, written
+from .common import apart, drop_scratch, scratch_mark, written
 
 #: About so many labelled rows are what the model is fitted on at most, the same number of each language that has enough, chosen by a hash of the row.
 FIT_ROWS = 20_000
@@ -84,6 +84,7 @@ def fit(docs: DataFrame, text: str, lang: str, rows: int = FIT_ROWS) -> dict | N
     labelled = docs.where(F.col(lang).isNotNull() & F.col(text).isNotNull()).select(F.col(lang).cast("string").alias("lang"), F.col(text).alias("text"), F.xxhash64(*[F.col(f"`{c}`") for c in docs.columns]).alias("h"))
     found = labelled.groupBy("lang").agg(F.count("*").alias("n"))
     part = found.withColumn("part", F.lit(float(rows << 30)) / (F.col("n") * F.count("*").over(Window.partitionBy())))  # a row a language
+    mark = scratch_mark()
     part = written(part.select("lang", "part"), "language-parts", rows=1)  # of known size, so Spark broadcasts it if it is small
     sample = labelled.join(part, "lang").where(F.pmod("h", F.lit(1 << 30)) < F.col("part")).select("lang", "text")
 
@@ -108,6 +109,7 @@ def fit(docs: DataFrame, text: str, lang: str, rows: int = FIT_ROWS) -> dict | N
 
     summed = sample.mapInArrow(count, "lang string, kind string, at int, n long").groupBy("lang", "kind", "at").agg(F.sum("n").alias("n"))
     packed = sorted(summed.groupBy("lang").applyInPandas(pack, "lang string, counts binary").collect())
+    drop_scratch(docs.sparkSession, mark)
     names = [r["lang"] for r in packed]
     if not names:
         return None

@@ -14,7 +14,7 @@ import math
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import written
+from .common import drop_scratch, scratch_mark, written
 
 #: Rows of docs that one block of a source stands for, about, and the least number of blocks.
 ROWS_A_BLOCK, LEAST_BLOCKS = 50_000, 256
@@ -92,6 +92,7 @@ def mix_sources(docs: DataFrame, source: str = "source", tokens: str | None = No
     placed = placed.withColumn(f"{p}block", F.pmod(f"{p}h", F.lit(blocks)).cast("int"))
     by = [f"{p}source", f"{p}block"]
     s, b = by
+    mark = scratch_mark()
     per_block = written(placed.groupBy(*by).agg(F.sum(count).alias("tokens")), "mix-blocks")
     totals = per_block.groupBy(s).agg(F.sum("tokens").alias("tokens"))
     full = written(totals.where("tokens > 0"), "mix-sources", rows=1)
@@ -116,6 +117,7 @@ def mix_sources(docs: DataFrame, source: str = "source", tokens: str | None = No
     epochs = epochs.withColumn("block_position", F.row_number().over(turn) - 1)
     line = epochs.groupBy(*by, "weight", "repeats", "whole", "rest", "before", "tokens", "cut").agg(F.sort_array(F.collect_list(F.struct("epoch", "block_position"))).alias("turns"))
     line = written(line.select(*by, F.struct(*[c for c in line.columns if c not in by]).alias(f"{p}l")), "mix-lines")
+    drop_scratch(docs.sparkSession, mark, keep=1)
     joined = placed.join(line, by).withColumn(f"{p}n", count).withColumn(f"{p}at", F.xxhash64(f"{p}h", f"{p}l.whole"))
     within = f"({p}l.before + {p}l.tokens <= {p}l.rest or {p}l.before < {p}l.rest and {p}at <= {p}l.cut)"
     taken = F.expr(f"filter({p}l.turns, t -> t.epoch < {p}l.whole or ({p}l.rest > 0 and {p}n > 0 and coalesce({within}, false)))")

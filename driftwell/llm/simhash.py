@@ -18,7 +18,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import apart, components, slices, written
+from .common import components, drop_scratch, scratch_mark, slices, written
 
 #: Members of a cell that are compared in one group; a larger cell is dealt out as pairs of chunks.
 CHUNK = 2048
@@ -220,6 +220,7 @@ def near_duplicates(docs: DataFrame, text: str = "text", doc_id: str = "doc_id",
     if most > 2:
         raise ValueError("cells one step apart meet at two differing bits or fewer")
     found = written(fingerprints(docs, text, words, (seed,), keep=(doc_id,)), "simhash-prints", rows=docs.count(), each=TEXTS_A_FILE)
+    mark = scratch_mark()
     nodes = written(found.select("f0").distinct().withColumn("id", F.monotonically_increasing_id()), "simhash-nodes", rows=found.count())
     n = nodes.count()
     root = classes(nodes, written(links(nodes, most).distinct(), "simhash-links", rows=n))
@@ -227,4 +228,5 @@ def near_duplicates(docs: DataFrame, text: str = "text", doc_id: str = "doc_id",
     rooted = written(root.drop("id").join(least, "f0"), "simhash-roots", rows=n)
     named = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
     by_print = written(rooted.join(named, "root").select("f0", "component_id"), "simhash-named", rows=n)
+    drop_scratch(docs.sparkSession, mark, keep=1)
     return found.join(by_print, "f0").select(doc_id, "f0", "component_id")

@@ -21,7 +21,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import drop_written, release, slices, written
+from .common import drop_scratch, drop_written, release, scratch_mark, slices, written
 from .words import U, gram_hashes
 
 LENGTH = 400
@@ -307,7 +307,7 @@ def suffix_dedup(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", le
     index: its pieces are cut finer and filed again, until no more than `group_pieces` lie together.
     """
     spark = docs.sparkSession
-    widths = class_widths(length, gram)
+    widths, mark = class_widths(length, gram), scratch_mark()
     rows = docs.select(F.col(doc_id).alias("doc_id"), F.xxhash64(text).alias("t1"), F.xxhash64(F.lit(1), text).alias("t2"), F.col(text).alias("text"))
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -344,6 +344,6 @@ def suffix_dedup(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", le
     drop_written(spark, bodies)
     marks = pieces.join(spotted, same).select("t1", "t2", F.expr("transform(found, x -> named_struct('lo', x.lo + start, 'hi', x.hi + start))").alias("spans"))
     marks = written(marks.distinct().groupBy("t1", "t2").agg(F.flatten(F.collect_list("spans")).alias("spans")), "suffix-marks", rows=docs.count(), each=10_000)
-    drop_written(spark, pieces)
+    drop_scratch(spark, mark, keep=1)
     release(spark)
     return removed(rows.join(marks, ["t1", "t2"], "left"), length, texts)

@@ -129,7 +129,7 @@ def test_isolated_pairs_at_the_limit_are_found(spark):
     assert left <= 200 + 10
 
 
-@pytest.mark.parametrize("chunk", [128, 30])
+@pytest.mark.parametrize("chunk", [256, 30])
 def test_variants_of_one_text_are_all_linked(spark, monkeypatch, chunk):
     """Many variants around the limit, with and without the text they come from: who stays is what all pairs leave."""
     monkeypatch.setattr(neardup, "CHUNK", chunk)
@@ -284,8 +284,19 @@ def test_scratch_tables_go(spark):
         tables[2].count()
 
 
+def test_sets_of_rows_as_bitmaps(spark):
+    rng = random.Random(5)
+    rows = [(part << 33) + i for part in range(4) for i in range(40_000 if part == 1 else 50)] + [32768, 32769]
+    some = rng.sample(rows, 700) + [0, 1, 32768]
+    frame = spark.createDataFrame([(r, "x") for r in rows], "row long, other string")
+    bits = common.row_bits(spark.createDataFrame([(r,) for r in some], "row long"), "row")
+    assert sorted(r.row for r in common.in_bits(frame, "row", bits).collect()) == sorted(r for r in rows if r in set(some))
+    assert common.in_bits(frame, "row", common.row_bits(frame.limit(0), "row")).count() == 0
+
+
 def test_empty_tables(empty):
     assert simhash.near_duplicates(empty).count() == 0
+    assert neardup.deduplicate(empty).count() == 0
     assert suffixes.suffix_dedup(empty).count() == 0
     assert anchors.substring_dedup(empty).count() == 0
 
