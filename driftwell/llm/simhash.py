@@ -3,9 +3,11 @@
 A fingerprint is cut into segments of four bits; its bit counts per segment are a point of an integer
 grid. Manhattan distance there never exceeds Hamming distance, so fingerprints at two differing bits or
 fewer lie at Manhattan distance two or less, and then some grid cell is at most one step away from both.
-Each fingerprint visits its own cell and all cells one step away; those that meet in a cell are compared
-exactly. Only distinct fingerprints take part, and a cell sends out a spanning forest of its links, not
-all pairs.
+Since two differing bits leave one of three parts of a fingerprint as it is, the grid is laid over the
+counts of the other two, within the fingerprints that have the same bits there: cells stay thin however
+many fingerprints there are. Each fingerprint visits its own cells and all one step away; those that meet
+are compared exactly. Only distinct fingerprints take part, and a cell sends out a spanning forest of its
+links, not all pairs.
 """
 
 from __future__ import annotations
@@ -20,6 +22,9 @@ from pyspark.sql import functions as F
 
 from .common import components, drop_scratch, scratch_mark, slices, written
 
+#: Segments in three parts: of two differing bits, one part at least has none.
+PARTS = (tuple(range(5)), tuple(range(5, 10)), tuple(range(10, 16)))
+ALL = (1 << 64) - 1
 #: Members of a cell that are compared in one group; a larger cell is dealt out as pairs of chunks.
 CHUNK = 2048
 #: Groups of so many members or fewer are compared row by row, many groups at once.
@@ -76,47 +81,53 @@ def popcounts(half: Column) -> Column:
     return two.bitwiseAND(0x33333333) + F.shiftrightunsigned(two, 2).bitwiseAND(0x33333333)
 
 
-def visited(word: Column) -> Column:
-    """Array of the grid cells that a fingerprint visits: its 16 bit counts, four bits each, and all a step away."""
-    packed = F.shiftleft(popcounts(F.shiftrightunsigned(word, 32)), 32) + popcounts(word.bitwiseAND(0xFFFFFFFF))
-    steps = [packed]
-    for i in range(0, 64, 4):
-        count = F.shiftrightunsigned(packed, i).bitwiseAND(15)
-        steps += [F.when(count < 4, packed + F.lit(1 << i)), F.when(count > 0, packed - F.lit(1 << i))]
+def signed(x: int) -> int:
+    return x - (1 << 64) if x >> 63 else x
+
+
+def visited(word: Column, packed: Column) -> Column:
+    """Array of the cells that a fingerprint with these packed bit counts visits: for each part its bits, and the counts of the others and all a step away."""
+    steps = []
+    for part in PARTS:
+        mask = sum(15 << 4 * i for i in part)
+        base = packed.bitwiseAND(F.lit(signed(~mask & ALL))).bitwiseOR(word.bitwiseAND(F.lit(signed(mask))))
+        steps.append(base)
+        for i in (i for i in range(16) if i not in part):
+            count = F.shiftrightunsigned(packed, 4 * i).bitwiseAND(15)
+            steps += [F.when(count < 4, base + F.lit(1 << 4 * i)), F.when(count > 0, base - F.lit(1 << 4 * i))]
     return F.array_compact(F.array(*steps))
 
 
+def packed_counts(word: Column) -> Column:
+    """Bit counts of the 16 segments, four bits each."""
+    return F.shiftleft(popcounts(F.shiftrightunsigned(word, 32)), 32) + popcounts(word.bitwiseAND(0xFFFFFFFF))
+
+
 def visited_cells(words: np.ndarray) -> np.ndarray:
     """The same in numpy: rows x steps, -1 for steps that leave the grid."""
     u = np.uint64
     two = (words & u(0x5555555555555555)) + ((words >> u(1)) & u(0x5555555555555555))
-    packed = ((two & u(0x3333333333333333)) + ((two >> u(2)) & u(0x3333333333333333))).astype(np.int64)[:, None]
-    at = np.arange(0, 64, 4)
-    count, step = (packed >> at) & 15, np.int64(1) << at
-    return np.concatenate([packed, np.where(count < 4, packed + step, -1), np.where(count > 0, packed - step, -1)], axis=1)
+    packed = (two & u(0x3333333333333333)) + ((two >> u(2)) & u(0x3333333333333333))
+    out = []
+    for part in PARTS:
+        mask = sum(15 << 4 * i for i in part)
+        base = ((packed & u(~mask & ALL)) | (words & u(mask))).view(np.int64)[:, None]
+        at = np.array([4 * i for i in range(16) if i not in part])
+        count, step = (packed[:, None] >> at.astype(u)) & u(15), np.int64(1) << at
+        out += [base, np.where(count < 4, base + step, -1), np.where(count > 0, base - step, -1)]
+    return np.concatenate(out, axis=1)
 
 
 def first_meeting(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     """The least cell that both visit, for pairs of fingerprints."""
     out = np.empty(len(a), dtype=np.int64)
-    for lo in range(0, len(a), 4096):
-        x, y = visited_cells(a[lo : lo + 4096]), visited_cells(b[lo : lo + 4096])
-        both = ((x[:, :, None] == y[:, None, :]) & (x >= 0)[:, :, None]).any(2)
-        out[lo : lo + 4096] = np.where(both, x, np.iinfo(np.int64).max).min(1)
+    for lo in range(0, len(a), 1024):
+        x, y = visited_cells(a[lo : lo + 1024]), visited_cells(b[lo : lo + 1024])
+        both = ((x[:, :, None] == y[:, None, :]) & (x != -1)[:, :, None]).any(2)
+        out[lo : lo + 1024] = np.where(both, x, np.iinfo(np.int64).max).min(1)
     return out
 
 
-def meeting_here(words: np.ndarray, cell: int) -> np.ndarray:
-    """The fingerprints that share no lesser cell with one of the others: most members of a large cell met before."""
-    _, first, kind = np.unique(visited_cells(words)[:, 0], return_index=True, return_inverse=True)
-    i, j = (x.ravel() for x in np.meshgrid(np.arange(len(first)), np.arange(len(first))))
-    here = first_meeting(words[first[i]], words[first[j]]) == cell
-    use = np.zeros(len(first), dtype=bool)
-    use[i[here & ((i != j) | (np.bincount(kind)[i] > 1))]] = True
-    use[j[here & ((i != j) | (np.bincount(kind)[i] > 1))]] = True
-    return np.flatnonzero(use[kind])
-
-
 def forest(words: np.ndarray, most: int) -> list[tuple[int, int]]:
     """Links that connect what `most` differing bits connect among the fingerprints."""
     open_, cluster, found, clusters = np.arange(len(words)), np.zeros(len(words), dtype=np.int64), [], 0
@@ -154,7 +165,7 @@ def links(nodes: DataFrame, most: int) -> DataFrame:
     """Links (a, b) between ids of nodes(id, f0) that connect what all pairs of `most` differing bits or fewer (two at most) would."""
     tasks = int(nodes.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     narrow = nodes.repartition(tasks, "id")  # nodes are narrow, cells many
-    cells = narrow.select("id", F.explode(visited(F.col("f0"))).alias("cell"))
+    cells = narrow.select("id", "f0", packed_counts(F.col("f0")).alias("packed")).select("id", F.explode(visited(F.col("f0"), F.col("packed"))).alias("cell"))
     shared = cells.groupBy("cell").agg(F.count("*").alias("n")).where("n > 1")
     chunks = F.ceil(F.col("n") / CHUNK).cast("int")
     met = cells.join(shared, "cell").withColumn("chunks", chunks).withColumn("own", F.pmod(F.xxhash64("id"), F.col("chunks")).cast("int"))
@@ -189,11 +200,9 @@ def links(nodes: DataFrame, most: int) -> DataFrame:
             a.append(at)
             b.append(at + step)
         for g in np.flatnonzero(size > SMALL):
-            at = edge[g] + meeting_here(fps[edge[g] : edge[g + 1]], rows[edge[g], 0])
-            if len(at) > 1:
-                found = np.array(forest(fps[at], most), dtype=np.int64).reshape(-1, 2)
-                a.append(at[found[:, 0]])
-                b.append(at[found[:, 1]])
+            found = np.array(forest(fps[edge[g] : edge[g + 1]], most), dtype=np.int64).reshape(-1, 2) + edge[g]
+            a.append(found[:, 0])
+            b.append(found[:, 1])
         a, b = np.concatenate(a), np.concatenate(b)
         here = first_meeting(fps[a], fps[b]) == rows[a, 0]
         sent = [(x, y) for x, y in zip(ids[a[here]].tolist(), ids[b[here]].tolist()) if joins(up, x, y)]

@@ -71,16 +71,23 @@ def test_grid_links_lose_nothing(spark):
     assert union(len(values), found) == union(len(values), near)
 
 
+def test_two_bits_apart_meet():
+    rng = np.random.default_rng(6)
+    a = rng.integers(0, 1 << 63, size=400, dtype=np.uint64) << np.uint64(1)
+    b = a ^ (np.uint64(1) << rng.integers(0, 64, size=400).astype(np.uint64)) ^ (np.uint64(1) << rng.integers(0, 64, size=400).astype(np.uint64))
+    assert (simhash.first_meeting(a, b) < np.iinfo(np.int64).max).all()
+
+
 def test_grid_in_numpy_is_the_grid_in_sql(spark):
     rng = np.random.default_rng(5)
     words = rng.integers(0, 1 << 63, size=50, dtype=np.uint64) << np.uint64(1)
     words[0], words[1] = 0, (1 << 64) - 1
     frame = spark.createDataFrame([(int(x),) for x in words.view(np.int64)], "f0 long")
-    sql = [sorted(r[0]) for r in frame.select(simhash.visited(frame.f0)).collect()]
-    assert sql == [sorted(x for x in r.tolist() if x >= 0) for r in simhash.visited_cells(words)]
+    sql = [sorted(r[0]) for r in frame.select(simhash.visited(frame.f0, simhash.packed_counts(frame.f0))).collect()]
+    assert sql == [sorted(x for x in r.tolist() if x != -1) for r in simhash.visited_cells(words)]
     near = words ^ (np.uint64(1) << rng.integers(0, 64, size=50).astype(np.uint64))
     own = [set(r) for r in sql]
-    other = [set(r[r >= 0].tolist()) for r in simhash.visited_cells(near)]
+    other = [set(r[r != -1].tolist()) for r in simhash.visited_cells(near)]
     assert simhash.first_meeting(words, near).tolist() == [min(a & b) for a, b in zip(own, other)]
 
 
