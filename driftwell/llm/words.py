@@ -15,7 +15,7 @@ GRAM_BASE, LEFT, RIGHT = 0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93, 0xA0761D6478BD6
 class Digests(dict):
     """XXH3 hashes of 128 bits of byte words; those of words that come again are kept."""
 
-    MOST = 1 << 19
+    MOST = 1 << 17
 
     def __missing__(self, word: bytes) -> bytes:
         if len(self) >= self.MOST:
