@@ -9,6 +9,7 @@ from collections.abc import Iterator
 from contextvars import ContextVar
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -114,24 +115,18 @@ def apart(keep: tuple[str, ...], *new: str) -> tuple[str, ...]:
     return tuple(c for c in keep if c.lower() not in taken)
 
 
-def byte_texts(column: pa.Array) -> list[bytes | None]:
-    """UTF-8 bytes of each text."""
-    return column.cast(pa.large_binary()).to_pylist()
-
-
 def slices(batches: Iterator[pa.RecordBatch], text: str, most: int = 1 << 20) -> Iterator[tuple[pa.RecordBatch, list[bytes | None]]]:
-    """The batches cut at rows into pieces of about `most` bytes of text; a longer text comes alone."""
+    """The batches cut at rows into pieces of about `most` bytes of text, with the UTF-8 bytes of each; a longer text comes alone."""
     for batch in batches:
-        texts = byte_texts(batch.column(batch.schema.get_field_index(text)))
+        column = batch.column(batch.schema.get_field_index(text)).cast(pa.large_binary())
         lo = size = 0
-        for i, t in enumerate(texts):
-            n = len(t or b"") + 1
-            if i > lo and size + n > most:
-                yield batch.slice(lo, i - lo), texts[lo:i]
+        for i, n in enumerate(pc.fill_null(pc.binary_length(column), 0).to_pylist()):
+            if i > lo and size + n + 1 > most:
+                yield batch.slice(lo, i - lo), column.slice(lo, i - lo).to_pylist()
                 lo, size = i, 0
-            size += n
-        if lo < len(texts):
-            yield batch.slice(lo), texts[lo:]
+            size += n + 1
+        if lo < batch.num_rows:
+            yield batch.slice(lo), column.slice(lo).to_pylist()
 
 
 def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
