@@ -15,8 +15,8 @@ def flag(value: object) -> bool:
 
 @dataclass(frozen=True)
 class Settings:
-    """zone: of zoneless times. max_records: most rows of a data file. buffer_count: keys a topic that deduplication
-    remembers. snapshot_mode: schema_only or no_data leaves out the rows of snapshots. compact_after: batches of a replacing table that lie side by side at most, 0 for any number."""
+    """zone: of zoneless times. max_records: most rows of a data file. buffer_count: distinct keys a topic that
+    deduplication remembers. snapshot_mode: schema_only or no_data leaves out the rows of snapshots. compact_after: batches of a replacing table that lie side by side at most, 0 for any number."""
 
     ignore_delete: bool = False
     deduplication_policy: str = "off"

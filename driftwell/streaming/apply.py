@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import re
 import time
-from collections import deque
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark import inheritable_thread_target
@@ -17,7 +16,9 @@ from ..operators.state import DELETED, SEQ, VERSION, collapsing_rows
 from ..operators.versions import time_version, version
 from ..plans.ddl import Action, DdlError, drops_or_truncates, parse, unquoted
 from ..plans.routing import database_of, included, table_of_topic
+from ..plans.scratch import folder
 from ..plans.settings import Settings
+from ..plans.store import Files
 from ..plans.tables import COLLAPSING, PLACE, TIME, TRUNCATE, Descriptor, Warehouse, described_by_schema
 from ..plans.types import Wire, typed_records
 from ..functions.values import raw_json, resolve_zone
@@ -45,7 +46,8 @@ class Applier:
         self.warehouse, self.settings, self.include, self.keys = warehouse, settings or Settings(), include, keys or {}
         self.history, self.wires, self.offsets = history, wires or {}, offsets
         self.failed: list[tuple[int, str, str]] = []
-        self.seen: dict[str, deque[str]] = {}  # by topic, the last keys, for deduplication
+        self.seen: tuple[str, DataFrame] | None = None  # the last keys of each topic, for deduplication: path and table
+        self.turn = 0  # how often keys were remembered
         self.zone = resolve_zone(self.settings.zone)
         self.mark = "" if self.settings.delete_column == "sign" else self.settings.delete_column
 
@@ -133,19 +135,32 @@ class Applier:
             self.remember(placed)
 
     def remember(self, events: DataFrame) -> None:
-        """Keep the last `buffer_count` keys of each topic, as texts."""
-        last = F.row_number().over(Window.partitionBy("topic").orderBy(F.desc("partition"), F.desc("offset")))
-        kept = events.select("topic", "partition", "offset", F.to_json("key").alias("k")).withColumn("n", last).where((F.col("n") <= self.settings.buffer_count) & F.col("k").isNotNull())
-        for r in kept.orderBy("topic", F.desc("n")).select("topic", "k").collect():  # buffer_count a topic
-            self.seen.setdefault(r["topic"], deque(maxlen=self.settings.buffer_count)).append(r["k"])
+        """Keep the `buffer_count` distinct keys of each topic that came last, one row a key, as a table in the scratch folder."""
+        most = self.settings.buffer_count
+        self.turn += 1
+        came = F.struct(F.lit(self.turn).alias("turn"), "partition", "offset").alias("came")
+        keys = events.select("topic", F.to_json("key").alias("__k"), came).where("__k IS NOT NULL")
+        if self.seen is not None:
+            keys = keys.unionByName(self.seen[1])
+        self.keep(keys.groupBy("topic", "__k").agg(F.max("came").alias("came")))
+        if (self.seen[1].groupBy("topic").count().agg(F.max("count")).first()[0] or 0) > most:
+            last = F.row_number().over(Window.partitionBy("topic").orderBy(F.desc("came")))
+            self.keep(self.seen[1].withColumn("n", last).where(F.col("n") <= most).drop("n"))
+
+    def keep(self, keys: DataFrame) -> None:
+        """keys in the place of those remembered so far."""
+        spark, old = self.warehouse.spark, self.seen
+        path = folder(spark, "seen-keys")
+        keys.write.parquet(path)
+        self.seen = path, spark.read.schema(keys.schema).parquet(path)
+        if old is not None:
+            Files(spark).delete(old[0])
 
     def unseen(self, records: DataFrame) -> DataFrame:
         """Records whose key is not among those remembered of its topic."""
-        known = [(t, k) for t, keys in self.seen.items() for k in set(keys)]
-        if not known or self.settings.deduplication_policy != "old":
+        if self.seen is None:
             return records
-        frame = self.warehouse.spark.createDataFrame(known, "topic string, __k string")
-        return records.withColumn("__k", F.to_json("key")).join(F.broadcast(frame), ["topic", "__k"], "left_anti").drop("__k")  # buffer_count keys a topic
+        return records.withColumn("__k", F.to_json("key")).join(self.seen[1].select("topic", "__k"), ["topic", "__k"], "left_anti").drop("__k")
 
     def table_rows(self, events: DataFrame, db: str, name: str, batch: str) -> None:
         s, w = self.settings, self.warehouse

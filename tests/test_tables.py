@@ -96,6 +96,18 @@ def test_gates_and_failures(spark, tmp_path):
     assert w.exists("shop", "users")
 
 
+def test_the_pool_of_deduplication_holds_distinct_keys(spark, tmp_path):
+    """Policy old: a key that came often takes one place; the keys that came longest ago leave first."""
+    w = Warehouse(spark, str(tmp_path))
+    a = Applier(w, Settings(auto_create=True, deduplication_policy="old", buffer_count=3))
+    a(frame(spark, [event(1, "c", None, image(1, "a")), event(2, "c", None, image(2, "b")), *[event(n, "u", None, image(3, "c")) for n in range(3, 9)]]), 0)
+    a(frame(spark, [event(10 + i, "u", None, image(i, "late")) for i in (1, 2, 3)]), 1)
+    assert rows_of(w) == [(1, "a", None), (2, "b", None), (3, "c", None)]
+    a(frame(spark, [event(20, "c", None, image(4, "d"))]), 2)  # 1 came longest ago
+    a(frame(spark, [event(30 + i, "u", None, image(i, "later")) for i in (1, 2, 3, 4)]), 3)
+    assert rows_of(w) == [(1, "later", None), (2, "b", None), (3, "c", None), (4, "d", None)]
+
+
 def test_auto_create_evolve_and_options(spark, tmp_path):
     w = Warehouse(spark, str(tmp_path))
     Applier(w)(frame(spark, [event(1, "c", None, image(1, "a"))]), 0)
