@@ -1,10 +1,14 @@
-"""Near-dedup by SimHash fingerprints of shingle samples, with exact similarities.
+"""Near-dedup by SimHash: grid range-join of segment counts, then fingerprints of shingle samples, with exact similarities.
 
-A text's shingles are dealt out by hash into small groups, and each group gets a SimHash fingerprint.
-Texts of a similarity of 0.8 or more have groups in common that no difference touches: their fingerprints
-are equal, and the texts meet in a cell. What meets is compared exactly by its shingle sets. In every
-cell all members are first compared with one of them; only members of cells that are then not yet
-connected are compared pair by pair, in blocks inside a task.
+Every text gets a SimHash fingerprint, and operator 8's grid over the bit counts of its 4-bit segments
+links the fingerprints at two differing bits or fewer. These links are checked exactly by the shingle sets.
+
+Two bits don't reach a similarity of 0.8, so what the grid leaves apart is searched further. A text's shingles
+are dealt out by hash into small groups, and each group gets a SimHash fingerprint. Texts of a similarity
+of 0.8 or more have groups in common that no difference touches: their fingerprints are equal, and the
+texts meet in a cell. Only cells whose members the grid has not connected matter. Their members are first
+compared exactly with one of them; only members of cells that are then not yet connected are compared
+pair by pair, in blocks inside a task.
 """
 
 from __future__ import annotations
@@ -18,10 +22,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import drop_scratch, in_bits, release, row_bits, scratch_mark, slices, written
-from .simhash import classes, joins, majority, shingle_hashes
+from .simhash import classes, joins, links, majority, shingle_hashes
 from .words import U, mix, spread
 
 WORDS, SHARE = 5, 0.8
+#: Differing bits that the grid links.
+BITS = 2
 #: Fingerprints of a text, about; least number of shingles of a group in texts of SPARSE shingles or more.
 GROUPS, LEAST, SPARSE = 32, 3, 16
 #: Texts of more distinct shingles than this many are sampled by hash, by powers of two.
@@ -82,8 +88,8 @@ def shingle_set(text: bytes | None, words: int) -> np.ndarray:
 
 
 def marked_rows(docs: DataFrame, text: str, words: int, share: float) -> DataFrame:
-    """docs with s1, s2 (a 128-bit hash of the shingle set), n (its size) and cells."""
-    names = [*docs.columns, "s1", "s2", "n", "cells"]
+    """docs with s1, s2 (a 128-bit hash of the shingle set), n (its size), f0 (its SimHash fingerprint) and cells."""
+    names = [*docs.columns, "s1", "s2", "n", "f0", "cells"]
     kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields)
     source = docs.select("*", F.col(text).alias("text"))
 
@@ -92,9 +98,18 @@ def marked_rows(docs: DataFrame, text: str, words: int, share: float) -> DataFra
             sets = [shingle_set(t, words) for t in texts]
             whole = np.frombuffer(b"".join(xxhash.xxh3_128_digest(x.tobytes()) for x in sets), dtype=np.int64).reshape(-1, 2)
             cells = pa.array([x.view(np.int64) for x in cells_of(sets, share)], pa.list_(pa.int64()))
-            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(np.ascontiguousarray(whole[:, 0])), pa.array(np.ascontiguousarray(whole[:, 1])), pa.array([len(x) for x in sets], pa.int64()), cells], names=names)
+            size = np.array([len(x) for x in sets], dtype=np.int64)
+            prints = majority(np.concatenate([*sets, np.zeros(0, dtype=U)]), size).view(np.int64)
+            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(np.ascontiguousarray(whole[:, 0])), pa.array(np.ascontiguousarray(whole[:, 1])), pa.array(size), pa.array(prints), cells], names=names)
+
+    return source.mapInArrow(run, f"{kinds}, s1 long, s2 long, n long, f0 long, cells array<long>")
+
 
-    return source.mapInArrow(run, f"{kinds}, s1 long, s2 long, n long, cells array<long>")
+def grid_pairs(nodes: DataFrame, count: int) -> DataFrame:
+    """Pairs (a, b) that connect the nodes(id, f0) whose fingerprints differ in BITS bits or fewer: the grid's links of distinct fingerprints, and equal ones with the least id of theirs."""
+    prints = written(nodes.groupBy("f0").agg(F.min("id").alias("id")), "near-prints", rows=count)
+    equal = nodes.join(prints.select("f0", F.col("id").alias("least")), "f0").where("id <> least").select(F.col("least").alias("a"), F.col("id").alias("b"))
+    return written(links(prints.select("id", "f0"), BITS).distinct().unionByName(equal), "near-grid", rows=2 * count)
 
 
 def shingle_sets(texts: DataFrame, words: int) -> DataFrame:
@@ -203,7 +218,8 @@ def deduplicate(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", wor
     one text. Texts without a word have no shingle to be similar in: each of them stays. Of rows equal in
     every column one stays. Texts are read whole. All columns are kept, whatever their names.
 
-    In each cell the members are compared with the one that meets most others, which makes as many pairs
+    The grid range-join of operator 8 comes first: its links are checked and connect most copies. In each
+    cell that holds several classes the members are then compared with the one that meets most others, which makes as many pairs
     as there are members. Cells that are then not yet connected make up groups; members that are not of a
     group's largest class are compared with all its members, inside tasks, in blocks of bounded size.
     """
@@ -214,8 +230,8 @@ def deduplicate(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", wor
     marked = written(marked_rows(docs, text, words, share).withColumn("row", F.monotonically_increasing_id()), "near-marked", rows=total, each=TEXTS_A_FILE)
     mark = scratch_mark()
     order = F.struct(F.col(doc_id).isNull().alias("null"), F.col(doc_id).alias("id"), "row")
-    first = marked.where("n > 0").groupBy("s1", "s2").agg(F.min(order).alias("first"))
-    nodes = written(first.select(F.col("first.row").alias("id"), "first"), "near-nodes", rows=total)
+    first = marked.where("n > 0").groupBy("s1", "s2").agg(F.min(order).alias("first"), F.min("f0").alias("f0"))
+    nodes = written(first.select(F.col("first.row").alias("id"), "first", "f0"), "near-nodes", rows=total)
     count = nodes.count()
     firsts = written(row_bits(nodes, "id"), "near-firsts", rows=1)
     own = in_bits(marked.select(F.col("row").alias("id"), "cells"), "id", firsts)
@@ -223,17 +239,25 @@ def deduplicate(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", wor
     shared = written(visits.groupBy("cell").agg(F.count("*").alias("m")).where("m > 1"), "near-shared", rows=count)
     met = written(visits.join(shared, "cell"), "near-met", rows=GROUPS * count)
     release(spark)
+    near = grid_pairs(nodes.select("id", "f0"), count)
+    asked = written(met.select("id").unionByName(near.select(F.explode(F.array("a", "b")).alias("id"))).distinct(), "near-asked", rows=count)
+    texts = in_bits(marked.select(F.col("row").alias("id"), F.col(text).alias("text")), "id", written(row_bits(asked, "id"), "near-bits", rows=1))
+    sets = shingle_sets(texts, words).withColumn("n", F.size("s"))
+    sets = written(sets, "near-sets", rows=asked.count(), each=TEXTS_A_FILE)
+    linked = written(similar(near, sets, share), "near-linked", rows=count, each=2 * TEXTS_A_FILE)
+    release(spark)
+    # cells that the grid's links leave in several classes
+    rooted = written(classes(asked, linked), "near-rooted", rows=count)
+    apart = met.join(rooted, "id").groupBy("cell").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo <> hi").select("cell")
+    met = written(met.join(written(apart, "near-apart", rows=count), "cell"), "near-left", rows=GROUPS * count)
     # the member of each cell that meets most others, in all its cells
     score = met.groupBy("id").agg(F.sum("m").alias("score"))
     ranked = met.join(score, "id")
     centre = written(ranked.groupBy("cell").agg(F.max_by("id", F.struct("score", -F.col("id"))).alias("centre")), "near-centres", rows=count)
     pairs = met.join(centre, "cell").where("id <> centre").select(F.least("id", "centre").alias("a"), F.greatest("id", "centre").alias("b")).distinct()
+    pairs = pairs.join(rooted.toDF("a", "ra"), "a").join(rooted.toDF("b", "rb"), "b").where("ra <> rb").select("a", "b")
     pairs = written(pairs, "near-pairs", rows=2 * count)
-    asked = written(met.select("id").distinct(), "near-asked", rows=count)
-    texts = in_bits(marked.select(F.col("row").alias("id"), F.col(text).alias("text")), "id", written(row_bits(asked, "id"), "near-bits", rows=1))
-    sets = shingle_sets(texts, words).withColumn("n", F.size("s"))
-    sets = written(sets, "near-sets", rows=asked.count(), each=TEXTS_A_FILE)
-    edges = written(similar(pairs, sets, share), "near-edges", rows=count, each=2 * TEXTS_A_FILE)
+    edges = written(similar(pairs, sets, share).unionByName(linked), "near-edges", rows=count, each=2 * TEXTS_A_FILE)
     release(spark)
     rooted = written(classes(asked, edges), "near-classes", rows=count)
     open_ = open_groups(met, rooted, count)

@@ -169,6 +169,21 @@ def test_similar_sets_meet(n):
     assert len(np.unique(np.concatenate(alone))) == sum(map(len, alone)) and max(map(len, alone)) <= 2 * neardup.GROUPS
 
 
+def test_the_grid_links_copies_that_meet_nowhere_else(spark, monkeypatch):
+    """Without the cells of shingle samples those stay linked whose fingerprints differ in two bits or fewer."""
+    monkeypatch.setattr(neardup, "cells_of", lambda sets, share: [np.zeros(0, dtype=np.uint64) for _ in sets])
+    rng = random.Random(41)
+    texts = []
+    for _ in range(40):
+        base = [f"w{rng.getrandbits(40):x}" for _ in range(300)]
+        texts += [" ".join(base), " ".join([*base, "new"]), " ".join(["other", *base[1:]])]
+    sets = [neardup.shingle_set(t.encode(), 5) for t in texts]
+    prints = [int(x) for x in simhash.majority(np.concatenate(sets), np.array([len(x) for x in sets]))]
+    near = [(a, b) for a in range(len(texts)) for b in range(a) if (prints[a] ^ prints[b]).bit_count() <= 2 and len(np.intersect1d(sets[a], sets[b])) >= 0.8 * len(np.union1d(sets[a], sets[b]))]
+    left = {r.doc_id for r in neardup.deduplicate(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()}
+    assert left == set(union(len(texts), near)) and len(left) < 80
+
+
 def test_common_counts(monkeypatch):
     monkeypatch.setattr(neardup, "COLUMNS", 7)
     rng = np.random.default_rng(1)
