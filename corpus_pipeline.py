@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from driftwell.llm.common import drop_scratch, scratch_mark, written
+from driftwell.llm.common import drop_scratch, scratch_mark, small_batches, written
 from driftwell.llm.contain import containment
 from driftwell.llm.mixing import WORD_COUNT, mix_sources
 from driftwell.llm.neardup import deduplicate
@@ -28,18 +28,21 @@ def restored(df: DataFrame, names: dict[str, str], *more: str) -> DataFrame:
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in their compression band, with 50 words or more and no more than half of them in repeated windows."""
+    small_batches(spark)
     plain, names = neutral(docs)
     return restored(quality_rules(plain, text=names["text"]).where("kept"), names)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies, the one of least doc_id."""
+    small_batches(spark)
     plain, names = neutral(docs)
     return restored(deduplicate(plain, text=names["text"], doc_id=names["doc_id"]), names)
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold no benchmark item."""
+    small_batches(spark)
     plain, names = neutral(docs)
     items = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
     return restored(containment(plain, items, text=names["text"], keep=tuple(names.values())).where("size(matches) = 0"), names)

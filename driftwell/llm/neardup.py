@@ -21,7 +21,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import drop_scratch, in_bits, release, row_bits, scratch_mark, slices, written
+from .common import drop_scratch, give_back, in_bits, release, row_bits, scratch_mark, slices, written
 from .simhash import classes, joins, links, majority, shingle_hashes
 from .words import U, mix, spread
 
@@ -191,6 +191,8 @@ def links_within(members: DataFrame, share: float) -> DataFrame:
                 rows.append((*[c[i] for c in columns[3:]], batch.column(6)[i].values.to_numpy(zero_copy_only=False)))
         if rows:
             yield from compare(rows, up)
+        rows = batch = columns = None
+        give_back()
 
     def compare(rows: list[tuple], up: dict[int, int]) -> Iterator[pa.RecordBatch]:
         asks, ids, roots = (np.array([r[i] for r in rows]) for i in range(3))

@@ -15,7 +15,7 @@ import pyarrow as pa
 import zstandard
 from pyspark.sql import DataFrame
 
-from .common import apart
+from .common import apart, give_back
 
 #: (bytes up to and including, least ratio, most ratio). The last band is open. Limits for prose: a little outside
 #: the least and greatest ratios of texts that are labelled good. Code or tables need limits of their own.
@@ -108,5 +108,6 @@ def quality_rules(docs: DataFrame, text: str = "text", bands=BANDS, level: int =
             rows = [measure(t.as_py(), press, bands, chunk_bytes, chunk_share) for t in batch.column(batch.num_columns - 1)]
             columns = [pa.array(c, type=k) for c, k in zip(zip(*rows), kinds)] if rows else [pa.array([], type=k) for k in kinds]
             yield pa.RecordBatch.from_arrays([*batch.columns[:-1], *columns], names=[*keep, *measures])
+        give_back()
 
     return source.mapInArrow(run, f"{names}{', ' if names else ''}{SCHEMA}")

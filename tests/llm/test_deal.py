@@ -185,3 +185,17 @@ def test_pipeline_against_brute_force(spark, docs, rows, tmp_path):
         shards[r[-2]].append(r[-1])
     assert all(sorted(x) == list(range(len(x))) for x in shards.values()) and max(map(len, shards.values())) - len(dealt) // 40 <= 1
     assert len(corpus_pipeline.run(spark, str(tmp_path)).collect()) == len(dealt)
+
+
+def test_pipeline_sends_texts_in_small_batches(spark, docs):
+    """The stages with Python workers cut Spark's default number of rows in a batch; a number that was set stays."""
+    corpus_pipeline = pytest.importorskip("corpus_pipeline")
+    key, default = "spark.sql.execution.arrow.maxRecordsPerBatch", "10000"
+    before = spark.conf.get(key)
+    try:
+        for value, after in ((default, "1000"), ("77", "77")):
+            spark.conf.set(key, value)
+            corpus_pipeline.quality(spark, docs, "")
+            assert spark.conf.get(key) == after
+    finally:
+        spark.conf.set(key, before)
