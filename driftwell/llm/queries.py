@@ -5,17 +5,20 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import anchors, contain
+from . import anchors, contain, impacts
 from .anchors import substring_dedup
 from .contain import containment
+from .impacts import search
 from .language import fit, held_out, identify_languages
 from .mixing import WORD_COUNT, mix_sources
 from .quality import quality_rules
 from .secrets import secret_scan
 from .sharding import shard_rows
 from .simhash import near_duplicates
+from .sketches import minhash_near_duplicates
 from .suffixes import suffix_dedup
 from .tokens import token_counts
+from .whitening import whiten
 
 TOKENIZER = "byte_bpe_50k.json"
 
@@ -79,9 +82,21 @@ def op9_temperature_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix_sources(rows, tokens="words", key=("doc_id", "words")).drop("words")
 
 
+def op11_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash_near_duplicates(table(spark, sf_dir, "documents"))
+
+
+def op12_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op13_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whiten(table(spark, sf_dir, "embeddings"))
+
+
 def queries() -> dict:
-    return {f.__name__: f for f in (op1_quality_rules, op2_secret_scan, op3_language_id, op4_token_counts, op5_sharding, op6_suffix_array_dedup, op7_benchmark_decontamination, op8_simhash_near_dedup, op9_temperature_mixing, op10_difference_cover_dedup)}
+    return {f.__name__: f for f in (op1_quality_rules, op2_secret_scan, op3_language_id, op4_token_counts, op5_sharding, op6_suffix_array_dedup, op7_benchmark_decontamination, op8_simhash_near_dedup, op9_temperature_mixing, op10_difference_cover_dedup, op11_minhash_near_dedup, op12_lexical_search, op13_embedding_whitening)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op7_benchmark_decontamination": contain.ORACLE, "op10_difference_cover_dedup": anchors.ORACLE}
+    return {"op7_benchmark_decontamination": contain.ORACLE, "op10_difference_cover_dedup": anchors.ORACLE, "op12_lexical_search": impacts.ORACLE}

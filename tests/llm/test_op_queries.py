@@ -14,6 +14,7 @@ from driftwell.llm import queries as q
 from driftwell.llm.quality import BANDS
 
 from .conftest import prose
+from .test_new_ranks import check_whitening, jaccard_components, ranked, vectors
 from .test_links import brute_bytes, brute_words, expected_components
 from .test_rows import base_measures, contained
 from .test_secrets import brute
@@ -21,10 +22,11 @@ from .test_secrets import brute
 
 @pytest.fixture(scope="module")
 def sf(spark, rows, tmp_path_factory):
-    """A folder with documents (and a column that is named like a result), benchmark and nothing else."""
+    """A folder with documents (and a column that is named like a result), benchmark and embeddings."""
     top = tmp_path_factory.mktemp("sf")
     spark.createDataFrame([r[:5] for r in rows], "doc_id long, text string, lang string, source string, n_chars long").repartition(3).write.parquet(str(top / "documents.parquet"))
     items = [(1, " ".join(next(r[1] for r in rows if r[0] == 44).split()[10:40])), (2, "never found in any of these texts at all"), (3, None)]
+    spark.createDataFrame(vectors(), "vec_id long, embedding array<float>, label int, n string, x string").repartition(3).write.parquet(str(top / "embeddings.parquet"))
     spark.createDataFrame(items, "item_id long, text string").write.parquet(str(top / "benchmark.parquet"))
     return str(top), items
 
@@ -198,8 +200,26 @@ def test_op10(spark, sf, rows):
     same([r[:3] + r[4:] for r in got], brute_words([r[:2] for r in rows], 50))
 
 
-def test_all_ten_are_there():
-    assert {f"op{n}" for n in range(1, 11)} == {n.split("_")[0] for n in q.queries()}
+def test_op11(spark, sf, rows):
+    got, names = result(spark, sf, "op11_minhash_near_dedup")
+    assert names == ["doc_id", "n_shingles", "component_id", "kept"]
+    same(got, jaccard_components([r[:2] for r in rows], 85))
+
+
+def test_op12(spark, sf, rows):
+    got, names = result(spark, sf, "op12_lexical_search")
+    assert names == ["item_id", "rank", "doc_id", "score"]
+    same(got, ranked([r[:2] for r in rows], sf[1], 20))
+
+
+def test_op13(spark, sf):
+    got, names = result(spark, sf, "op13_embedding_whitening")
+    assert names == ["vec_id", "component", "n", "deviation", "whitened", "explained", "identity_error"]
+    check_whitening(got, vectors())
+
+
+def test_all_are_there():
+    assert {f"op{n}" for n in range(1, 14)} == {n.split("_")[0] for n in q.queries()}
 
 
 def test_near_dedup_finds_pairs_at_ninety(spark):
