@@ -14,7 +14,10 @@ def record_key(key: str = "key", value: str = "value"):
 
 
 def deduplicate(records: DataFrame, policy: str, by: list[str], order: list[str]) -> DataFrame:
-    """off: all; old: the first record of each key stays; new: the last one does."""
+    """off: all; old: the first record of each key stays; new: the last one does.
+
+    Rows whose `by` is null are one group like any other: group by record_key() where keys may be missing.
+    """
     policy = policy.lower()
     if policy not in POLICIES:
         raise ValueError(f"the policy is one of {POLICIES}")

@@ -16,7 +16,8 @@ def flag(value: object) -> bool:
 @dataclass(frozen=True)
 class Settings:
     """zone: of zoneless times. max_records: most rows of a data file. buffer_count: distinct keys a topic that
-    deduplication remembers. snapshot_mode: schema_only or no_data leaves out the rows of snapshots. compact_after: batches of a replacing table that lie side by side at most, 0 for any number."""
+    deduplication remembers. snapshot_mode: schema_only or no_data leaves out the rows of snapshots. compact_after: batches of a replacing table that lie side by side at most, 0 for any number.
+    buckets: new tables with a key are clustered in so many buckets, 0 for none."""
 
     ignore_delete: bool = False
     deduplication_policy: str = "off"
@@ -44,6 +45,7 @@ class Settings:
     snapshot_mode: str = "initial"
     max_records: int = 100_000
     autostart: bool = True
+    buckets: int = 0
 
     @classmethod
     def of(cls, given: dict[str, object]) -> Settings:
@@ -82,6 +84,6 @@ KEYS = {
     "enable.snapshot.ddl": "snapshot_ddl", "ddl.retry": "ddl_retry", "single.threaded": "single_threaded",
     "buffer.flush.time.ms": "flush_ms", "buffer.max.records": "max_records", "skip_replica_start": "autostart",
     "auto.create.tables.replicated": "replicated", "enable.kafka.offset": "store_offsets", "compact.after.batches": "compact_after",
-    "snapshot.mode": "snapshot_mode",
+    "snapshot.mode": "snapshot_mode", "cluster.buckets": "buckets",
 }
 NEGATED = ("skip_replica_start",)

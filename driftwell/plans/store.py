@@ -53,7 +53,7 @@ class Files:
         p, fs = self._path(old)
         q, _ = self._path(new)
         fs.mkdirs(q.getParent())
-        if not fs.rename(p, q):
+        if fs.exists(q) or not fs.rename(p, q):  # onto a folder would be into it
             raise OSError(f"{old} can't be moved to {new}")
 
     def names(self, path: str) -> list[str]:

@@ -297,7 +297,7 @@ SELECT event_id, t * 1000000 + n AS sequence FROM s"""
 
 @query(SEQUENCE.format(part="0"))
 def sequence_version(spark, d):
-    out = versions.with_sequence(records(spark, d).select("topic", "partition", "offset", "cdc_ts_ms"), ["topic", "partition"], ["offset"])
+    out = versions.with_sequence(records(spark, d).select("topic", "partition", "offset", "cdc_ts_ms"), ["topic", "partition"], "offset")
     return out.select(F.col("offset").alias("event_id"), "sequence")
 
 

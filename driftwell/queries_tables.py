@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -70,12 +71,19 @@ def literal(rows: list[tuple], names: str) -> str:
 PLAIN = "SELECT n_nationkey, n_name, n_regionkey FROM nation"
 
 
-@query(literal([("mart", 0), ("shop", 0)], "name, tables"))
+@query("SELECT 'mart' AS name, 0::BIGINT AS tables, 0::BIGINT AS n UNION ALL SELECT 'r' || n_regionkey, 1, count(*) FROM nation GROUP BY n_regionkey")
 def ddl_create_database(spark, d):
+    """Databases by statements, and one for each region with the nations in it."""
     w = Warehouse(spark, folder(spark, "warehouse"))
-    for sql in ("CREATE DATABASE IF NOT EXISTS shop", "CREATE SCHEMA src"):
+    regions = [r["r_regionkey"] for r in table(spark, d, "region").collect()]  # five
+    for sql in ("CREATE SCHEMA src", *(f"CREATE DATABASE IF NOT EXISTS r{r}" for r in regions)):
         w.execute(parse(sql), override={"src": "mart"})
-    return spark.createDataFrame([(n, len(w.tables(n))) for n in w.databases()], "name string, tables int")
+    rows = snapshot_events(table(spark, d, "nation"), "", ["n_nationkey"], "", "nation", 1)
+    db = F.concat(F.lit("r"), F.col("value.after.n_regionkey"))
+    Applier(w, Settings(auto_create=True))(rows.withColumns({"topic": F.concat(F.lit("srv."), db, F.lit(".nation")), "value": F.col("value").withField("source.db", db)}), 0)
+    each = [state_of(w, t, n).agg(F.count("*").alias("n")).select(F.lit(n).alias("name"), F.lit(1).cast("long").alias("tables"), "n") for n in w.databases() for t in w.tables(n)]
+    empty = [(n, 0, 0) for n in w.databases() if not w.tables(n)]
+    return reduce(DataFrame.unionByName, each, spark.createDataFrame(empty, "name string, tables long, n long"))
 
 
 @query(PLAIN)
@@ -100,11 +108,14 @@ TYPES = (
 )
 
 
-@query(literal([(i, n, k, o) for i, (n, _, k, o) in enumerate(TYPES)], "place, name, kind, nullable"))
+@query(literal([(i, n, k, o) for i, (n, _, k, o) in enumerate(TYPES)], "place, name, kind, nullable").replace("SELECT *", "SELECT *, (SELECT count(*) FROM events) AS n"))
 def ddl_column_types(spark, d):
+    """Types of a table's columns, and its rows once the keys of events are loaded."""
     w = Warehouse(spark, folder(spark, "warehouse"))
     w.execute(parse(f"CREATE TABLE shop.types ({', '.join(f'`{n}` {t}' for n, t, *_ in TYPES)}, PRIMARY KEY (id, b))"))
-    return columns_of(w, "types")
+    keys = table(spark, d, "events").select(F.col("event_id").alias("id"), F.lit(3).alias("b"))
+    Applier(w)(snapshot_events(keys, "srv.shop.types", ["id", "b"], "shop", "types", 1), 0)
+    return columns_of(w, "types").join(F.broadcast(state_of(w, "types").agg(F.count("*").alias("n"))))  # one row
 
 
 @query("SELECT n_nationkey, n_name, n_nationkey * 2 AS twice FROM nation")
@@ -118,11 +129,27 @@ def ddl_partition_by(spark, d):
     return state_of(w).agg(F.count("*").alias("n")).select(F.lit(",".join(w.load("shop", "nation").partition)).alias("parts"), "n")
 
 
-@query("SELECT CAST(NULL AS VARCHAR) AS a, n_nationkey, CAST(NULL AS DATE) AS b, n_name, n_regionkey, CAST(NULL AS BIGINT) AS c FROM nation")
+@query("SELECT CAST(NULL AS VARCHAR) AS a, n_nationkey, CAST(NULL AS DATE) AS b, n_name, n_regionkey, CAST(0 AS BIGINT) AS c FROM nation")
 def ddl_add_column(spark, d):
     return state_of(changed(spark, d, ["ALTER TABLE nation ADD COLUMN a VARCHAR(9) FIRST, ADD b DATE AFTER n_nationkey", "ALTER TABLE nation ADD COLUMN c BIGINT DEFAULT 0 NULL"]))
 
 
+@query("SELECT n_nationkey, CASE WHEN n_nationkey < 9 THEN lower(n_name) ELSE n_name END AS n_name, n_regionkey, CASE WHEN n_nationkey < 9 THEN 7 ELSE 5 END AS n, 'it''s' AS s, 0 AS z, true AS b, 1::BIGINT AS at, CAST(NULL AS VARCHAR) AS none FROM nation")
+def ddl_add_default(spark, d):
+    """Earlier rows show the default of the time when the column was added; later ones without the column take the default of theirs."""
+    changes = ["ALTER TABLE nation ADD COLUMN n INT NOT NULL DEFAULT 5, ADD s VARCHAR(9) DEFAULT 'it''s', ADD z INT NOT NULL, ADD b BOOL DEFAULT b'1'", "ALTER TABLE nation ADD COLUMN at TIMESTAMP(3) NOT NULL DEFAULT CURRENT_TIMESTAMP(3), ADD none TEXT DEFAULT NULL", "ALTER TABLE nation MODIFY n INT NOT NULL DEFAULT 7"]
+    w = changed(spark, d, changes, again="n_nationkey < 9")
+    return state_of(w).withColumn("at", F.when(F.col("n_nationkey") >= 9, F.unix_millis("at")).otherwise(F.when(F.col("at") > F.lit("2024-01-01").cast("timestamp"), 1)))
+
+
+@query("SELECT 'low' AS name, count(*) AS n FROM nation WHERE n_nationkey % 2 = 0 AND n_nationkey >= 20 UNION ALL SELECT 'odd', 0")
+def constraint_violations(spark, d):
+    """Rows that come after a constraint and break it are counted and stay."""
+    changes = ["ALTER TABLE nation ADD CONSTRAINT low CHECK (n_nationkey < 20)", "ALTER TABLE nation ADD CONSTRAINT odd CHECK (n_name IS NULL OR n_name = lower(n_name))"]
+    w = changed(spark, d, changes, again="n_nationkey % 2 = 0")
+    return spark.createDataFrame([(n, w.broken["shop", "nation", n]) for n in w.load("shop", "nation").constraints], "name string, n long")
+
+
 @query("SELECT n_nationkey, CASE WHEN n_nationkey < 9 THEN lower(n_name) ELSE n_name END AS n_name, CAST(n_regionkey AS BIGINT) AS n_regionkey FROM nation")
 def ddl_modify_column(spark, d):
     """Old files are read by a cast, new ones hold the new type."""
@@ -179,6 +206,16 @@ def ddl_rename_table(spark, d):
     return state_of(w, "b").withColumn("name", F.lit(",".join(w.tables("shop"))))
 
 
+@query("SELECT n_nationkey, n_name, n_regionkey, 'nation,other' AS tables, 1 AS failed FROM nation")
+def ddl_rename_onto(spark, d):
+    """A table isn't renamed onto another, and of a statement that would nothing is done; two tables can change their names in one."""
+    w = changed(spark, d, ["CREATE TABLE other LIKE nation"])
+    rows = snapshot_events(table(spark, d, "nation"), "srv.shop.nation", ["n_nationkey"], "shop", "nation", 1)
+    applier = Applier(w)
+    applier(ddl_events(spark, rows, ["RENAME TABLE nation TO third, other TO third", "RENAME TABLE nation TO aside, other TO nation, aside TO other"], 2000), 2)
+    return state_of(w, "other").withColumns({"tables": F.lit(",".join(w.tables("shop"))), "failed": F.lit(len(applier.failed))})
+
+
 @query(literal([("kept",)], "name"))
 def ddl_drop_table(spark, d):
     w = changed(spark, d, ["CREATE TABLE kept (id INT PRIMARY KEY)", "CREATE TABLE gone (id INT PRIMARY KEY)", "DROP TABLE IF EXISTS nation, gone"])
@@ -201,6 +238,19 @@ def ddl_gates(spark, d):
     return state_of(changed(spark, d, ["TRUNCATE TABLE nation", "DROP TABLE nation", "ALTER TABLE nation DROP COLUMN n_name"], settings=Settings(disable_drop_truncate=True)))
 
 
+@query("SELECT 'off' AS gate, n_nationkey, n_name, n_regionkey FROM nation UNION ALL SELECT 'snapshot', n_nationkey, n_name, n_regionkey FROM nation UNION ALL SELECT 'open', n_nationkey, n_name, NULL FROM nation")
+def ddl_gate_kinds(spark, d):
+    """Schema changes turned off; those of a snapshot, which are passed over unless they are asked for."""
+    out = []
+    for gate, settings in (("off", Settings(auto_create=True, disable_ddl=True)), ("snapshot", Settings(auto_create=True)), ("open", Settings(auto_create=True, snapshot_ddl=True))):
+        rows = snapshot_events(table(spark, d, "nation"), "srv.shop.nation", ["n_nationkey"], "shop", "nation", 1)
+        ddl = ddl_events(spark, rows, ["ALTER TABLE nation DROP COLUMN n_regionkey"], 1000).withColumn("value", F.col("value").withField("source.snapshot", F.lit("true")))
+        w = Warehouse(spark, folder(spark, "warehouse"))
+        Applier(w, settings)(rows.unionByName(ddl), 0)
+        out.append(state_of(w).withColumn("gate", F.lit(gate)))
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), out)
+
+
 @query(literal([("nation",)], "name"))
 def ddl_include(spark, d):
     """Schema changes of tables that the include list leaves out."""
@@ -284,6 +334,36 @@ def late_data(spark, d):
     return state_of(w, "user_state")
 
 
+@query(FINAL)
+def clustered_final(spark, d):
+    """A table of eight buckets after twelve batches, newest first, with merges in between: late rows lose, also against deletes in merged runs."""
+    w, log = Warehouse(spark, folder(spark, "warehouse")), events_log(spark, d)
+    applier = Applier(w, Settings(auto_create=True, buckets=8, compact_after=4))
+    last = table(spark, d, "events").agg(F.max("event_id").alias("m")).first()["m"]
+    for n in range(12):
+        applier(log.where(F.floor(F.col("offset") * 12 / (last + 1)) == 11 - n), n)
+    return state_of(w, "user_state")
+
+
+@query(LAST_BY_USER.format("(SELECT * FROM events WHERE event_id > (SELECT max(event_id) // 2 FROM events))").replace("SELECT user_id, event_type FROM (SELECT *,", "SELECT user_id, event_type AS kind, 1 AS n FROM (SELECT *,", 1))
+def clustered_changes(spark, d):
+    """Truncate, new columns and a renamed key of a clustered table, before and after a merge."""
+    log = partitioned_log(spark, d, 0, F.col("event_id"))
+    middle = table(spark, d, "events").agg(F.expr("max(event_id) div 2").alias("m")).first()["m"]
+    w = Warehouse(spark, folder(spark, "warehouse"))
+    w.execute(parse("CREATE TABLE shop.user_state (user_id BIGINT PRIMARY KEY, event_type VARCHAR(20))"), buckets=6)
+    applier = Applier(w, Settings(compact_after=3))
+    for n in range(4):
+        applier(log.where((F.col("offset") <= 2 * middle) & (F.col("partition") % 4 == n)), n)
+    for p in range(6):
+        w.truncate(w.load("shop", "user_state"), 2 * middle, f"{TOPIC}/{p}", middle)
+    w.execute(parse("ALTER TABLE shop.user_state ADD COLUMN n INT NOT NULL DEFAULT 1"))
+    for n in range(4):
+        applier(log.where((F.col("offset") > 2 * middle) & (F.col("partition") % 4 == n)), 4 + n)
+    w.execute(parse("ALTER TABLE shop.user_state CHANGE event_type kind VARCHAR(20)"))
+    return state_of(w, "user_state")
+
+
 @query(SEQUENCE.format(part="event_id % 6"))
 def stream_sequence(spark, d):
     """Sequence numbers of six partitions whose log comes in four micro-batches; the count goes on between them."""
@@ -353,6 +433,35 @@ def dedup_pool(spark, d):
     return state_of(w, "user_state")
 
 
+@query("SELECT user_id, event_type FROM events WHERE event_type <> 'error'")
+def dedup_null_keys(spark, d):
+    """Records without a key are told apart by their value; a new applier knows what one before it has seen."""
+    log = partitioned_log(spark, d, 0, F.col("event_id")).where("value.op = 'u'")
+    log = log.withColumn("key", F.lit(None).cast(log.schema["key"].dataType))
+    first, again = F.col("offset") % 4 == 0, log.withColumn("offset", F.col("offset") + 1_000_000_000)
+    w, settings = Warehouse(spark, folder(spark, "warehouse")), Settings(auto_create=True, deduplication_policy="old", buffer_count=1_000_000_000)
+    for n, part in enumerate((log.where(first), log.where(~first).unionByName(again))):
+        Applier(w, settings, keys={"user_state": ()})(part, n)
+    return state_of(w, "user_state")
+
+
+@query("WITH m AS (SELECT max(event_id) // 2 + 0.5 AS m FROM events), s AS (SELECT c_custkey AS user_id, c_mktsegment AS event_type, m FROM customer, m) SELECT user_id, event_type FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY t DESC) AS rn FROM (SELECT user_id, event_type, event_id AS t FROM events UNION ALL SELECT * FROM s)) WHERE rn = 1 AND event_type <> 'error'")
+def snapshot_beside_gtids(spark, d):
+    """An incremental snapshot in the middle of changes with transaction numbers: earlier changes lose, later ones win, in 2022 and in 2026."""
+    starts = {0: 1_654_041_600_000, 1: 1_780_272_000_000}
+    start_ms = F.when(F.col("user_id") % 2 == 0, starts[0]).otherwise(starts[1])
+    log = partitioned_log(spark, d, 0, start_ms + F.col("event_id") * 1000)
+    log = log.withColumn("value", F.col("value").withField("source.gtid", F.concat(F.lit("u:"), F.col("offset").cast("string"))))
+    middle = table(spark, d, "events").agg(F.expr("max(event_id) div 2").alias("m")).first()["m"]
+    rows = table(spark, d, "customer").select(F.col("c_custkey").alias("user_id"), F.col("c_mktsegment").alias("event_type"))
+    part = lambda n: snapshot_events(rows.where(F.col("user_id") % 2 == n), TOPIC, ["user_id"], "shop", "user_state", starts[n] + middle * 1000 + 500)
+    w = Warehouse(spark, folder(spark, "warehouse"))
+    applier = Applier(w, Settings(auto_create=True))
+    for n, events in enumerate((log.where(F.col("offset") % 3 == 0), part(0).unionByName(part(1)), log.where(F.col("offset") % 3 != 0))):
+        applier(events, n)
+    return state_of(w, "user_state")
+
+
 @query(LOG + ", w AS (SELECT max(event_id) // 2 AS m FROM events), s AS (SELECT c_custkey AS user_id, c_mktsegment AS event_type FROM customer WHERE c_nationkey < 9) SELECT user_id, event_type FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY t DESC) AS rn FROM (SELECT user_id, event_type, 0 AS t, 'r' AS op FROM s UNION ALL SELECT user_id, event_type, event_id + 1, op FROM cl)) WHERE rn = 1 AND op <> 'd'")
 def incremental_snapshot_signal(spark, d):
     """A row of the signal table asks for some rows of a table while changes arrive; changes are newer."""
@@ -381,9 +490,11 @@ FORMS = [(f"2021-12-31T19:01:00{x}{o}", f"2021-12-31 {h}:01:00.{x[1:7]:0<6}") fo
 FORMS += [("2338-01-19T03:14:07Z", "2299-12-31 18:59:59.000000"), ("1800-01-01T00:00:00+01:00", "1899-12-31 19:00:00.000000"), ("31.12.2021", ""), ("", "")]
 
 
-@query(literal(FORMS, "iso, t"))
+@query(f"SELECT event_id, iso, t FROM events JOIN ({literal([(i, *f) for i, f in enumerate(FORMS)], 'i, iso, t')}) AS f ON event_id % {len(FORMS)} = i")
 def zoned_forms(spark, d):
-    return spark.createDataFrame([(x,) for x, _ in FORMS], "iso string").select("iso", temporal.zoned_timestamp(F.col("iso"), "Etc/GMT+5").alias("t"))
+    """Each event has one of the forms."""
+    iso = F.get(F.array(*[F.lit(x) for x, _ in FORMS]), (F.col("event_id") % len(FORMS)).cast("int"))
+    return table(spark, d, "events").select("event_id", iso.alias("iso")).withColumn("t", temporal.zoned_timestamp(F.col("iso"), "Etc/GMT+5"))
 
 
 # positions, figures, catalogs
@@ -399,11 +510,17 @@ def topic_offsets(spark, d):
     return store.rows()
 
 
-@query(literal([("b", "2"), ("c", "3")], "offset_key, offset_val"))
+@query("SELECT 'u' || user_id AS offset_key, CAST(event_id AS VARCHAR) AS offset_val FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY event_id DESC) AS rn FROM events) WHERE rn = 1 AND event_type <> 'error' UNION ALL SELECT 'z', 'end'")
 def offset_read(spark, d):
-    store = OffsetStore(spark, folder(spark, "offsets"))
-    for n, (key, value) in enumerate((("a", "1"), ("b", "1"), ("c", "3"), ("b", "2"), ("a", None))):
-        store.put(key, value, n)
+    """A position for each user, many times overwritten, and deleted by errors."""
+    store, e = OffsetStore(spark, folder(spark, "offsets")), table(spark, d, "events")
+    value = F.when(F.col("event_type") != "error", F.col("event_id").cast("string"))
+    rows = e.select(F.concat(F.lit("u"), "user_id").alias("offset_key"), value.alias("offset_val"), F.col("event_id").alias("version"))
+    for part in (1, 0):
+        store.put_all(rows.where(F.col("version") % 2 == part))
+    store.put("y", "1", 1)
+    store.put("z", "end", 1)
+    store.delete("y", 2)
     return store.rows().select("offset_key", "offset_val")
 
 
@@ -416,14 +533,18 @@ def metrics_text(spark, d):
     return spark.createDataFrame([(pick("records_total"), pick("errors_total"), pick("source_lag_ms"), pick("binlog_position"))], "records long, errors long, lag long, pos long")
 
 
-@query(literal([("nation", "n_nationkey", "n_nationkey", 3), ("plain", None, "", 1)], "name, integer_key, required, columns").replace("None", "NULL"))
+@query("SELECT 'nation' AS name, 'n_nationkey' AS integer_key, 'n_nationkey' AS required, 3 AS columns, count(*) AS n FROM nation UNION ALL SELECT 'plain', NULL, '', 5, count(*) FROM customer")
 def table_catalog(spark, d):
-    """Tables of a pattern with their integer key, columns that can't be null and number of columns."""
+    """Tables of a pattern with their integer key, columns that can't be null, number of columns, and rows."""
     w = Warehouse(spark, folder(spark, "warehouse"))
-    for sql in (NATION, "CREATE TABLE shop.plain (x VARCHAR(9))", "CREATE TABLE shop.other (id INT PRIMARY KEY)"):
+    for sql in (NATION, "CREATE TABLE shop.plain (c_custkey BIGINT, c_name TEXT, c_nationkey INT, c_acctbal DOUBLE, c_mktsegment TEXT)", "CREATE TABLE shop.other (id INT PRIMARY KEY)"):
         w.execute(parse(sql))
+    for name, rows in (("nation", table(spark, d, "nation")), ("plain", table(spark, d, "customer"))):
+        Applier(w)(snapshot_events(rows, f"srv.shop.{name}", rows.columns[:1], "shop", name, 1), 0)
     found = [w.load("shop", n) for n in routing.chosen_tables(w.tables("shop"), exclude="^oth")]
-    return spark.createDataFrame([(t.name, dumps.integer_key(t), ",".join(align.not_null_columns(t.schema())), len(t.columns)) for t in found], "name string, integer_key string, required string, columns int")
+    rows = spark.createDataFrame([(t.name, dumps.integer_key(t), ",".join(align.not_null_columns(t.schema())), len(t.columns)) for t in found], "name string, integer_key string, required string, columns int")
+    return rows.join(verify.counts({t.name: w.state(t) for t in found}).select(F.col("table").alias("name"), F.col("cnt").alias("n")), "name")
+
 
 
 @query("SELECT o_orderkey FROM orders WHERE o_orderkey BETWEEN 100 AND 899")
@@ -446,15 +567,24 @@ def debug_dump(spark, d):
     return verify.ordered_dump(table(spark, d, "nation"), ["n_nationkey"], exclude=("n_regionkey",), limit=7)
 
 
-@query(literal([("+00:00", "UTC"), ("+05:30", "Asia/Calcutta"), ("-03:00", "Etc/GMT+3")], '"offset", zone'))
+@query("SELECT n_nationkey, CASE WHEN n_nationkey = 12 THEN 'UTC' WHEN n_nationkey = 24 THEN 'Asia/Calcutta' WHEN n_nationkey < 12 THEN 'Etc/GMT+' || (12 - n_nationkey) ELSE 'Etc/GMT-' || (n_nationkey - 12) END AS zone FROM nation")
 def zone_names(spark, d):
-    return spark.createDataFrame([(x, values.zone_of_offset(x)) for x in ("+00:00", "+05:30", "-03:00")], "offset string, zone string")
+    """A zone for an offset of each nation: hours about 0, and one of half an hour."""
+    n = F.col("n_nationkey") - 12
+    offset = F.when(n == 12, "+05:30").otherwise(F.concat(F.when(n < 0, "-").otherwise("+"), F.lpad(F.abs(n).cast("string"), 2, "0"), F.lit(":00")))
+    return table(spark, d, "nation").select("n_nationkey", F.udf(values.zone_of_offset, "string", useArrow=False)(offset).alias("zone"))
+
 
 
-@query(literal([("ReplicatedReplacingMergeTree('/x/{shard}', '{r}', _version, is_deleted)", "replacing", "_version", "is_deleted"), ("CollapsingMergeTree(sign) ORDER BY a", "collapsing", "sign", None), ("MergeTree", "append", None, None)], "engine, kind, version, deleted").replace("None", "NULL").replace('"', "'").replace("'ReplicatedReplacingMergeTree('/x/{shard}', '{r}', _version, is_deleted)'", "'ReplicatedReplacingMergeTree(''/x/{shard}'', ''{r}'', _version, is_deleted)'"))
+@query("SELECT n_nationkey, CASE n_nationkey % 3 WHEN 0 THEN 'replacing' WHEN 1 THEN 'collapsing' ELSE 'append' END AS kind, CASE n_nationkey % 3 WHEN 0 THEN 'v' || n_nationkey WHEN 1 THEN 'sign' || n_nationkey END AS version, CASE WHEN n_nationkey % 3 = 0 THEN 'is_deleted' END AS deleted FROM nation")
 def engine_texts(spark, d):
-    texts = ("ReplicatedReplacingMergeTree('/x/{shard}', '{r}', _version, is_deleted)", "CollapsingMergeTree(sign) ORDER BY a", "MergeTree")
-    return spark.createDataFrame([(x, *values.parse_engine(x)) for x in texts], "engine string, kind string, version string, deleted string")
+    """What texts of engines say, with names that differ by nation."""
+    key = F.col("n_nationkey").cast("string")
+    replacing = F.concat(F.lit("ReplicatedReplacingMergeTree('/x/{shard}', '{r}', v"), key, F.lit(", is_deleted)"))
+    text = F.when(key % 3 == 0, replacing).when(key % 3 == 1, F.concat(F.lit("CollapsingMergeTree(sign"), key, F.lit(") ORDER BY a"))).otherwise(F.lit("MergeTree"))
+    parts = F.udf(values.parse_engine, "kind string, version string, deleted string", useArrow=False)(text)
+    return table(spark, d, "nation").select("n_nationkey", parts.alias("p")).select("n_nationkey", "p.*")
+
 
 
 @query("SELECT s_suppkey AS id, s_name AS label, lower(hex(encode(s_name))) AS raw, CAST(s_acctbal AS DECIMAL(12,2)) AS bal, s_suppkey % 2 = 0 AS flag FROM supplier UNION ALL SELECT -s_suppkey, CASE WHEN s_suppkey % 3 = 0 THEN NULL ELSE chr(1) || 'say \"' || s_name || '\", ok' END, NULL, NULL, NULL FROM supplier")

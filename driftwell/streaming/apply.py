@@ -10,13 +10,12 @@ from pyspark import inheritable_thread_target
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ..operators.dedup import deduplicate
-from ..operators.envelope import decode, with_metadata
+from ..operators.dedup import deduplicate, record_key
+from ..operators.envelope import changes, decode, with_metadata
 from ..operators.state import DELETED, SEQ, VERSION, collapsing_rows
-from ..operators.versions import time_version, version
+from ..operators.versions import time_among_snowflakes, time_version, version
 from ..plans.ddl import Action, DdlError, drops_or_truncates, parse, unquoted
 from ..plans.routing import database_of, included, table_of_topic
-from ..plans.scratch import folder
 from ..plans.settings import Settings
 from ..plans.store import Files
 from ..plans.tables import COLLAPSING, PLACE, TIME, TRUNCATE, Descriptor, Warehouse, described_by_schema
@@ -27,6 +26,8 @@ from .offsets import SchemaHistory, TopicOffsets
 
 #: Tables that are written at the same time.
 WRITERS = 8
+#: Keys that deduplication remembers.
+POOL = "topic string, __k string, came struct<turn: int, partition: int, offset: bigint>"
 
 
 class Applier:
@@ -36,7 +37,10 @@ class Applier:
     them is written, then the change is made. Events are before or after a change by offset if they come
     from its topic and partition, else by the source's time. What is written is named by the log positions
     it holds, so a batch that comes again finds it there; versions come from the log, so events that come
-    again in other batches lose nothing and change nothing either.
+    again in other batches lose nothing and change nothing in replacing tables either. Append tables would
+    hold their rows twice, collapsing tables would count their signs twice.
+
+    The keys that deduplication remembers are a table below the warehouse, so a new applier goes on with them.
 
     include: patterns of database.table, for rows and for schema changes. wires: by table, how the
     capture engine sends its values. offsets: where the greatest offsets are kept, if the settings ask.
@@ -46,8 +50,7 @@ class Applier:
         self.warehouse, self.settings, self.include, self.keys = warehouse, settings or Settings(), include, keys or {}
         self.history, self.wires, self.offsets = history, wires or {}, offsets
         self.failed: list[tuple[int, str, str]] = []
-        self.seen: tuple[str, DataFrame] | None = None  # the last keys of each topic, for deduplication: path and table
-        self.turn = 0  # how often keys were remembered
+        self.pool = f"{warehouse.root}/_pool"
         self.zone = resolve_zone(self.settings.zone)
         self.mark = "" if self.settings.delete_column == "sign" else self.settings.delete_column
 
@@ -86,7 +89,7 @@ class Applier:
             try:
                 if not (s.disable_drop_truncate and drops_or_truncates(row.ddl)):
                     actions = [a for a in parse(row.ddl) if self.wanted(a, row.db or "")]
-                    self.warehouse.execute(actions, row.db or "", s.databases, row.offset, f"{row.topic}/{row.partition}", row.ts_ms, self.mark)
+                    self.warehouse.execute(actions, row.db or "", s.databases, row.offset, f"{row.topic}/{row.partition}", row.ts_ms, self.mark, s.buckets)
                     if self.history is not None:
                         self.history.append(row.offset, row.db or "", row.ddl)
                 return
@@ -134,48 +137,52 @@ class Applier:
         if s.deduplication_policy == "old" and s.buffer_count:
             self.remember(placed)
 
+    def remembered(self) -> tuple[int, DataFrame] | None:
+        """The last keys of each topic, and how often keys were remembered."""
+        whole = [n for n in self.warehouse.files.names(self.pool) if self.warehouse.files.exists(f"{self.pool}/{n}/_SUCCESS")]
+        return (int(whole[-1].rstrip("ab")), self.warehouse.spark.read.schema(POOL).parquet(f"{self.pool}/{whole[-1]}")) if whole else None
+
     def remember(self, events: DataFrame) -> None:
-        """Keep the `buffer_count` distinct keys of each topic that came last, one row a key, as a table in the scratch folder."""
-        most = self.settings.buffer_count
-        self.turn += 1
-        came = F.struct(F.lit(self.turn).alias("turn"), "partition", "offset").alias("came")
-        keys = events.select("topic", F.to_json("key").alias("__k"), came).where("__k IS NOT NULL")
-        if self.seen is not None:
-            keys = keys.unionByName(self.seen[1])
-        self.keep(keys.groupBy("topic", "__k").agg(F.max("came").alias("came")))
-        if (self.seen[1].groupBy("topic").count().agg(F.max("count")).first()[0] or 0) > most:
+        """Keep the `buffer_count` distinct keys of each topic that came last, one row a key."""
+        files, most, before = self.warehouse.files, self.settings.buffer_count, self.remembered()
+        turn, older = before[0] + 1 if before else 1, files.names(self.pool)
+        came = F.struct(F.lit(turn).alias("turn"), "partition", "offset").alias("came")
+        keys = events.select("topic", record_key().alias("__k"), came).where("__k IS NOT NULL")
+        if before:
+            keys = keys.unionByName(before[1])
+        names = [f"{turn:012}{x}" for x in "ab"]
+        keys.groupBy("topic", "__k").agg(F.max("came").alias("came")).write.mode("overwrite").parquet(f"{self.pool}/{names[0]}")
+        now = self.remembered()[1]
+        if (now.groupBy("topic").count().agg(F.max("count")).first()[0] or 0) > most:
             last = F.row_number().over(Window.partitionBy("topic").orderBy(F.desc("came")))
-            self.keep(self.seen[1].withColumn("n", last).where(F.col("n") <= most).drop("n"))
-
-    def keep(self, keys: DataFrame) -> None:
-        """keys in the place of those remembered so far."""
-        spark, old = self.warehouse.spark, self.seen
-        path = folder(spark, "seen-keys")
-        keys.write.parquet(path)
-        self.seen = path, spark.read.schema(keys.schema).parquet(path)
-        if old is not None:
-            Files(spark).delete(old[0])
-
-    def unseen(self, records: DataFrame) -> DataFrame:
-        """Records whose key is not among those remembered of its topic."""
-        if self.seen is None:
-            return records
-        return records.withColumn("__k", F.to_json("key")).join(self.seen[1].select("topic", "__k"), ["topic", "__k"], "left_anti").drop("__k")
+            now.withColumn("n", last).where(F.col("n") <= most).drop("n").write.mode("overwrite").parquet(f"{self.pool}/{names[1]}")
+            older.append(names[0])
+        for n in older:
+            files.delete(f"{self.pool}/{n}")
+
+    def distinct(self, events: DataFrame) -> DataFrame:
+        """Row changes as the deduplication policy asks: none whose key is remembered, one of each key of the batch."""
+        policy = self.settings.deduplication_policy
+        if policy == "off":
+            return events
+        keyed = changes(events).withColumn("__k", record_key())  # a tombstone has the key of its delete
+        if policy == "old" and (seen := self.remembered()):
+            keyed = keyed.join(seen[1].select("topic", "__k"), ["topic", "__k"], "left_anti")
+        return deduplicate(keyed, policy, ["topic", "__k"], ["partition", "offset"]).select(*events.columns)
 
     def table_rows(self, events: DataFrame, db: str, name: str, batch: str) -> None:
         s, w = self.settings, self.warehouse
-        records = self.unseen(decode(events))
+        records = decode(self.distinct(events))
         if name in self.wires:
             records = typed_records(records, self.wires[name], self.zone, s.raw_bytes)
         image = records.schema["row"].dataType
         if not w.exists(db, name):
             if not s.auto_create:
                 return
-            w.save(described_by_schema(db, name, image, self.keys.get(name, tuple(records.schema["key"].dataType.names)), deleted=self.mark, replicated=s.replicated))
+            w.save(described_by_schema(db, name, image, self.keys.get(name, tuple(records.schema["key"].dataType.names)), deleted=self.mark, replicated=s.replicated, buckets=s.buckets))
         d = w.load(db, name)
         if s.evolve:
             d = w.evolve(d, image)
-        records = deduplicate(records, s.deduplication_policy, ["topic", "key"], ["partition", "offset"])
         w.append(d, target_rows(records, d, s), batch, s.max_records)
         if s.compact_after:
             w.tidy(db, name, s.compact_after)
@@ -194,7 +201,9 @@ def stage(changes: list) -> Column:
 def target_rows(records: DataFrame, d: Descriptor, s: Settings) -> DataFrame:
     """Log rows of a table: the image's columns, version, place and mark; truncates as markers."""
     seq = F.col("offset")
-    number = version(F.col("ts_ms"), F.col("gtid"), time_version(F.col("ts_ms")), s.snowflake)
+    # a row without a transaction number, such as one of a snapshot, is ordered among those with one by its time
+    plain = time_among_snowflakes(F.col("ts_ms")) if s.snowflake else time_version(F.col("ts_ms"))
+    number = version(F.col("ts_ms"), F.col("gtid"), plain, s.snowflake)
     spot = [F.concat_ws("/", "topic", "partition").alias(PLACE), F.col("ts_ms").alias(TIME)]
     if s.ignore_delete:
         records = records.where("operation <> 'DELETE'")

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import json
-import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -64,8 +63,12 @@ class OffsetStore:
 
     def put(self, key: str, value: str | None, version: int) -> None:
         """value None: the key is deleted."""
-        one = self.spark.range(1).select(F.lit(str(uuid.uuid4())).alias("id"), F.lit(key).alias("offset_key"), F.lit(value).cast("string").alias("offset_val"), F.current_timestamp().alias("record_insert_ts"), F.lit(version).cast("long").alias("record_insert_seq"), F.lit(version).cast("long").alias("_version"))
-        one.write.mode("append").parquet(self.path)
+        self.put_all(self.spark.range(1).select(F.lit(key).alias("offset_key"), F.lit(value).cast("string").alias("offset_val"), F.lit(version).alias("version")))
+
+    def put_all(self, rows: DataFrame) -> None:
+        """Many at once: (offset_key, offset_val, version)."""
+        version = F.col("version").cast("long")
+        rows.select(F.expr("uuid()").alias("id"), "offset_key", "offset_val", F.current_timestamp().alias("record_insert_ts"), version.alias("record_insert_seq"), version.alias("_version")).write.mode("append").parquet(self.path)
 
     def delete(self, key: str, version: int) -> None:
         self.put(key, None, version)

@@ -52,7 +52,7 @@ def test_sequence_numbers():
 def test_sequence_of_streams(spark):
     rng = random.Random(1)
     rows = [(p, o, 1_700_000_000_000 + o * rng.randrange(1, 900)) for p in range(3) for o in range(40)]
-    got = versions.with_sequence(spark.createDataFrame(rows, "partition int, offset long, cdc_ts_ms long").repartition(5), ["partition"], ["offset"]).collect()
+    got = versions.with_sequence(spark.createDataFrame(rows, "partition int, offset long, cdc_ts_ms long").repartition(5), ["partition"], "offset", block=50).collect()
     for p in range(3):
         own = [r for r in rows if r[0] == p]
         assert [r.sequence for r in sorted(got) if r.partition == p] == versions.sequence_numbers([r[2] for r in own])[0]
