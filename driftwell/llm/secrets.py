@@ -10,8 +10,10 @@ from __future__ import annotations
 import hashlib
 import math
 import re
+from bisect import bisect_left
 from collections import Counter
 from collections.abc import Iterator
+from itertools import accumulate
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -26,7 +28,7 @@ BASE = (
     ("hex", re.compile(r"[0-9a-f]+"), 0, 24),
 )
 #: Opaque tokens, which the corpus counts must confirm: 20 or more characters with a digit and both cases.
-OPAQUE = re.compile(r"(?=[A-Za-z+/_-]*[0-9])[A-Za-z0-9+/_-]{20,}")
+OPAQUE, DIGIT = re.compile(r"[A-Za-z0-9+/_-]{20,}"), re.compile("[0-9]")
 KINDS = ("assign", "access", "hex", "opaque")
 #: A value of so many owners, or in so many repositories, is a copied example.
 COPIED_OWNERS, COPIED_REPOSITORIES = 3, 10
@@ -54,11 +56,14 @@ def base_spans(text: str) -> list[tuple[str, int, int, str]]:
 
 
 def opaque_spans(text: str, taken: list[tuple[str, int, int, str]]) -> list[tuple[str, int, int, str]]:
-    """High-entropy tokens that overlap no base span."""
+    """High-entropy tokens that overlap no base span; taken: those, by start."""
+    starts, reach = [s for _, s, _, _ in taken], list(accumulate((e for _, _, e, _ in taken), max))
     found = []
     for m in OPAQUE.finditer(text):
-        v = m[0]
-        if v.lower() != v != v.upper() and entropy(v) >= OPAQUE_BITS and not any(s < m.end() and m.start() < e for _, s, e, _ in taken):
+        before = bisect_left(starts, m.end())  # spans that start before its end
+        if before and reach[before - 1] > m.start() or not DIGIT.search(v := m[0]):
+            continue
+        if v.lower() != v != v.upper() and entropy(v) >= OPAQUE_BITS:
             found.append(("opaque", m.start(), m.end(), v))
     return found
 
@@ -112,7 +117,7 @@ def secret_scan(docs: DataFrame, text: str = "text", owner: str = "source", repo
     Base spans are always in `spans`; an opaque token is added only if it is live.
 
     Null or empty text: no spans. Null owner: one owner of that name. Repeated rows: each gets its own row.
-    Texts are searched whole. An empty table gives an empty table; other columns are ignored, as are those
+    Texts are searched whole, in time that grows with their length, unbroken runs of letters included. An empty table gives an empty table; other columns are ignored, as are those
     of `keep` that are named like a new one. A value that very many texts hold is counted by aggregates;
     its counts come back by a join of written tables, which Spark splits where a value is hot.
     """
