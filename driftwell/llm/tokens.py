@@ -3,10 +3,15 @@
 Pre-tokens are held as ragged numpy arrays of symbol ids. In each step every sequence applies its own
 lowest-ranked pair, all sequences at once, until no sequence has a pair to merge; the symbols that
 survive are the tokens.
+
+A pass over all symbols for each rank would cost a long unbroken run the square of its length. Long
+sequences are therefore merged by themselves: a queue holds the places of each rank, and a step touches
+only the places of the lowest one and their neighbours.
 """
 
 from __future__ import annotations
 
+import heapq
 import json
 from collections.abc import Iterator
 
@@ -21,6 +26,8 @@ from .common import apart
 CACHE_ENTRIES = 300_000
 #: Symbols merged together in one block of sequences.
 BLOCK_SYMBOLS = 1 << 18
+#: Sequences of more bytes than this are merged by a queue of ranks.
+LONG = 1 << 12
 #: The ByteLevel pre-tokenizer's pattern, a fixed value.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 NONE = np.int64(1 << 40)
@@ -122,6 +129,52 @@ class Merger:
             ids, owner = ids[keep], owner[keep]
         return out
 
+    def merge_long(self, piece: bytes) -> int:
+        """Number of symbols left of one piece: as merge(), but a step costs what it touches."""
+        ids = self.byte_ids[np.frombuffer(piece, dtype=np.uint8)]
+        n = left = len(ids)
+        ids = np.append(ids, -1)
+        after, before = np.arange(1, n + 2), np.arange(-1, n)  # place n is the end; before the first is -1, which is place n too
+        rank = np.full(n + 1, NONE, dtype=np.int64)  # of the pair that begins at a place that is still a symbol
+        places: dict[int, list[np.ndarray]] = {}
+        queue: list[int] = []
+
+        def add(at: np.ndarray) -> None:
+            """Rank the pairs that begin at these places anew."""
+            right = after[at]
+            new = np.where(right < n, self.rank(ids[at], ids[np.minimum(right, n)]), NONE)
+            rank[at] = new
+            at, new = at[new < NONE], new[new < NONE]
+            turn = np.argsort(new, kind="stable")
+            at, new = at[turn], new[turn]
+            edge = np.flatnonzero(np.append(True, new[1:] != new[:-1])) if len(new) else np.zeros(0, dtype=np.int64)
+            for lo, hi in zip(edge.tolist(), [*edge[1:].tolist(), len(new)]):
+                r = int(new[lo])
+                if r not in places:
+                    places[r] = []
+                    heapq.heappush(queue, r)
+                places[r].append(at[lo:hi])
+
+        add(np.arange(n))
+        while queue:
+            r = heapq.heappop(queue)
+            at = np.unique(np.concatenate(places.pop(r)))
+            at = at[rank[at] == r]  # others have changed since
+            if not len(at):
+                continue
+            # runs of overlapping choices: every second one from the left
+            start = np.append(True, after[at[:-1]] != at[1:])
+            at = at[(np.arange(len(at)) - np.flatnonzero(start)[np.cumsum(start) - 1]) % 2 == 0]
+            gone = after[at]
+            ids[at] = self.result[r]
+            rank[gone] = NONE
+            after[at] = after[gone]
+            before[after[at]] = at
+            left -= len(at)
+            touched = np.concatenate([at, before[at]])
+            add(np.unique(touched[touched >= 0]))
+        return left
+
     def count(self, texts: list[str]) -> list[int]:
         """Tokens of each text; strings of added tokens in a text count one each."""
         split, missing, totals, known = [], {}, [], self.known
@@ -135,7 +188,10 @@ class Merger:
             for p in pieces:
                 if p not in known:
                     missing[p] = 0
-        names = list(missing)
+        for p in missing:
+            if len(raw := p.encode()) > LONG:
+                missing[p] = self.merge_long(raw)
+        names = [p for p, n in missing.items() if not n]
         lo = total = 0
         raw = [p.encode() for p in names]
         for i, p in enumerate(raw):
@@ -157,7 +213,8 @@ def token_counts(docs: DataFrame, spec: str, text: str = "text", keep: tuple[str
 
     spec: the JSON text of the tokenizer, which travels to the executors with the job.
     Null text counts as empty: no bytes, no tokens. Rows are independent, so repeated rows are counted
-    each and nothing is shuffled. Texts are counted whole. Columns not in `keep` are ignored, as are those
+    each and nothing is shuffled. Texts are counted whole, unbroken runs too: their time grows a little faster than their length. An empty
+    table gives an empty table. Columns not in `keep` are ignored, as are those
     of `keep` that are named like a new one.
     """
     kinds = {f.name: f.dataType.simpleString() for f in docs.schema.fields}
