@@ -31,7 +31,9 @@ BUCKET_BYTES = 1 << 20
 #: Distinct pieces under one hash above which they are cut finer before they are indexed, so that no index grows large.
 GROUP_PIECES = 1500
 #: Bytes of a text that are cut into pieces at once, and bits of the place of a gram in them.
-CHUNK_BYTES, PLACE_BITS = 1 << 22, 24
+CHUNK_BYTES, PLACE_BITS = 1 << 20, 24
+#: In a text that repeats itself every so many bytes or fewer, equal pieces in a row are one with a count.
+FOLD = 64
 #: Pieces whose bodies one file of a scratch table holds at least.
 BODIES_A_FILE = 10_000
 
@@ -72,18 +74,29 @@ def chunks(texts: list[bytes | None], length: int) -> Iterator[list[tuple[int, i
         yield out
 
 
-def pieces_of(texts: list[bytes | None], length: int, gram: int, width: int) -> Iterator[tuple[list[np.ndarray], list[bytes]]]:
-    """Pieces of the texts: hash they are filed under, two halves of a content hash, text number, first window, windows; and their bytes.
+def pieces_of(texts: list[bytes | None], length: int, gram: int, width: int, fold: int = 0) -> Iterator[tuple[list[np.ndarray], list[bytes]]]:
+    """Pieces of the texts: hash they are filed under, two halves of a content hash, text number, first window, windows, how often in a row; and their bytes.
 
     A piece is a run of windows that have the same minimizer (the first place of the least gram hash) in
     places of the same class, `width` places each. It is filed under the bytes that all windows of the
     class hold, wherever the piece begins. What a window is filed under follows from its bytes alone.
+    Pieces of `fold` windows or fewer that follow each other and are equal, as in a run of one byte, come once.
     """
     for parts in chunks(texts, length):
-        yield _pieces(parts, length, gram, width)
+        yield _pieces(parts, length, gram, width, fold)
 
 
-def _pieces(parts: list[tuple[int, int, bytes]], length: int, gram: int, width: int) -> tuple[list[np.ndarray], list[bytes]]:
+def in_a_row(raw: np.ndarray, start: np.ndarray, windows: np.ndarray, alike: np.ndarray, length: int, fold: int) -> np.ndarray:
+    """For each piece but the first whether it has the bytes of the one before and follows on it; alike: where that may be."""
+    again = alike & (start[:-1] + windows[:-1] == start[1:]) & (windows[1:] == windows[:-1]) & (windows[1:] <= fold)
+    for step in np.unique(windows[1:][again]).tolist():
+        at = np.flatnonzero(again & (windows[1:] == step))
+        unlike = np.append(np.flatnonzero(raw[:-step] != raw[step:]), len(raw))
+        again[at] = unlike[np.searchsorted(unlike, start[at])] >= start[at] + step + length - 1
+    return again
+
+
+def _pieces(parts: list[tuple[int, int, bytes]], length: int, gram: int, width: int, fold: int) -> tuple[list[np.ndarray], list[bytes]]:
     data = b"".join(x for *_, x in parts)
     raw = np.frombuffer(data, dtype=np.uint8)
     size = np.array([len(x) for *_, x in parts], dtype=np.int64)
@@ -100,6 +113,13 @@ def _pieces(parts: list[tuple[int, int, bytes]], length: int, gram: int, width:
     first[1:] = (at[1:] != at[:-1]) | (kind[1:] != kind[:-1]) | (part[1:] != part[:-1])
     start = np.flatnonzero(first & fits)
     stop = np.flatnonzero(np.append(first[1:] | ~fits[1:], True) & fits) + 1
+    times = np.ones(len(start), dtype=np.int64)
+    if fold and len(start) > 1:
+        least, lead = order[at[start]] >> PLACE_BITS, at[start] - start
+        again = in_a_row(raw, start, stop - start, (least[1:] == least[:-1]) & (lead[1:] == lead[:-1]), length, fold)
+        one = np.flatnonzero(np.append(True, ~again))
+        times = np.diff(np.append(one, len(start)))
+        start, stop = start[one], stop[one]
     near = kind[start] * width  # places near .. far - 1 are the class
     far = np.minimum(near + width, span)
     lo, hi = at[start] - near, at[start] - far + 1 + length
@@ -107,7 +127,7 @@ def _pieces(parts: list[tuple[int, int, bytes]], length: int, gram: int, width:
     filed = np.fromiter((digest(data[a:b], k) for a, b, k in zip(lo.tolist(), hi.tolist(), near.tolist())), dtype=U, count=len(start))
     content = np.frombuffer(b"".join(hashlib.sha256(x).digest()[:16] for x in bodies), dtype=np.int64).reshape(-1, 2)
     owner, offset = (np.array([x[i] for x in parts], dtype=np.int64)[part[start]] for i in (0, 1))
-    return [filed.view(np.int64), np.ascontiguousarray(content[:, 0]), np.ascontiguousarray(content[:, 1]), owner, start - (end - size)[part[start]] + offset, stop - start], bodies
+    return [filed.view(np.int64), np.ascontiguousarray(content[:, 0]), np.ascontiguousarray(content[:, 1]), owner, start - (end - size)[part[start]] + offset, stop - start, times], bodies
 
 
 class RunLengthIndex:
@@ -248,7 +268,7 @@ def repeats(bodies: DataFrame, length: int, gram: int, bucket_bytes: int, group_
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, texts in slices(batches, "body"):
-            for (m, c1, c2, owner, start, _), parts in pieces_of(texts, length, gram, width):
+            for (m, c1, c2, owner, start, *_), parts in pieces_of(texts, length, gram, width):
                 of = pa.array(owner)
                 yield pa.RecordBatch.from_arrays([pa.array(m), pa.array(c1), pa.array(c2), batch.column(0).take(of), batch.column(1).take(of), pa.array(start), pa.array(parts, pa.binary())], names=["m", "c1", "c2", "pid", "n", "start", "body"])
 
@@ -300,7 +320,8 @@ def suffix_dedup(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", le
     same document included; matches stay within a document, and all is judged on the input. The kept
     bytes need not be valid UTF-8. Null or empty text: no bytes. Rows equal in doc_id and text are two
     documents that hold the same bytes. doc_id may be null or of any type. Very long texts are cut in
-    overlapping parts. An empty table gives an empty table; other columns are ignored.
+    overlapping parts. Runs that repeat with a period of up to FOLD bytes, such as one byte many times, are a few pieces
+    with a count; those of a longer period take up to seven times their size in pieces. An empty table gives an empty table; other columns are ignored.
 
     Pieces are made distinct with their counts before any text moves, so copies cost one piece; they are
     equal if their SHA-256, cut to 128 bits, is. A passage that very many texts hold would make one large
@@ -312,14 +333,14 @@ def suffix_dedup(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", le
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, bodies in slices(batches, "text"):
-            for (m, c1, c2, owner, start, count), _ in pieces_of(bodies, length, gram, widths[0]):
+            for (m, c1, c2, owner, start, count, times), _ in pieces_of(bodies, length, gram, widths[0], FOLD):
                 of = pa.array(owner)
-                yield pa.RecordBatch.from_arrays([*[pa.array(x) for x in (m, c1, c2)], batch.column(0).take(of), batch.column(1).take(of), pa.array(start), pa.array(count.astype(np.int32))], names=["m", "c1", "c2", "t1", "t2", "start", "windows"])
+                yield pa.RecordBatch.from_arrays([*[pa.array(x) for x in (m, c1, c2)], batch.column(0).take(of), batch.column(1).take(of), pa.array(start), pa.array(count.astype(np.int32)), pa.array(times.astype(np.int32))], names=["m", "c1", "c2", "t1", "t2", "start", "windows", "times"])
 
-    pieces = written(rows.select("t1", "t2", "text").mapInArrow(cut, "m long, c1 long, c2 long, t1 long, t2 long, start long, windows int"), "suffix-pieces", rows=docs.count(), each=2_000)
-    often = written(pieces.groupBy("m").agg(F.count("*").alias("n")).where("n > 1").select("m"), "suffix-often", rows=pieces.count() // 2)
+    pieces = written(rows.select("t1", "t2", "text").mapInArrow(cut, "m long, c1 long, c2 long, t1 long, t2 long, start long, windows int, times int"), "suffix-pieces", rows=docs.count(), each=2_000)
+    often = written(pieces.groupBy("m").agg(F.sum("times").alias("n")).where("n > 1").select("m"), "suffix-often", rows=pieces.count() // 2)
     same = ["m", "c1", "c2", "windows"]
-    distinct = pieces.join(often, "m").groupBy(*same).agg(F.count("*").alias("n"), F.first("t1").alias("t1"), F.first("t2").alias("t2"), F.first("start").alias("start"))
+    distinct = pieces.join(often, "m").groupBy(*same).agg(F.sum("times").alias("n"), F.first("t1").alias("t1"), F.first("t2").alias("t2"), F.first("start").alias("start"))
     distinct = written(distinct.withColumn("pid", F.monotonically_increasing_id()), "suffix-distinct")
     release(spark)
     size, wanted = distinct.count(), distinct.groupBy("t1", "t2").agg(F.collect_list(F.struct("m", "pid", "n", "start", (F.col("windows") + length - 1).alias("size"))).alias("pieces"))
@@ -342,7 +363,9 @@ def suffix_dedup(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", le
     found = repeats(bodies, length, gram, bucket_bytes, group_pieces, widths[1:]).groupBy("pid").agg(F.collect_list(F.struct("lo", "hi")).alias("found"))
     spotted = written(distinct.join(found, "pid").select(*same, "found"), "suffix-spotted", rows=size)
     drop_written(spark, bodies)
-    marks = pieces.join(spotted, same).select("t1", "t2", F.expr("transform(found, x -> named_struct('lo', x.lo + start, 'hi', x.hi + start))").alias("spans"))
+    # of equal pieces in a row every window is repeated
+    spans = F.expr("CASE WHEN times > 1 THEN array(named_struct('lo', start, 'hi', start + times * windows - 1)) ELSE transform(found, x -> named_struct('lo', x.lo + start, 'hi', x.hi + start)) END")
+    marks = pieces.join(spotted, same).select("t1", "t2", spans.alias("spans"))
     marks = written(marks.distinct().groupBy("t1", "t2").agg(F.flatten(F.collect_list("spans")).alias("spans")), "suffix-marks", rows=docs.count(), each=10_000)
     drop_scratch(spark, mark, keep=1)
     release(spark)
