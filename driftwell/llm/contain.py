@@ -1,9 +1,10 @@
 """Operator 7, benchmark decontamination: size-partitioned MinHash containment search.
 
 Test items are partitioned by their number of shingles. In a partition every item keeps the bottom of
-its shingle hashes as a MinHash sketch, just wide enough that a document holding the asked-for share of
-the largest item of the partition must hold one hash of the sketch. A document is thus searched for the
-sketches' hashes, whatever its own length, and candidates are verified by exact shingle containment.
+its shingle hashes, a bottom-k MinHash sketch, just wide enough that a document holding the asked-for share of
+the largest item of the partition must hold one hash of the sketch. The sketch is thus used as a prefix filter:
+documents are not sketched, however long they are, and looked up whole, so that no item is missed by chance.
+Candidates are verified by exact shingle containment.
 """
 
 from __future__ import annotations
@@ -29,25 +30,29 @@ FILTER_BITS = 20
 LETTERS = bytes(c if c > 0x7F or chr(c).isalnum() else 0x20 for c in bytes(range(256)).lower())
 
 
+def windows(words: Words, n: int, width: int) -> tuple[np.ndarray, np.ndarray]:
+    """(text, hash) of all runs of n words; runs of fewer than `width` have hashes of their own kind."""
+    full = window_hashes(words.a, n)
+    owner = words.text_of_word()
+    at = np.arange(len(owner)) - words.first[:-1][owner]
+    fits = np.flatnonzero((at + n <= np.diff(words.first)[owner])[: len(full)])
+    return owner[fits], full[fits] if n == width else mix(full[fits], n)
+
+
 def shingles(words: Words, width: int) -> tuple[np.ndarray, np.ndarray]:
     """(text, hash) of all shingles; a text of 1 to width - 1 words has one shingle, of all of them."""
-    h = words.a
     size = np.diff(words.first)
-    owner = words.text_of_word()
-    at = np.arange(len(h)) - words.first[:-1][owner]
-    full = window_hashes(h, width)
-    fits = np.flatnonzero((at + width <= size[owner])[: len(full)])
-    texts, hashes = [owner[fits]], [full[fits]]
+    found = [windows(words, width, width)]
     for n in range(1, width):
-        short = np.flatnonzero(size == n)
-        if len(short):
-            texts.append(short)
-            hashes.append(mix(window_hashes(h, n)[words.first[:-1][short]], n))
-    return np.concatenate(texts), np.concatenate(hashes)
+        short = size == n
+        if short.any():
+            owner, hashes = windows(words, n, width)
+            found.append((owner[short[owner]], hashes[short[owner]]))
+    return np.concatenate([o for o, _ in found]), np.concatenate([h for _, h in found])
 
 
 def word_tuples(text: bytes, width: int) -> set[tuple[bytes, ...]]:
-    """The shingles themselves."""
+    """The shingles themselves; of a text of fewer words all of it."""
     words = split(text, LETTERS)
     return {tuple(words[i : i + width]) for i in range(max(1, len(words) - width + 1))} if words else set()
 
@@ -58,6 +63,8 @@ class Items:
     def __init__(self, ids: list, texts: list[bytes], width: int, share: float):
         self.ids, self.width, self.share = ids, width, share
         self.tuples = [word_tuples(t, width) for t in texts]
+        self.wide = [len(next(iter(t), ())) for t in self.tuples]  # words of an item's shingles
+        self.widths = sorted({n for n in self.wide if n})
         owner, hashes = shingles(Words(texts, LETTERS), width)
         self.sets = [np.unique(hashes[owner == i]) for i in range(len(texts))] if len(texts) < 64 else self.grouped(owner, hashes, len(texts))
         sketch, whose = [], []
@@ -82,7 +89,11 @@ class Items:
     def search(self, texts: list[bytes | None]) -> list[list[tuple[object, float]]]:
         """(id, containment) of the items that each text holds."""
         out: list[list] = [[] for _ in texts]
-        owner, hashes = shingles(Words(texts, LETTERS), self.width)
+        words = Words(texts, LETTERS)
+        found = [windows(words, n, self.width) for n in self.widths]
+        if not found:
+            return out
+        owner, hashes = np.concatenate([o for o, _ in found]), np.concatenate([h for _, h in found])
         maybe = np.flatnonzero(self.filter[(hashes >> U(64 - FILTER_BITS)).astype(np.int64)])
         lo, hi = np.searchsorted(self.sketch, hashes[maybe], "left"), np.searchsorted(self.sketch, hashes[maybe], "right")
         pairs = {(int(owner[m]), int(i)) for m, a, b in zip(maybe, lo, hi) if a < b for i in self.whose[a:b]}
@@ -90,15 +101,17 @@ class Items:
             return out
         order = np.argsort(owner, kind="stable")
         owner, hashes = owner[order], hashes[order]
-        held: dict[int, tuple] = {}
+        of, held, tuples = -1, hashes[:0], {}
         for text, item in sorted(pairs):
-            if text not in held:
-                held = {text: (np.unique(hashes[np.searchsorted(owner, text) : np.searchsorted(owner, text + 1)]), word_tuples(texts[text], self.width))}
-            own = self.sets[item]
-            if np.isin(own, held[text][0]).sum() < self.share * len(own) - 1e-9:
+            if text != of:
+                of, held, tuples = text, np.unique(hashes[np.searchsorted(owner, text) : np.searchsorted(owner, text + 1)]), {}
+            own, n = self.sets[item], self.wide[item]
+            if np.isin(own, held).sum() < self.share * len(own) - 1e-9:
                 continue
+            if n not in tuples:
+                tuples[n] = word_tuples(texts[text], n)
             asked = self.tuples[item]
-            part = len(asked & held[text][1]) / len(asked)
+            part = len(asked & tuples[n]) / len(asked)
             if part >= self.share - 1e-12:
                 out[text].append((self.ids[item], part))
         return out
@@ -108,8 +121,8 @@ def containment(docs: DataFrame, items: DataFrame, text: str = "text", item_id:
     """Columns `keep` and matches: array of (item, containment) of the items of which the text holds `share` or more.
 
     Containment is the share of an item's distinct shingles of `width` words that the text has. An item
-    or text of fewer words has one shingle, of all of them, so such an item is found only in a text of
-    just these words; an item without words is found nowhere. Null or empty text: no matches. Null item
+    of fewer words has one shingle, of all of them, and is found wherever these words stand in a row; an
+    item without words is found nowhere. Null or empty text: no matches. Null item
     id: matched like others. A column of `keep` called matches is left out. Repeated items: each is listed. Rows are independent and never shuffled;
     only items move, in blocks of about `block_words` words, so their number is not bounded. Ties and
     other columns are of no account. An empty table of either kind gives no matches.
@@ -145,9 +158,9 @@ def containment(docs: DataFrame, items: DataFrame, text: str = "text", item_id:
 ORACLE = r"""
 WITH d AS (SELECT doc_id, list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '') AS w FROM documents),
 b AS (SELECT item_id, list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '') AS w FROM benchmark),
-ds AS (SELECT DISTINCT doc_id, array_to_string(w[i:i + 4], ' ') AS s FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 3, 2))) AS i FROM d WHERE len(w) > 0)),
-bs AS (SELECT DISTINCT item_id, array_to_string(w[i:i + 4], ' ') AS s FROM (SELECT item_id, w, unnest(range(1, greatest(len(w) - 3, 2))) AS i FROM b WHERE len(w) > 0)),
+bs AS (SELECT DISTINCT item_id, k, array_to_string(w[i:i + k - 1], ' ') AS s FROM (SELECT item_id, w, least(len(w), 5) AS k, unnest(range(1, greatest(len(w) - 3, 2))) AS i FROM b WHERE len(w) > 0)),
+ds AS (SELECT DISTINCT doc_id, k, array_to_string(w[i:i + k - 1], ' ') AS s FROM (SELECT doc_id, w, k, unnest(range(1, len(w) - k + 2)) AS i FROM d, (SELECT DISTINCT k FROM bs) WHERE len(w) >= k)),
 n AS (SELECT item_id, count(*) AS n FROM bs GROUP BY item_id),
-hit AS (SELECT doc_id, item_id, count(*) AS k FROM ds JOIN bs USING (s) GROUP BY ALL)
+hit AS (SELECT doc_id, item_id, count(*) AS k FROM ds JOIN bs USING (k, s) GROUP BY ALL)
 SELECT doc_id, item_id, CAST(1000 * k // n AS BIGINT) AS contained_permille FROM hit JOIN n USING (item_id) WHERE k >= 0.8 * n
 """

@@ -134,14 +134,13 @@ def test_held_out_is_crc32_mod_5(spark):
 
 
 def contained(docs, items):
-    def shingles(t):
-        w = re.findall(r"[a-z0-9\u0080-\U0010ffff]+", re.sub("[A-Z]", lambda m: m[0].lower(), t or ""))
-        return {tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))} if w else set()
-
+    words = lambda t: re.findall(r"[a-z0-9\u0080-\U0010ffff]+", re.sub("[A-Z]", lambda m: m[0].lower(), t or ""))
+    shingles = lambda w, n: {tuple(w[i : i + n]) for i in range(len(w) - n + 1)}
+    asked = [(k, shingles(w, min(5, len(w))), min(5, len(w))) for k, x in items if (w := words(x))]
     out = []
     for i, t in docs:
-        s = shingles(t)
-        out.append((i, sorted(k for k, x in items if shingles(x) and len(shingles(x) & s) >= 0.8 * len(shingles(x)))))
+        own = {n: shingles(words(t), n) for n in range(1, 6)}
+        out.append((i, sorted(k for k, x, n in asked if len(x & own[n]) >= 0.8 * len(x))))
     return out
 
 
