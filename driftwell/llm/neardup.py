@@ -18,7 +18,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import drop_scratch, give_back, in_bits, release, row_bits, scratch_mark, slices, written
@@ -167,6 +167,28 @@ def open_groups(met: DataFrame, rooted: DataFrame, count: int) -> DataFrame:
     return each.join(sizes, "grp").withColumn("minor", F.col("root") != F.col("largest")).drop("largest")
 
 
+def by_rare_shingles(members: DataFrame, share: float, count: int) -> DataFrame:
+    """members(id, root, grp, size, rest, minor, s) with the groups that are cheaper to compare by rare shingles cut into cells; nothing similar comes apart.
+
+    Two sets of a similarity of `share` or more have a shingle in common among the rarest n - ceil(share * n) + 1 of each,
+    in any order that both follow; here the order is by how many members of the group have it. Texts that
+    have only what all of them share in common thus meet in no cell, and their group costs nothing. A group whose
+    cells would cost more than comparing it as a whole stays one.
+    """
+    each = members.select("grp", "id", "root", F.size("s").alias("n"), F.explode("s").alias("x"))
+    often = each.groupBy("grp", "x").agg(F.count("*").alias("f"))
+    rank = F.row_number().over(Window.partitionBy("grp", "id").orderBy("f", "x"))
+    rare = each.join(often, ["grp", "x"]).withColumn("rank", rank).where((F.col("f") > 1) & (F.col("rank") <= F.col("n") - F.ceil(F.col("n") * share - 1e-9) + 1))
+    rare = written(rare.select("grp", "x", "id", "root"), "near-rare", rows=GROUPS * count)
+    sizes = rare.groupBy("grp", "x", "root").agg(F.count("*").alias("n")).groupBy("grp", "x").agg(F.sum("n").alias("size"), F.max("n").alias("most"), F.max_by("root", F.struct("n", "root")).alias("largest"))
+    cells = written(sizes.where("most < size").select("grp", "x", "size", (F.col("size") - F.col("most")).alias("rest"), "largest"), "near-cells", rows=GROUPS * count)
+    cost = cells.groupBy("grp").agg(F.sum(F.col("size") * (F.col("rest") + CHUNK)).alias("cost"))
+    whole = members.groupBy("grp").agg(F.max(F.col("size") * F.col("rest")).alias("square"))
+    kept = written(whole.join(cost, "grp", "left").where("coalesce(cost, 0) >= square").select("grp"), "near-whole", rows=count)
+    met = rare.join(kept, "grp", "left_anti").join(cells, ["grp", "x"]).select(F.xxhash64("grp", "x").alias("grp"), "id", "root", "size", "rest", (F.col("root") != F.col("largest")).alias("minor"))
+    return members.join(kept, "grp", "left_semi").unionByName(met.join(members.select("id", "s").dropDuplicates(["id"]), "id").select(*members.columns))
+
+
 def links_within(members: DataFrame, share: float) -> DataFrame:
     """Links (a, b) that connect what all similar pairs of different roots would, of members(id, root, grp, size, rest, minor, s) of one group.
 
@@ -222,8 +244,9 @@ def deduplicate(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", wor
 
     The grid range-join of operator 8 comes first: its links are checked and connect most copies. In each
     cell that holds several classes the members are then compared with the one that meets most others, which makes as many pairs
-    as there are members. Cells that are then not yet connected make up groups; members that are not of a
-    group's largest class are compared with all its members, inside tasks, in blocks of bounded size.
+    as there are members. Cells that are then not yet connected make up groups. Members that are not of a
+    group's largest class are compared with all its members, inside tasks, in blocks of bounded size; where it
+    is cheaper, only with those that share a rare shingle, which all similar ones do (by_rare_shingles()).
     """
     names = docs.columns
     docs = docs.toDF(*[f"column{i}" for i in range(len(names))])
@@ -265,6 +288,7 @@ def deduplicate(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", wor
     open_ = open_groups(met, rooted, count)
     members = written(open_.join(sets.select("id", "s"), "id"), "near-members", rows=count, each=TEXTS_A_FILE)
     release(spark)
+    members = written(by_rare_shingles(members, share, count), "near-compared", rows=count, each=TEXTS_A_FILE)
     edges = edges.unionByName(written(links_within(members, share).distinct(), "near-links", rows=count))
     heads = classes(nodes.select("id"), edges).join(nodes, "id").groupBy("root").agg(F.min("first").alias("first")).select(F.col("first.row").alias("row"))
     kept = written(row_bits(heads.unionByName(marked.where("n = 0").select("row")), "row"), "near-kept", rows=1)

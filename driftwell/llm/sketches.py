@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 
 from .common import drop_scratch, in_bits, release, row_bits, scratch_mark, slices, written
 from .contain import shingles
-from .neardup import TEXTS_A_FILE, links_within, open_groups, similar
+from .neardup import TEXTS_A_FILE, by_rare_shingles, links_within, open_groups, similar
 from .simhash import classes
 from .words import U, Words, joined, mix
 
@@ -109,7 +109,8 @@ def similar_pairs(met: DataFrame, sets: DataFrame, asked: DataFrame, count: int,
     """Links (a, b) that connect what all similar pairs that meet would, of met(cell, id, m).
 
     Each cell's members are compared with the one that meets most others, which makes as many pairs as there
-    are members. Cells whose members are then not all of one class are compared pair by pair, in blocks.
+    are members. Cells whose members are then not all of one class are compared pair by pair, in blocks, or
+    by their rare shingles.
     """
     score = met.groupBy("id").agg(F.sum("m").alias("score"))
     centre = met.join(score, "id").groupBy("cell").agg(F.max_by("id", F.struct("score", -F.col("id"))).alias("centre"))
@@ -120,6 +121,7 @@ def similar_pairs(met: DataFrame, sets: DataFrame, asked: DataFrame, count: int,
     rooted = written(classes(asked, edges), "sketch-classes", rows=count)
     members = written(open_groups(met, rooted, count).join(sets.select("id", "s"), "id"), "sketch-members", rows=count, each=TEXTS_A_FILE)
     release(met.sparkSession)
+    members = written(by_rare_shingles(members, share, count), "sketch-compared", rows=count, each=TEXTS_A_FILE)
     return edges.unionByName(written(links_within(members, share).distinct(), "sketch-links", rows=count))
 
 

@@ -14,7 +14,7 @@ from driftwell.llm.sketches import bands_of, minhash_near_duplicates, shingle_se
 from driftwell.llm.sketches import sketches as sketch
 from driftwell.llm.whitening import block_lanczos, whiten
 
-from .conftest import prose
+from .test_links import union
 
 LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 
@@ -239,3 +239,39 @@ def test_deviations_beyond_longs(spark):
     big = float(2**38)
     got = whiten(spark.createDataFrame([(1, [big]), (2, [-big]), (3, [0.0])], "vec_id long, embedding array<double>")).orderBy("vec_id").collect()
     assert [r.deviation for r in got] == [None, None, 0] and got[2].whitened == 0 and abs(got[0].explained - 1) < 1e-12
+
+
+@pytest.mark.parametrize("chunk", [256, 0, 1 << 40])
+def test_rare_shingles_lose_no_link(spark, chunk):
+    """Groups of near and of half alike sets, cut into cells where that is cheaper, never (a large chunk), or nearly always (0): the links that brute force finds."""
+    rng = random.Random(12)
+    sets, groups = [], []
+    for g in range(6):
+        core = [rng.getrandbits(60) for _ in range(30)]
+        for _ in range(14):
+            own = rng.choice([0, 2, 3, 4, 30])
+            sets.append(sorted({*rng.sample(core, 30 - rng.choice([0, 1, 2])), *[rng.getrandbits(60) for _ in range(own)]}))
+            groups.append(g)
+    rows = [(i, i, g, groups.count(g), groups.count(g) - 1, i % 14 != 0, s) for i, (g, s) in enumerate(zip(groups, sets))]
+    members = spark.createDataFrame(rows, "id long, root long, grp long, size long, rest long, minor boolean, s array<long>")
+    before, neardup.CHUNK = neardup.CHUNK, chunk
+    try:
+        cut = neardup.by_rare_shingles(members, 0.8, len(rows)).cache()
+    finally:
+        neardup.CHUNK = before
+    if chunk > 1 << 30:
+        assert cut.count() == len(rows)
+    found = {(min(r.a, r.b), max(r.a, r.b)) for r in neardup.links_within(cut, 0.8).collect()}
+    near = [(i, j) for j in range(len(rows)) for i in range(j) if groups[i] == groups[j] and len(set(sets[i]) & set(sets[j])) >= 0.8 * len(set(sets[i]) | set(sets[j]))]
+    assert found <= set(near)
+    top = lambda pairs: union(len(rows), pairs)
+    assert top(sorted(found)) == top(near) and len(near) > 50
+
+
+def test_texts_of_one_template_are_not_compared(spark):
+    """200 texts of which half is the same: no cell is left to compare."""
+    rng = random.Random(13)
+    core = [rng.getrandbits(60) for _ in range(50)]
+    rows = [(i, i, 1, 200, 199, i > 0, sorted({*core, *[rng.getrandbits(60) for _ in range(50)]})) for i in range(200)]
+    members = spark.createDataFrame(rows, "id long, root long, grp long, size long, rest long, minor boolean, s array<long>")
+    assert neardup.by_rare_shingles(members, 0.8, 200).count() == 0
