@@ -64,9 +64,9 @@ def schema_changes(events: DataFrame) -> DataFrame:
 
 
 def gtid_number(gtid: Column) -> Column:
-    """n of 'uuid:n'; null unless there are two parts and n is a number."""
-    parts = F.split(gtid, ":")
-    return F.when(F.size(parts) == 2, F.get(parts, F.lit(1)).try_cast("long"))
+    """n of 'uuid:n' and of 'domain-server-n'; null for other texts, and unless n is a number."""
+    parts, triple = F.split(gtid, ":"), F.regexp_extract(gtid, r"^\d+-\d+-(\d+)$", 1)
+    return F.when(F.size(parts) == 2, F.get(parts, F.lit(1)).try_cast("long")).when(triple != "", triple.try_cast("long"))
 
 
 def decode(events: DataFrame) -> DataFrame:

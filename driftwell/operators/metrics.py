@@ -45,6 +45,16 @@ def insert_log(parts: DataFrame, seconds: int = 60) -> DataFrame:
     return parts.groupBy(bucket).agg(F.count("*").alias("blocks"), F.round(F.avg("rows")).cast("long").alias("avg_rows"), F.sum("rows").alias("rows"))
 
 
+def figures(now_ms: Column, names: dict[str, Column] | None = None) -> list[Column]:
+    """Aggregates of a topic partition that Metrics.take() reads; names: where a record's fields are, if not at the top."""
+    at = lambda c: (names or {}).get(c, F.col(c))
+    place = F.struct(at("ts_ms").alias("ts_ms"), at("offset").alias("offset"))
+    return [
+        F.max(lag_ms(now_ms, at("ts_ms"))).alias("source_lag_ms"), F.max(lag_ms(now_ms, at("cdc_ts_ms"))).alias("cdc_lag_ms"), F.max(at("gtid")).alias("max_gtid"), F.max(at("pos")).alias("max_pos"),
+        F.max_by(at("file"), place).alias("last_file"), F.max(place).alias("at"), F.max(at("offset")).alias("max_offset"),
+    ]
+
+
 def overlapping(in_flight: list[tuple[int, int]], batch: tuple[int, int]) -> bool:
     """Whether an unfinished batch holds events older than this one's first: then its position can't be committed yet."""
     return any(lo < batch[0] for lo, _ in in_flight)

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 VERSION, DELETED, SIGN, SEQ = "_version", "is_deleted", "_sign", "_seq"
 
@@ -39,6 +40,36 @@ def latest(log: DataFrame, key: list[str], order: list[str]) -> DataFrame:
     return best.select(*[F.col(c) if c in key else F.col("__row")[c].alias(c) for c in log.columns])
 
 
+#: What a source sends in place of a long text that a change leaves as it is, a fixed value.
+UNAVAILABLE = "__debezium_unavailable_value"
+
+
+def _texts(log: DataFrame, key: list[str]) -> list[str]:
+    return [f.name for f in log.schema.fields if f.name not in key and isinstance(f.dataType, StringType)]
+
+
+def latest_by_column(log: DataFrame, key: list[str], order: list[str], missing: str = UNAVAILABLE) -> DataFrame:
+    """latest(), but texts that an image leaves out come from the last image of the key that has them.
+
+    A new row has all its texts, so none comes from a deleted row of the same key.
+    """
+    texts = _texts(log, key)
+    rest = [c for c in log.columns if c not in key and c not in texts]
+    there = lambda c: ~F.col(c).eqNullSafe(F.lit(missing))
+    each = [F.max_by(F.when(there(c), F.struct(c)), F.when(there(c), F.struct(*order))).alias(c) for c in texts]
+    best = log.groupBy(*key).agg(F.max_by(F.struct(*rest), F.struct(*order)).alias("__row"), *each)
+    return best.select(*[F.col(c) if c in key else F.col(c)[c].alias(c) if c in texts else F.col("__row")[c].alias(c) for c in log.columns])
+
+
+def needed_by_column(log: DataFrame, key: list[str], order: list[str], missing: str = UNAVAILABLE) -> DataFrame:
+    """The rows that latest_by_column() needs, with more rows to come: the last of each key, and the last that has each text."""
+    row = F.struct(*[c for c in log.columns if c not in key])
+    there = lambda c: ~F.col(c).eqNullSafe(F.lit(missing))
+    each = [F.max_by(row, F.struct(*order)), *[F.max_by(F.when(there(c), row), F.when(there(c), F.struct(*order))) for c in _texts(log, key)]]
+    found = log.groupBy(*key).agg(F.array_distinct(F.array_compact(F.array(*each))).alias("__rows"))
+    return found.select(*key, F.explode("__rows").alias("__row")).select(*[F.col(c) if c in key else F.col("__row")[c].alias(c) for c in log.columns])
+
+
 def final(log: DataFrame, key: list[str], version: str = VERSION, seq: str = SEQ, deleted: str | None = DELETED) -> DataFrame:
     """State of a replacing table: the row of highest (version, arrival) of each key, unless it is deleted.
 

@@ -15,8 +15,9 @@ def flag(value: object) -> bool:
 
 @dataclass(frozen=True)
 class Settings:
-    """zone: of zoneless times. max_records: most rows of a data file. buffer_count: distinct keys a topic that
+    """zone: of zoneless times. max_records: most records that are written at once; larger batches are cut, 0 for never. buffer_count: distinct keys a topic that
     deduplication remembers. snapshot_mode: schema_only or no_data leaves out the rows of snapshots. compact_after: batches of a replacing table that lie side by side at most, 0 for any number.
+    dialect: postgres orders changes by log sequence number, and its images may leave unchanged texts out.
     buckets: new tables with a key are clustered in so many buckets, 0 for none."""
 
     ignore_delete: bool = False
@@ -46,6 +47,7 @@ class Settings:
     max_records: int = 100_000
     autostart: bool = True
     buckets: int = 0
+    dialect: str = "mysql"
 
     @classmethod
     def of(cls, given: dict[str, object]) -> Settings:
@@ -69,6 +71,8 @@ class Settings:
         policy = out["deduplication_policy"] = str(out.get("deduplication_policy", "off")).lower()
         if policy not in POLICIES:
             raise ValueError(f"deduplication.policy is one of {POLICIES}")
+        if out.get("dialect", "mysql") not in DIALECTS:
+            raise ValueError(f"source.dialect is one of {DIALECTS}")
         if out.get("zone"):
             ZoneInfo(out["zone"])
         return cls(**out)
@@ -84,6 +88,7 @@ KEYS = {
     "enable.snapshot.ddl": "snapshot_ddl", "ddl.retry": "ddl_retry", "single.threaded": "single_threaded",
     "buffer.flush.time.ms": "flush_ms", "buffer.max.records": "max_records", "skip_replica_start": "autostart",
     "auto.create.tables.replicated": "replicated", "enable.kafka.offset": "store_offsets", "compact.after.batches": "compact_after",
-    "snapshot.mode": "snapshot_mode", "cluster.buckets": "buckets",
+    "snapshot.mode": "snapshot_mode", "cluster.buckets": "buckets", "source.dialect": "dialect",
 }
+DIALECTS = ("mysql", "mariadb", "postgres")
 NEGATED = ("skip_replica_start",)

@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..operators.align import align, missing_columns, unfit
-from ..operators.state import DELETED, SEQ, SIGN, VERSION, collapse, final, latest
+from ..operators.state import DELETED, SEQ, SIGN, VERSION, collapse, latest, latest_by_column, needed_by_column
 from .ddl import Action, DdlError, target_type, unquoted
 from .ddl import Column as SourceColumn
 from .store import Files
@@ -72,6 +72,7 @@ class Descriptor:
     applied: int = -1  # place in the log of the last schema change
     replicated: bool = False  # of the target's engine; means nothing to files
     buckets: int = 0  # of a clustered table
+    partial: bool = False  # images may leave unchanged texts out
 
     def to_json(self) -> str:
         return json.dumps(asdict(self), indent=1)
@@ -298,13 +299,13 @@ class Warehouse:
         row = self.spark.range(1).select(F.lit(None).cast("bigint").alias(VERSION), F.lit(seq).cast("bigint").alias(SEQ), F.lit(True).alias(TRUNCATE), F.lit(place).cast("string").alias(PLACE), F.lit(ts_ms).cast("bigint").alias(TIME))
         self.append(d, row, f"truncate-{seq}" if place is None else f"truncate-{seq}-{hashlib.md5(place.encode()).hexdigest()[:8]}")
 
-    def append(self, d: Descriptor, rows: DataFrame, batch: str, rows_a_file: int = 0, merged: bool = False) -> None:
+    def append(self, d: Descriptor, rows: DataFrame, batch: str, merged: bool = False) -> None:
         """Rows by logical name, with _version, _seq and the delete mark.
 
         A batch that is there in whole is left as it is: it was written by the columns of its time. Files
         are sorted by the partition columns and the key, so that readers can skip row groups. Values that
         don't fit their column are counted in `lost`, live rows that break a CHECK constraint in `broken`; they
-        are written all the same, since the source has let them in. Both are observed while the rows are written. rows_a_file: most rows of a file, 0 for any number.
+        are written all the same, since the source has let them in. Both are observed while the rows are written.
         merged: rows of older runs, dealt out by key already; they were counted when they came.
         """
         path = f"{self.folder(d.database, d.name)}/{d.data}/batch={batch}"
@@ -326,11 +327,10 @@ class Warehouse:
         out = fit.select(*logical.names).toDF(*[f.stored for f in own], *[n for n, _ in d.extras()])
         by_name = {f.name: f.stored for f in own}
         if d.buckets:
-            self.write_buckets(d, out, path, [by_name[c] for c in d.key], rows_a_file, merged)
+            self.write_buckets(d, out, path, [by_name[c] for c in d.key], merged)
         else:
             order = [f"`{by_name[c]}`" for c in (*d.partition, *d.key) if c in by_name]
-            writer = (out.sortWithinPartitions(*order) if order else out).write.mode("overwrite")
-            (writer.option("maxRecordsPerFile", rows_a_file) if rows_a_file else writer).parquet(path)
+            (out.sortWithinPartitions(*order) if order else out).write.mode("overwrite").parquet(path)
         if watch is not None:
             found = [watch.get.get(f"n{i}") or 0 for i in range(len(counted))]
             if misfits is not None:
@@ -338,14 +338,13 @@ class Warehouse:
             for name, n in zip(rules, found):
                 self.broken[d.database, d.name, name] += n
 
-    def write_buckets(self, d: Descriptor, out: DataFrame, path: str, key: list[str], rows_a_file: int, placed: bool) -> None:
+    def write_buckets(self, d: Descriptor, out: DataFrame, path: str, key: list[str], placed: bool) -> None:
         """Files of one bucket each, sorted by the key. Spark writes buckets for a table of its catalog, which is forgotten at once."""
         if not placed:
             out = out.repartition(d.buckets, *[F.col(f"`{k}`") for k in key])
         name = f"driftwell_{uuid.uuid4().hex}"
         self.files.delete(path)
-        writer = out.write.format("parquet").bucketBy(d.buckets, *key).sortBy(*key).option("path", path)
-        (writer.option("maxRecordsPerFile", rows_a_file) if rows_a_file else writer).saveAsTable(name)
+        out.write.format("parquet").bucketBy(d.buckets, *key).sortBy(*key).option("path", path).saveAsTable(name)
         self.spark.sql(f"DROP TABLE {name}")
 
     def superseded(self, d: Descriptor) -> set[str]:
@@ -414,15 +413,15 @@ class Warehouse:
         if d.engine == COLLAPSING:
             rows = collapse(rows, list(d.key), [VERSION, SEQ])
         elif d.engine == REPLACING:
-            rows = final(rows, list(d.key), deleted=d.deleted)
+            rows = (latest_by_column if d.partial else latest)(rows, list(d.key), [VERSION, SEQ]).where(F.col(d.deleted) == 0)
         else:
             rows = rows.where(f"coalesce(`{d.deleted}`, 0) = 0")
         return rows.select(*d.columns)
 
     def resolved(self, d: Descriptor, log: DataFrame) -> DataFrame:
-        """What a log of rows comes to: the last row of each key, with its version. Deletes and truncates stay as marks, so that a late row from before them stays gone."""
+        """What a log of rows comes to: the last row of each key, with its version, of partial images all that may be needed. Deletes and truncates stay as marks, so that a late row from before them stays gone."""
         rows = after_truncates(log)
-        kept = latest(rows, list(d.key), [VERSION, SEQ]) if d.engine == REPLACING else collapse(rows, list(d.key), [VERSION, SEQ]) if d.engine == COLLAPSING else rows
+        kept = (needed_by_column if d.partial else latest)(rows, list(d.key), [VERSION, SEQ]) if d.engine == REPLACING else collapse(rows, list(d.key), [VERSION, SEQ]) if d.engine == COLLAPSING else rows
         return kept.unionByName(truncates(log).withColumn(TRUNCATE, F.lit(True)), allowMissingColumns=True)
 
     def compact(self, database: str, name: str, buckets: int | None = None) -> None:

@@ -533,6 +533,19 @@ def metrics_text(spark, d):
     return spark.createDataFrame([(pick("records_total"), pick("errors_total"), pick("source_lag_ms"), pick("binlog_position"))], "records long, errors long, lag long, pos long")
 
 
+@query(LOG + "SELECT count(*) AS records, 1 AS ddl, max(event_id) FILTER (WHERE event_id % 3 = 1) AS offset_1, max(event_id) AS pos, max(event_id) + 1 AS gtid, 0 AS errors FROM cl")
+def metrics_of_batches(spark, d):
+    """Figures of two batches of three partitions, gathered by the job that looks at a batch before it is written."""
+    m, log = Metrics(), events_log(spark, d).withColumn("partition", (F.col("offset") % 3).cast("int"))
+    ddl = ddl_events(spark, log, ["CREATE TABLE shop.other (id INT PRIMARY KEY)"], 0).withColumn("topic", F.lit(TOPIC))
+    applier = Applier(Warehouse(spark, folder(spark, "warehouse")), Settings(auto_create=True), metrics=m)
+    applier(log.where("offset % 2 = 0").unionByName(ddl), 0)
+    applier(log.where("offset % 2 = 1"), 1)
+    pick = lambda name, **labels: int(m.values[name, tuple(sorted((k, str(v)) for k, v in {"topic": TOPIC, **labels}.items()))])
+    pos = max(int(v) for (name, _), v in m.values.items() if name == "binlog_position")
+    return spark.createDataFrame([(pick("records_total"), pick("ddl_total"), pick("partition_offset", partition=1), pos, pick("max_gtid"), pick("errors_total"))], "records long, ddl int, offset_1 long, pos long, gtid long, errors int")
+
+
 @query("SELECT 'nation' AS name, 'n_nationkey' AS integer_key, 'n_nationkey' AS required, 3 AS columns, count(*) AS n FROM nation UNION ALL SELECT 'plain', NULL, '', 5, count(*) FROM customer")
 def table_catalog(spark, d):
     """Tables of a pattern with their integer key, columns that can't be null, number of columns, and rows."""

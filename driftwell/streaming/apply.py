@@ -5,13 +5,15 @@ from __future__ import annotations
 import re
 import time
 from concurrent.futures import ThreadPoolExecutor
+from dataclasses import replace
 
 from pyspark import inheritable_thread_target
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..operators.dedup import deduplicate, record_key
-from ..operators.envelope import changes, decode, with_metadata
+from ..operators.envelope import changes, decode, gtid_number, operation, with_metadata
+from ..operators.metrics import figures
 from ..operators.state import DELETED, SEQ, VERSION, collapsing_rows
 from ..operators.versions import time_among_snowflakes, time_version, version
 from ..plans.ddl import Action, DdlError, drops_or_truncates, parse, unquoted
@@ -21,6 +23,7 @@ from ..plans.store import Files
 from ..plans.tables import COLLAPSING, PLACE, TIME, TRUNCATE, Descriptor, Warehouse, described_by_schema
 from ..plans.types import Wire, typed_records
 from ..functions.values import raw_json, resolve_zone
+from .listener import Metrics
 from .offsets import SchemaHistory, TopicOffsets
 
 
@@ -43,12 +46,13 @@ class Applier:
     The keys that deduplication remembers are a table below the warehouse, so a new applier goes on with them.
 
     include: patterns of database.table, for rows and for schema changes. wires: by table, how the
-    capture engine sends its values. offsets: where the greatest offsets are kept, if the settings ask.
+    capture engine sends its values. offsets: where the greatest offsets are kept, if the settings ask. metrics: takes the figures of
+    each batch from the job that looks at it.
     """
 
-    def __init__(self, warehouse: Warehouse, settings: Settings | None = None, include: list[str] | None = None, keys: dict[str, tuple[str, ...]] | None = None, history: SchemaHistory | None = None, wires: dict[str, list[Wire]] | None = None, offsets: TopicOffsets | None = None):
+    def __init__(self, warehouse: Warehouse, settings: Settings | None = None, include: list[str] | None = None, keys: dict[str, tuple[str, ...]] | None = None, history: SchemaHistory | None = None, wires: dict[str, list[Wire]] | None = None, offsets: TopicOffsets | None = None, metrics: Metrics | None = None):
         self.warehouse, self.settings, self.include, self.keys = warehouse, settings or Settings(), include, keys or {}
-        self.history, self.wires, self.offsets = history, wires or {}, offsets
+        self.history, self.wires, self.offsets, self.metrics = history, wires or {}, offsets, metrics
         self.failed: list[tuple[int, str, str]] = []
         self.pool = f"{warehouse.root}/_pool"
         self.zone = resolve_zone(self.settings.zone)
@@ -58,7 +62,7 @@ class Applier:
         events = events.persist()
         try:
             placed = self.placed(events)
-            tables, ddl = self.found(placed)
+            tables, ddl = self.found(placed, self.metrics is not None)
             if not ddl:
                 self.rows(placed, tables)
             else:
@@ -109,20 +113,37 @@ class Applier:
             placed = placed.where(F.col("ddl").isNotNull() | included(F.concat_ws(".", "__db", "__table"), self.include))
         return placed.where("ddl IS NOT NULL OR __table IS NOT NULL AND value IS NOT NULL")
 
-    def found(self, placed: DataFrame) -> tuple[list, list]:
-        """In one job: a row a table, with the log positions of its changes, and the schema changes that are to be made, in order."""
-        source = F.col("value.source")
+    def found(self, placed: DataFrame, watch: bool = False) -> tuple[list, list]:
+        """In one job: for each table the log positions of its changes, and the schema changes that are to be made, in order. watch: figures for the metrics too."""
+        value, source = F.col("value"), F.col("value.source")
         spot = F.pmod(F.xxhash64("topic", "partition", "offset"), F.lit(1 << 31))
         change = F.when(F.col("ddl").isNotNull(), F.struct("topic", "partition", "offset", "ddl", source["db"].alias("db"), source["snapshot"].alias("snapshot"), source["ts_ms"].alias("ts_ms")))
         by = [F.when(F.col("ddl").isNull(), F.col(c)).alias(c) for c in ("__db", "__table")]
-        rows = placed.groupBy(*by).agg(F.min("offset").alias("lo"), F.max("offset").alias("hi"), F.sum(spot).alias("sum"), F.collect_list(change).alias("ddl")).collect()
+        each = [F.min("offset").alias("lo"), F.max("offset").alias("hi"), F.sum(spot).alias("sum"), F.count("*").alias("n"), F.collect_list(change).alias("ddl")]
+        if watch:
+            names = {"ts_ms": source["ts_ms"], "cdc_ts_ms": value["ts_ms"], "gtid": gtid_number(source["gtid"]), "pos": source["pos"], "file": source["file"]}
+            each += [*figures(F.unix_millis(F.current_timestamp()), names), F.sum(operation(value["op"]).isNull().cast("long")).alias("errors")]
+        rows = placed.groupBy(*by, "topic", "partition").agg(*each).collect()  # a row a table, topic and partition
+        if watch:
+            self.metrics.take([r for r in rows if not r["ddl"]])
+            for r in rows:
+                for name, n in (("ddl_total", len(r["ddl"])), ("records_total", 0 if r["ddl"] else r["n"] - r["errors"]), ("errors_total", 0 if r["ddl"] else r["errors"])):
+                    self.metrics.add(name, n, topic=r["topic"])
+        tables: dict[tuple[str, str], dict] = {}
+        for r in (r for r in rows if not r["ddl"]):
+            t = tables.setdefault((r["__db"], r["__table"]), {"__db": r["__db"], "__table": r["__table"], "lo": r["lo"], "hi": r["hi"], "sum": 0, "n": 0})
+            t |= {"lo": min(t["lo"], r["lo"]), "hi": max(t["hi"], r["hi"]), "sum": t["sum"] + r["sum"], "n": t["n"] + r["n"]}
         ddl = [x for r in rows for x in r["ddl"] if not self.settings.disable_ddl and (x.snapshot != "true" or self.settings.snapshot_ddl)]
-        return [r for r in rows if not r["ddl"]], sorted(ddl, key=lambda r: (r.ts_ms or 0, r.topic, r.partition, r.offset))
+        return list(tables.values()), sorted(ddl, key=lambda r: (r.ts_ms or 0, r.topic, r.partition, r.offset))
 
     def rows(self, placed: DataFrame, tables: list) -> None:
-        """Row changes of one stretch without schema changes, each table's by itself."""
+        """Row changes of one stretch without schema changes, each table's by itself; more than `max_records` are written in several parts."""
         s = self.settings
         placed = placed.where("ddl IS NULL")
+        if s.max_records and sum(r["n"] for r in tables) > s.max_records:
+            for part in self.parts(placed):
+                self.rows(part, self.found(part)[0])
+            return
 
         def write(r) -> None:
             own = placed.where((F.col("__db") == r["__db"]) & (F.col("__table") == r["__table"])).drop("__db", "__table")
@@ -137,6 +158,23 @@ class Applier:
         if s.deduplication_policy == "old" and s.buffer_count:
             self.remember(placed)
 
+    def parts(self, placed: DataFrame) -> list[DataFrame]:
+        """Row changes cut by offset into parts of `max_records` at most, in order.
+
+        Offsets of a topic partition differ, so a stretch of so many offsets holds no more records; stretches
+        are put together up to the limit. Where the cuts lie follows from the batch alone, so one that
+        comes again is cut alike. A limit below twice the number of topic partitions may be exceeded by that number.
+        """
+        half = max(1, self.settings.max_records // 2)
+        first = placed.groupBy("topic", "partition").agg(F.min("offset").alias("__lo"))
+        each = max(1, half // first.count())  # topic partitions are few beside records
+        numbered = placed.join(F.broadcast(first), ["topic", "partition"]).withColumn("__at", F.floor((F.col("offset") - F.col("__lo")) / each))
+        before = F.sum("n").over(Window.orderBy("__at").rowsBetween(Window.unboundedPreceding, -1))  # a row a stretch
+        stretches = numbered.groupBy("__at").agg(F.count("*").alias("n")).select("__at", F.floor(F.coalesce(before, F.lit(0)) / half).alias("__part"))
+        stretches = stretches.persist()
+        found = sorted(r["__part"] for r in stretches.select("__part").distinct().collect())
+        return [numbered.join(stretches.where(F.col("__part") == n), "__at").select(*placed.columns) for n in found]
+
     def remembered(self) -> tuple[int, DataFrame] | None:
         """The last keys of each topic, and how often keys were remembered."""
         whole = [n for n in self.warehouse.files.names(self.pool) if self.warehouse.files.exists(f"{self.pool}/{n}/_SUCCESS")]
@@ -181,9 +219,12 @@ class Applier:
                 return
             w.save(described_by_schema(db, name, image, self.keys.get(name, tuple(records.schema["key"].dataType.names)), deleted=self.mark, replicated=s.replicated, buckets=s.buckets))
         d = w.load(db, name)
+        if s.dialect == "postgres" and not d.partial:
+            d = replace(d, partial=True)
+            w.save(d)
         if s.evolve:
             d = w.evolve(d, image)
-        w.append(d, target_rows(records, d, s), batch, s.max_records)
+        w.append(d, target_rows(records, d, s), batch)
         if s.compact_after:
             w.tidy(db, name, s.compact_after)
 
@@ -204,6 +245,8 @@ def target_rows(records: DataFrame, d: Descriptor, s: Settings) -> DataFrame:
     # a row without a transaction number, such as one of a snapshot, is ordered among those with one by its time
     plain = time_among_snowflakes(F.col("ts_ms")) if s.snowflake else time_version(F.col("ts_ms"))
     number = version(F.col("ts_ms"), F.col("gtid"), plain, s.snowflake)
+    if s.dialect == "postgres":
+        number = F.coalesce("lsn", number)
     spot = [F.concat_ws("/", "topic", "partition").alias(PLACE), F.col("ts_ms").alias(TIME)]
     if s.ignore_delete:
         records = records.where("operation <> 'DELETE'")

@@ -7,7 +7,7 @@ import time
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQueryListener
 
-from ..operators.metrics import max_offsets, topic_counts, topic_lag
+from ..operators.metrics import figures, topic_counts
 
 
 class Metrics(StreamingQueryListener):
@@ -30,17 +30,24 @@ class Metrics(StreamingQueryListener):
         self.values[key] = self.values.get(key, 0.0) + value
 
     def observe(self, events: DataFrame, records: DataFrame, now_ms) -> None:
-        """Figures of one batch; a row a topic and partition comes to the driver."""
+        """Figures of one batch, in two jobs; a row a topic and partition comes to the driver."""
         for r in topic_counts(events).collect():
             self.add("records_total", r.records or 0, topic=r.topic)
             self.add("errors_total", r.errors or 0, topic=r.topic)
             self.add("ddl_total", r.ddl or 0, topic=r.topic)
-        for r in topic_lag(records, now_ms).collect():
-            for name in ("source_lag_ms", "cdc_lag_ms", "max_gtid"):
-                self.set(name, r[name], topic=r.topic)
-            self.set("binlog_position", r.max_pos, topic=r.topic, file=r.last_file)
-        for r in max_offsets(records).collect():
+        self.take(records.groupBy("topic", "partition").agg(*figures(now_ms)).collect())
+
+    def take(self, rows: list) -> None:
+        """Figures of topic partitions that another job has gathered, with figures() among its aggregates."""
+        place = lambda r: (r.at.ts_ms or 0, r.at.offset or 0)
+        for r in rows:
             self.set("partition_offset", r.max_offset, topic=r.topic, partition=r.partition)
+        for topic in {r.topic for r in rows}:
+            own = [x for x in rows if x.topic == topic]
+            r = max(own, key=place)
+            for name in ("source_lag_ms", "cdc_lag_ms", "max_gtid"):
+                self.set(name, max((x[name] for x in own if x[name] is not None), default=None), topic=topic)
+            self.set("binlog_position", max((x.max_pos for x in own if x.max_pos is not None), default=None), topic=topic, file=r.last_file)
 
     def text(self) -> str:
         """A line a figure: name{labels} value."""

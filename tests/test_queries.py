@@ -4,7 +4,7 @@ import os
 
 import pytest
 
-from driftwell import queries_tables  # noqa: F401  adds to the catalogue
+from driftwell import queries_sources, queries_tables  # noqa: F401  add to the catalogue
 from driftwell.queries import ORACLES, QUERIES
 
 DATA = "/root/testdata/sf0.001"
