@@ -18,7 +18,7 @@ class Settings:
     """zone: of zoneless times. max_records: most records that are written at once; larger batches are cut, 0 for never. buffer_count: distinct keys a topic that
     deduplication remembers. snapshot_mode: schema_only or no_data leaves out the rows of snapshots. compact_after: batches of a replacing table that lie side by side at most, 0 for any number.
     dialect: postgres orders changes by log sequence number, and its images may leave unchanged texts out.
-    buckets: new tables with a key are clustered in so many buckets, 0 for none."""
+    buckets: new tables with a key are clustered in so many buckets, 0 for none. folders: other new tables have a folder for each value of their partition columns."""
 
     ignore_delete: bool = False
     deduplication_policy: str = "off"
@@ -48,6 +48,7 @@ class Settings:
     autostart: bool = True
     buckets: int = 0
     dialect: str = "mysql"
+    folders: bool = False
 
     @classmethod
     def of(cls, given: dict[str, object]) -> Settings:
@@ -88,7 +89,7 @@ KEYS = {
     "enable.snapshot.ddl": "snapshot_ddl", "ddl.retry": "ddl_retry", "single.threaded": "single_threaded",
     "buffer.flush.time.ms": "flush_ms", "buffer.max.records": "max_records", "skip_replica_start": "autostart",
     "auto.create.tables.replicated": "replicated", "enable.kafka.offset": "store_offsets", "compact.after.batches": "compact_after",
-    "snapshot.mode": "snapshot_mode", "cluster.buckets": "buckets", "source.dialect": "dialect",
+    "snapshot.mode": "snapshot_mode", "cluster.buckets": "buckets", "source.dialect": "dialect", "partition.folders": "folders",
 }
 DIALECTS = ("mysql", "mariadb", "postgres")
 NEGATED = ("skip_replica_start",)

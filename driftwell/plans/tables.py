@@ -5,6 +5,8 @@ into the same number of buckets, each sorted by the key, as Spark's bucketed tab
 then lie in the same bucket of all runs, so its latest row is found without a shuffle. Runs are merged in
 tiers: of TIER runs of a tier one of the next is made, and only these runs are read and written for it.
 
+A table may have a folder for each value of its partition columns instead, which readers skip by filters.
+
 A column has a logical name and the name that files hold it by. Renaming changes the first only;
 changing the type begins a new file column and reads older files by a cast; a column that is dropped
 and added again is a new one. So no file is ever rewritten by a schema change.
@@ -33,6 +35,8 @@ from .ddl import Column as SourceColumn
 from .store import Files
 
 REPLACING, COLLAPSING, APPEND = "replacing", "collapsing", "append"
+#: Types whose values name folders as they are.
+FOLDER_KINDS = ("smallint", "int", "bigint", "string", "date", "boolean")
 NUMBERS = ("tinyint", "smallint", "int", "bigint", "float", "double", "decimal")
 TRUNCATE = "_truncate"
 #: The descriptor's serial when a row was written: it lacks columns that were added later.
@@ -73,6 +77,7 @@ class Descriptor:
     replicated: bool = False  # of the target's engine; means nothing to files
     buckets: int = 0  # of a clustered table
     partial: bool = False  # images may leave unchanged texts out
+    folders: bool = False  # one for each value of the partition columns
 
     def to_json(self) -> str:
         return json.dumps(asdict(self), indent=1)
@@ -156,11 +161,17 @@ def mark_name(names: list[str], wanted: str = "") -> str:
     return f"__{wanted}" if wanted in names else wanted
 
 
-def described(a: Action, database: str = "", deleted: str = "", buckets: int = 0) -> Descriptor:
-    """The descriptor of a create_table action. Key columns are never null; a table without a key appends. buckets: of a keyed table that is to be clustered."""
+def described(a: Action, database: str = "", deleted: str = "", buckets: int = 0, folders: bool = False) -> Descriptor:
+    """The descriptor of a create_table action. Key columns are never null; a table without a key appends.
+
+    buckets: of a keyed table that is to be clustered. folders: by partition columns, if the table isn't clustered and
+    their types allow for it.
+    """
     key = tuple(map(unquoted, a.key))
     fields = tuple(replace(field_of(c, c.nullable is not False and unquoted(c.name) not in key), stored=unquoted(c.name)) for c in a.columns)
-    return Descriptor(unquoted(a.database or database), unquoted(a.table), fields, key, tuple(map(unquoted, a.partition)), REPLACING if key else APPEND, mark_name([f.name for f in fields], deleted), serial=1, buckets=buckets if key else 0)
+    parts = tuple(map(unquoted, a.partition))
+    folders = folders and bool(parts) and not (buckets and key) and all(f.kind in FOLDER_KINDS and f.computed is None for f in fields if f.name in parts)
+    return Descriptor(unquoted(a.database or database), unquoted(a.table), fields, key, parts, REPLACING if key else APPEND, mark_name([f.name for f in fields], deleted), serial=1, buckets=buckets if key else 0, folders=folders)
 
 
 def described_by_schema(database: str, name: str, schema: T.StructType, key: tuple[str, ...] = (), engine: str = REPLACING, deleted: str = "", replicated: bool = False, buckets: int = 0) -> Descriptor:
@@ -245,12 +256,12 @@ class Warehouse:
     def save(self, d: Descriptor) -> None:
         self.files.write(f"{self.folder(d.database, d.name)}/descriptor.json", d.to_json())
 
-    def execute(self, actions: list[Action], database: str = "", override: dict[str, str] | None = None, seq: int | None = None, place: str | None = None, ts_ms: int | None = None, deleted: str = "", buckets: int = 0) -> None:
+    def execute(self, actions: list[Action], database: str = "", override: dict[str, str] | None = None, seq: int | None = None, place: str | None = None, ts_ms: int | None = None, deleted: str = "", buckets: int = 0, folders: bool = False) -> None:
         """Actions in order.
 
         seq: offset in the log. A table's column changes at or before the offset of its last one were made
         already and are passed over, so a repeated batch is harmless. place, ts_ms: topic/partition and
-        time; truncates cut there. deleted, buckets: delete mark and number of buckets of tables that are made.
+        time; truncates cut there. deleted, buckets, folders: delete mark and layout of tables that are made.
         """
         override, fresh = override or {}, {}
         db_of = lambda db: override.get(unquoted(db or database), unquoted(db or database))
@@ -262,7 +273,7 @@ class Warehouse:
                 continue
             if a.kind == "create_table":
                 if not self.exists(db, name):
-                    self.save(replace(described(a, database, deleted, buckets), database=db))
+                    self.save(replace(described(a, database, deleted, buckets, folders), database=db))
             elif a.kind == "create_like":
                 other = self.load(db_of(a.names[0]), unquoted(a.names[1]))
                 if not self.exists(db, name):
@@ -278,6 +289,10 @@ class Warehouse:
                 self.truncate(self.load(db, name), seq, place, ts_ms)
             else:
                 d = self.load(db, name)
+                changed = a.names[:1] if a.kind == "drop_column" else (a.column.name,) if a.kind == "modify_column" else ()
+                if d.folders and set(map(unquoted, changed)) & set(d.partition):  # folders hold the old values
+                    self.compact(db, name, folders=False)
+                    d = self.load(db, name)
                 if fresh.setdefault((db, name), seq is None or d.applied < seq):
                     self.save(replace(altered(d, a, ts_ms), applied=d.applied if seq is None else seq))
 
@@ -330,7 +345,8 @@ class Warehouse:
             self.write_buckets(d, out, path, [by_name[c] for c in d.key], merged)
         else:
             order = [f"`{by_name[c]}`" for c in (*d.partition, *d.key) if c in by_name]
-            (out.sortWithinPartitions(*order) if order else out).write.mode("overwrite").parquet(path)
+            writer = (out.sortWithinPartitions(*order) if order else out).write.mode("overwrite")
+            (writer.partitionBy(*[by_name[c] for c in d.partition]) if d.folders else writer).parquet(path)
         if watch is not None:
             found = [watch.get.get(f"n{i}") or 0 for i in range(len(counted))]
             if misfits is not None:
@@ -393,7 +409,7 @@ class Warehouse:
         found = self.runs(d) if runs is None else runs
         raw = self.clustered(d, found) if d.buckets and found else None
         if raw is None:
-            raw = self.spark.read.schema(schema).parquet(*[f"{path}/{n}" for n in found]) if found else self.spark.createDataFrame([], schema)
+            raw = self.spark.read.schema(schema).option("basePath", path).parquet(*[f"{path}/{n}" for n in found]) if found else self.spark.createDataFrame([], schema)
 
         def value(f: Field):
             kinds = [F.col(f"`{f.stored}`"), *[F.col(f"`{n}`").try_cast(f.kind) for n, _ in f.older]]
@@ -424,10 +440,11 @@ class Warehouse:
         kept = (needed_by_column if d.partial else latest)(rows, list(d.key), [VERSION, SEQ]) if d.engine == REPLACING else collapse(rows, list(d.key), [VERSION, SEQ]) if d.engine == COLLAPSING else rows
         return kept.unionByName(truncates(log).withColumn(TRUNCATE, F.lit(True)), allowMissingColumns=True)
 
-    def compact(self, database: str, name: str, buckets: int | None = None) -> None:
-        """The log replaced by what it comes to; readers of the old folder are not disturbed. buckets: cluster the table anew, 0 for not at all."""
+    def compact(self, database: str, name: str, buckets: int | None = None, folders: bool | None = None) -> None:
+        """The log replaced by what it comes to; readers of the old folder are not disturbed. buckets: cluster the table anew, 0 for not at all. folders: by partition, or none."""
         d = self.load(database, name)
-        new = replace(d, data=f"data-{int(d.data.split('-')[1]) + 1}", buckets=d.buckets if buckets is None or not d.key else buckets)
+        new = replace(d, data=f"data-{int(d.data.split('-')[1]) + 1}", buckets=d.buckets if buckets is None or not d.key else buckets, folders=d.folders if folders is None else folders)
+        new = replace(new, folders=new.folders and not new.buckets)
         self.append(new, self.resolved(d, self.log(d)), "compacted", merged=new.buckets == d.buckets)
         self.save(new)
 

@@ -37,16 +37,16 @@ def ddl_events(spark: SparkSession, like: DataFrame, changes: list[str], first:
     return spark.createDataFrame(lines, "value string").select(F.from_json("value", like.schema).alias("e")).select("e.*")
 
 
-def changed(spark: SparkSession, d: str, changes: list[str], create: str = NATION, settings: Settings | None = None, again: str | None = None, name: str = "nation") -> Warehouse:
+def changed(spark: SparkSession, d: str, changes: list[str], create: str = NATION, settings: Settings | None = None, again: str | None = None, name: str = "nation", key: tuple[str, ...] = ("n_nationkey",)) -> Warehouse:
     """A warehouse after CREATE TABLE, the rows of nation, the changes, and, if asked, the rows that `again` chooses with names in lower case."""
     nation = table(spark, d, "nation")
-    rows = snapshot_events(nation, f"srv.shop.{name}", ["n_nationkey"], "shop", name, 1).withColumn("offset", F.col("key.n_nationkey") + 100)
+    rows = snapshot_events(nation, f"srv.shop.{name}", list(key), "shop", name, 1).withColumn("offset", F.col("key.n_nationkey") + 100)
     log = ddl_events(spark, rows, [create], 0).unionByName(rows).unionByName(ddl_events(spark, rows, changes, 1000))
     warehouse = Warehouse(spark, folder(spark, "warehouse"))
     Applier(warehouse, settings)(log, 0)
     if again is not None:
         later = nation.where(again).withColumn("n_name", F.lower("n_name"))
-        Applier(warehouse, settings)(snapshot_events(later, f"srv.shop.{name}", ["n_nationkey"], "shop", name, 2).withColumn("offset", F.col("key.n_nationkey") + 5000), 1)
+        Applier(warehouse, settings)(snapshot_events(later, f"srv.shop.{name}", list(key), "shop", name, 2).withColumn("offset", F.col("key.n_nationkey") + 5000), 1)
     return warehouse
 
 
@@ -129,6 +129,29 @@ def ddl_partition_by(spark, d):
     return state_of(w).agg(F.count("*").alias("n")).select(F.lit(",".join(w.load("shop", "nation").partition)).alias("parts"), "n")
 
 
+PARTITIONED = "CREATE TABLE shop.nation (n_nationkey INT, n_name VARCHAR(25), n_regionkey INT, PRIMARY KEY (n_nationkey, n_regionkey)) PARTITION BY KEY (n_regionkey) PARTITIONS 5"
+
+
+@query("SELECT n_nationkey, CASE WHEN n_nationkey < 9 THEN lower(n_name) ELSE n_name END AS n_name, n_regionkey, 2 AS folders FROM nation WHERE n_regionkey IN (1, 3)")
+def partition_folders(spark, d):
+    """A folder for each region: rows of two regions come from two of them."""
+    w = changed(spark, d, [], PARTITIONED, Settings(folders=True), again="n_nationkey < 9", key=("n_nationkey", "n_regionkey"))
+    rows = w.log(w.load("shop", "nation")).where("n_regionkey IN (1, 3)")
+    read = rows.select(F.regexp_extract(F.input_file_name(), "n_regionkey=([^/]*)/", 1).alias("folder")).distinct()
+    return state_of(w).where("n_regionkey IN (1, 3)").join(F.broadcast(read.agg(F.count("*").cast("int").alias("folders"))))  # one row
+
+
+@query("SELECT n_nationkey, n_name, CAST(n_regionkey AS BIGINT) AS n_regionkey, false AS folders FROM nation WHERE n_nationkey >= 4")
+def partition_column_changed(spark, d):
+    """A new type of the partition column: the folders give way to files that hold it; deletes stay."""
+    w = changed(spark, d, [], PARTITIONED, Settings(folders=True), key=("n_nationkey", "n_regionkey"))
+    gone = snapshot_events(table(spark, d, "nation").where("n_nationkey < 4"), "srv.shop.nation", ["n_nationkey", "n_regionkey"], "shop", "nation", 3)
+    value = F.col("value").withField("op", F.lit("d")).withField("before", F.col("value.after"))
+    Applier(w)(gone.withColumns({"offset": F.col("key.n_nationkey") + 3000, "value": value}), 1)
+    Applier(w)(ddl_events(spark, gone, ["ALTER TABLE nation MODIFY n_regionkey BIGINT NOT NULL"], 4000), 2)
+    return state_of(w).withColumn("folders", F.lit(w.load("shop", "nation").folders))
+
+
 @query("SELECT CAST(NULL AS VARCHAR) AS a, n_nationkey, CAST(NULL AS DATE) AS b, n_name, n_regionkey, CAST(0 AS BIGINT) AS c FROM nation")
 def ddl_add_column(spark, d):
     return state_of(changed(spark, d, ["ALTER TABLE nation ADD COLUMN a VARCHAR(9) FIRST, ADD b DATE AFTER n_nationkey", "ALTER TABLE nation ADD COLUMN c BIGINT DEFAULT 0 NULL"]))

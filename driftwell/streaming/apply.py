@@ -93,7 +93,7 @@ class Applier:
             try:
                 if not (s.disable_drop_truncate and drops_or_truncates(row.ddl)):
                     actions = [a for a in parse(row.ddl) if self.wanted(a, row.db or "")]
-                    self.warehouse.execute(actions, row.db or "", s.databases, row.offset, f"{row.topic}/{row.partition}", row.ts_ms, self.mark, s.buckets)
+                    self.warehouse.execute(actions, row.db or "", s.databases, row.offset, f"{row.topic}/{row.partition}", row.ts_ms, self.mark, s.buckets, s.folders)
                     if self.history is not None:
                         self.history.append(row.offset, row.db or "", row.ddl)
                 return

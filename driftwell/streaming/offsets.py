@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -89,12 +90,21 @@ class TopicOffsets:
     """The greatest offset applied of each topic and partition; each batch adds its own, the greatest counts."""
 
     KIND = "topic string, partition int, max_offset long"
+    MOST = 100
 
     def __init__(self, spark: SparkSession, path: str):
         self.spark, self.path = spark, path.rstrip("/")
 
     def put(self, events: DataFrame, batch: int) -> None:
+        """Of more than MOST batches the greatest offsets are written as one, and the batches deleted."""
+        from ..plans.store import Files
+
         max_offsets(events).coalesce(1).write.mode("overwrite").parquet(f"{self.path}/batch={batch}")
+        files = Files(self.spark)
+        if len(older := [n for n in files.names(self.path) if n.startswith("batch=")]) > self.MOST:
+            self.rows().coalesce(1).write.parquet(f"{self.path}/batch=up-to-{batch}-{uuid.uuid4().hex}")
+            for n in older:
+                files.delete(f"{self.path}/{n}")
 
     def rows(self) -> DataFrame:
         from ..plans.store import Files

@@ -176,3 +176,25 @@ def test_settings_of_dialects():
     assert Settings.of({"source.dialect": "postgres"}).dialect == "postgres"
     with pytest.raises(ValueError):
         Settings.of({"source.dialect": "other"})
+
+
+def test_partition_filters_reach_the_folders(spark, tmp_path):
+    w = Warehouse(spark, str(tmp_path))
+    w.execute(parse("CREATE TABLE shop.users (id BIGINT, name VARCHAR(20), score INT, PRIMARY KEY (id, score)) PARTITION BY KEY (score)"), folders=True)
+    applier = Applier(w, Settings())
+    for n in range(2):
+        applier(frame(spark, [event(10 * n + i, "c", None, image(i, f"{n}/{i}", i % 3 if i else None)) for i in range(9)]), n)
+    rows = w.state(w.load("shop", "users")).where("score = 2")
+    assert "PartitionFilters: [isnotnull(score" in rows._jdf.queryExecution().executedPlan().toString()
+    assert sorted(map(tuple, rows.collect())) == [(2, "1/2", 2), (5, "1/5", 2), (8, "1/8", 2)] and w.state(w.load("shop", "users")).count() == 9
+
+
+def test_offsets_of_many_batches_are_put_together(spark, tmp_path, monkeypatch):
+    from driftwell.plans.store import Files
+    from driftwell.streaming.offsets import TopicOffsets
+
+    monkeypatch.setattr(TopicOffsets, "MOST", 3)
+    store = TopicOffsets(spark, str(tmp_path / "o"))
+    for n in range(8):
+        store.put(frame(spark, [event(n, "c", None, image(1, "a")), event(n * 2 % 7, "c", None, image(1, "a"))]), n)
+    assert [tuple(r) for r in store.rows().collect()] == [("s.shop.users", 0, 7)] and len(Files(spark).names(str(tmp_path / "o"))) <= 4
