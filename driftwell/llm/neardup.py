@@ -173,9 +173,11 @@ def by_rare_shingles(members: DataFrame, share: float, count: int) -> DataFrame:
     Two sets of a similarity of `share` or more have a shingle in common among the rarest n - ceil(share * n) + 1 of each,
     in any order that both follow; here the order is by how many members of the group have it. Texts that
     have only what all of them share in common thus meet in no cell, and their group costs nothing. A group whose
-    cells would cost more than comparing it as a whole stays one.
+    cells would cost more than comparing it as a whole stays one, as does one that makes no more pairs than a block.
     """
-    each = members.select("grp", "id", "root", F.size("s").alias("n"), F.explode("s").alias("x"))
+    pairs = F.col("size") * F.col("rest")
+    large = members.where(pairs > CHUNK * CHUNK)
+    each = large.select("grp", "id", "root", F.size("s").alias("n"), F.explode("s").alias("x"))
     often = each.groupBy("grp", "x").agg(F.count("*").alias("f"))
     rank = F.row_number().over(Window.partitionBy("grp", "id").orderBy("f", "x"))
     rare = each.join(often, ["grp", "x"]).withColumn("rank", rank).where((F.col("f") > 1) & (F.col("rank") <= F.col("n") - F.ceil(F.col("n") * share - 1e-9) + 1))
@@ -183,10 +185,11 @@ def by_rare_shingles(members: DataFrame, share: float, count: int) -> DataFrame:
     sizes = rare.groupBy("grp", "x", "root").agg(F.count("*").alias("n")).groupBy("grp", "x").agg(F.sum("n").alias("size"), F.max("n").alias("most"), F.max_by("root", F.struct("n", "root")).alias("largest"))
     cells = written(sizes.where("most < size").select("grp", "x", "size", (F.col("size") - F.col("most")).alias("rest"), "largest"), "near-cells", rows=GROUPS * count)
     cost = cells.groupBy("grp").agg(F.sum(F.col("size") * (F.col("rest") + CHUNK)).alias("cost"))
-    whole = members.groupBy("grp").agg(F.max(F.col("size") * F.col("rest")).alias("square"))
+    whole = large.groupBy("grp").agg(F.max(pairs).alias("square"))
     kept = written(whole.join(cost, "grp", "left").where("coalesce(cost, 0) >= square").select("grp"), "near-whole", rows=count)
     met = rare.join(kept, "grp", "left_anti").join(cells, ["grp", "x"]).select(F.xxhash64("grp", "x").alias("grp"), "id", "root", "size", "rest", (F.col("root") != F.col("largest")).alias("minor"))
-    return members.join(kept, "grp", "left_semi").unionByName(met.join(members.select("id", "s").dropDuplicates(["id"]), "id").select(*members.columns))
+    apart = met.join(large.select("id", "s").dropDuplicates(["id"]), "id").select(*members.columns)
+    return members.where(pairs <= CHUNK * CHUNK).unionByName(large.join(kept, "grp", "left_semi")).unionByName(apart)
 
 
 def links_within(members: DataFrame, share: float) -> DataFrame:

@@ -187,6 +187,21 @@ def test_pipeline_against_brute_force(spark, docs, rows, tmp_path):
     assert len(corpus_pipeline.run(spark, str(tmp_path)).collect()) == len(dealt)
 
 
+def test_pipeline_of_nothing(spark, empty, tmp_path):
+    """No documents, no items: no rows, all columns. The session's size of batches is as before."""
+    corpus_pipeline = pytest.importorskip("corpus_pipeline")
+    empty.write.parquet(str(tmp_path / "documents.parquet"))
+    spark.createDataFrame([], "item_id long, text string").write.parquet(str(tmp_path / "benchmark.parquet"))
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(key)
+    out = corpus_pipeline.run(spark, str(tmp_path))
+    assert out.collect() == [] and set(empty.columns) <= {*out.columns} and out.columns[-2:] == ["shard", "slot"]
+    assert spark.conf.get(key) == before
+    for _, stage in corpus_pipeline.STAGES:
+        assert stage(spark, empty, str(tmp_path)).collect() == []
+    spark.conf.set(key, before)
+
+
 def test_pipeline_sends_texts_in_small_batches(spark, docs):
     """The stages with Python workers cut Spark's default number of rows in a batch; a number that was set stays."""
     corpus_pipeline = pytest.importorskip("corpus_pipeline")

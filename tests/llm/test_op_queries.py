@@ -127,6 +127,19 @@ def test_op3(spark, sf, rows):
         assert lang in learned if texts[i] == {True} else lang == "und" if texts[i] == {False} else True
 
 
+def test_op3_on_held_out_texts(spark):
+    """Nineteen of twenty labels of texts that the model has not seen are right."""
+    import os
+
+    data = "/root/testdata/sf0.001"
+    if not os.path.isdir(data):
+        pytest.skip("no test data")
+    truth = {r.doc_id: r.lang for r in spark.read.parquet(f"{data}/documents.parquet").where("lang IS NOT NULL AND text IS NOT NULL").collect()}
+    got = [r for r in q.op3_language_id(spark, data).collect() if r.held_out and r.doc_id in truth and r.lang_pred != "und"]
+    right = sum(r.lang_pred == truth[r.doc_id] for r in got)
+    assert len(got) >= 20 and right >= 0.95 * len(got)
+
+
 def test_op4(spark, sf, rows):
     public_tokenizers = pytest.importorskip("public_tokenizers")
     from tokenizers import Tokenizer
@@ -185,6 +198,22 @@ def test_op9(spark, sf, rows):
         if r[at["source"]] in known:
             assert r[at["weight"]] == pytest.approx(weights(best)[r[at["source"]]], abs=2e-3)
     assert Counter(r[at["doc_id"]] for r in got).keys() == {r[0] for r in rows}
+    # every document is in the first epochs of its source, one after the other, and in one more at most
+    epochs, sources = defaultdict(list), {r[0]: r[3] for r in rows}
+    for r in got:
+        epochs[r[at["doc_id"]]].append(r[at["epoch"]])
+    times = Counter(r[0] for r in rows)
+    for i, own in epochs.items():
+        if times[i] == 1 and sources[i] in known:
+            repeats = next(r[at["repeats"]] for r in got if r[at["doc_id"]] == i)
+            assert sorted(own) == list(range(len(own))) and math.floor(repeats + 1e-9) <= len(own) <= math.floor(repeats + 1e-9) + 1
+    # a block of a source has one place in an epoch, and places follow each other
+    places = defaultdict(dict)
+    for r in got:
+        places[r[at["source"]], r[at["epoch"]]].setdefault(r[at["block_position"]], set()).add(r[at["doc_id"]])
+    for (source, epoch), blocks in places.items():
+        if (source, 0) in places and source in known:
+            assert all(any(b <= first for first in places[source, 0].values()) for b in blocks.values())
     sums, largest = Counter(), Counter()
     for r in got:
         sums[r[at["source"]]] += r[at["n_tokens"]]
