@@ -359,12 +359,12 @@ def late_data(spark, d):
 
 @query(FINAL)
 def clustered_final(spark, d):
-    """A table of eight buckets after twelve batches, newest first, with merges in between: late rows lose, also against deletes in merged runs."""
+    """A table of eight buckets after eight batches, newest first, with merges in between: late rows lose, also against deletes in merged runs."""
     w, log = Warehouse(spark, folder(spark, "warehouse")), events_log(spark, d)
-    applier = Applier(w, Settings(auto_create=True, buckets=8, compact_after=4))
+    applier = Applier(w, Settings(auto_create=True, buckets=8, compact_after=3))
     last = table(spark, d, "events").agg(F.max("event_id").alias("m")).first()["m"]
-    for n in range(12):
-        applier(log.where(F.floor(F.col("offset") * 12 / (last + 1)) == 11 - n), n)
+    for n in range(8):
+        applier(log.where(F.floor(F.col("offset") * 8 / (last + 1)) == 7 - n), n)
     return state_of(w, "user_state")
 
 
