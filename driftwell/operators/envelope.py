@@ -12,6 +12,8 @@ OPERATIONS = {"c": "CREATE", "r": "CREATE", "u": "UPDATE", "d": "DELETE", "t": "
 #: Which image of the row an operation carries on; anything else carries the image after.
 STATES = {"DELETE": "BEFORE", "UPDATE": "BOTH"}
 METADATA = ("_offset", "_key", "_topic", "_partition", "_timestamp", "_timestamp_ms", "_ts_ms", "_server_id", "_gtid", "_binlog_file", "_binlog_pos", "_binlog_row", "_server_thread")
+#: The part of a batch that a record is written with, where a batch is cut.
+PART = "__part"
 
 
 def envelope_schema(key: str, row: str) -> T.StructType:
@@ -70,14 +72,14 @@ def gtid_number(gtid: Column) -> Column:
 
 
 def decode(events: DataFrame) -> DataFrame:
-    """One flat record a change: place, key, operation, state, row images, source metadata."""
+    """One flat record a change: place, key, operation, state, row images, source metadata; the part of a batch, if there is one."""
     name = operation(F.col("value.op"))
     source = F.col("value.source")
     return changes(events).select(
         "topic", "partition", "offset", "timestamp_ms", "key", name.alias("operation"), state(name).alias("state"),
         F.col("value.before").alias("before"), F.col("value.after").alias("after"), section(name, F.col("value.before"), F.col("value.after")).alias("row"),
         F.col("value.ts_ms").alias("cdc_ts_ms"), *[source[f].alias(a) for f, a in (("ts_ms", "ts_ms"), ("snapshot", "snapshot"), ("db", "db"), ("table", "source_table"), ("server_id", "server_id"), ("file", "file"), ("pos", "pos"), ("row", "binlog_row"), ("thread", "thread"), ("lsn", "lsn"))],
-        gtid_number(source["gtid"]).alias("gtid"),
+        gtid_number(source["gtid"]).alias("gtid"), *[c for c in events.columns if c == PART],
     )
 
 

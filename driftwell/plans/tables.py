@@ -29,6 +29,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..operators.align import align, missing_columns, unfit
+from ..operators.envelope import PART
 from ..operators.state import DELETED, SEQ, SIGN, VERSION, collapse, latest, latest_by_column, needed_by_column
 from .ddl import Action, DdlError, target_type, unquoted
 from .ddl import Column as SourceColumn
@@ -44,6 +45,8 @@ SCHEMA = "_schema"
 LOST = "__lost"
 #: Column of a clustered table's runs; runs of a tier that are merged into one of the next.
 RUN, TIER = "__run", 8
+#: Rows of a part of a batch that one task writes, about.
+TASK_ROWS = 1_000_000
 #: Where a row came from (topic/partition; offsets of different places have no order) and when, by the source's clock in ms.
 PLACE, TIME = "_place", "_ts"
 
@@ -314,7 +317,7 @@ class Warehouse:
         row = self.spark.range(1).select(F.lit(None).cast("bigint").alias(VERSION), F.lit(seq).cast("bigint").alias(SEQ), F.lit(True).alias(TRUNCATE), F.lit(place).cast("string").alias(PLACE), F.lit(ts_ms).cast("bigint").alias(TIME))
         self.append(d, row, f"truncate-{seq}" if place is None else f"truncate-{seq}-{hashlib.md5(place.encode()).hexdigest()[:8]}")
 
-    def append(self, d: Descriptor, rows: DataFrame, batch: str, merged: bool = False) -> None:
+    def append(self, d: Descriptor, rows: DataFrame, batch: str | dict[int, str], merged: bool = False, most: int = 0) -> None:
         """Rows by logical name, with _version, _seq and the delete mark.
 
         A batch that is there in whole is left as it is: it was written by the columns of its time. Files
@@ -322,10 +325,23 @@ class Warehouse:
         don't fit their column are counted in `lost`, live rows that break a CHECK constraint in `broken`; they
         are written all the same, since the source has let them in. Both are observed while the rows are written.
         merged: rows of older runs, dealt out by key already; they were counted when they came.
+
+        batch: a name, or the names of the parts that the rows have in a column of its own, of `most` rows at most.
+        All parts that aren't there are written by one job, aside, and then moved into their places.
         """
-        path = f"{self.folder(d.database, d.name)}/{d.data}/batch={batch}"
-        if self.files.exists(f"{path}/_SUCCESS") or d.buckets and f"batch={batch}" in self.superseded(d):
+        data = f"{self.folder(d.database, d.name)}/{d.data}"
+        names, gone = {None: batch} if isinstance(batch, str) else batch, self.superseded(d) if d.buckets else set()
+        new = {n: b for n, b in names.items() if f"batch={b}" not in gone and not self.files.exists(f"{data}/batch={b}/_SUCCESS")}
+        if not new:
             return
+        cut = None not in new
+        path = f"{data}/_aside-{uuid.uuid4().hex}" if cut else f"{data}/batch={batch}"
+        if len(new) < len(names):
+            rows = rows.where(F.col(PART).isin(list(new)))
+        if cut and not d.buckets:
+            spread = [F.pmod(F.xxhash64(SEQ, *[c for c in d.key if c in rows.columns]), F.lit(-(-most // TASK_ROWS)))] if most > TASK_ROWS else []
+            rows = rows.repartition(PART, *spread)
+        more = [PART] if cut else []
         own = [f for f in d.fields if f.computed is None]
         logical = T.StructType([T.StructField(n, T._parse_datatype_string(k)) for n, k in [*((f.name, f.kind) for f in own), *d.extras()]])
         # a column that the rows don't have takes its default
@@ -333,20 +349,23 @@ class Warehouse:
         rows = rows.withColumns({**absent, SCHEMA: F.lit(d.serial)})
         if (misfits := unfit(rows, logical)) is not None:
             rows = rows.withColumn(LOST, misfits)
-        fit = align(rows, T.StructType([*logical.fields, *([T.StructField(LOST, T.LongType())] if misfits is not None else [])]))
+        fit = align(rows, T.StructType([*logical.fields, *[T.StructField(c, T.IntegerType()) for c in more], *([T.StructField(LOST, T.LongType())] if misfits is not None else [])]))
         rules = {n: v for n, rule in ({} if merged else d.constraints).items() if (v := self.violation(fit, d, rule)) is not None}
         counted = ([F.col(LOST)] if misfits is not None else []) + list(rules.values())
         watch = Observation(f"append-{uuid.uuid4().hex}") if counted else None
         if watch is not None:
             fit = fit.observe(watch, *[F.coalesce(F.sum(c), F.lit(0)).alias(f"n{i}") for i, c in enumerate(counted)])
-        out = fit.select(*logical.names).toDF(*[f.stored for f in own], *[n for n, _ in d.extras()])
+        out = fit.select(*logical.names, *more).toDF(*[f.stored for f in own], *[n for n, _ in d.extras()], *more)
         by_name = {f.name: f.stored for f in own}
         if d.buckets:
-            self.write_buckets(d, out, path, [by_name[c] for c in d.key], merged)
+            self.write_buckets(d, out, path, [by_name[c] for c in d.key], merged, more)
         else:
-            order = [f"`{by_name[c]}`" for c in (*d.partition, *d.key) if c in by_name]
+            order = [*more, *[f"`{by_name[c]}`" for c in (*d.partition, *d.key) if c in by_name]]
             writer = (out.sortWithinPartitions(*order) if order else out).write.mode("overwrite")
-            (writer.partitionBy(*[by_name[c] for c in d.partition]) if d.folders else writer).parquet(path)
+            folders = [*more, *([by_name[c] for c in d.partition] if d.folders else [])]
+            (writer.partitionBy(*folders) if folders else writer).parquet(path)
+        if cut:
+            self.place_parts(data, path, new)
         if watch is not None:
             found = [watch.get.get(f"n{i}") or 0 for i in range(len(counted))]
             if misfits is not None:
@@ -354,13 +373,26 @@ class Warehouse:
             for name, n in zip(rules, found):
                 self.broken[d.database, d.name, name] += n
 
-    def write_buckets(self, d: Descriptor, out: DataFrame, path: str, key: list[str], placed: bool) -> None:
+    def place_parts(self, data: str, aside: str, names: dict[int, str]) -> None:
+        """Move the parts that were written aside to the batches that they are; each is whole from then on."""
+        there = set(self.files.names(aside))
+        for n, batch in names.items():
+            if (part := f"{PART}={n}") not in there:  # no row of it was left
+                self.files.write(f"{data}/batch={batch}/_SUCCESS", "")
+                continue
+            self.files.write(f"{aside}/{part}/_SUCCESS", "")
+            self.files.delete(f"{data}/batch={batch}")  # what a job that did not end left behind
+            self.files.rename(f"{aside}/{part}", f"{data}/batch={batch}")
+        self.files.delete(aside)
+
+    def write_buckets(self, d: Descriptor, out: DataFrame, path: str, key: list[str], placed: bool, parts: list[str]) -> None:
         """Files of one bucket each, sorted by the key. Spark writes buckets for a table of its catalog, which is forgotten at once."""
         if not placed:
             out = out.repartition(d.buckets, *[F.col(f"`{k}`") for k in key])
         name = f"driftwell_{uuid.uuid4().hex}"
         self.files.delete(path)
-        out.write.format("parquet").bucketBy(d.buckets, *key).sortBy(*key).option("path", path).saveAsTable(name)
+        writer = out.write.format("parquet").bucketBy(d.buckets, *key).sortBy(*key).option("path", path)
+        (writer.partitionBy(*parts) if parts else writer).saveAsTable(name)
         self.spark.sql(f"DROP TABLE {name}")
 
     def superseded(self, d: Descriptor) -> set[str]:

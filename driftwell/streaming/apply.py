@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..operators.dedup import deduplicate, record_key
-from ..operators.envelope import changes, decode, gtid_number, operation, with_metadata
+from ..operators.envelope import PART, changes, decode, gtid_number, operation, with_metadata
 from ..operators.metrics import figures
 from ..operators.state import DELETED, SEQ, VERSION, collapsing_rows
 from ..operators.versions import time_among_snowflakes, time_version, version
@@ -29,6 +29,8 @@ from .offsets import SchemaHistory, TopicOffsets
 
 #: Tables that are written at the same time.
 WRITERS = 8
+#: Stretches of offsets whose numbers are sent to all tasks; pieces that a stretch of one offset is cut into for each half of a part.
+SENT, PIECES = 100_000, 16
 #: Keys that deduplication remembers.
 POOL = "topic string, __k string, came struct<turn: int, partition: int, offset: bigint>"
 
@@ -116,10 +118,9 @@ class Applier:
     def found(self, placed: DataFrame, watch: bool = False) -> tuple[list, list]:
         """In one job: for each table the log positions of its changes, and the schema changes that are to be made, in order. watch: figures for the metrics too."""
         value, source = F.col("value"), F.col("value.source")
-        spot = F.pmod(F.xxhash64("topic", "partition", "offset"), F.lit(1 << 31))
         change = F.when(F.col("ddl").isNotNull(), F.struct("topic", "partition", "offset", "ddl", source["db"].alias("db"), source["snapshot"].alias("snapshot"), source["ts_ms"].alias("ts_ms")))
         by = [F.when(F.col("ddl").isNull(), F.col(c)).alias(c) for c in ("__db", "__table")]
-        each = [F.min("offset").alias("lo"), F.max("offset").alias("hi"), F.sum(spot).alias("sum"), F.count("*").alias("n"), F.collect_list(change).alias("ddl")]
+        each = [*extent(), F.collect_list(change).alias("ddl")]
         if watch:
             names = {"ts_ms": source["ts_ms"], "cdc_ts_ms": value["ts_ms"], "gtid": gtid_number(source["gtid"]), "pos": source["pos"], "file": source["file"]}
             each += [*figures(F.unix_millis(F.current_timestamp()), names), F.sum(operation(value["op"]).isNull().cast("long")).alias("errors")]
@@ -137,43 +138,62 @@ class Applier:
         return list(tables.values()), sorted(ddl, key=lambda r: (r.ts_ms or 0, r.topic, r.partition, r.offset))
 
     def rows(self, placed: DataFrame, tables: list) -> None:
-        """Row changes of one stretch without schema changes, each table's by itself; more than `max_records` are written in several parts."""
-        s = self.settings
+        """Row changes of one stretch without schema changes, each table's by itself; more than `max_records` are written in several parts, by one job a table."""
+        s, stretches = self.settings, None
         placed = placed.where("ddl IS NULL")
-        if s.max_records and sum(r["n"] for r in tables) > s.max_records:
-            for part in self.parts(placed):
-                self.rows(part, self.found(part)[0])
-            return
-
-        def write(r) -> None:
-            own = placed.where((F.col("__db") == r["__db"]) & (F.col("__table") == r["__table"])).drop("__db", "__table")
-            self.table_rows(own.coalesce(1) if s.single_threaded else own, r["__db"], r["__table"], f"{r['lo']}-{r['hi']}-{r['sum']}")
-
-        if s.single_threaded or len(tables) < 2:
-            for r in tables:
-                write(r)
-        else:
-            with ThreadPoolExecutor(min(WRITERS, len(tables))) as pool:
-                list(pool.map(inheritable_thread_target(self.warehouse.spark)(write), tables))
+        named = lambda r: f"{r['lo']}-{r['hi']}-{r['sum']}"
+        batches = {(r["__db"], r["__table"]): (named(r), 0) for r in tables}
+
+        def write(table) -> None:
+            own = placed.where((F.col("__db") == table[0]) & (F.col("__table") == table[1])).drop("__db", "__table")
+            self.table_rows(own.coalesce(1) if s.single_threaded else own, *table, *batches[table])
+
+        try:
+            if s.max_records and sum(r["n"] for r in tables) > s.max_records:
+                placed, stretches = self.parted(placed)
+                cut: dict[tuple[str, str], list] = {}
+                for r in placed.groupBy("__db", "__table", PART).agg(*extent()).collect():  # a row a table and part
+                    cut.setdefault((r["__db"], r["__table"]), []).append(r)
+                batches = {t: ({r[PART]: named(r) for r in own}, max(r["n"] for r in own)) for t, own in cut.items()}
+            if s.single_threaded or len(batches) < 2:
+                for table in batches:
+                    write(table)
+            else:
+                with ThreadPoolExecutor(min(WRITERS, len(batches))) as pool:
+                    list(pool.map(inheritable_thread_target(self.warehouse.spark)(write), batches))
+        finally:
+            if stretches is not None:
+                stretches.unpersist()
         if s.deduplication_policy == "old" and s.buffer_count:
             self.remember(placed)
 
-    def parts(self, placed: DataFrame) -> list[DataFrame]:
-        """Row changes cut by offset into parts of `max_records` at most, in order.
+    def parted(self, placed: DataFrame) -> tuple[DataFrame, DataFrame]:
+        """Row changes with the number of their part, of `max_records` at most, and what the parts are made of, which is persisted.
 
         Offsets of a topic partition differ, so a stretch of so many offsets holds no more records; stretches
-        are put together up to the limit. Where the cuts lie follows from the batch alone, so one that
+        are put together up to the limit. Rows of a snapshot all have one offset: a stretch that holds more is cut
+        by a hash of its records. Where the cuts lie follows from the batch alone, so one that
         comes again is cut alike. A limit below twice the number of topic partitions may be exceeded by that number.
+        Each part is found in the same passes over the batch.
         """
         half = max(1, self.settings.max_records // 2)
         first = placed.groupBy("topic", "partition").agg(F.min("offset").alias("__lo"))
         each = max(1, half // first.count())  # topic partitions are few beside records
-        numbered = placed.join(F.broadcast(first), ["topic", "partition"]).withColumn("__at", F.floor((F.col("offset") - F.col("__lo")) / each))
-        before = F.sum("n").over(Window.orderBy("__at").rowsBetween(Window.unboundedPreceding, -1))  # a row a stretch
-        stretches = numbered.groupBy("__at").agg(F.count("*").alias("n")).select("__at", F.floor(F.coalesce(before, F.lit(0)) / half).alias("__part"))
-        stretches = stretches.persist()
-        found = sorted(r["__part"] for r in stretches.select("__part").distinct().collect())
-        return [numbered.join(stretches.where(F.col("__part") == n), "__at").select(*placed.columns) for n in found]
+        at = ["__at", "__piece"]
+        numbered = placed.join(F.broadcast(first), ["topic", "partition"]).withColumns({"__at": F.floor((F.col("offset") - F.col("__lo")) / each), "__piece": F.lit(0).cast("long")})
+        found = numbered.groupBy(*at).agg(F.count("*").alias("n")).persist()
+        size = found.agg(F.count("*").alias("n"), F.max("n").alias("most")).first()
+        sent = lambda rows: F.broadcast(rows) if size["n"] <= SENT else rows  # noqa: E731  few rows
+        if size["most"] > half:
+            pieces = found.select("__at", F.ceil(F.when(F.col("n") > half, F.col("n") * PIECES / half).otherwise(1)).alias("__pieces"))
+            piece = F.when(F.col("__pieces") > 1, F.pmod(content(), "__pieces")).otherwise(0)
+            numbered = numbered.join(sent(pieces), "__at").withColumn("__piece", piece)
+            whole, found = found, numbered.groupBy(*at).agg(F.count("*").alias("n")).persist()
+            size = found.agg(F.count("*").alias("n")).first()
+            whole.unpersist()
+        before = F.sum("n").over(Window.orderBy(*at).rowsBetween(Window.unboundedPreceding, -1))  # a row a stretch
+        stretches = found.select(*at, F.floor(F.coalesce(before, F.lit(0)) / half).cast("int").alias(PART))
+        return numbered.join(sent(stretches), at).select(*placed.columns, PART), found
 
     def remembered(self) -> tuple[int, DataFrame] | None:
         """The last keys of each topic, and how often keys were remembered."""
@@ -208,7 +228,7 @@ class Applier:
             keyed = keyed.join(seen[1].select("topic", "__k"), ["topic", "__k"], "left_anti")
         return deduplicate(keyed, policy, ["topic", "__k"], ["partition", "offset"]).select(*events.columns)
 
-    def table_rows(self, events: DataFrame, db: str, name: str, batch: str) -> None:
+    def table_rows(self, events: DataFrame, db: str, name: str, batch: str | dict[int, str], most: int = 0) -> None:
         s, w = self.settings, self.warehouse
         records = decode(self.distinct(events))
         if name in self.wires:
@@ -224,11 +244,22 @@ class Applier:
             w.save(d)
         if s.evolve:
             d = w.evolve(d, image)
-        w.append(d, target_rows(records, d, s), batch)
+        w.append(d, target_rows(records, d, s), batch, most=most)
         if s.compact_after:
             w.tidy(db, name, s.compact_after)
 
 
+def content() -> Column:
+    """A hash of a record's key and value."""
+    return F.xxhash64(F.to_json("key"), F.to_json("value"))
+
+
+def extent() -> list[Column]:
+    """Aggregates of records that name a batch: their least and greatest offset, a sum of hashes, and their number. Rows without an offset of their own, such as a snapshot's, count by what they hold."""
+    spot = F.xxhash64("topic", "partition", "offset", F.when(F.col("offset") < 0, content()))
+    return [F.min("offset").alias("lo"), F.max("offset").alias("hi"), F.sum(F.pmod(spot, F.lit(1 << 31))).alias("sum"), F.count("*").alias("n")]
+
+
 def stage(changes: list) -> Column:
     """How many of the changes, sorted, an event comes after: the number of the last one that it is after."""
     out = F.lit(0)
@@ -247,14 +278,14 @@ def target_rows(records: DataFrame, d: Descriptor, s: Settings) -> DataFrame:
     number = version(F.col("ts_ms"), F.col("gtid"), plain, s.snowflake)
     if s.dialect == "postgres":
         number = F.coalesce("lsn", number)
-    spot = [F.concat_ws("/", "topic", "partition").alias(PLACE), F.col("ts_ms").alias(TIME)]
+    spot = [F.concat_ws("/", "topic", "partition").alias(PLACE), F.col("ts_ms").alias(TIME), *[c for c in records.columns if c == PART]]
     if s.ignore_delete:
         records = records.where("operation <> 'DELETE'")
     if s.store_metadata:
         records = with_metadata(records)
     cut = records.where("operation = 'TRUNCATE'").select(number.alias(VERSION), seq.alias(SEQ), F.lit(True).alias(TRUNCATE), *spot)
     data = records.where("operation <> 'TRUNCATE'")
-    extra = [c for c in records.columns if c.startswith("_")] if s.store_metadata else []
+    extra = [c for c in records.columns if c.startswith("_") and c != PART] if s.store_metadata else []
     if d.engine == COLLAPSING:
         marked = collapsing_rows(data, number, seq).select("row.*", VERSION, SEQ, "_sign", *spot, *extra)
     else:

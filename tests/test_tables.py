@@ -354,3 +354,44 @@ def test_bytes_of_dumps(spark, tmp_path):
     kind = T.StructType.fromDDL("i string, t string")
     dumps.write_tsv(spark.createDataFrame([(str(i), t) for i, t in enumerate(texts)], kind), str(tmp_path / "d"))
     assert {int(r.i): r.t for r in dumps.read_tsv(spark, str(tmp_path / "d"), kind).collect()} == dict(enumerate(texts))
+
+
+def batch_sizes(spark, w, name="users"):
+    """Rows of each batch of a table."""
+    d = w.load("shop", name)
+    return {n: spark.read.schema(d.stored_schema()).parquet(f"{w.folder('shop', name)}/{d.data}/{n}").count() for n in w.runs(d)}
+
+
+def test_a_snapshot_above_the_limit_is_cut(spark, tmp_path):
+    """All its rows have one offset; a second one of as many rows is not taken for the first, and the first again changes nothing."""
+    rows = spark.range(95).select("id", F.concat(F.lit("n"), "id").alias("name"), F.lit(1).alias("score"))
+    other = rows.withColumn("id", F.col("id") + 1000)
+    for buckets in (0, 2):
+        w = Warehouse(spark, str(tmp_path / f"w{buckets}"))
+        for ts, part in ((5, rows), (5, other), (5, rows)):
+            Applier(w, Settings(auto_create=True, max_records=20, compact_after=0, buckets=buckets))(snapshot_events(part, "s.shop.users", ["id"], "shop", "users", ts), 0)
+        sizes = batch_sizes(spark, w)
+        assert len(rows_of(w)) == 190 and sum(sizes.values()) == 190 and max(sizes.values()) <= 20 and len(sizes) >= 10
+
+
+@pytest.mark.parametrize("policy", ["off", "old", "new"])
+def test_parts_of_a_batch_take_no_jobs_of_their_own(spark, tmp_path, policy):
+    """What a batch of many parts takes does not grow with their number; a part that is missing is written again."""
+    log = frame(spark, [event(i, "u", None, image(i % 150 + 1, f"v{i}", i)) for i in range(400)])
+    jobs = []
+    for most in (200, 10):
+        w = Warehouse(spark, str(tmp_path / f"w{most}"))
+        spark.sparkContext.setJobGroup(f"parts-{policy}-{most}", "")
+        for _ in range(2):
+            Applier(w, Settings(auto_create=True, max_records=most, compact_after=0, deduplication_policy=policy, buffer_count=1000))(log, 0)
+        jobs.append(len(spark.sparkContext.statusTracker().getJobIdsForGroup(f"parts-{policy}-{most}")))
+        want = {i: (i + 1, f"v{i}", i) for i in range(150)} if policy == "old" else {i % 150: (i % 150 + 1, f"v{i}", i) for i in range(400)}
+        assert rows_of(w) == [want[i] for i in range(150)]
+    spark.sparkContext.setJobGroup("", "")
+    assert jobs[1] <= jobs[0] + 6
+    sizes = batch_sizes(spark, w)
+    assert max(sizes.values()) <= 10 and sum(sizes.values()) == (400 if policy == "off" else 150)
+    if policy == "off":
+        w.files.delete(f"{w.folder('shop', 'users')}/data-0/{min(sizes)}")
+        Applier(w, Settings(max_records=10, compact_after=0))(log, 0)
+        assert batch_sizes(spark, w) == sizes
