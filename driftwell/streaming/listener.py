@@ -25,6 +25,11 @@ class Metrics(StreamingQueryListener):
         if value is not None:
             self.values[name, tuple(sorted((k, str(v)) for k, v in labels.items()))] = float(value)
 
+    def top(self, name: str, value: float | None, **labels: object) -> None:
+        """set(), unless the figure is greater already: batches may come out of order."""
+        if value is not None:
+            self.set(name, max(value, self.values.get((name, tuple(sorted((k, str(v)) for k, v in labels.items()))), value)), **labels)
+
     def add(self, name: str, value: float, **labels: object) -> None:
         key = name, tuple(sorted((k, str(v)) for k, v in labels.items()))
         self.values[key] = self.values.get(key, 0.0) + value
@@ -41,13 +46,13 @@ class Metrics(StreamingQueryListener):
         """Figures of topic partitions that another job has gathered, with figures() among its aggregates."""
         place = lambda r: (r.at.ts_ms or 0, r.at.offset or 0)
         for r in rows:
-            self.set("partition_offset", r.max_offset, topic=r.topic, partition=r.partition)
+            self.top("partition_offset", r.max_offset, topic=r.topic, partition=r.partition)
         for topic in {r.topic for r in rows}:
             own = [x for x in rows if x.topic == topic]
             r = max(own, key=place)
-            for name in ("source_lag_ms", "cdc_lag_ms", "max_gtid"):
-                self.set(name, max((x[name] for x in own if x[name] is not None), default=None), topic=topic)
-            self.set("binlog_position", max((x.max_pos for x in own if x.max_pos is not None), default=None), topic=topic, file=r.last_file)
+            for name, put in (("source_lag_ms", self.set), ("cdc_lag_ms", self.set), ("max_gtid", self.top)):
+                put(name, max((x[name] for x in own if x[name] is not None), default=None), topic=topic)
+            self.top("binlog_position", max((x.max_pos for x in own if x.max_pos is not None), default=None), topic=topic, file=r.last_file)
 
     def text(self) -> str:
         """A line a figure: name{labels} value."""

@@ -395,3 +395,16 @@ def test_parts_of_a_batch_take_no_jobs_of_their_own(spark, tmp_path, policy):
         w.files.delete(f"{w.folder('shop', 'users')}/data-0/{min(sizes)}")
         Applier(w, Settings(max_records=10, compact_after=0))(log, 0)
         assert batch_sizes(spark, w) == sizes
+
+
+def test_figures_of_an_earlier_batch_do_not_go_back(spark):
+    """The greatest offset, transaction number and position count, also where the last batch has smaller ones."""
+    from driftwell.operators.envelope import decode
+
+    m = Metrics()
+    for offset in (9, 4):
+        e = event(offset, "c", None, image(1, "a"))
+        e["value"]["source"] |= {"gtid": f"u:{offset}", "file": "log.1", "pos": offset * 10}
+        m.observe(frame(spark, [e]), decode(frame(spark, [e])), F.lit(2000))
+    figure = lambda name: next(v for (n, _), v in m.values.items() if n == name)
+    assert (figure("partition_offset"), figure("max_gtid"), figure("binlog_position"), figure("source_lag_ms")) == (9, 9, 90, 996)
