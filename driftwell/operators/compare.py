@@ -33,6 +33,11 @@ def equal_ranges(rows: DataFrame, key: list[str], size: int, tasks: int | None =
     last is null. Keys are sorted once over all tasks and counted by task; a key's rank is its place
     in its task and the rows of the tasks before. Of a key that is no unique one, all rows are in one range. Rows with a null in the key come first.
     """
+    return range_starts(rows, key, size, tasks)[0].select("place", "lo", F.lead("lo").over(Window.orderBy("place")).alias("hi"))  # a row a range
+
+
+def range_starts(rows: DataFrame, key: list[str], size: int, tasks: int | None = None) -> tuple[DataFrame, int]:
+    """(place, lo, rank) of the ranges of equal_ranges(), and the number of rows. rank: rows before the first one of lo's."""
     sorted_ = rows.select(F.struct(*key).alias("k"))
     sorted_ = sorted_.repartitionByRange("k") if tasks is None else sorted_.repartitionByRange(tasks, "k")
     placed = kept(sorted_.sortWithinPartitions("k").withColumn("id", F.monotonically_increasing_id()), "ranked-keys")
@@ -44,11 +49,19 @@ def equal_ranges(rows: DataFrame, key: list[str], size: int, tasks: int | None =
         total += n
     offsets = rows.sparkSession.createDataFrame(before, "task long, before long")
     ranked = placed.join(F.broadcast(offsets), task == F.col("task")).select("k", (F.col("before") + at).alias("rank"))
-    firsts = ranked.where(F.col("rank") % size == 0).groupBy("k").agg(F.min("rank").alias("rank"))
-    lo = firsts.select((F.col("rank") / size).cast("long").alias("place"), F.col("k").alias("lo"))
-    # ranges that begin with one and the same key were joined above, so places may have gaps
-    order = kept(lo, "range-starts")
-    return order.withColumn("hi", F.lead("lo").over(Window.orderBy("place")))  # a row a range
+    # ranges that begin with one and the same key are joined, so places may have gaps
+    keys = ranked.groupBy("k").agg(F.min("rank").alias("rank"), F.max("rank").alias("last")).withColumn("place", F.expr(f"(rank + {size - 1}) div {size}"))
+    return kept(keys.where(F.col("place") * size <= F.col("last")).select("place", F.col("k").alias("lo"), "rank"), "range-starts"), total
+
+
+def range_counts(rows: DataFrame, key: list[str], size: int, tasks: int | None = None) -> DataFrame:
+    """(place, lo, n): the ranges of equal_ranges() with the number of rows that each holds.
+
+    Rows of a range are those from its first rank up to the next range's, so ranks tell the numbers; no row looks for its range.
+    """
+    order, total = range_starts(rows, key, size, tasks)
+    after = F.coalesce(F.lead("rank").over(Window.orderBy("place")), F.lit(total))  # a row a range
+    return order.select("place", "lo", (after - F.col("rank")).alias("n"))
 
 
 def within(key: list[str], lo, hi) -> Column:

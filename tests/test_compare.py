@@ -198,3 +198,23 @@ def test_offsets_of_many_batches_are_put_together(spark, tmp_path, monkeypatch):
     for n in range(8):
         store.put(frame(spark, [event(n, "c", None, image(1, "a")), event(n * 2 % 7, "c", None, image(1, "a"))]), n)
     assert [tuple(r) for r in store.rows().collect()] == [("s.shop.users", 0, 7)] and len(Files(spark).names(str(tmp_path / "o"))) <= 4
+
+
+def test_rows_of_ranges_are_counted_by_ranks(spark):
+    """As a look at the rows would count them, also of keys that repeat; without a join on the range."""
+    rows = spark.range(1000).select((F.col("id") % 7).alias("a"), F.when(F.col("id") % 10 > 0, F.col("id")).alias("b"))
+    for key in (["a"], ["b"], ["a", "b"]):
+        want = [(r.place, r.lo, rows.where(compare.within(key, r.lo, r.hi) if None not in tuple(r.lo) else (F.col("b").isNull() | (F.col("b") < r.hi.b))).count()) for r in compare.equal_ranges(rows, key, 150).collect()] if key != ["a", "b"] else None
+        found = compare.range_counts(rows, key, 150)
+        got = [(r.place, r.lo, r.n) for r in found.collect()]
+        assert sum(n for *_, n in got) == 1000 and (want is None or sorted(got, key=str) == sorted(want, key=str))
+        assert "NestedLoop" not in found._jdf.queryExecution().executedPlan().toString()
+
+
+def test_cubes_that_no_bigint_holds(spark, tmp_path):
+    """Keys above 2,097,151: their cubes overflowed."""
+    from driftwell.queries_sources import equal_ranges_skewed
+
+    spark.range(2_097_000, 2_099_100).select(F.col("id").alias("o_orderkey")).write.parquet(str(tmp_path / "orders.parquet"))
+    got = sorted(tuple(map(int, r)) for r in equal_ranges_skewed(spark, str(tmp_path)).collect())
+    assert got == [(i, (2_097_000 + 700 * i) ** 3, 700) for i in range(3)]
