@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .functions import temporal, values
-from .operators import align, dedup, envelope, metrics, state, verify, versions
+from .operators import align, compare, dedup, envelope, metrics, state, verify, versions
 from .plans import routing
 from .plans.ddl import parse
 from .plans.scratch import folder
@@ -392,9 +392,10 @@ def stream_sequence(spark, d):
     """Sequence numbers of six partitions whose log comes in four micro-batches; the count goes on between them."""
     out, path, whole = folder(spark, "sequence"), folder(spark, "change-log"), events_log(spark, d)
     last = table(spark, d, "events").agg(F.max("event_id").alias("m")).first()["m"]
+    lines = compare.kept(whole.select("offset", F.to_json(F.struct("*")).alias("value")), "sequence-log")
     for n in range(4):  # files are read in the order in which they were written
-        part = whole.where(F.floor(F.col("offset") * 4 / (last + 1)) == n)
-        part.coalesce(1).select(F.to_json(F.struct("*")).alias("value")).write.mode("append").text(path)
+        part = lines.where(F.floor(F.col("offset") * 4 / (last + 1)) == n)
+        part.repartitionByRange(1, "offset").select("value").write.mode("append").text(path)
     log = stream_log(spark, path, KEY, ROW, 1)
     records_ = envelope.decode(log).select("topic", F.pmod("offset", F.lit(6)).cast("int").alias("partition"), "offset", "cdc_ts_ms")
     numbered = versions.sequence_stream(records_, ["topic", "partition"], ["offset"])
