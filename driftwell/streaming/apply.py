@@ -33,6 +33,8 @@ WRITERS = 8
 SENT, PIECES = 100_000, 16
 #: Keys that deduplication remembers.
 POOL = "topic string, __k string, came struct<turn: int, partition: int, offset: bigint>"
+#: A hash of what a record without an offset of its own holds, such as one of a snapshot.
+HELD = "__held"
 
 
 class Applier:
@@ -61,7 +63,7 @@ class Applier:
         self.mark = "" if self.settings.delete_column == "sign" else self.settings.delete_column
 
     def __call__(self, events: DataFrame, batch: int) -> None:
-        events = events.persist()
+        events = events.withColumn(HELD, F.when(F.col("offset") < 0, content())).persist()
         try:
             placed = self.placed(events)
             tables, ddl = self.found(placed, self.metrics is not None)
@@ -116,11 +118,10 @@ class Applier:
         return placed.where("ddl IS NOT NULL OR __table IS NOT NULL AND value IS NOT NULL")
 
     def found(self, placed: DataFrame, watch: bool = False) -> tuple[list, list]:
-        """In one job: for each table the log positions of its changes, and the schema changes that are to be made, in order. watch: figures for the metrics too."""
+        """In one job: for each table the log positions of its changes; in another, if there are any, the schema changes that are to be made, in order. watch: figures for the metrics too."""
         value, source = F.col("value"), F.col("value.source")
-        change = F.when(F.col("ddl").isNotNull(), F.struct("topic", "partition", "offset", "ddl", source["db"].alias("db"), source["snapshot"].alias("snapshot"), source["ts_ms"].alias("ts_ms")))
         by = [F.when(F.col("ddl").isNull(), F.col(c)).alias(c) for c in ("__db", "__table")]
-        each = [*extent(), F.collect_list(change).alias("ddl")]
+        each = [*extent(), F.count("ddl").alias("ddl"), F.count(HELD).alias("held")]
         if watch:
             names = {"ts_ms": source["ts_ms"], "cdc_ts_ms": value["ts_ms"], "gtid": gtid_number(source["gtid"]), "pos": source["pos"], "file": source["file"]}
             each += [*figures(F.unix_millis(F.current_timestamp()), names), F.sum(operation(value["op"]).isNull().cast("long")).alias("errors")]
@@ -128,13 +129,16 @@ class Applier:
         if watch:
             self.metrics.take([r for r in rows if not r["ddl"]])
             for r in rows:
-                for name, n in (("ddl_total", len(r["ddl"])), ("records_total", 0 if r["ddl"] else r["n"] - r["errors"]), ("errors_total", 0 if r["ddl"] else r["errors"])):
+                for name, n in (("ddl_total", r["ddl"]), ("records_total", 0 if r["ddl"] else r["n"] - r["errors"]), ("errors_total", 0 if r["ddl"] else r["errors"])):
                     self.metrics.add(name, n, topic=r["topic"])
         tables: dict[tuple[str, str], dict] = {}
         for r in (r for r in rows if not r["ddl"]):
-            t = tables.setdefault((r["__db"], r["__table"]), {"__db": r["__db"], "__table": r["__table"], "lo": r["lo"], "hi": r["hi"], "sum": 0, "n": 0})
-            t |= {"lo": min(t["lo"], r["lo"]), "hi": max(t["hi"], r["hi"]), "sum": t["sum"] + r["sum"], "n": t["n"] + r["n"]}
-        ddl = [x for r in rows for x in r["ddl"] if not self.settings.disable_ddl and (x.snapshot != "true" or self.settings.snapshot_ddl)]
+            t = tables.setdefault((r["__db"], r["__table"]), {"__db": r["__db"], "__table": r["__table"], "lo": r["lo"], "hi": r["hi"], "sum": 0, "n": 0, "held": 0, "places": {}})
+            t |= {"lo": min(t["lo"], r["lo"]), "hi": max(t["hi"], r["hi"]), "sum": t["sum"] + r["sum"], "n": t["n"] + r["n"], "held": t["held"] + r["held"]}
+            t["places"][r["topic"], r["partition"]] = r["lo"]
+        change = ("topic", "partition", "offset", "ddl", source["db"].alias("db"), source["snapshot"].alias("snapshot"), source["ts_ms"].alias("ts_ms"))
+        made = placed.where("ddl IS NOT NULL").select(*change).collect() if any(r["ddl"] for r in rows) else []  # few
+        ddl = [x for x in made if not self.settings.disable_ddl and (x.snapshot != "true" or self.settings.snapshot_ddl)]
         return list(tables.values()), sorted(ddl, key=lambda r: (r.ts_ms or 0, r.topic, r.partition, r.offset))
 
     def rows(self, placed: DataFrame, tables: list) -> None:
@@ -145,14 +149,14 @@ class Applier:
         batches = {(r["__db"], r["__table"]): (named(r), 0) for r in tables}
 
         def write(table) -> None:
-            own = placed.where((F.col("__db") == table[0]) & (F.col("__table") == table[1])).drop("__db", "__table")
+            own = placed.where((F.col("__db") == table[0]) & (F.col("__table") == table[1])).drop("__db", "__table", HELD)
             self.table_rows(own.coalesce(1) if s.single_threaded else own, *table, *batches[table])
 
         try:
             if s.max_records and sum(r["n"] for r in tables) > s.max_records:
-                placed, stretches = self.parted(placed)
+                placed, stretches, parts = self.parted(placed, tables)
                 cut: dict[tuple[str, str], list] = {}
-                for r in placed.groupBy("__db", "__table", PART).agg(*extent()).collect():  # a row a table and part
+                for r in parts.collect():  # a row a table and part
                     cut.setdefault((r["__db"], r["__table"]), []).append(r)
                 batches = {t: ({r[PART]: named(r) for r in own}, max(r["n"] for r in own)) for t, own in cut.items()}
             if s.single_threaded or len(batches) < 2:
@@ -167,33 +171,41 @@ class Applier:
         if s.deduplication_policy == "old" and s.buffer_count:
             self.remember(placed)
 
-    def parted(self, placed: DataFrame) -> tuple[DataFrame, DataFrame]:
-        """Row changes with the number of their part, of `max_records` at most, and what the parts are made of, which is persisted.
+    def parted(self, placed: DataFrame, tables: list) -> tuple[DataFrame, DataFrame, DataFrame]:
+        """Row changes with the number of their part, of `max_records` at most; what the parts are made of, which is persisted; and what each table has of each part.
 
         Offsets of a topic partition differ, so a stretch of so many offsets holds no more records; stretches
-        are put together up to the limit. Rows of a snapshot all have one offset: a stretch that holds more is cut
-        by a hash of its records. Where the cuts lie follows from the batch alone, so one that
+        are put together up to the limit. Rows of a snapshot all have one offset: they are cut
+        by a hash of what they hold, and so is a stretch that holds more all the same. Where the cuts lie follows from the batch alone, so one that
         comes again is cut alike. A limit below twice the number of topic partitions may be exceeded by that number.
-        Each part is found in the same passes over the batch.
+        Each part is found in one pass over the batch, two where offsets come more than once.
         """
         half = max(1, self.settings.max_records // 2)
-        first = placed.groupBy("topic", "partition").agg(F.min("offset").alias("__lo"))
-        each = max(1, half // first.count())  # topic partitions are few beside records
+        first: dict[tuple[str, int], int] = {}  # topic partitions are few beside records
+        for place, lo in (x for t in tables for x in t["places"].items()):
+            first[place] = min(lo, first.get(place, lo))
+        each, held = max(1, half // len(first)), sum(t["held"] for t in tables)
+        starts = self.warehouse.spark.createDataFrame([(*place, lo) for place, lo in first.items()], "__topic string, __partition int, __lo long")
+        pieces = F.lit(-(-held * PIECES // half) if held > half else 1)
         at = ["__at", "__piece"]
-        numbered = placed.join(F.broadcast(first), ["topic", "partition"]).withColumns({"__at": F.floor((F.col("offset") - F.col("__lo")) / each), "__piece": F.lit(0).cast("long")})
-        found = numbered.groupBy(*at).agg(F.count("*").alias("n")).persist()
-        size = found.agg(F.count("*").alias("n"), F.max("n").alias("most")).first()
+        here = F.col("topic").eqNullSafe(F.col("__topic")) & F.col("partition").eqNullSafe(F.col("__partition"))
+        numbered = placed.join(F.broadcast(starts), here).withColumns({"__at": F.floor((F.col("offset") - F.col("__lo")) / each), "__piece": F.coalesce(F.pmod(HELD, pieces), F.lit(0)).cast("long")})
+        cells = lambda rows: rows.groupBy("__db", "__table", *at).agg(*extent()).persist()
+        found = cells(numbered)
+        sizes = lambda: found.groupBy(*at).agg(F.sum("n").alias("n"))
+        size = sizes().agg(F.count("*").alias("n"), F.max("n").alias("most")).first()
         sent = lambda rows: F.broadcast(rows) if size["n"] <= SENT else rows  # noqa: E731  few rows
-        if size["most"] > half:
-            pieces = found.select("__at", F.ceil(F.when(F.col("n") > half, F.col("n") * PIECES / half).otherwise(1)).alias("__pieces"))
-            piece = F.when(F.col("__pieces") > 1, F.pmod(content(), "__pieces")).otherwise(0)
-            numbered = numbered.join(sent(pieces), "__at").withColumn("__piece", piece)
-            whole, found = found, numbered.groupBy(*at).agg(F.count("*").alias("n")).persist()
-            size = found.agg(F.count("*").alias("n")).first()
+        if size["most"] > half and held < sum(t["n"] for t in tables):
+            more = sizes().select(*at, F.ceil(F.when(F.col("n") > half, F.col("n") * PIECES / half).otherwise(1)).alias("__pieces"))
+            piece = F.col("__piece") * (1 << 31) + F.when(F.col("__pieces") > 1, F.pmod(F.coalesce(HELD, content()), "__pieces")).otherwise(0)
+            numbered = numbered.join(sent(more), at).withColumn("__piece", piece)
+            whole, found = found, cells(numbered)
+            size = sizes().agg(F.count("*").alias("n")).first()
             whole.unpersist()
         before = F.sum("n").over(Window.orderBy(*at).rowsBetween(Window.unboundedPreceding, -1))  # a row a stretch
-        stretches = found.select(*at, F.floor(F.coalesce(before, F.lit(0)) / half).cast("int").alias(PART))
-        return numbered.join(sent(stretches), at).select(*placed.columns, PART), found
+        stretches = sizes().select(*at, F.floor(F.coalesce(before, F.lit(0)) / half).cast("int").alias(PART))
+        parts = found.join(sent(stretches), at).groupBy("__db", "__table", PART).agg(F.min("lo").alias("lo"), F.max("hi").alias("hi"), F.sum("sum").alias("sum"), F.sum("n").alias("n"))
+        return numbered.join(sent(stretches), at).select(*placed.columns, PART), found, parts
 
     def remembered(self) -> tuple[int, DataFrame] | None:
         """The last keys of each topic, and how often keys were remembered."""
@@ -256,7 +268,7 @@ def content() -> Column:
 
 def extent() -> list[Column]:
     """Aggregates of records that name a batch: their least and greatest offset, a sum of hashes, and their number. Rows without an offset of their own, such as a snapshot's, count by what they hold."""
-    spot = F.xxhash64("topic", "partition", "offset", F.when(F.col("offset") < 0, content()))
+    spot = F.xxhash64("topic", "partition", "offset", HELD)
     return [F.min("offset").alias("lo"), F.max("offset").alias("hi"), F.sum(F.pmod(spot, F.lit(1 << 31))).alias("sum"), F.count("*").alias("n")]
 
 

@@ -408,3 +408,37 @@ def test_figures_of_an_earlier_batch_do_not_go_back(spark):
         m.observe(frame(spark, [e]), decode(frame(spark, [e])), F.lit(2000))
     figure = lambda name: next(v for (n, _), v in m.values.items() if n == name)
     assert (figure("partition_offset"), figure("max_gtid"), figure("binlog_position"), figure("source_lag_ms")) == (9, 9, 90, 996)
+
+
+def test_capped_batches_of_offsets_that_come_again_and_of_no_partition(spark, tmp_path):
+    """A batch above the limit of a snapshot, offsets that come twice and more, and records without a partition: all rows are there, in parts that keep to the limit, and again they change nothing."""
+    changes = frame(spark, [event(3 if i < 45 else i, "u", None, image(i + 1, f"v{i}", i)) for i in range(100)]).withColumn("partition", F.when(F.col("key.id") % 4 > 0, F.col("partition")))
+    snapshot = snapshot_events(spark.range(1, 61).select((F.col("id") + 1000).alias("id"), F.lit("s").alias("name"), F.lit(1).alias("score")), "s.shop.users", ["id"], "shop", "users", 5)
+    w, both = Warehouse(spark, str(tmp_path / "w")), changes.unionByName(snapshot)
+    for _ in range(2):
+        Applier(w, Settings(auto_create=True, max_records=20, compact_after=0))(both, 0)
+    sizes = batch_sizes(spark, w)
+    assert sum(sizes.values()) == 160 == len(rows_of(w)) and max(sizes.values()) <= 20
+
+
+def test_one_look_at_a_capped_batch_tells_its_parts(spark, tmp_path):
+    """A batch above the limit takes two jobs more over its rows than one below it: one that counts stretches, and one that deals them out."""
+    log = frame(spark, [event(i, "u", None, image(i + 1, f"v{i}", i)) for i in range(200)])
+    seen = spark.sparkContext.accumulator(0)
+
+    def counted(rows):
+        for r in rows:
+            seen.add(r.num_rows)
+            yield r
+
+    passes = []
+    for most in (0, 40):
+        seen.value = 0
+        w = Warehouse(spark, str(tmp_path / f"w{most}"))
+        a = Applier(w, Settings(auto_create=True, max_records=most, compact_after=0))
+        plain = a.placed
+        a.placed = lambda events: plain(events).mapInArrow(counted, plain(events).schema)  # below the cut, above what is persisted
+        a(log, 0)
+        assert len(rows_of(w)) == 200
+        passes.append(seen.value // 200)
+    assert passes[1] <= passes[0] + 1
