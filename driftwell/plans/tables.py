@@ -31,6 +31,7 @@ from pyspark.sql import types as T
 from ..operators.align import align, missing_columns, unfit
 from ..operators.envelope import PART
 from ..operators.state import DELETED, SEQ, SIGN, VERSION, collapse, latest, latest_by_column, needed_by_column
+from ..operators.versions import GTID_BITS
 from .ddl import Action, DdlError, target_type, unquoted
 from .ddl import Column as SourceColumn
 from .store import Files
@@ -49,6 +50,8 @@ RUN, TIER = "__run", 8
 TASK_ROWS = 1_000_000
 #: Where a row came from (topic/partition; offsets of different places have no order) and when, by the source's clock in ms.
 PLACE, TIME = "_place", "_ts"
+#: The whole transaction number of a row whose version holds its low bits only.
+NUMBER = "_txn"
 
 
 @dataclass(frozen=True)
@@ -101,7 +104,7 @@ class Descriptor:
 
     def extras(self) -> list[tuple[str, str]]:
         mark = [(SIGN, "int")] if self.engine == COLLAPSING else [(self.deleted, "int")]
-        return [(VERSION, "bigint"), (SEQ, "bigint"), *mark, (TRUNCATE, "boolean"), (PLACE, "string"), (TIME, "bigint"), (SCHEMA, "int")]
+        return [(VERSION, "bigint"), (SEQ, "bigint"), *mark, (TRUNCATE, "boolean"), (PLACE, "string"), (TIME, "bigint"), (NUMBER, "bigint"), (SCHEMA, "int")]
 
     def stored_schema(self) -> T.StructType:
         """Columns that files may hold, earlier types included."""
@@ -216,6 +219,11 @@ def altered(d: Descriptor, a: Action, ts_ms: int | None = None) -> Descriptor:
     return d
 
 
+def arrival() -> list[Column]:
+    """What a table's rows are ordered by: version and place. Within a millisecond whole transaction numbers count, as their low bits begin again; without numbers that is the order of versions."""
+    return [F.shiftright(VERSION, GTID_BITS), F.col(NUMBER), F.col(VERSION), F.col(SEQ)]
+
+
 def truncates(log: DataFrame) -> DataFrame:
     """(_place, _seq, _ts) of the last truncate of each place."""
     return log.where(TRUNCATE).groupBy(PLACE).agg(F.max(SEQ).alias(SEQ), F.max(TIME).alias(TIME))
@@ -459,9 +467,9 @@ class Warehouse:
         """Live rows of the table."""
         rows = after_truncates(self.log(d)).drop(TRUNCATE, PLACE, TIME, SCHEMA)
         if d.engine == COLLAPSING:
-            rows = collapse(rows, list(d.key), [VERSION, SEQ])
+            rows = collapse(rows, list(d.key), arrival())
         elif d.engine == REPLACING:
-            rows = (latest_by_column if d.partial else latest)(rows, list(d.key), [VERSION, SEQ]).where(F.col(d.deleted) == 0)
+            rows = (latest_by_column if d.partial else latest)(rows, list(d.key), arrival()).where(F.col(d.deleted) == 0)
         else:
             rows = rows.where(f"coalesce(`{d.deleted}`, 0) = 0")
         return rows.select(*d.columns)
@@ -469,7 +477,7 @@ class Warehouse:
     def resolved(self, d: Descriptor, log: DataFrame) -> DataFrame:
         """What a log of rows comes to: the last row of each key, with its version, of partial images all that may be needed. Deletes and truncates stay as marks, so that a late row from before them stays gone."""
         rows = after_truncates(log)
-        kept = (needed_by_column if d.partial else latest)(rows, list(d.key), [VERSION, SEQ]) if d.engine == REPLACING else collapse(rows, list(d.key), [VERSION, SEQ]) if d.engine == COLLAPSING else rows
+        kept = (needed_by_column if d.partial else latest)(rows, list(d.key), arrival()) if d.engine == REPLACING else collapse(rows, list(d.key), arrival()) if d.engine == COLLAPSING else rows
         return kept.unionByName(truncates(log).withColumn(TRUNCATE, F.lit(True)), allowMissingColumns=True)
 
     def compact(self, database: str, name: str, buckets: int | None = None, folders: bool | None = None) -> None:

@@ -20,7 +20,7 @@ from ..plans.ddl import Action, DdlError, drops_or_truncates, parse, unquoted
 from ..plans.routing import database_of, included, table_of_topic
 from ..plans.settings import Settings
 from ..plans.store import Files
-from ..plans.tables import COLLAPSING, PLACE, TIME, TRUNCATE, Descriptor, Warehouse, described_by_schema
+from ..plans.tables import COLLAPSING, NUMBER, PLACE, TIME, TRUNCATE, Descriptor, Warehouse, described_by_schema
 from ..plans.types import Wire, typed_records
 from ..functions.values import raw_json, resolve_zone
 from .listener import Metrics
@@ -290,7 +290,11 @@ def target_rows(records: DataFrame, d: Descriptor, s: Settings) -> DataFrame:
     number = version(F.col("ts_ms"), F.col("gtid"), plain, s.snowflake)
     if s.dialect == "postgres":
         number = F.coalesce("lsn", number)
-    spot = [F.concat_ws("/", "topic", "partition").alias(PLACE), F.col("ts_ms").alias(TIME), *[c for c in records.columns if c == PART]]
+    whole = F.col("gtid") if s.snowflake else F.lit(None)
+    if s.dialect == "postgres":
+        whole = F.when(F.col("lsn").isNull(), whole)
+    whole = F.when(whole != -1, whole).cast("bigint").alias(NUMBER)
+    spot = [F.concat_ws("/", "topic", "partition").alias(PLACE), F.col("ts_ms").alias(TIME), whole, *[c for c in records.columns if c == PART]]
     if s.ignore_delete:
         records = records.where("operation <> 'DELETE'")
     if s.store_metadata:

@@ -442,3 +442,19 @@ def test_one_look_at_a_capped_batch_tells_its_parts(spark, tmp_path):
         assert len(rows_of(w)) == 200
         passes.append(seen.value // 200)
     assert passes[1] <= passes[0] + 1
+
+
+@pytest.mark.parametrize("buckets", [0, 2])
+def test_transaction_numbers_of_one_time_beyond_the_versions_bits(spark, tmp_path, buckets):
+    """Of two changes of one millisecond the one of the greater number is later, though its low 22 bits are smaller and its offset too; also after compaction."""
+    least = (1 << 22) - 1
+    log = frame(spark, [event(9 - i, "u", None, image(1, f"v{i}", i)) for i in range(3)] + [event(20, "u", None, image(2, "w", 0))])
+    number = F.coalesce(9 - F.when(F.col("key.id") == 1, F.col("offset")), F.lit(0)) + least
+    value = F.col("value").withField("source.gtid", F.concat(F.lit("0-1-"), number.cast("string"))).withField("source.ts_ms", F.lit(1_700_000_000_000).cast("long"))
+    w = Warehouse(spark, str(tmp_path / "w"))
+    a = Applier(w, Settings.of({"auto.create.tables": "true", "source.dialect": "mariadb", "cluster.buckets": buckets, "compact.after.batches": 0}))
+    for n in (2, 0, 1):
+        a(log.withColumn("value", value).where(F.col("offset") % 3 == n), n)
+    assert rows_of(w) == [(1, "v2", 2), (2, "w", 0)]
+    w.compact("shop", "users")
+    assert rows_of(w) == [(1, "v2", 2), (2, "w", 0)]
