@@ -21,7 +21,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import drop_scratch, give_back, in_bits, release, row_bits, scratch_mark, slices, written
+from .common import drop_scratch, give_back, in_bits, release, row_bits, scratch_mark, sends_little, slices, written
 from .simhash import classes, joins, links, majority, shingle_hashes
 from .words import U, mix, spread
 
@@ -236,6 +236,7 @@ def links_within(members: DataFrame, share: float) -> DataFrame:
     return blocks.repartition(tasks, "grp", "at", "by").sortWithinPartitions("grp", "at", "by").mapInArrow(run, "a long, b long")
 
 
+@sends_little
 def deduplicate(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", words: int = WORDS, share: float = SHARE) -> DataFrame:
     """docs with one row of each near-duplicate group: the one of least doc_id, nulls last.
 

@@ -20,7 +20,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import components, drop_scratch, scratch_mark, slices, written
+from .common import components, drop_scratch, scratch_mark, sends_little, slices, written
 
 #: Segments in three parts: of two differing bits, one part at least has none.
 PARTS = (tuple(range(5)), tuple(range(5, 10)), tuple(range(10, 16)))
@@ -217,6 +217,7 @@ def classes(nodes: DataFrame, edges: DataFrame) -> DataFrame:
     return nodes.join(components(edges).withColumnRenamed("node", "id"), "id", "left").withColumn("root", F.coalesce("root", "id"))
 
 
+@sends_little
 def near_duplicates(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", words: int = 3, seed: int = 42, most: int = 2) -> DataFrame:
     """One row a document: doc_id, f0, component_id (the least doc_id of the documents that links connect).
 

@@ -19,7 +19,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import drop_scratch, in_bits, release, row_bits, scratch_mark, slices, written
+from .common import drop_scratch, in_bits, release, row_bits, scratch_mark, sends_little, slices, written
 from .contain import shingles
 from .neardup import TEXTS_A_FILE, by_rare_shingles, links_within, open_groups, similar
 from .simhash import classes
@@ -125,6 +125,7 @@ def similar_pairs(met: DataFrame, sets: DataFrame, asked: DataFrame, count: int,
     return edges.unionByName(written(links_within(members, share).distinct(), "sketch-links", rows=count))
 
 
+@sends_little
 def minhash_near_duplicates(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", words: int = WORDS, share: float = SHARE) -> DataFrame:
     """One row a document: doc_id, n_shingles, component_id (the least doc_id of what links connect), kept (whether that is its own).
 

@@ -8,7 +8,7 @@ import numpy as np
 import pytest
 import xxhash
 
-from driftwell.llm import anchors, common, neardup, simhash, suffixes
+from driftwell.llm import anchors, common, neardup, simhash, sketches, suffixes
 from driftwell.llm.common import components
 from driftwell.llm.words import Words, spread, window_hashes
 
@@ -392,3 +392,20 @@ def test_long_texts_are_cut_in_parts(spark, monkeypatch):
     texts = [make(3000) + shared + make(2500), make(10) + shared + make(5000), make(1099)]
     got = suffixes.suffix_dedup(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()
     same([(r.doc_id, r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in got], [(i, *x) for i, x in enumerate(brute_bytes(texts, 400))])
+
+
+@pytest.mark.parametrize("given, held", [("10m", str(common.SENT_BYTES)), ("1g", str(common.SENT_BYTES)), ("256k", "256k"), ("-1", "-1"), (None, str(common.SENT_BYTES))])
+def test_little_is_sent_while_copies_are_found(spark, given, held):
+    """The driver builds no large tables for the joins of these operators; the session's limit is as before afterwards, also when one fails."""
+    key, docs = common.SENT_KEYS[0], spark.range(1)
+    failing = common.sends_little(lambda docs: 1 / 0)
+    spark.conf.unset(key) if given is None else spark.conf.set(key, given)
+    try:
+        assert common.sends_little(lambda docs: docs.sparkSession.conf.get(key))(docs) == held
+        with pytest.raises(ZeroDivisionError):
+            failing(docs)
+        assert spark.conf.get(key, None) == given
+    finally:
+        spark.conf.unset(key)
+    for operator in (neardup.deduplicate, simhash.near_duplicates, sketches.minhash_near_duplicates):
+        assert operator.__wrapped__.__name__ == operator.__name__
