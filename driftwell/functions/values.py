@@ -24,9 +24,13 @@ def bytes_text(value: Column, raw: bool = False) -> Column:
 
 
 def variable_decimal(unscaled: Column, scale: Column, target: str = "decimal(38,18)") -> Column:
-    """Big-endian two's complement of up to 20 bytes with a scale; null beyond the target's range, 0 for null bytes."""
-    hexed = F.hex(unscaled)
+    """Big-endian two's complement of up to 20 bytes with a scale; null beyond the target's range, 0 for null bytes.
+
+    The scale is the exponent of a number's text, so that the digits are made once; up to 8 bytes they are those of a bigint.
+    """
+    hexed, size = F.hex(unscaled), F.octet_length(unscaled)
     negative = F.substring(hexed, 1, 1).isin(*"89ABCDEF")
+    small = F.conv(F.lpad(hexed, 16, F.when(negative, "F").otherwise("0")), 16, -10)
     # of a negative number the inverted bits are one less than its magnitude
     digits = F.lpad(F.when(negative, F.translate(hexed, "0123456789ABCDEF", "FEDCBA9876543210")).otherwise(hexed), 40, "0")
     whole = lambda c: c.cast("decimal(38,0)")
@@ -34,11 +38,9 @@ def variable_decimal(unscaled: Column, scale: Column, target: str = "decimal(38,
     magnitude = whole(F.when(negative, F.lit(1)).otherwise(F.lit(0)))
     for i in range(4):
         magnitude = F.try_add(magnitude, F.try_multiply(part(31 - 10 * i), whole(F.lit(str(2 ** (40 * i))))).try_cast("decimal(38,0)")).try_cast("decimal(38,0)")
-    text = F.lpad(magnitude.cast("string"), F.greatest(F.length(magnitude.cast("string")), scale + 1), F.lit("0"))
-    rest = F.substring(text, F.length(text) - scale + 1, scale)
-    signed = F.concat(F.when(negative, F.lit("-")).otherwise(F.lit("")), F.substring(text, F.lit(1), F.length(text) - scale), F.when(scale > 0, F.concat(F.lit("."), rest)).otherwise(F.lit("")))
-    none = unscaled.isNull() | (F.octet_length(unscaled) == 0)
-    return F.when(none, F.lit(0).cast(target)).when(F.octet_length(unscaled) <= 20, signed.try_cast(target))
+    number = F.when(size <= 8, small).when(size <= 20, F.concat(F.when(negative, F.lit("-")).otherwise(F.lit("")), magnitude.cast("string")))
+    signed = F.concat(number, F.lit("E"), (-scale).cast("string"))
+    return F.when(unscaled.isNull() | (size == 0), F.lit(0).cast(target)).otherwise(signed.try_cast(target))
 
 
 def point(value: Column) -> Column:

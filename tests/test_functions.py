@@ -1,5 +1,6 @@
 """Value conversions: limits, zones, texts."""
 
+import decimal
 import struct
 
 import pytest
@@ -170,3 +171,13 @@ def test_wide_variable_decimals(spark, n):
     assert got == (Decimal(n) if abs(n) < 10**38 else None)
     scaled = one(spark, v.variable_decimal(F.unhex(F.col("h")), F.lit(18)), h=raw.hex())
     assert scaled == (Decimal(f"{n}E-18") if abs(n) < 10**38 else None)
+
+
+@pytest.mark.parametrize("n, scale", [(127, 0), (-128, 3), (-(2**63), 18), (2**63 - 1, 2), (2**63, 2), (-(2**63) - 1, 5), (5, 19), (12, -2), (-(2**70), -3)])
+def test_variable_decimal_digits_are_made_once(spark, n, scale):
+    """Of 8 bytes and just above, of scales beyond the target's and below 0; the plan has the digits of a number once, however long it is."""
+    raw = n.to_bytes(n.bit_length() // 8 + 1, "big", signed=True)
+    exact = decimal.Decimal(n).scaleb(-scale, decimal.Context(prec=60)).quantize(decimal.Decimal(1).scaleb(-18), decimal.ROUND_HALF_UP, decimal.Context(prec=60))
+    df = spark.createDataFrame([(bytearray(raw),)], "raw binary").select(v.variable_decimal(F.col("raw"), F.lit(scale)).alias("x"))
+    assert df.first()["x"] == (exact if abs(exact) < 10**20 else None)
+    assert df._jdf.queryExecution().optimizedPlan().toString().count("conv(") <= 5
