@@ -388,7 +388,7 @@ class Warehouse:
             if (part := f"{PART}={n}") not in there:  # no row of it was left
                 self.files.write(f"{data}/batch={batch}/_SUCCESS", "")
                 continue
-            self.files.write(f"{aside}/{part}/_SUCCESS", "")
+            self.files.touch(f"{aside}/{part}/_SUCCESS")
             self.files.delete(f"{data}/batch={batch}")  # what a job that did not end left behind
             self.files.rename(f"{aside}/{part}", f"{data}/batch={batch}")
         self.files.delete(aside)

@@ -4,9 +4,13 @@ from __future__ import annotations
 
 import re
 import time
+from collections import Counter
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import replace
+from functools import reduce
+from operator import and_
 
+import pyarrow as pa
 from pyspark import inheritable_thread_target
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -29,8 +33,8 @@ from .offsets import SchemaHistory, TopicOffsets
 
 #: Tables that are written at the same time.
 WRITERS = 8
-#: Stretches of offsets whose numbers are sent to all tasks; pieces that a stretch of one offset is cut into for each half of a part.
-SENT, PIECES = 100_000, 16
+#: Stretches of offsets that come to the driver at most; pieces that what has no offset of its own is cut into, and a stretch that is too large for each half of a part.
+SENT, HELD_PIECES, PIECES = 100_000, 1024, 16
 #: Keys that deduplication remembers.
 POOL = "topic string, __k string, came struct<turn: int, partition: int, offset: bigint>"
 #: A hash of what a record without an offset of its own holds, such as one of a snapshot.
@@ -118,14 +122,21 @@ class Applier:
         return placed.where("ddl IS NOT NULL OR __table IS NOT NULL AND value IS NOT NULL")
 
     def found(self, placed: DataFrame, watch: bool = False) -> tuple[list, list]:
-        """In one job: for each table the log positions of its changes; in another, if there are any, the schema changes that are to be made, in order. watch: figures for the metrics too."""
+        """In one job: for each table the stretches of the log that its changes lie in; in another, if there are any, the schema changes that are to be made, in order. watch: figures for the metrics too."""
         value, source = F.col("value"), F.col("value.source")
         by = [F.when(F.col("ddl").isNull(), F.col(c)).alias(c) for c in ("__db", "__table")]
         each = [*extent(), F.count("ddl").alias("ddl"), F.count(HELD).alias("held")]
         if watch:
             names = {"ts_ms": source["ts_ms"], "cdc_ts_ms": value["ts_ms"], "gtid": gtid_number(source["gtid"]), "pos": source["pos"], "file": source["file"]}
             each += [*figures(F.unix_millis(F.current_timestamp()), names), F.sum(operation(value["op"]).isNull().cast("long")).alias("errors")]
-        rows = placed.groupBy(*by, "topic", "partition").agg(*each).collect()  # a row a table, topic and partition
+        look = lambda step, pieces: placed.groupBy(*by, *stretch(step, pieces)).agg(*each)
+        step, pieces = max(1, self.settings.max_records // 4) if self.settings.max_records else 0, HELD_PIECES
+        rows = look(step, pieces).limit(SENT + 1).collect() if step else look(0, 0).collect()
+        if len(rows) > SENT:  # offsets far apart: as long stretches as keep their number down
+            whole = look(0, 0).collect()  # a row a table, topic and partition
+            step = max(step, -(-sum(r["hi"] - r["lo"] + 1 for r in whole if r["hi"] is not None) * 2 // SENT))
+            pieces = max(1, min(pieces, SENT // 2 // len(whole)), sum(r["held"] for r in whole) * 4 // self.settings.max_records)
+            rows = look(step, pieces).collect()
         if watch:
             self.metrics.take([r for r in rows if not r["ddl"]])
             for r in rows:
@@ -133,9 +144,10 @@ class Applier:
                     self.metrics.add(name, n, topic=r["topic"])
         tables: dict[tuple[str, str], dict] = {}
         for r in (r for r in rows if not r["ddl"]):
-            t = tables.setdefault((r["__db"], r["__table"]), {"__db": r["__db"], "__table": r["__table"], "lo": r["lo"], "hi": r["hi"], "sum": 0, "n": 0, "held": 0, "places": {}})
-            t |= {"lo": min(t["lo"], r["lo"]), "hi": max(t["hi"], r["hi"]), "sum": t["sum"] + r["sum"], "n": t["n"] + r["n"], "held": t["held"] + r["held"]}
-            t["places"][r["topic"], r["partition"]] = r["lo"]
+            t = tables.setdefault((r["__db"], r["__table"]), {"__db": r["__db"], "__table": r["__table"], "cut": (step, pieces), "cells": []})
+            t["cells"].append(r)
+        for t in tables.values():
+            t |= together(t["cells"])
         change = ("topic", "partition", "offset", "ddl", source["db"].alias("db"), source["snapshot"].alias("snapshot"), source["ts_ms"].alias("ts_ms"))
         made = placed.where("ddl IS NOT NULL").select(*change).collect() if any(r["ddl"] for r in rows) else []  # few
         ddl = [x for x in made if not self.settings.disable_ddl and (x.snapshot != "true" or self.settings.snapshot_ddl)]
@@ -143,7 +155,7 @@ class Applier:
 
     def rows(self, placed: DataFrame, tables: list) -> None:
         """Row changes of one stretch without schema changes, each table's by itself; more than `max_records` are written in several parts, by one job a table."""
-        s, stretches = self.settings, None
+        s = self.settings
         placed = placed.where("ddl IS NULL")
         named = lambda r: f"{r['lo']}-{r['hi']}-{r['sum']}"
         batches = {(r["__db"], r["__table"]): (named(r), 0) for r in tables}
@@ -152,60 +164,62 @@ class Applier:
             own = placed.where((F.col("__db") == table[0]) & (F.col("__table") == table[1])).drop("__db", "__table", HELD)
             self.table_rows(own.coalesce(1) if s.single_threaded else own, *table, *batches[table])
 
-        try:
-            if s.max_records and sum(r["n"] for r in tables) > s.max_records:
-                placed, stretches, parts = self.parted(placed, tables)
-                cut: dict[tuple[str, str], list] = {}
-                for r in parts.collect():  # a row a table and part
-                    cut.setdefault((r["__db"], r["__table"]), []).append(r)
-                batches = {t: ({r[PART]: named(r) for r in own}, max(r["n"] for r in own)) for t, own in cut.items()}
-            if s.single_threaded or len(batches) < 2:
-                for table in batches:
-                    write(table)
-            else:
-                with ThreadPoolExecutor(min(WRITERS, len(batches))) as pool:
-                    list(pool.map(inheritable_thread_target(self.warehouse.spark)(write), batches))
-        finally:
-            if stretches is not None:
-                stretches.unpersist()
+        if s.max_records and sum(r["n"] for r in tables) > s.max_records:
+            placed, cut = self.parted(placed, tables)
+            batches = {t: ({n: named(r) for n, r in own.items()}, max(r["n"] for r in own.values())) for t, own in cut.items()}
+        if s.single_threaded or len(batches) < 2:
+            for table in batches:
+                write(table)
+        else:
+            with ThreadPoolExecutor(min(WRITERS, len(batches))) as pool:
+                list(pool.map(inheritable_thread_target(self.warehouse.spark)(write), batches))
         if s.deduplication_policy == "old" and s.buffer_count:
             self.remember(placed)
 
-    def parted(self, placed: DataFrame, tables: list) -> tuple[DataFrame, DataFrame, DataFrame]:
-        """Row changes with the number of their part, of `max_records` at most; what the parts are made of, which is persisted; and what each table has of each part.
+    def parted(self, placed: DataFrame, tables: list) -> tuple[DataFrame, dict[tuple[str, str], dict[int, dict]]]:
+        """Row changes with the number of their part, of `max_records` at most; and what each table has of each part.
 
-        Offsets of a topic partition differ, so a stretch of so many offsets holds no more records; stretches
+        The look at the batch has told how many records lie in each stretch of offsets of a topic partition; these are few
+        beside records. Offsets of a topic partition differ, so a stretch holds no more records than offsets; stretches
         are put together up to the limit. Rows of a snapshot all have one offset: they are cut
-        by a hash of what they hold, and so is a stretch that holds more all the same. Where the cuts lie follows from the batch alone, so one that
-        comes again is cut alike. A limit below twice the number of topic partitions may be exceeded by that number.
-        Each part is found in one pass over the batch, two where offsets come more than once.
+        by a hash of what they hold, and so is a stretch that holds more than the limit all the same, which takes another look. Where the cuts lie
+        follows from the batch alone, so one that comes again is cut alike. Records that are alike in all they hold stay together.
         """
-        half = max(1, self.settings.max_records // 2)
-        first: dict[tuple[str, int], int] = {}  # topic partitions are few beside records
-        for place, lo in (x for t in tables for x in t["places"].items()):
-            first[place] = min(lo, first.get(place, lo))
-        each, held = max(1, half // len(first)), sum(t["held"] for t in tables)
-        starts = self.warehouse.spark.createDataFrame([(*place, lo) for place, lo in first.items()], "__topic string, __partition int, __lo long")
-        pieces = F.lit(-(-held * PIECES // half) if held > half else 1)
-        at = ["__at", "__piece"]
-        here = F.col("topic").eqNullSafe(F.col("__topic")) & F.col("partition").eqNullSafe(F.col("__partition"))
-        numbered = placed.join(F.broadcast(starts), here).withColumns({"__at": F.floor((F.col("offset") - F.col("__lo")) / each), "__piece": F.coalesce(F.pmod(HELD, pieces), F.lit(0)).cast("long")})
-        cells = lambda rows: rows.groupBy("__db", "__table", *at).agg(*extent()).persist()
-        found = cells(numbered)
-        sizes = lambda: found.groupBy(*at).agg(F.sum("n").alias("n"))
-        size = sizes().agg(F.count("*").alias("n"), F.max("n").alias("most")).first()
-        sent = lambda rows: F.broadcast(rows) if size["n"] <= SENT else rows  # noqa: E731  few rows
-        if size["most"] > half and held < sum(t["n"] for t in tables):
-            more = sizes().select(*at, F.ceil(F.when(F.col("n") > half, F.col("n") * PIECES / half).otherwise(1)).alias("__pieces"))
-            piece = F.col("__piece") * (1 << 31) + F.when(F.col("__pieces") > 1, F.pmod(F.coalesce(HELD, content()), "__pieces")).otherwise(0)
-            numbered = numbered.join(sent(more), at).withColumn("__piece", piece)
-            whole, found = found, cells(numbered)
-            size = sizes().agg(F.count("*").alias("n")).first()
-            whole.unpersist()
-        before = F.sum("n").over(Window.orderBy(*at).rowsBetween(Window.unboundedPreceding, -1))  # a row a stretch
-        stretches = sizes().select(*at, F.floor(F.coalesce(before, F.lit(0)) / half).cast("int").alias(PART))
-        parts = found.join(sent(stretches), at).groupBy("__db", "__table", PART).agg(F.min("lo").alias("lo"), F.max("hi").alias("hi"), F.sum("sum").alias("sum"), F.sum("n").alias("n"))
-        return numbered.join(sent(stretches), at).select(*placed.columns, PART), found, parts
+        most, (step, pieces) = self.settings.max_records, tables[0]["cut"]
+        place = ["__topic", "__partition", "__at", "__piece"]
+        named = [c.alias(n) for c, n in zip(stretch(step, pieces), place)]
+        numbered = placed.select("*", *named).withColumn("__finer", F.lit(0).cast("long"))
+        cells = [(*(r[n] for n in ("__db", "__table", "topic", "partition", *place[2:])), 0, r) for t in tables for r in t["cells"]]
+        sizes = Counter()
+        for c in cells:
+            sizes[c[2:6]] += c[-1]["n"]
+        large = {k: -(-n * PIECES * 2 // most) for k, n in sizes.items() if n > most}
+        if large:
+            more = self.sent([(*k, n) for k, n in large.items()], [*place, "__pieces"])
+            finer = F.when(F.col("__pieces").isNotNull(), F.pmod(F.xxhash64(F.coalesce(HELD, content())), "__pieces"))
+            numbered = alike(numbered.drop("__finer"), more, place, "left").withColumn("__finer", F.coalesce(finer, F.lit(0)).cast("long")).drop("__pieces")
+            again = alike(numbered, more.drop("__pieces"), place, "inner").groupBy("__db", "__table", *place, "__finer").agg(*extent()).collect()
+            cells = [c for c in cells if c[2:6] not in large] + [(*(r[n] for n in ("__db", "__table", *place, "__finer")), r) for r in again]
+        sizes = Counter()
+        for c in cells:
+            sizes[c[2:7]] += c[-1]["n"]
+        part, held, parts = 0, 0, {}
+        for k in sorted(sizes, key=lambda k: (k[2], k[3], k[4], k[0] or "", -1 if k[1] is None else k[1])):
+            if held and held + sizes[k] > most:
+                part, held = part + 1, 0
+            parts[k], held = part, held + sizes[k]
+        found: dict[tuple[str, str], dict[int, list]] = {}
+        for c in cells:
+            found.setdefault(c[:2], {}).setdefault(parts[c[2:7]], []).append(c[-1])
+        dealt = self.sent([(*k, n) for k, n in parts.items()], [*place, "__finer", PART])
+        out = alike(numbered, dealt, [*place, "__finer"], "inner").select(*placed.columns, PART)
+        return out, {t: {n: together(own) for n, own in by.items()} for t, by in found.items()}
+
+    def sent(self, rows: list[tuple], names: list[str]) -> DataFrame:
+        """A small table of topics, partitions and whole numbers, for every task."""
+        kinds = {"__topic": pa.string(), "__partition": pa.int32(), PART: pa.int32()}
+        columns = [pa.array(list(c), kinds.get(n, pa.int64())) for c, n in zip(zip(*rows), names)]
+        return F.broadcast(self.warehouse.spark.createDataFrame(pa.table(columns, names=names)))
 
     def remembered(self) -> tuple[int, DataFrame] | None:
         """The last keys of each topic, and how often keys were remembered."""
@@ -272,6 +286,26 @@ def extent() -> list[Column]:
     return [F.min("offset").alias("lo"), F.max("offset").alias("hi"), F.sum(F.pmod(spot, F.lit(1 << 31))).alias("sum"), F.count("*").alias("n")]
 
 
+def stretch(step: int, pieces: int) -> list[Column]:
+    """Where a record lies: its topic and partition, which stretch of `step` offsets (0: all), and which piece of what has no offset of its own."""
+    at = F.expr(f"offset div {step}L") if step else F.lit(0)
+    piece = F.coalesce(1 + F.pmod(HELD, F.lit(pieces)), F.lit(0)) if pieces else F.lit(0)
+    return [F.col("topic"), F.col("partition"), at.cast("long").alias("__at"), piece.cast("long").alias("__piece")]
+
+
+def together(rows: list) -> dict:
+    """What several stretches come to."""
+    known = lambda c: [r[c] for r in rows if r[c] is not None]
+    return {"lo": min(known("lo"), default=None), "hi": max(known("hi"), default=None), "sum": sum(r["sum"] for r in rows), "n": sum(r["n"] for r in rows)}
+
+
+def alike(left: DataFrame, right: DataFrame, names: list[str], how: str) -> DataFrame:
+    """left with the columns of the rows of right that are alike in `names`, nulls included."""
+    r = right.toDF(*[f"__of{c}" if c in names else c for c in right.columns])
+    on = reduce(and_, [F.col(c).eqNullSafe(F.col(f"__of{c}")) for c in names])
+    return left.join(F.broadcast(r), on, how).drop(*[f"__of{c}" for c in names])
+
+
 def stage(changes: list) -> Column:
     """How many of the changes, sorted, an event comes after: the number of the last one that it is after."""
     out = F.lit(0)
@@ -299,18 +333,17 @@ def target_rows(records: DataFrame, d: Descriptor, s: Settings) -> DataFrame:
         records = records.where("operation <> 'DELETE'")
     if s.store_metadata:
         records = with_metadata(records)
-    cut = records.where("operation = 'TRUNCATE'").select(number.alias(VERSION), seq.alias(SEQ), F.lit(True).alias(TRUNCATE), *spot)
-    data = records.where("operation <> 'TRUNCATE'")
     extra = [c for c in records.columns if c.startswith("_") and c != PART] if s.store_metadata else []
+    raw = raw_json(*records.schema["row"].dataType.names) if s.store_raw and s.raw_column else None
     if d.engine == COLLAPSING:
-        marked = collapsing_rows(data, number, seq).select("row.*", VERSION, SEQ, "_sign", *spot, *extra)
-    else:
-        gone = (F.col("operation") == "DELETE").cast("int")
-        marked = data.select("row.*", number.alias(VERSION), seq.alias(SEQ), gone.alias(d.deleted or DELETED), *spot, *extra)
-    if s.store_raw and s.raw_column:
-        names = records.schema["row"].dataType.names
-        marked = marked.withColumn(s.raw_column, raw_json(*names))
-    return marked.unionByName(cut, allowMissingColumns=True)
+        cut = records.where("operation = 'TRUNCATE'").select(number.alias(VERSION), seq.alias(SEQ), F.lit(True).alias(TRUNCATE), *spot)
+        marked = collapsing_rows(records.where("operation <> 'TRUNCATE'"), number, seq).select("row.*", VERSION, SEQ, "_sign", *spot, *extra)
+        return (marked if raw is None else marked.withColumn(s.raw_column, raw)).unionByName(cut, allowMissingColumns=True)
+    cut = F.col("operation") == "TRUNCATE"
+    kept = lambda c: F.when(~cut, c)  # noqa: E731  a truncate has no image
+    gone = kept((F.col("operation") == "DELETE").cast("int"))
+    marked = records.withColumn("row", kept(F.col("row"))).select("row.*", number.alias(VERSION), seq.alias(SEQ), gone.alias(d.deleted or DELETED), F.when(cut, True).alias(TRUNCATE), *spot, *[kept(F.col(c)).alias(c) for c in extra])
+    return marked if raw is None else marked.withColumn(s.raw_column, F.when(F.col(TRUNCATE).isNull(), raw))
 
 
 def start(events: DataFrame, applier: Applier, checkpoint: str, once: bool = False):

@@ -458,3 +458,35 @@ def test_transaction_numbers_of_one_time_beyond_the_versions_bits(spark, tmp_pat
     assert rows_of(w) == [(1, "v2", 2), (2, "w", 0)]
     w.compact("shop", "users")
     assert rows_of(w) == [(1, "v2", 2), (2, "w", 0)]
+
+
+def test_a_capped_batch_takes_no_look_of_its_own(spark, tmp_path):
+    """Above the limit or below it, rows are looked at once and written once, truncates among them."""
+    log = frame(spark, [event(i, "u", None, image(i + 1, f"v{i}", i)) for i in range(200)])
+    seen = spark.sparkContext.accumulator(0)
+
+    def counted(rows):
+        for r in rows:
+            seen.add(r.num_rows)
+            yield r
+
+    for most in (0, 40):
+        seen.value = 0
+        w = Warehouse(spark, str(tmp_path / f"w{most}"))
+        a = Applier(w, Settings(auto_create=True, max_records=most, compact_after=0))
+        plain = a.placed
+        a.placed = lambda events: plain(events).mapInArrow(counted, plain(events).schema)
+        a(log, 0)
+        assert len(rows_of(w)) == 200 and seen.value == 400
+
+
+def test_offsets_far_apart_are_cut_by_longer_stretches(spark, tmp_path, monkeypatch):
+    """The number of stretches that come to the driver has a limit; stretches that then hold too much are cut by what they hold."""
+    monkeypatch.setattr("driftwell.streaming.apply.SENT", 8)
+    log = frame(spark, [event((i if i < 60 else i * 1000), "u", None, image(i + 1, f"v{i}", i)) for i in range(100)])
+    snapshot = snapshot_events(spark.range(1, 61).select((F.col("id") + 1000).alias("id"), F.lit("s").alias("name"), F.lit(1).alias("score")), "s.shop.users", ["id"], "shop", "users", 5)
+    w = Warehouse(spark, str(tmp_path / "w"))
+    for _ in range(2):
+        Applier(w, Settings(auto_create=True, max_records=20, compact_after=0))(log.unionByName(snapshot), 0)
+    sizes = batch_sizes(spark, w)
+    assert sum(sizes.values()) == 160 == len(rows_of(w)) and max(sizes.values()) <= 20
