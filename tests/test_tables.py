@@ -490,3 +490,23 @@ def test_offsets_far_apart_are_cut_by_longer_stretches(spark, tmp_path, monkeypa
         Applier(w, Settings(auto_create=True, max_records=20, compact_after=0))(log.unionByName(snapshot), 0)
     sizes = batch_sizes(spark, w)
     assert sum(sizes.values()) == 160 == len(rows_of(w)) and max(sizes.values()) <= 20
+
+
+def test_log_files_make_the_log_once(spark, tmp_path, monkeypatch):
+    """In ten files of log order, about equally long, also where numbers are far apart."""
+    from driftwell import queries
+
+    rows = spark.range(1000).select((F.col("id") * F.when(F.col("id") < 500, 1).otherwise(10_000)).alias("event_id"), (F.col("id") % 50).alias("user_id"), F.lit("view").alias("event_type"), F.timestamp_seconds(F.lit(1_700_000_000) + F.col("id")).alias("ts"))
+    rows.write.parquet(str(tmp_path / "events.parquet"))
+    seen, plain = spark.sparkContext.accumulator(0), queries.events_log
+
+    def counted(batches):
+        for r in batches:
+            seen.add(r.num_rows)
+            yield r
+
+    monkeypatch.setattr(queries, "events_log", lambda *a: (log := plain(*a)).mapInArrow(counted, log.schema))
+    files = spark.read.text(queries.log_files(spark, str(tmp_path))).select(F.input_file_name().alias("f"), F.get_json_object("value", "$.offset").cast("long").alias("o"))
+    found = files.groupBy("f").agg(F.min("o").alias("lo"), F.max("o").alias("hi"), F.count("*").alias("n")).orderBy("lo").collect()
+    assert seen.value == 1000 == sum(r.n for r in found) and len(found) == 10 and max(r.n for r in found) <= 110
+    assert all(a.hi < b.lo for a, b in zip(found, found[1:]))
