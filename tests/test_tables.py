@@ -470,10 +470,10 @@ def test_a_capped_batch_takes_no_look_of_its_own(spark, tmp_path):
             seen.add(r.num_rows)
             yield r
 
-    for most in (0, 40):
+    for most, buckets in ((0, 0), (40, 0), (40, 2)):
         seen.value = 0
-        w = Warehouse(spark, str(tmp_path / f"w{most}"))
-        a = Applier(w, Settings(auto_create=True, max_records=most, compact_after=0))
+        w = Warehouse(spark, str(tmp_path / f"w{most}-{buckets}"))
+        a = Applier(w, Settings(auto_create=True, max_records=most, compact_after=0, buckets=buckets))
         plain = a.placed
         a.placed = lambda events: plain(events).mapInArrow(counted, plain(events).schema)
         a(log, 0)
